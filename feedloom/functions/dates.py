@@ -20,9 +20,17 @@ SUFFIX_FORMATS = {
 _STRFTIME = {"yyyy": "%Y", "MM": "%m", "dd": "%d", "HH": "%H", "mm": "%M", "ss": "%S"}
 
 
+def parse_timestamp(c: Column, pattern: str) -> Column:
+    """Text by a date pattern, null if it does not fit. Two-digit years are 1969 to 2068."""
+    at = F.try_to_timestamp(c, F.lit(pattern))
+    if "yy" in pattern and "yyyy" not in pattern:
+        return F.when(F.year(at) >= 2069, at - F.expr("INTERVAL 100 YEARS")).otherwise(at)
+    return at
+
+
 def first_date(c: Column, formats: Sequence[str]) -> Column:
     """The first format that fits, else null."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[parse_timestamp(c, f) for f in formats])
 
 
 def header_timestamp(c: Column, layout: str) -> Column:
@@ -30,11 +38,9 @@ def header_timestamp(c: Column, layout: str) -> Column:
     pattern = layout.strip().upper().replace("DD", "dd").replace("YY", "yy")
     text = F.trim(c)
     if "yyyy" in pattern:
-        return F.try_to_timestamp(text, F.lit(pattern))
+        return parse_timestamp(text, pattern)
     wide = pattern.replace("yy", "yyyy")
-    return F.when(F.length(text) == 8, F.try_to_timestamp(text, F.lit(wide))).otherwise(
-        F.try_to_timestamp(text, F.lit(pattern))
-    )
+    return F.when(F.length(text) == 8, parse_timestamp(text, wide)).otherwise(parse_timestamp(text, pattern))
 
 
 def file_suffix(template: str | None, at: dt.datetime) -> str:

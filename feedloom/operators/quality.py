@@ -263,22 +263,14 @@ def prefix_match(files: DataFrame, inventory: DataFrame, file_name: str = "file_
     A name can only hold a prefix that equals one of its own pieces of that length, so the match is an
     equi-join on pieces instead of a comparison of every name with every prefix.
     """
-    lengths = inventory.select(F.sort_array(F.collect_set(F.length("prefix"))).alias("n"))
-    pieces = F.explode(
-        F.array_distinct(
-            F.flatten(
-                F.transform(
-                    lengths.scalar(),
-                    lambda n: F.transform(
-                        F.when(F.length(file_name) >= n, F.sequence(F.lit(1), F.length(file_name) - n + 1)).otherwise(F.array().cast("array<int>")),
-                        lambda i: F.substring(F.upper(file_name), i, n),
-                    ),
-                )
-            )
-        )
-    )
+    lengths = inventory.select(F.collect_set(F.length("prefix")).alias("n"))
+    name, n = F.col(file_name), F.col("__n")
+    sized = files.select(file_name, lengths.scalar().alias("__lengths")).select(file_name, F.explode("__lengths").alias("__n"))
+    places = F.sequence(F.lit(1), F.length(name) - n + 1)
+    pieces = F.explode(F.array_distinct(F.transform(places, lambda i: F.substr(F.upper(name), i, n))))
+    cut = sized.where(F.length(name) >= n).select(file_name, pieces.alias("__piece"))
     known = inventory.select(F.upper("prefix").alias("__piece"), "prefix", "location")
-    hits = files.select(file_name, pieces.alias("__piece")).join(known, "__piece")
+    hits = cut.join(known, "__piece")
     matched = hits.groupBy(file_name).agg(
         F.count(F.lit(1)).alias("matches"), F.min("prefix").alias("prefix"), F.min_by("location", "prefix").alias("location")
     )

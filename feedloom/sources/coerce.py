@@ -24,7 +24,9 @@ def coerced(c: Column, kind: str) -> Column:
     if kind in _WHOLE:
         return F.coalesce(text.try_cast(kind), text.try_cast("decimal(38,10)").try_cast(kind))
     if kind == "date":
-        return F.coalesce(F.try_to_timestamp(text, F.lit("yyyyMMdd")), F.try_to_timestamp(text, F.lit("yyyy-MM-dd"))).cast("date")
+        compact = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+        dashed = text.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$")
+        return F.when(text.rlike("^[0-9]{8}$"), compact.try_cast("date")).when(dashed, text.try_cast("date"))
     if kind == "timestamp":
         return F.coalesce(text.try_cast("timestamp"), F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss.SSS")))
     if kind == "boolean":

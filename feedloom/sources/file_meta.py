@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from feedloom.functions.dates import parse_timestamp
+
 
 @dataclass(frozen=True)
 class NameDialect:
@@ -43,7 +45,7 @@ def file_name_meta(df: DataFrame, name: Column, dialect: NameDialect) -> DataFra
     def group(i: int) -> Column:
         return F.when(fits, F.regexp_extract(base, dialect.pattern, i)) if i else F.lit(None).cast("string")
 
-    at = F.try_to_timestamp(group(dialect.date), F.lit(dialect.date_format))
+    at = parse_timestamp(group(dialect.date), dialect.date_format)
     sequence = group(dialect.sequence)
     is_full = sequence == dialect.full_marker if dialect.full_marker else F.lit(None).cast("boolean")
     valid = at.isNotNull()
