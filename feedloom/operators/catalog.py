@@ -53,6 +53,16 @@ BACKWARD_TYPES = {
     "date": "date",
 }
 
+# How the types of a Spark frame are called in information-schema rows.
+SOURCE_NAMES = {
+    "string": "varchar",
+    "integer": "int",
+    "long": "bigint",
+    "double": "float",
+    "timestamp": "datetime",
+    "timestamp_ntz": "datetime",
+}
+
 
 def translation_table(spark: SparkSession) -> DataFrame:
     rows = [("forward", a, b) for a, b in FORWARD_TYPES.items()] + [("backward", a, b) for a, b in BACKWARD_TYPES.items()]
@@ -66,7 +76,7 @@ def profile_columns(df: DataFrame, table: str, schema: str = "dbo", catalog: str
         is_text = isinstance(f.dataType, T.StringType)
         length = F.max(F.length(f.name)) if is_text else F.lit(0)
         stats += [F.count(f.name).alias(f"n{i}"), length.cast("int").alias(f"l{i}")]
-        kind = "varchar" if is_text else f.dataType.typeName().replace("integer", "int").replace("long", "bigint").replace("timestamp", "datetime").replace("double", "float")
+        kind = SOURCE_NAMES.get(f.dataType.typeName(), f.dataType.typeName())
         entries.append(
             F.struct(
                 F.lit(f.name).alias("column_name"),

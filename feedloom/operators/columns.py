@@ -28,7 +28,7 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 
 
-def to_string_columns(df: DataFrame, types: Sequence[str] = ("timestamp",)) -> DataFrame:
+def to_string_columns(df: DataFrame, types: Sequence[str] = ("timestamp", "timestamp_ntz")) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) if t in types else F.col(c) for c, t in df.dtypes])
 
 

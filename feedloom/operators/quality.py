@@ -194,8 +194,8 @@ def schedule_tags(calendar: DataFrame, monthly: DataFrame) -> DataFrame:
     daily = calendar.select("calendar_date", F.explode(tags).alias("tag"))
     texts = monthly.where(F.col("frequency_text").like("%MONTHLY%")).select("frequency_text").distinct()
     numbered = texts.select(
-        "frequency_text", F.explode(F.expr("regexp_extract_all(frequency_text, '_(\\\\d+)(?=_)', 1)")).try_cast("int").alias("__day")
-    )
+        "frequency_text", F.explode(F.regexp_extract_all("frequency_text", F.lit(r"_(\d+)(?=_)"), 1)).alias("__text")
+    ).select("frequency_text", F.col("__text").try_cast("int").alias("__day"))
     due = calendar.select("calendar_date", F.dayofmonth(day).alias("__day")).join(numbered, "__day").select("calendar_date", F.col("frequency_text").alias("tag"))
     return daily.unionByName(due).distinct()
 

@@ -48,7 +48,7 @@ def snake_case_names(spark, sf):
 SELECT event_id, cast(ts AS varchar) AS ts, event_type, user_id FROM events
 """)
 def to_string_cols(spark, sf):
-    return to_string_columns(table(spark, sf, "events").select("event_id", "ts", "event_type", "user_id"), ["timestamp", "timestamp_ntz"])
+    return to_string_columns(table(spark, sf, "events").select("event_id", "ts", "event_type", "user_id"))
 
 
 @query("trim_strings", "SELECT c_custkey, c_name, c_mktsegment FROM customer")

@@ -1 +1,125 @@
-"""To come."""
+"""Nested documents built from orders and line items, flattened and reshaped."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from feedloom.functions.json import schema_from_prototype, variant_columns
+from feedloom.operators import nested
+from feedloom.operators.relational import collect_records
+from feedloom.plans.registry import query, table
+from feedloom.session import scratch_path
+from feedloom.sources.documents import read_json_docs
+
+ITEM = ["l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def order_documents(spark, sf):
+    """One document per order (in parts where an order has very many lines): a struct and an array of structs."""
+    l = table(spark, sf, "lineitem").withColumn(
+        "ship", F.struct(F.col("l_shipdate").cast("date").cast("string").alias("_date"), F.col("l_returnflag").alias("flag"))
+    ).withColumnRenamed("l_orderkey", "o_orderkey")
+    lines = collect_records(l, ["o_orderkey"], {"lines": F.lit(True)}, ITEM, ["ship", "l_linestatus"])
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.struct(F.col("o_orderstatus").alias("status"), F.struct(F.col("o_orderpriority").alias("_text")).alias("priority")).alias("head"), "o_custkey"
+    )
+    return o.join(lines, "o_orderkey", "left")
+
+
+FLAT_SQL = """
+SELECT o_orderkey, o_orderstatus AS head_status, o_orderpriority AS head_priority_text, l_linenumber AS lines_l_linenumber, l_partkey AS lines_l_partkey,
+  cast(cast(l_shipdate AS date) AS varchar) AS lines_ship_date, l_returnflag AS lines_ship_flag FROM orders {join} lineitem ON l_orderkey = o_orderkey
+"""
+
+
+def flat_columns(df):
+    return df.select("o_orderkey", "head_status", "head_priority_text", "lines_l_linenumber", "lines_l_partkey", "lines_ship_date", "lines_ship_flag")
+
+
+@query("flatten_nested", FLAT_SQL.format(join="JOIN"))
+def flatten_nested(spark, sf):
+    return flat_columns(nested.flatten(order_documents(spark, sf)))
+
+
+@query("flatten_nested_outer", FLAT_SQL.format(join="LEFT JOIN"))
+def flatten_nested_outer(spark, sf):
+    return flat_columns(nested.flatten(order_documents(spark, sf), outer=True))
+
+
+@query("flatten_divide", """
+SELECT 'orders_kept' AS table_name, cast(l_orderkey AS varchar) AS order_key, l_linenumber, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag <> 'R'
+UNION ALL SELECT 'orders_returned', cast(l_orderkey AS varchar), l_linenumber, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'
+""")
+def flatten_divide(spark, sf):
+    returned = F.filter("lines", lambda x: x["ship"]["flag"] == "R")
+    kept = F.filter("lines", lambda x: x["ship"]["flag"] != "R")
+    docs = order_documents(spark, sf).select(F.col("o_orderkey").cast("string").alias("order_key"), returned.alias("returned"), kept.alias("kept"))
+    out = None
+    for name, df in nested.flatten_and_divide(docs, "orders").items():
+        array = name.removeprefix("orders_")
+        rows = df.select(F.lit(name).alias("table_name"), "order_key", F.col(f"{array}_l_linenumber").alias("l_linenumber"), F.col(f"{array}_l_partkey").alias("l_partkey"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("doc_builder_filtered_first", """
+SELECT o_orderkey, o_orderstatus AS status, (SELECT string_agg(l_partkey || '@' || cast(l_shipdate AS date), ' ' ORDER BY l_linenumber, l_partkey, l_suppkey) FROM lineitem WHERE l_orderkey = o_orderkey) AS parts,
+  (SELECT arg_min(l_partkey, (l_linenumber, l_partkey, l_suppkey)) FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') AS first_returned,
+  (SELECT string_agg(l_returnflag, ', ' ORDER BY l_linenumber, l_partkey, l_suppkey) FROM lineitem WHERE l_orderkey = o_orderkey) AS flags
+FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
+""")
+def doc_builder_filtered_first(spark, sf):
+    docs = order_documents(spark, sf).where(F.size("lines") > 0)
+    shipped = F.transform("lines", lambda x: F.struct(x["l_partkey"].alias("l_partkey"), x["ship"]["_date"].alias("day"), x["ship"]["flag"].alias("flag")))
+    built = docs.select(
+        "o_orderkey", F.struct(F.col("head.status").alias("State")).alias("Address"),
+        nested.renamed_items(shipped, {"l_partkey": "Part", "day": "Day"}).alias("Items"),
+        nested.first_where(shipped, lambda x: x["flag"] == "R").alias("Registration"),
+        nested.joined_codes(shipped, "flag").alias("Codes"),
+    )
+    text = F.array_join(F.transform("Items", lambda x: F.concat_ws("@", x["Part"].cast("string"), x["Day"])), " ")
+    return built.select("o_orderkey", F.col("Address.State").alias("status"), text.alias("parts"), F.col("Registration.l_partkey").alias("first_returned"), F.col("Codes").alias("flags"))
+
+
+@query("current_vs_history_arrays", """
+SELECT o_orderkey, count(*) FILTER (l_returnflag <> 'R') AS current_items, count(*) FILTER (l_returnflag = 'R') AS history_items,
+  min(cast(cast(l_shipdate AS date) AS varchar)) FILTER (l_returnflag = 'R') AS first_end FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
+""")
+def current_vs_history_arrays(spark, sf):
+    docs = order_documents(spark, sf).where(F.size("lines") > 0)
+    end = lambda x: F.when(x["ship"]["flag"] == "R", x["ship"]["_date"]).when(x["ship"]["flag"] == "A", "")
+    dated = docs.select("o_orderkey", F.transform("lines", lambda x: F.struct(x["l_partkey"].alias("part"), end(x).alias("to"))).alias("items"))
+    past = nested.closed_items(F.col("items"), "to")
+    return dated.select(
+        "o_orderkey", F.size(nested.current_items(F.col("items"), "to")).cast("bigint").alias("current_items"),
+        F.size(past).cast("bigint").alias("history_items"), F.array_min(past.getField("to")).alias("first_end"),
+    )
+
+
+@query("prototype_json", """
+SELECT o_orderkey AS key, o_orderstatus AS status, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS lines FROM orders
+""")
+def prototype_json(spark, sf):
+    """Documents read with a schema by example: every leaf is text."""
+    path = scratch_path(spark, "prototype")
+    order_documents(spark, sf).select(F.to_json(F.struct("o_orderkey", "head", "lines")).alias("value")).write.text(path)
+    schema = schema_from_prototype({"o_orderkey": None, "head": {"status": None, "priority": {"_text": None}}, "lines": [{"l_partkey": None, "ship": {"flag": None}}]})
+    docs = read_json_docs(spark, path, schema, multi_line=False)
+    count = F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines"))
+    return docs.select(F.col("o_orderkey").cast("bigint").alias("key"), F.col("head.status").alias("status"), count.cast("bigint").alias("lines"))
+
+
+@query("variant_projection", "SELECT event_id, json_extract_string(props, '$.k') AS k, NULL AS absent FROM events")
+def variant_projection(spark, sf):
+    rows = table(spark, sf, "events").select("event_id", F.parse_json("props").alias("src"))
+    return rows.select("event_id", *variant_columns(F.col("src"), ["k", "absent"]))
+
+
+@query("json_key_discovery", """
+SELECT event_id, CASE WHEN event_type = 'click' THEN user_id::VARCHAR END AS click, CASE WHEN event_type = 'error' THEN user_id::VARCHAR END AS error, json_extract_string(props, '$.k') AS k,
+  CASE WHEN event_type = 'purchase' THEN user_id::VARCHAR END AS purchase, CASE WHEN event_type = 'signup' THEN user_id::VARCHAR END AS signup, CASE WHEN event_type = 'view' THEN user_id::VARCHAR END AS view FROM events
+UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, NULL, NULL FROM events
+""")
+def json_key_discovery(spark, sf):
+    doc = F.concat(F.lit("[{}, "), F.rtrim(F.col("props"), F.lit("}")), F.lit(', "'), "event_type", F.lit('": '), F.col("user_id").cast("string"), F.lit("}]"))
+    return nested.json_to_columns(table(spark, sf, "events").select("event_id", doc.alias("doc")), "doc", ["event_id"])

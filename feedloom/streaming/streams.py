@@ -26,9 +26,10 @@ def run_available(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def append_to_memory(stream: DataFrame, name: str) -> StreamingQuery:
-    """The memory sink, for tests and inspection."""
-    return run_available(stream.writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start())
+def to_memory(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
+    """A running aggregate in the memory sink, as the table ``name``. The sink lives on the driver: small results only."""
+    run_available(stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start())
+    return stream.sparkSession.table(name)
 
 
 def append_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
