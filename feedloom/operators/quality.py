@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from feedloom.operators.ranking import newest_per_group
 from feedloom.operators.relational import aggregated_count, anti_join
@@ -30,6 +30,12 @@ def _status(pairs_differ: Column) -> Column:
     return F.when(pairs_differ, "DIFFERENT").otherwise("MATCH")
 
 
+def _comparable(a: T.DataType, b: T.DataType) -> bool:
+    """Whether two columns compare by value; all other pairs compare as text."""
+    numbers = isinstance(a, T.NumericType) and isinstance(b, T.NumericType)
+    return numbers or (a == b and not isinstance(a, (T.MapType, T.VariantType)))
+
+
 def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Reconciliation:
     """Compare two tables by key: counts, keys on one side, and values that differ.
 
@@ -44,7 +50,8 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Reco
     if absent:
         raise ValueError(f"key columns not on both sides: {absent}")
     columns = [c for c in s.columns if c in t.columns and c not in keys]
-    cells = [F.col(c).cast("string").alias(c) for c in columns] or [F.lit(0).alias("__none")]
+    cells = [F.col(c) if _comparable(s.schema[c].dataType, t.schema[c].dataType) else F.col(c).cast("string").alias(c) for c in columns]
+    cells = cells or [F.lit(0).alias("__none")]
     both = s.select(*keys, F.lit(1).alias("__s"), F.lit(0).alias("__t"), F.struct(*cells).alias("__row")).unionByName(
         t.select(*keys, F.lit(0).alias("__s"), F.lit(1).alias("__t"), F.struct(*cells).alias("__row"))
     )
@@ -60,7 +67,11 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Reco
             *[
                 F.when(
                     ~F.col(f"__source.{c}").eqNullSafe(F.col(f"__target.{c}")),
-                    F.struct(F.lit(c).alias("column_name"), F.col(f"__source.{c}").alias("source_value"), F.col(f"__target.{c}").alias("target_value")),
+                    F.struct(
+                        F.lit(c).alias("column_name"),
+                        F.col(f"__source.{c}").cast("string").alias("source_value"),
+                        F.col(f"__target.{c}").cast("string").alias("target_value"),
+                    ),
                 )
                 for c in columns
             ]
@@ -72,7 +83,7 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Reco
         repeated = per_key.where(~single & (F.col("source_rows") > 0) & (F.col("target_rows") > 0)).select(*keys)
         on = reduce(lambda a, b: a & b, [F.col(f"b.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
         rows = both.alias("b").join(repeated.alias("r"), on, "left_semi")
-        cell = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__row.{c}").alias("value")) for c in columns]))
+        cell = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__row.{c}").cast("string").alias("value")) for c in columns]))
         surplus = (
             rows.select(*keys, "__s", "__t", cell.alias("__c"))
             .groupBy(*keys, "__c.column_name", "__c.value")

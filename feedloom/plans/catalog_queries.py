@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from feedloom.operators import catalog
 from feedloom.operators.relational import union_by_name
 from feedloom.plans.registry import query, table
+from feedloom.session import written
 
 # Columns of the shared tables that the catalog queries describe: (name, information-schema type).
 TABLES = {
@@ -32,7 +33,8 @@ def measured_sql(tables=TABLES):
 
 
 def measured(spark, sf, tables=TABLES):
-    return reduce(lambda a, b: a.unionByName(b), [catalog.profile_columns(table(spark, sf, t), t) for t in tables])
+    """Measured once and kept as a small table, since the catalog joins it many times."""
+    return written(reduce(lambda a, b: a.unionByName(b), [catalog.profile_columns(table(spark, sf, t), t) for t in tables]), "columns")
 
 
 def table_rows(columns):

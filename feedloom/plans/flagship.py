@@ -9,7 +9,9 @@ from feedloom.operators import state
 from feedloom.operators.columns import with_audit
 from feedloom.plans import feeds
 from feedloom.plans.registry import query
+from feedloom.session import scratch_path, written
 from feedloom.sources import fixed_width as fw
+from feedloom.sources.lake import TableVersions
 from feedloom.sources.lines import read_lines
 from feedloom.types import Feed, FeedTable, RunContext
 
@@ -37,12 +39,17 @@ SELECT sha256(cast(o_orderkey AS varchar) || '_orders_feed') AS elt_integration_
   'two blanks' AS note, CASE WHEN o_orderstatus = 'P' THEN '2024-02-02' ELSE '2024-02-01' END AS elt_execution_date, 0 AS elt_delete_ind FROM orders
 """)
 def feed_to_current(spark: SparkSession, sf: str) -> DataFrame:
-    """The feed of the first day is the table; on the second day pending orders come back as finished."""
+    """The feed of the first day is the table; on the second day pending orders come back as finished.
+
+    As in a daily run the parsed feed and each batch are lake tables, the target is a snapshot.
+    """
     feed = ORDERS.tables(spark, feeds.order_feed(spark, sf))["orders"]
-    first = loaded(feed, "2024-02-01")
-    done = feed.df.withColumn("status", F.when(F.col("status") == "P", "F").otherwise(F.col("status")))
-    second = loaded(FeedTable("orders", done, feed.keys), "2024-02-02")
-    current = state.upsert(first.drop("elt_stream_action"), second)
+    parsed = FeedTable(feed.name, written(feed.df, "parsed"), feed.keys)
+    target = TableVersions(spark, scratch_path(spark, "orders-table"))
+    first = target.replace(loaded(parsed, "2024-02-01").drop("elt_stream_action"))
+    pending = parsed.df.where("status = 'P'").withColumn("status", F.lit("F"))
+    second = written(loaded(FeedTable(feed.name, pending, feed.keys), "2024-02-02"), "batch")
+    current = state.upsert(first, second)
     return current.select(
         "elt_integration_id", "order_key", "customer", "status", "price", "order_date", "priority", "note", "elt_execution_date", "elt_delete_ind"
     )

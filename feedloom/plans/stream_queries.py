@@ -16,7 +16,7 @@ def day_files(spark, sf, fmt="parquet"):
     """Events as one folder of files per week of the month."""
     path = scratch_path(spark, "event-days")
     e = table(spark, sf, "events").select("event_id", F.col("ts").cast("string").alias("ts"), "user_id", "event_type", "props", F.floor((F.dayofmonth("ts") - 1) / 7).alias("week"))
-    e.repartition("week").write.partitionBy("week").format(fmt).option("header", True).option("escape", '"').save(path)
+    streams.replay_files(e, path, "week", fmt, header=True, escape='"')
     return path
 
 
@@ -65,7 +65,7 @@ def stream_upsert(spark, sf):
     """The changes as files of a stream, the table read from snapshot and change log."""
     changes = order_changes(spark, sf)
     path = scratch_path(spark, "changes")
-    changes.repartition(1, "elt_execution_date").write.partitionBy("elt_execution_date").parquet(path)
+    streams.replay_files(changes, path, "elt_execution_date")
     target = streams.ChangeStream(spark, scratch_path(spark, "target"), order_target(spark, sf))
     stream = streams.file_stream(spark, path, changes.schema, files_per_trigger=1)
     target.run(stream.withColumn("elt_execution_date", F.col("elt_execution_date").cast("string")), scratch_path(spark, "cp"))

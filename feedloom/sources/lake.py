@@ -54,36 +54,58 @@ def select_from_config(df: DataFrame, columns: str, condition: str | None = None
     return out.select(*[c.strip() for c in columns.split(",") if c.strip()])
 
 
-class TableVersions:
-    """Snapshots ``v=N`` below a folder, each complete once Spark has written its ``_SUCCESS`` mark.
+class NumberedFolders:
+    """Parquet folders ``<prefix>=N`` below a path, each complete once Spark has written its ``_SUCCESS`` mark.
 
-    Writing version N again replaces it, which makes a repeated micro-batch harmless.
+    Writing a number again replaces it, which makes a repeated micro-batch harmless.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, prefix: str):
+        self.spark, self.path, self.prefix = spark, path.rstrip("/"), prefix
 
-    def _folder(self):
-        jvm = self.spark._jvm
-        where = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def folder(self, number: int) -> str:
+        return f"{self.path}/{self.prefix}={number}"
 
-    def versions(self) -> list[int]:
-        jvm, where, fs = self._folder()
+    def numbers(self) -> list[int]:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        where = hadoop(self.path)
+        fs = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not fs.exists(where):
             return []
-        names = [s.getPath().getName() for s in fs.listStatus(where)]
-        found = [int(n[2:]) for n in names if n.startswith("v=")]
-        return sorted(v for v in found if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={v}/_SUCCESS")))
+        start = f"{self.prefix}="
+        names = [status.getPath().getName() for status in fs.listStatus(where)]
+        found = [int(n.removeprefix(start)) for n in names if n.startswith(start)]
+        return sorted(n for n in found if fs.exists(hadoop(f"{self.folder(n)}/_SUCCESS")))
+
+    def write(self, df: DataFrame, number: int) -> None:
+        df.write.mode("overwrite").parquet(self.folder(number))
+
+    def read(self, numbers: Sequence[int]) -> DataFrame:
+        """Several folders in one scan, their number as the column named like the prefix."""
+        return self.spark.read.option("basePath", self.path).parquet(*[self.folder(n) for n in numbers])
+
+
+class TableVersions:
+    """Snapshots of a table as numbered folders; readers take the newest complete one."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.folders = NumberedFolders(spark, path, "v")
+
+    def versions(self) -> list[int]:
+        return self.folders.numbers()
 
     def read(self, version: int | None = None) -> DataFrame:
         known = self.versions()
         if not known:
-            raise FileNotFoundError(f"no complete version below {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v={known[-1] if version is None else version}")
+            raise FileNotFoundError(f"no complete version below {self.folders.path}")
+        return self.folders.spark.read.parquet(self.folders.folder(known[-1] if version is None else version))
 
     def write(self, df: DataFrame, version: int | None = None) -> int:
         known = self.versions()
         number = version if version is not None else (known[-1] + 1 if known else 0)
-        df.write.mode("overwrite").parquet(f"{self.path}/v={number}")
+        self.folders.write(df, number)
         return number
+
+    def replace(self, df: DataFrame) -> DataFrame:
+        """Write the next snapshot and read it back."""
+        return self.read(self.write(df))

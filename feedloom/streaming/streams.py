@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from feedloom.operators.state import dedupe_changes, fold_changes, soft_delete, upsert
-from feedloom.sources.lake import TableVersions
+from feedloom.sources.lake import NumberedFolders, TableVersions
 from feedloom.types import INTEGRATION_ID
 
 
@@ -54,40 +53,27 @@ class ChangeStream:
     """A table kept current from a stream of changes.
 
     Micro-batches only append to a change log, so their cost is their own size. The log is folded into a
-    new snapshot when a full load arrives (its missing keys become deleted) or on :meth:`compact`;
-    :meth:`current` reads snapshot and log together. All writes are named after the batch, hence a
-    repeated batch replaces its own output.
+    new snapshot after ``compact_every`` batches, or when a full load arrives, whose missing keys become
+    deleted; :meth:`current` reads snapshot and log together. Micro-batch b writes log folder b or
+    snapshot b + 1, hence a repeated batch replaces its own output.
     """
 
-    def __init__(self, spark: SparkSession, path: str, initial: DataFrame):
-        self.spark = spark
-        self.log_path = f"{path.rstrip('/')}/log"
+    def __init__(self, spark: SparkSession, path: str, initial: DataFrame, compact_every: int = 100):
+        self.log = NumberedFolders(spark, f"{path.rstrip('/')}/log", "batch_no")
         self.snapshots = TableVersions(spark, f"{path.rstrip('/')}/table")
-        self.schema = initial.schema
+        self.compact_every = compact_every
         if not self.snapshots.versions():
             self.snapshots.write(initial, 0)
 
-    def _log(self, after: int, upto: int | None = None) -> DataFrame | None:
-        """Log rows of batches past the snapshot; batch b is version b + 1."""
-        jvm = self.spark._jvm
-        where = jvm.org.apache.hadoop.fs.Path(self.log_path)
-        fs = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(where):
-            return None
-        numbers = sorted(int(s.getPath().getName()[6:]) for s in fs.listStatus(where) if s.getPath().getName().startswith("batch="))
-        wanted = [n for n in numbers if n + 1 > after and (upto is None or n <= upto)]
-        if not wanted:
-            return None
-        return reduce(
-            DataFrame.unionByName,
-            [self.spark.read.parquet(f"{self.log_path}/batch={n}").withColumn("batch_no", F.lit(n)) for n in wanted],
-        )
+    def _pending(self, upto: int | None = None) -> tuple[int, list[int]]:
+        """The newest snapshot and the log folders after it, as of a batch."""
+        version = max(v for v in self.snapshots.versions() if upto is None or v <= upto + 1)
+        return version, [n for n in self.log.numbers() if n >= version and (upto is None or n <= upto)]
 
     def current(self, upto: int | None = None) -> DataFrame:
-        version = max(v for v in self.snapshots.versions() if upto is None or v <= upto + 1)
+        version, pending = self._pending(upto)
         table = self.snapshots.read(version)
-        log = self._log(version, upto)
-        return table if log is None else upsert(table, fold_changes(log))
+        return upsert(table, fold_changes(self.log.read(pending))) if pending else table
 
     def compact(self, upto: int) -> None:
         """Write snapshot ``upto + 1`` unless it is there."""
@@ -95,13 +81,16 @@ class ChangeStream:
             self.snapshots.write(self.current(upto), upto + 1)
 
     def apply(self, batch: DataFrame, number: int) -> None:
+        batch.persist()
         changes = dedupe_changes(batch, INTEGRATION_ID)
         if batch.where((F.col("elt_delete_ind") == 0) & (F.col("elt_load_type") == "FULL")).isEmpty():
-            changes.write.mode("overwrite").parquet(f"{self.log_path}/batch={number}")
-            return
-        before = self.current(number - 1)
-        after = soft_delete(upsert(before, changes), batch, INTEGRATION_ID)
-        self.snapshots.write(after, number + 1)
+            self.log.write(changes, number)
+            if len(self._pending(number)[1]) >= self.compact_every:
+                self.compact(number)
+        else:
+            before = self.current(number - 1)
+            self.snapshots.write(soft_delete(upsert(before, changes), batch, INTEGRATION_ID), number + 1)
+        batch.unpersist()
 
     def run(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         return run_available(
@@ -114,7 +103,6 @@ def dump_inserts(batch: DataFrame, path: str) -> None:
     batch.where(F.col("elt_stream_action") == "INSERT").write.mode("overwrite").parquet(path)
 
 
-def replay_files(df: DataFrame, path: str, step: str) -> list[str]:
-    """A table as one Parquet file set per step value, to be streamed in that order."""
-    df.write.mode("overwrite").partitionBy(step).parquet(path)
-    return sorted(r[0] for r in df.select(F.col(step).cast("string")).distinct().collect())
+def replay_files(df: DataFrame, path: str, step: str, fmt: str = "parquet", **options) -> None:
+    """A table as files per step value, to be streamed."""
+    df.repartition(step).write.partitionBy(step).format(fmt).options(**options).save(path)
