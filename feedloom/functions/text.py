@@ -12,7 +12,9 @@ RESERVED_SUFFIX = "1"
 
 
 def collapse_blanks(c: Column) -> Column:
-    return F.regexp_replace(F.trim(c), " +", " ")
+    """Trimmed, inner runs of blanks as one; the pattern only runs where there are two in a row."""
+    text = F.trim(c)
+    return F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " +", " ")).otherwise(text)
 
 
 def delimiter_safe(c: Column) -> Column:
@@ -28,20 +30,19 @@ def cleanse_record(c: Column) -> Column:
 
 
 def implied_decimal(c: Column, scale: int | None) -> Column:
-    """Put the decimal point ``scale`` digits from the right; text that is not all digits stays as it is."""
+    """Put the decimal point ``scale`` digits from the right; text that is not all digits stays as it is.
+
+    The expression is kept short on purpose: a layout repeats it for every field, and a generated method
+    that grows too long is not compiled by the JVM.
+    """
     if scale is None or scale < 0:
         return c
-    whole = F.regexp_replace(c, "^0+(?=[0-9])", "")
-    if scale == 0:
-        shifted = whole
-    else:
-        digits = F.when(F.length(c) > scale, c).otherwise(F.lpad(c, scale + 1, "0"))
-        shifted = F.concat(
-            F.regexp_replace(F.substr(digits, F.lit(1), F.length(digits) - scale), "^0+(?=[0-9])", ""),
-            F.lit("."),
-            F.right(digits, F.lit(scale)),
-        )
-    return F.when(c.rlike("^[0-9]+$"), shifted).otherwise(c)
+    text = c
+    if scale:
+        digits = F.concat(F.lit("0" * scale), c)
+        text = F.concat(F.substr(digits, F.lit(1), F.length(c)), F.lit("."), F.right(digits, F.lit(scale)))
+    plain = text.try_cast(T.DecimalType(38, scale)).cast("string")
+    return F.when(c.rlike("^[0-9]+$"), F.coalesce(plain, text)).otherwise(c)
 
 
 def implied_decimal_value(c: Column, scale: int) -> Column:

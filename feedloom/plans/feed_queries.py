@@ -10,7 +10,7 @@ from feedloom.operators import quality, ranking, records
 from feedloom.operators.relational import collect_records
 from feedloom.plans import feeds
 from feedloom.plans.registry import query, table
-from feedloom.session import scratch_path
+from feedloom.session import scratch_path, written_once
 from feedloom.sources import delimited, documents, fixed_width as fw, lake, sinks
 from feedloom.sources.file_meta import DIALECTS, file_name_meta, with_file_meta
 from feedloom.sources.lines import first_lines, head_lines, read_lines, read_records, split_by_delimiter_count, with_line_order
@@ -38,8 +38,7 @@ def read_delimited_multichar(spark, sf):
 
 @query("read_lines", f"SELECT {feeds.ITEM_LINE} AS value FROM lineitem")
 def read_lines_query(spark, sf):
-    path = feeds.text_dir(table(spark, sf, "lineitem").select(F.expr(feeds.ITEM_LINE).alias("value")), "lines")
-    return read_lines(spark, path).select("value")
+    return read_lines(spark, feeds.item_lines(spark, sf)).select("value")
 
 
 @query("read_lines_latin1", """
@@ -144,8 +143,7 @@ SELECT cast(l_orderkey AS varchar) AS order_key, cast(l_linenumber AS varchar) A
   l_returnflag AS return_flag, l_linestatus AS line_status, strftime(l_shipdate, '%Y%m%d') AS ship_date FROM lineitem
 """)
 def fixed_width_parse(spark, sf):
-    path = feeds.text_dir(table(spark, sf, "lineitem").select(F.expr(feeds.ITEM_LINE).alias("value")), "fixed")
-    return fw.parse_fixed_width(read_lines(spark, path), feeds.ORDER_LAYOUT, "B")
+    return fw.parse_fixed_width(read_lines(spark, feeds.item_lines(spark, sf)), feeds.ORDER_LAYOUT, "B")
 
 
 @query("record_type_filter", f"SELECT {feeds.ORDER_LINE} AS value FROM orders")
@@ -268,18 +266,28 @@ SELECT cast(o_orderkey AS varchar) AS order_key, {DEC.format('o_totalprice')} AS
 FROM orders LEFT JOIN one a ON a.l_orderkey = o_orderkey AND a.l_linenumber = 1 LEFT JOIN one b ON b.l_orderkey = o_orderkey AND b.l_linenumber = 2 LEFT JOIN one c ON c.l_orderkey = o_orderkey AND c.l_linenumber = 3
 """)
 def segment_merge(spark, sf):
+    path = written_once(spark, ("segments", sf), lambda: write_segments(spark, sf))
+    lines = with_line_order(read_lines(spark, path), F.col("value").startswith("1"))
+    return records.merge_segments(lines, feeds.SEGMENT_LAYOUT, F.substring("value", 1, 1)).drop("file_path", "entity_no")
+
+
+def write_segments(spark, sf):
+    """Orders with up to three of their lines as segments 1 to 4."""
     key = F.lpad(F.col("k").cast("string"), 12, "0")
     o = table(spark, sf, "orders").withColumn("k", F.col("o_orderkey"))
     first = o.select("k", F.lit("1").alias("seg"), F.concat(F.lit("1"), key, F.lpad(F.expr(feeds.cents("o_totalprice")), 13, "0"), "o_orderstatus", F.lit("1")).alias("value"))
     items = table(spark, sf, "lineitem").where("l_linenumber BETWEEN 1 AND 3").groupBy(F.col("l_orderkey").alias("k"), "l_linenumber").agg(F.min("l_partkey").alias("part"))
     seg = (F.col("l_linenumber") + 1).cast("string")
     rest = items.join(o.select("k"), "k", "left_semi").select("k", seg.alias("seg"), F.concat(seg, key, F.lpad(F.col("part").cast("string"), 12, "0"), F.lit(" r"), seg).alias("value"))
-    path = feeds.ordered_text(first.unionByName(rest), F.col("value"), ["k", "seg"], "segments", "k")
-    lines = with_line_order(read_lines(spark, path), F.col("value").startswith("1"))
-    return records.merge_segments(lines, feeds.SEGMENT_LAYOUT, F.substring("value", 1, 1)).drop("file_path", "entity_no")
+    return feeds.ordered_text(first.unionByName(rest), F.col("value"), ["k", "seg"], "segments", "k")
 
 
 def account_lines(spark, sf):
+    path = written_once(spark, ("accounts", sf), lambda: write_accounts(spark, sf))
+    return with_line_order(read_lines(spark, path), F.col("value").startswith("D101")).where(F.col("value").startswith("D"))
+
+
+def write_accounts(spark, sf):
     """Customers as hierarchical records: root, names in slots, one nation record, one address record per order, and strangers."""
     c = table(spark, sf, "customer")
     common = F.concat(F.lit("F001"), F.lpad(F.col("c_nationkey").cast("string"), 3, "0"), F.lpad(F.col("c_custkey").cast("string"), 6, "0"))
@@ -295,8 +303,7 @@ def account_lines(spark, sf):
     o = table(spark, sf, "orders").join(c.select(F.col("c_custkey").alias("o_custkey"), "c_custkey", "c_nationkey"), "o_custkey")
     address = o.select("c_custkey", F.concat(F.lit("4"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("s"), F.concat(F.lit("D2"), F.lpad((F.col("o_orderkey") % 10).cast("string"), 1, "0"), F.lit("0"), common, F.lpad(F.col("o_orderkey").cast("string"), 12, "0"), F.lpad(F.expr(feeds.cents("o_totalprice")), 13, "0")).alias("value"))
     lines = root.unionByName(names).unionByName(nation).unionByName(strange).unionByName(address)
-    path = feeds.ordered_text(lines, F.col("value"), ["c_custkey", "s"], "accounts", "c_custkey")
-    return with_line_order(read_lines(spark, path), F.col("value").startswith("D101")).where(F.col("value").startswith("D"))
+    return feeds.ordered_text(lines, F.col("value"), ["c_custkey", "s"], "accounts", "c_custkey")
 
 
 def account_documents(spark, sf, max_lines=records.MAX_LINES):
@@ -513,6 +520,10 @@ def parallel_arrays_to_rows(spark, sf):
 
 
 def nation_xml(spark, sf):
+    return written_once(spark, ("xml", sf), lambda: write_nation_xml(spark, sf))
+
+
+def write_nation_xml(spark, sf):
     """One XML file per region: a criteria element, then one element per customer."""
     places = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     rows = table(spark, sf, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(

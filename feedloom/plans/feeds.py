@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedloom.plans.registry import table
-from feedloom.session import scratch_path
+from feedloom.session import scratch_path, written_once
 from feedloom.sources.fixed_width import layout_from_pictures, layout_from_positions, layout_from_segments
 from feedloom.sources.sinks import bounded_lines, write_bounded
 
@@ -66,6 +66,12 @@ def ordered_text(df: DataFrame, line: Column, order: list[str], label: str, spli
     return path
 
 
+def item_lines(spark: SparkSession, sf: str) -> str:
+    """One line per line item, written once per session."""
+    lines = table(spark, sf, "lineitem").select(F.expr(ITEM_LINE).alias("value"))
+    return written_once(spark, ("item lines", sf), lambda: text_dir(lines, "items"))
+
+
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Record A per order followed by its records B: (order_key, kind, sort, value)."""
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_key"), F.lit("A").alias("kind"), F.lit("").alias("sort"), F.expr(ORDER_LINE).alias("value"))
@@ -77,6 +83,11 @@ def order_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_feed(spark: SparkSession, sf: str) -> str:
+    """The order feed, written once per session."""
+    return written_once(spark, ("order feed", sf), lambda: write_order_feed(spark, sf))
+
+
+def write_order_feed(spark: SparkSession, sf: str) -> str:
     """Fixed-width files of so many orders each, with header, records A and B, and a trailer count."""
     lines = order_lines(spark, sf).withColumns(
         {"chunk": F.floor(F.col("order_key") / ORDERS_PER_FILE), "record_in_chunk": F.lit(1)}

@@ -6,18 +6,31 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# UTC, and projections too long for the JVM's compiler are split instead of fused: a layout of some
+# twenty fields runs several times faster that way.
+SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings the operators count on to a running session."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def build_session(app: str = "feedloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with UTC timestamps; everything else stays at Spark's defaults or the caller's values."""
-    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
+    """A session with these settings; everything else stays at Spark's defaults or the caller's values."""
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,6 +58,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: dict[tuple, str] = {}
+
+
+def written_once(spark: SparkSession, key: tuple, write: Callable[[], str]) -> str:
+    """The path that ``write`` returned for this key in this session, while the files are there."""
+    full = (spark.sparkContext.applicationId, *key)
+    path = _WRITTEN.get(full)
+    if path is not None:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+            return path
+    _WRITTEN[full] = write()
+    return _WRITTEN[full]
+
+
 def pin_splits(spark: SparkSession) -> None:
     """Fix how files are cut into splits for the life of the session.
 
