@@ -42,7 +42,7 @@ def implied_decimal(c: Column, scale: int | None) -> Column:
         digits = F.concat(F.lit("0" * scale), c)
         text = F.concat(F.substr(digits, F.lit(1), F.length(c)), F.lit("."), F.right(digits, F.lit(scale)))
     plain = text.try_cast(T.DecimalType(38, scale)).cast("string")
-    return F.when(c.rlike("^[0-9]+$"), F.coalesce(plain, text)).otherwise(c)
+    return F.when(c.rlike("^[0-9]+$"), F.coalesce(plain, F.regexp_replace(text, "^0+(?=[0-9])", ""))).otherwise(c)
 
 
 def implied_decimal_value(c: Column, scale: int) -> Column:

@@ -13,19 +13,35 @@ from feedloom.types import FieldSpec
 NAME_SLOTS = ["x1", "x2", "x3"]
 BUSINESS, PERSON = "B", "P"
 MAX_LINES = 100_000
+
+# Hashes gathered at a time in the three levels of the hash tree.
+FAN_OUT = 4096
 _ENTITY = ["file_path", "entity_no"]
 
 
-def entity_hash(lines: DataFrame, suffix: Column | None = None) -> DataFrame:
+def entity_hash(lines: DataFrame, suffix: Column | None = None, fan_out: int = FAN_OUT) -> DataFrame:
     """A content id per entity: SHA-256 over its line hashes in order.
 
-    Each line is hashed where it was read, so an entity is gathered as 64 characters per line and not as
-    its text. ``suffix`` (a date, for feeds of one line per record) is added to every line.
+    Each line is hashed where it was read. An entity of more than ``fan_out`` lines is hashed as a tree,
+    ``fan_out`` hashes at a time by position, so that no task gathers an entity of any size at once.
+    ``suffix`` (a date, for feeds of one line per record) is added to every line.
     """
     text = F.concat(F.col("value"), suffix) if suffix is not None else F.col("value")
-    item = F.struct("line_no", F.sha2(text, 256).alias("h"))
-    gathered = F.transform(F.sort_array(F.collect_list(item)), lambda x: x["h"])
-    return lines.groupBy(*_ENTITY).agg(F.count(F.lit(1)).alias("line_count"), F.sha2(F.array_join(gathered, ""), 256).alias("entity_id"))
+
+    def gather(rows: DataFrame, group: list) -> DataFrame:
+        hashes = F.transform(F.sort_array(F.collect_list(F.struct("at", "h"))), lambda x: x["h"])
+        return rows.groupBy(*group).agg(F.sum("n").alias("n"), F.sha2(F.array_join(hashes, ""), 256).alias("h"))
+
+    block = F.floor(F.col("at") / fan_out).alias("at")
+    first = gather(
+        lines.select(*_ENTITY, (F.col("line_no") - F.col("entity_start")).alias("at"), F.lit(1).alias("n"), F.sha2(text, 256).alias("h")),
+        [*_ENTITY, block],
+    )
+    # A first block that is not full is a whole entity; only the blocks of longer ones are joined further.
+    whole = (F.col("at") == 0) & (F.col("n") < fan_out)
+    longer = gather(gather(first.where(~whole), [*_ENTITY, block]), _ENTITY)
+    out = first.where(whole).drop("at").unionByName(longer)
+    return out.select(*_ENTITY, F.col("n").alias("line_count"), F.col("h").alias("entity_id"))
 
 
 def with_entity_hash(lines: DataFrame, suffix: Column | None = None) -> DataFrame:
@@ -54,13 +70,13 @@ def merge_segments(lines: DataFrame, layout: Sequence[FieldSpec], segment: Colum
 
 
 def match_root(lines: DataFrame, is_root: Column, key: Sequence[Column]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(roots, children, rejects): children carry their root's line number and must share its key.
+    """(roots, children, rejects): children must share the key of their entity's root.
 
     Rejects are lines without a root and lines whose key is not the root's.
     """
     keyed = lines.withColumn("__key", F.concat_ws("\x1f", *key))
     roots = keyed.where(is_root)
-    heads = roots.select(*_ENTITY, F.col("line_no").alias("root_line"), F.col("__key").alias("__root_key"))
+    heads = roots.select(*_ENTITY, F.col("__key").alias("__root_key"))
     others = keyed.where(~is_root).join(heads, _ENTITY, "left")
     ok = F.coalesce(F.col("__key") == F.col("__root_key"), F.lit(False))
     clean = ("__key", "__root_key")
@@ -108,7 +124,7 @@ def assemble(
     ``max_lines`` lines continue in further rows, told apart by ``part_no``, so no task gathers an
     unbounded list; singles and sums are whole in every part.
     """
-    part = F.floor((F.col("line_no") - F.col("root_line")) / max_lines).cast("int")
+    part = F.floor((F.col("line_no") - F.col("entity_start")) / max_lines).cast("int")
     gathered = [
         F.transform(F.sort_array(F.collect_list(F.when(rule, F.struct("line_no", item.alias("v"))))), lambda x: x["v"]).alias(name)
         for name, (rule, item) in lists.items()

@@ -120,16 +120,15 @@ def scd2_merge(target: DataFrame, batch: DataFrame, as_of: str, full: bool) -> D
     """Next version of a history table; a row's identity is its content hash.
 
     Known content refreshes the load columns of its current row, new content is inserted, and a full load
-    closes current rows it no longer holds.
+    closes current rows it no longer holds. Closed rows are passed on as they are, without a join.
     """
     refreshed = ["meta_pipeline_key", "meta_run_date", "meta_date_of_data", "meta_is_full_load"]
     source = batch.withColumn("__hash", F.coalesce("meta_hash_key", F.lit("")))
     source = newest_per_group(source, ["__hash"], [F.col("meta_date_of_data").desc()])
-    t, s = target.alias("t"), source.alias("s")
-    current = F.col("t.meta_is_current") == 1
-    same = (F.coalesce("t.meta_hash_key", F.lit("")) == F.col("s.__hash")) & current
+    is_current = F.coalesce(F.col("meta_is_current") == 1, F.lit(False))
+    current = target.where(is_current)
     hit = F.col("s.__hash").isNotNull()
-    close = current & ~hit if full else F.lit(False)
+    close = ~hit if full else F.lit(False)
 
     def value(name: str) -> Column:
         old = F.col(f"t.{name}")
@@ -141,13 +140,11 @@ def scd2_merge(target: DataFrame, batch: DataFrame, as_of: str, full: bool) -> D
             return F.when(close, F.lit(as_of).cast(target.schema[name].dataType)).otherwise(old)
         return old
 
-    kept = t.join(s, same, "left").select(*[value(c).alias(c) for c in target.columns])
-    known = (
-        target.where(F.col("meta_is_current") == 1)
-        .select(F.coalesce("meta_hash_key", F.lit("")).alias("__hash"))
-        .join(source.select("__hash"), "__hash", "left_semi")
-    )
-    return kept.unionByName(source.join(known, "__hash", "left_anti").select(*target.columns))
+    same = F.coalesce("t.meta_hash_key", F.lit("")) == F.col("s.__hash")
+    kept = current.alias("t").join(source.alias("s"), same, "left").select(*[value(c).alias(c) for c in target.columns])
+    known = current.select(F.coalesce("meta_hash_key", F.lit("")).alias("__hash")).join(source.select("__hash"), "__hash", "left_semi")
+    new = source.join(known, "__hash", "left_anti").select(*target.columns)
+    return target.where(~is_current).unionByName(kept).unionByName(new)
 
 
 def mirror_merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -228,14 +228,13 @@ def order_entities(spark, sf):
 
 
 @query("entity_groups", f"""
-WITH {LINES_SQL} SELECT dense_rank() OVER (PARTITION BY chunk ORDER BY k) AS entity_no, k AS order_key, count(*) AS line_count, md5(string_agg(value, '' ORDER BY kind, s)) AS digest
+WITH {LINES_SQL} SELECT dense_rank() OVER (PARTITION BY chunk ORDER BY k) AS entity_no, k AS order_key, count(*) AS line_count, sha256(string_agg(sha256(value), '' ORDER BY kind, s)) AS entity_id
 FROM lines GROUP BY chunk, k
 """)
 def entity_groups(spark, sf):
     e = order_entities(spark, sf)
-    texts = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "value"))), lambda x: x["value"]), "")
-    key = F.max(F.substring("value", 4, 12)).cast("bigint")
-    return e.groupBy("file_path", "entity_no").agg(key.alias("order_key"), F.count(F.lit(1)).alias("line_count"), F.md5(texts).alias("digest")).drop("file_path")
+    keys = e.where(F.col("line_no") == F.col("entity_start")).select("file_path", "entity_no", F.substring("value", 4, 12).cast("bigint").alias("order_key"))
+    return records.entity_hash(e).join(keys, ["file_path", "entity_no"]).select("entity_no", "order_key", "line_count", "entity_id")
 
 
 CONVERSATION_LINE = "concat(case when turn = 0 then 'S' else 'T' end, ' ', role, ' ', replace(replace(text, chr(10), ' '), chr(13), ' '))"
@@ -254,7 +253,7 @@ def entity_hash(spark, sf):
 SELECT conv_id, turn, sha256(sha256({CONVERSATION_LINE} || '2024-01-31 00:00:00')) AS entity_id FROM conversations
 """)
 def entity_hash_dated(spark, sf):
-    talk = table(spark, sf, "conversations").withColumns({"value": F.expr(CONVERSATION_LINE), "file_path": F.col("conv_id"), "entity_no": F.col("turn"), "line_no": F.lit(1)})
+    talk = table(spark, sf, "conversations").withColumns({"value": F.expr(CONVERSATION_LINE), "file_path": F.col("conv_id"), "entity_no": F.col("turn"), "line_no": F.lit(1), "entity_start": F.lit(1)})
     out = records.with_entity_hash(talk, F.lit("2024-01-31 00:00:00"))
     return out.select("conv_id", "turn", "entity_id")
 
@@ -401,12 +400,13 @@ def bounded_split(spark, sf):
     l = table(spark, sf, "lineitem")
     keys = l.select("l_orderkey").distinct().withColumn("range", F.floor(F.col("l_orderkey") / 100_000)).withColumn("all", F.lit(1))
     numbered = ranking.row_numbers(keys, ["all"], "range", ["l_orderkey"], "entity_no").select("l_orderkey", "entity_no")
-    chunks = sinks.chunked(l.join(numbered, "l_orderkey"), "entity_no", 1000)
+    entities = sinks.chunked(numbered, "entity_no", 1000)
+    chunks = l.join(entities, "l_orderkey")
     line = F.concat(F.lit("D"), F.lpad(F.col("record_in_chunk").cast("string"), 8, "0"), F.expr(feeds.ITEM_LINE))
     header = F.concat(F.lit("HDR "), F.col("chunk").cast("string"))
     trailer = F.concat(F.lit("TRL "), F.lpad(F.col("records").cast("string"), 10, "0"))
     path = scratch_path(spark, "bounded")
-    sinks.write_bounded(sinks.bounded_lines(chunks, line, ["record_in_chunk", *feeds.ITEM_ORDER], header, trailer), path)
+    sinks.write_bounded(sinks.bounded_lines(chunks, line, ["record_in_chunk", *feeds.ITEM_ORDER], header, trailer, counted=entities), path)
     back = with_line_order(read_lines(spark, path))
     is_line = F.col("value").startswith("D")
     per_file = back.groupBy("file_path").agg(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,7 +23,8 @@ def coerced(c: Column, kind: str) -> Column:
     """The value as the type; what does not fit becomes null. ``21.0`` is a whole number, 1 and 0 are booleans."""
     text = c.cast("string")
     if kind in _WHOLE:
-        return F.coalesce(text.try_cast(kind), text.try_cast("decimal(38,10)").try_cast(kind))
+        fraction = F.when(text.rlike(r"^[+-]?[0-9]+\.[0-9]*$"), text)
+        return F.coalesce(text.try_cast(kind), fraction.try_cast("decimal(38,10)").try_cast(kind))
     if kind == "date":
         compact = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
         dashed = text.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$")
@@ -46,21 +48,18 @@ def coerce(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 def load_with_rejects(df: DataFrame, types: Mapping[str, str], carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(good, rejects): rejects keep the record, and the first column that failed with its text."""
-    typed = [coerced(F.col(c), SOURCE_TYPES.get(k.lower(), k)) for c, k in types.items()]
+    typed = {c: coerced(F.col(c), SOURCE_TYPES.get(k.lower(), k)) for c, k in types.items()}
+    wrong = {c: F.col(c).isNotNull() & (F.trim(c) != "") & v.isNull() for c, v in typed.items()}
+    any_wrong = reduce(lambda a, b: a | b, wrong.values())
+    others = [c for c in df.columns if c not in types]
+    good = df.where(~any_wrong).select(*others, *[v.alias(c) for c, v in typed.items()])
     failed = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(c).isNotNull() & (F.trim(c) != "") & v.isNull(), F.struct(F.lit(c).alias("name"), F.col(c).alias("text"), F.lit(k).alias("kind")))
-                for (c, k), v in zip(types.items(), typed, strict=True)
-            ]
-        )
+        F.array(*[F.when(w, F.struct(F.lit(c).alias("name"), F.col(c).alias("text"), F.lit(types[c]).alias("kind"))) for c, w in wrong.items()])
     )
-    others = [c for c in df.columns if c not in types]
-    good = df.where(F.size(failed) == 0).select(*others, *[v.alias(c) for v, c in zip(typed, types, strict=True)])
     first = F.get(F.col("__failed"), 0)
     rejects = (
-        df.select(*others, failed.alias("__failed"), F.to_json(F.struct(*types)).alias("rejected_record"))
-        .where(F.size("__failed") > 0)
+        df.where(any_wrong)
+        .select(*others, failed.alias("__failed"), F.to_json(F.struct(*types)).alias("rejected_record"))
         .select(
             *(carry or others),
             F.concat(F.lit("not a "), first["kind"]).alias("error"),

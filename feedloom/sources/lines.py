@@ -31,42 +31,49 @@ def read_lines(
 
 
 def with_line_order(lines: DataFrame, is_start: Column | None = None) -> DataFrame:
-    """Add ``line_no`` (1-based, per file) and, given a start marker, ``entity_no``.
+    """Add ``line_no`` (1-based, per file) and, given a start marker, ``entity_no`` and ``entity_start``.
 
     ``lines`` comes from :func:`read_lines`; later filters belong after this call. Lines of a file block
     sit together in their scan task, so the position within the block is the distance to the block's
     first row id. What comes before the block is one small row per block, found in a first scan. The
     row id range is checked: should the two scans ever cut the files differently, the job stops.
 
-    ``entity_no`` counts the start lines up to and including this one; lines before the first start of a
-    file have 0. The running count is taken within a block, the counts of earlier blocks are added.
+    ``entity_no`` counts the start lines up to and including this one, ``entity_start`` is the number of
+    the last of them; lines before the first start of a file have entity 0, which starts at line 1. Both
+    run within a block and continue from what the earlier blocks left.
     """
     pin_splits(lines.sparkSession)
-    starts = F.coalesce(is_start, F.lit(False)).cast("bigint") if is_start is not None else F.lit(0).cast("bigint")
+    starts = F.coalesce(is_start, F.lit(False)) if is_start is not None else F.lit(False)
     marked = lines.withColumns({"__id": F.monotonically_increasing_id(), "__start": starts})
     earlier = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        marked.groupBy(*_BLOCK)
-        .agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__lines"), F.sum("__start").alias("__starts"))
-        .withColumns(
-            {
-                "__lines_before": F.coalesce(F.sum("__lines").over(earlier), F.lit(0)),
-                "__starts_before": F.coalesce(F.sum("__starts").over(earlier), F.lit(0)),
-            }
-        )
-        .drop("__starts")
+    blocks = marked.groupBy(*_BLOCK).agg(
+        F.min("__id").alias("__first"),
+        F.count(F.lit(1)).alias("__lines"),
+        F.count(F.when(F.col("__start"), 1)).alias("__starts"),
+        F.max(F.when(F.col("__start"), F.col("__id"))).alias("__last"),
+    )
+    blocks = blocks.withColumn("__lines_before", F.coalesce(F.sum("__lines").over(earlier), F.lit(0)))
+    last_line = F.col("__lines_before") + F.col("__last") - F.col("__first") + 1
+    blocks = blocks.select(
+        *_BLOCK, "__first", "__lines", "__lines_before",
+        F.coalesce(F.sum("__starts").over(earlier), F.lit(0)).alias("__starts_before"),
+        F.coalesce(F.max(last_line).over(earlier), F.lit(1)).alias("__last_before"),
     )
     place = F.col("__id") - F.col("__first")
     inside = place.between(0, F.col("__lines") - 1)
-    cut_differently = F.raise_error(F.lit("files were cut differently between two scans; set spark.sql.files.minPartitionNum"))
+    stop = F.raise_error(F.lit("files were cut differently between two scans; set spark.sql.files.minPartitionNum"))
     numbered = marked.join(blocks, _BLOCK, "left").withColumn(
-        "line_no", F.when(inside, F.col("__lines_before") + place + 1).otherwise(cut_differently.cast("bigint"))
+        "line_no", F.when(inside, F.col("__lines_before") + place + 1).otherwise(stop.cast("bigint"))
     )
-    helpers = ["__id", "__start", "__first", "__lines", "__lines_before", "__starts_before"]
+    columns = [*lines.columns, "line_no"]
     if is_start is None:
-        return numbered.drop(*helpers)
+        return numbered.select(*columns)
     within = Window.partitionBy(*_BLOCK).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    return numbered.withColumn("entity_no", F.col("__starts_before") + F.sum("__start").over(within)).drop(*helpers)
+    return numbered.select(
+        *columns,
+        (F.col("__starts_before") + F.count(F.when(F.col("__start"), 1)).over(within)).alias("entity_no"),
+        F.coalesce(F.max(F.when(F.col("__start"), F.col("line_no"))).over(within), F.col("__last_before")).alias("entity_start"),
+    )
 
 
 def head_lines(numbered: DataFrame, n: int) -> DataFrame:

@@ -49,16 +49,23 @@ def chunked(df: DataFrame, counter: str, max_records: int) -> DataFrame:
 
 
 def bounded_lines(
-    chunks: DataFrame, line: Column, order: Sequence[str], header: Column | None, trailer: Column | None, keys: Sequence[str] = ()
+    chunks: DataFrame,
+    line: Column,
+    order: Sequence[str],
+    header: Column | None,
+    trailer: Column | None,
+    keys: Sequence[str] = (),
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Lines of all chunks with a header before and a trailer after each.
 
-    ``trailer`` may use ``records``, the number of distinct records of the chunk.
+    ``trailer`` may use ``records``, the number of distinct records of the chunk. ``counted`` is the list
+    of records with their chunk where that is at hand, so that the lines need not be read to count them.
     """
     group = [*keys, "chunk"]
     key = F.struct(*order)
     body = chunks.select(*group, F.lit(1).alias("place"), key.alias("at"), line.alias("value"))
-    totals = chunks.groupBy(*group).agg(F.max("record_in_chunk").alias("records"))
+    totals = (counted or chunks).groupBy(*group).agg(F.max("record_in_chunk").alias("records"))
     nothing = F.lit(None).cast(body.schema["at"].dataType)
     for place, text in ((0, header), (2, trailer)):
         if text is not None:
