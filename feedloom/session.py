@@ -33,6 +33,9 @@ def build_session(app: str = "feedloom", master: str | None = None, **conf: str)
     return configure(builder.getOrCreate())
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only in local mode."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,10 +43,11 @@ def shared_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    base = tempfile.mkdtemp(prefix="feedloom-")
-    atexit.register(shutil.rmtree, base, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="feedloom-")
+        atexit.register(shutil.rmtree, _LOCAL_DIRS[app], ignore_errors=True)
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
