@@ -8,8 +8,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from feedloom.operators.columns import differs
 from feedloom.operators.ranking import newest_per_group
 from feedloom.operators.relational import aggregated_count, anti_join
+from feedloom.session import written
 
 # Alarm share of the previous run, in percent, and the texts of the validation report.
 VOLUME_ALARM_PERCENT = 70
@@ -40,9 +42,11 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Reco
     """Compare two tables by key: counts, keys on one side, and values that differ.
 
     Both sides go into one aggregate per key, which combines on the map side, so neither repeated keys
-    nor null keys pile up or multiply. A key held once on each side is compared column by column. A key
-    held more often is compared by how often each value of each column occurs, which is exact and grows
-    with the rows, not with their pairs; its values carry the surplus count.
+    nor null keys pile up or multiply. Keys that are alike on both sides are dropped there; what is left
+    is written to the shared folder once, and all results are read from it. A key held once on each side
+    is compared column by column. A key held more often is compared by how often each value of each
+    column occurs, which is exact and grows with the rows, not with their pairs; its values carry the
+    surplus count.
     """
     keys = [k.lower() for k in keys]
     s, t = (df.toDF(*[c.lower() for c in df.columns]) for df in (source, target))
@@ -62,25 +66,13 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Reco
         F.max(F.when(F.col("__t") == 1, F.col("__row"))).alias("__target"),
     )
     single = (F.col("source_rows") == 1) & (F.col("target_rows") == 1)
-    diffs = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    ~F.col(f"__source.{c}").eqNullSafe(F.col(f"__target.{c}")),
-                    F.struct(
-                        F.lit(c).alias("column_name"),
-                        F.col(f"__source.{c}").cast("string").alias("source_value"),
-                        F.col(f"__target.{c}").cast("string").alias("target_value"),
-                    ),
-                )
-                for c in columns
-            ]
-        )
-    ) if columns else F.array()
-    shape = "column_name string, source_value string, target_value string, copies bigint"
+    alike = single & F.col("__source").eqNullSafe(F.col("__target"))
+    found = written(per_key.where(~alike), "reconcile")
+    on_both = (F.col("source_rows") > 0) & (F.col("target_rows") > 0)
     if columns:
-        simple = per_key.where(single).select(*keys, F.explode(diffs).alias("__d")).select(*keys, "__d.*", F.lit(1).cast("bigint").alias("copies"))
-        repeated = per_key.where(~single & (F.col("source_rows") > 0) & (F.col("target_rows") > 0)).select(*keys)
+        diffs = F.array_compact(F.array(*[_difference(c) for c in columns]))
+        simple = found.where(single).select(*keys, F.explode(diffs).alias("__d")).select(*keys, "__d.*", F.lit(1).cast("bigint").alias("copies"))
+        repeated = found.where(~single & on_both).select(*keys)
         on = reduce(lambda a, b: a & b, [F.col(f"b.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
         rows = both.alias("b").join(repeated.alias("r"), on, "left_semi")
         cell = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__row.{c}").cast("string").alias("value")) for c in columns]))
@@ -98,34 +90,32 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Reco
             )
         )
         mismatches = simple.unionByName(surplus)
-        differing = F.sum(F.when(single & (F.size(diffs) > 0), 1).otherwise(0))
     else:
-        mismatches = source.sparkSession.createDataFrame([], shape)
-        differing = F.lit(0).cast("bigint")
-    missing = per_key.where((F.col("source_rows") == 0) | (F.col("target_rows") == 0)).select(
+        blank = [F.lit(None).cast("string").alias(n) for n in ("column_name", "source_value", "target_value")]
+        mismatches = found.limit(0).select(*keys, *blank, F.lit(0).cast("bigint").alias("copies"))
+    missing = found.where(~on_both).select(
         *keys,
         F.when(F.col("target_rows") == 0, "target").otherwise("source").alias("missing_in"),
         (F.col("source_rows") + F.col("target_rows")).alias("row_count"),
     )
-    only_source = F.sum(F.when(F.col("target_rows") == 0, F.col("source_rows")).otherwise(0))
-    only_target = F.sum(F.when(F.col("source_rows") == 0, F.col("target_rows")).otherwise(0))
-    multiple = F.sum(F.when((F.col("source_rows") > 1) | (F.col("target_rows") > 1), 1).otherwise(0))
-    totals = per_key.agg(
-        *[
-            F.coalesce(v, F.lit(0)).cast("bigint").alias(n)
-            for n, v in {
-                "source_count": F.sum("source_rows"),
-                "target_count": F.sum("target_rows"),
-                "only_in_source": only_source,
-                "only_in_target": only_target,
-                "mismatched_keys": differing,
-                "repeated_keys": multiple,
-            }.items()
-        ]
-    )
+    counts = {
+        "only_in_source": F.sum(F.when(F.col("target_rows") == 0, F.col("source_rows"))),
+        "only_in_target": F.sum(F.when(F.col("source_rows") == 0, F.col("target_rows"))),
+        "mismatched_keys": F.count(F.when(single, 1)),
+        "repeated_keys": F.count(F.when((F.col("source_rows") > 1) | (F.col("target_rows") > 1), 1)),
+    }
+    sides = [df.select(F.count(F.lit(1)).alias("n")).scalar().alias(n) for df, n in ((s, "source_count"), (t, "target_count"))]
+    totals = found.agg(*[F.coalesce(v, F.lit(0)).cast("bigint").alias(n) for n, v in counts.items()]).select(*sides, *counts)
     return Reconciliation(totals.select("*", summary_status()), missing, mismatches)
 
 
+def _difference(c: str) -> Column:
+    """Both values of a column where they differ, else null."""
+    source, target = F.col(f"__source.{c}"), F.col(f"__target.{c}")
+    pair = F.struct(F.lit(c).alias("column_name"), source.cast("string").alias("source_value"), target.cast("string").alias("target_value"))
+    return F.when(differs(source, target), pair)
+
+
 def summary_status() -> Column:
     """One word for the outcome, from the counts of a summary row."""
     empty_s, empty_t = F.col("source_count") == 0, F.col("target_count") == 0

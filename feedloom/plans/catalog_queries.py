@@ -46,7 +46,7 @@ def table_rows(columns):
 def ingest_list(columns):
     """All tables in another spelling, and one that does not exist."""
     names = columns.select(F.upper("table_name").alias("table_name"), F.lit("DBO").alias("table_schema")).distinct()
-    return names.unionByName(names.where("table_name = 'PART'").withColumn("table_name", F.lit("NOT_THERE")))
+    return written(names.unionByName(names.where("table_name = 'PART'").withColumn("table_name", F.lit("NOT_THERE"))), "ingest-list")
 
 
 def declared_keys(columns):

@@ -10,7 +10,7 @@ from feedloom.operators import quality, ranking, records
 from feedloom.operators.relational import collect_records
 from feedloom.plans import feeds
 from feedloom.plans.registry import query, table
-from feedloom.session import scratch_path, written_once
+from feedloom.session import scratch_path, written, written_once
 from feedloom.sources import delimited, documents, fixed_width as fw, lake, sinks
 from feedloom.sources.file_meta import DIALECTS, file_name_meta, with_file_meta
 from feedloom.sources.lines import first_lines, head_lines, read_lines, read_records, split_by_delimiter_count, with_line_order
@@ -283,7 +283,9 @@ def write_segments(spark, sf):
 
 def account_lines(spark, sf):
     path = written_once(spark, ("accounts", sf), lambda: write_accounts(spark, sf))
-    return with_line_order(read_lines(spark, path), F.col("value").startswith("D101")).where(F.col("value").startswith("D"))
+    lines = with_line_order(read_lines(spark, path), F.col("value").startswith("D101")).where(F.col("value").startswith("D"))
+    # Numbered once; roots, children and rejects are read from the staged lines.
+    return written(lines, "staged-lines")
 
 
 def write_accounts(spark, sf):
@@ -357,12 +359,15 @@ def root_with_children(spark, sf):
     number = F.substring("value", 2, 3)
     key = [F.substring("value", 5, 4), F.substring("value", 9, 3), F.substring("value", 12, 6)]
     _, children, _ = records.match_root(lines, number == "101", key)
-    parts = records.route_by_type(children, F.when(number.startswith("2"), "2X0").otherwise(number), {"2X0": "address", "102": "names", "104": "nation"})
+    kind = F.when(number.startswith("2"), "address").when(number == "102", "names").otherwise("nation")
+    routed = scratch_path(spark, "children")
+    records.write_routed(children, kind, routed)
+    children = spark.read.parquet(routed)
     cut = {"address": feeds.RECORD_LAYOUT["2X0"][0], "names": feeds.RECORD_LAYOUT["102"][0], "nation": feeds.RECORD_LAYOUT["104"][0]}
     out = None
     for name, f in cut.items():
         detail = F.regexp_replace(fw.field_column(f), "^0+(?=.)", "")
-        rows = parts[name].select(F.substring("value", 12, 6).alias("account_number"), F.lit(name).alias("child"), detail.alias("detail"))
+        rows = children.where(F.col("kind") == name).select(F.substring("value", 12, 6).alias("account_number"), F.col("kind").alias("child"), detail.alias("detail"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -383,7 +388,7 @@ WITH {LINES_SQL} SELECT k AS order_key, count(*) FILTER (kind = 'A') AS record_a
 """)
 def record_arrays(spark, sf):
     kind = F.substring("value", 3, 1)
-    docs = collect_records(order_entities(spark, sf), ["file_path", "entity_no"], {"record_a": kind == "A", "record_b": kind == "B"}, ["line_no"], ["value"])
+    docs = collect_records(written(order_entities(spark, sf), "staged-lines"), ["file_path", "entity_no"], {"record_a": kind == "A", "record_b": kind == "B"}, ["line_no"], ["value"])
     return docs.select(
         F.substring(F.get("record_a", 0)["value"], 4, 12).cast("bigint").alias("order_key"), F.size("record_a").cast("bigint").alias("record_a"), F.size("record_b").cast("bigint").alias("record_b")
     )
