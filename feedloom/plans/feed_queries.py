@@ -29,6 +29,17 @@ def read_delimited(spark, sf):
     return delimited.read_delimited(spark, path)
 
 
+@query("read_quoted_records", """
+SELECT cast(doc_id AS varchar) AS doc_id, md5(trim(text)) AS digest, lang FROM documents
+""")
+def read_quoted_records(spark, sf):
+    """Documents with their line breaks and quotes as a CSV, read in splits."""
+    path = scratch_path(spark, "csv")
+    table(spark, sf, "documents").select("doc_id", "text", "lang").write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    rows = delimited.read_quoted_records(spark, path)
+    return rows.select("doc_id", F.md5("text").alias("digest"), "lang")
+
+
 @query("read_delimited_multichar", "SELECT cast(s_suppkey AS varchar) AS s_suppkey, s_name, cast(s_nationkey AS varchar) AS s_nationkey FROM supplier")
 def read_delimited_multichar(spark, sf):
     path = scratch_path(spark, "csv")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedloom.functions.text import normalize_name
 from feedloom.operators.columns import normalize_columns, trim_strings
+from feedloom.sources.lines import join_records, read_lines, with_quoted_records
 from feedloom.types import ColumnSpec
 
 # Field separators in the order they are tried, and how much of the header is looked at.
@@ -43,6 +44,23 @@ def read_delimited(
     return trim_strings(normalize_columns(df))
 
 
+def read_quoted_records(spark: SparkSession, path: str, sep: str | None = None, quote: str = '"') -> DataFrame:
+    """The same table as :func:`read_delimited` for files of any size: quoted line breaks do not keep them whole.
+
+    Every file has its own header, all with the same columns.
+    """
+    sep = sep or guess_separator(spark, path)
+    options = {"sep": sep, "quote": quote, "escape": '"', "multiLine": "true"}
+    records = join_records(with_quoted_records(read_lines(spark, path), quote)).where(F.col("value") != "")
+    header = spark.read.options(header=True, inferSchema=False, **options).csv(path).columns
+    data = records.where(F.col("record_start") > 1).select(F.from_csv("value", _slots(len(header)), options).alias("__row"))
+    return trim_strings(normalize_columns(data.select("__row.*").toDF(*header)))
+
+
+def _slots(count: int) -> str:
+    return ", ".join(f"_{i} string" for i in range(count))
+
+
 def ordinal_columns(parts: Column, columns: Sequence[ColumnSpec]) -> list[Column]:
     """Named columns of a split line; slots called unused are skipped, missing fields are null."""
     return [
@@ -70,9 +88,8 @@ def parse_quoted(
     """Comma lines with quoted fields, without their begin and end marks; parsed by ``from_csv``."""
     for mark in skip:
         lines = lines.where(~F.col("value").startswith(mark))
-    schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(columns))])
     options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
-    row = F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+    row = F.from_csv("value", _slots(len(columns)), options)
     used = [(i, c) for i, c in enumerate(columns) if c.name.strip().lower() != UNUSED]
     return lines.select(*keep, row.alias("__row")).select(
         *keep,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from feedloom.functions.text import cleanse_record
-from feedloom.session import pin_splits
+from feedloom.session import pin_splits, written
 
 _BLOCK = ["file_path", "block_start", "block_length"]
 
@@ -30,6 +30,11 @@ def read_lines(
     )
 
 
+def _cut_differently() -> Column:
+    text = "files were cut differently between two scans; set spark.sql.files.minPartitionNum"
+    return F.raise_error(F.lit(text)).cast("bigint")
+
+
 def with_line_order(lines: DataFrame, is_start: Column | None = None) -> DataFrame:
     """Add ``line_no`` (1-based, per file) and, given a start marker, ``entity_no`` and ``entity_start``.
 
@@ -60,11 +65,8 @@ def with_line_order(lines: DataFrame, is_start: Column | None = None) -> DataFra
         F.coalesce(F.max(last_line).over(earlier), F.lit(1)).alias("__last_before"),
     )
     place = F.col("__id") - F.col("__first")
-    inside = place.between(0, F.col("__lines") - 1)
-    stop = F.raise_error(F.lit("files were cut differently between two scans; set spark.sql.files.minPartitionNum"))
-    numbered = marked.join(blocks, _BLOCK, "left").withColumn(
-        "line_no", F.when(inside, F.col("__lines_before") + place + 1).otherwise(stop.cast("bigint"))
-    )
+    number = F.when(place.between(0, F.col("__lines") - 1), F.col("__lines_before") + place + 1)
+    numbered = marked.join(blocks, _BLOCK, "left").withColumn("line_no", F.coalesce(number, _cut_differently()))
     columns = [*lines.columns, "line_no"]
     if is_start is None:
         return numbered.select(*columns)
@@ -76,6 +78,54 @@ def with_line_order(lines: DataFrame, is_start: Column | None = None) -> DataFra
     )
 
 
+def with_quoted_records(lines: DataFrame, quote: str = '"') -> DataFrame:
+    """Add ``line_no``, ``record_start`` (the number of its record's first line) and ``is_whole``.
+
+    A line continues a record while the quotes before it are odd in number. Quotes are counted like
+    lines: within a block, plus what the blocks before it hold, so a file of any size is read in splits.
+    ``is_whole`` marks lines that are a record of their own. The lines are staged once.
+    """
+    pin_splits(lines.sparkSession)
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit(quote), F.lit("")))
+    marked = lines.withColumns({"__id": F.monotonically_increasing_id(), "__quotes": quotes})
+    earlier = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = marked.groupBy(*_BLOCK).agg(
+        F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__lines"), F.sum("__quotes").alias("__block_quotes")
+    )
+    blocks = blocks.select(
+        *_BLOCK, "__first", "__lines",
+        F.coalesce(F.sum("__lines").over(earlier), F.lit(0)).alias("__lines_before"),
+        F.coalesce(F.sum("__block_quotes").over(earlier), F.lit(0)).alias("__quotes_before"),
+    )
+    place = F.col("__id") - F.col("__first")
+    number = F.when(place.between(0, F.col("__lines") - 1), F.col("__lines_before") + place + 1)
+    within = Window.partitionBy(*_BLOCK).orderBy("__id").rowsBetween(Window.unboundedPreceding, 0)
+    before = F.col("__quotes_before") + F.sum("__quotes").over(within) - F.col("__quotes")
+    numbered = marked.join(blocks, _BLOCK, "left").select(
+        *lines.columns, "__id", F.coalesce(number, _cut_differently()).alias("line_no"), "__quotes", (before % 2 == 0).alias("__starts")
+    )
+    own_start = F.max(F.when(F.col("__starts"), F.col("line_no"))).over(within)
+    whole = F.col("__starts") & (F.col("__quotes") % 2 == 0)
+    staged = written(numbered.select(*lines.columns, "line_no", own_start.alias("__start"), whole.alias("is_whole")), "quoted-lines")
+    last = staged.groupBy(*_BLOCK).agg(F.max("__start").alias("__last"))
+    left_open = last.select(*_BLOCK, F.max("__last").over(earlier).alias("__open"))
+    return staged.join(left_open, _BLOCK, "left").select(
+        *lines.columns, "line_no", F.coalesce("__start", "__open").alias("record_start"), "is_whole"
+    )
+
+
+def join_records(numbered: DataFrame) -> DataFrame:
+    """One row per record of :func:`with_quoted_records`; only lines of longer records are grouped."""
+    parts = F.sort_array(F.collect_list(F.struct("line_no", "value")))
+    longer = (
+        numbered.where(~F.col("is_whole"))
+        .groupBy("file_path", "record_start")
+        .agg(F.array_join(F.transform(parts, lambda x: x["value"]), "\n").alias("value"))
+    )
+    whole = numbered.where(F.col("is_whole")).select("file_path", "record_start", "value")
+    return whole.unionByName(longer)
+
+
 def head_lines(numbered: DataFrame, n: int) -> DataFrame:
     """The first ``n`` lines of every file."""
     return numbered.where(F.col("line_no") <= n)

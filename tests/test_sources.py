@@ -24,6 +24,21 @@ def test_quoted_line_breaks(spark, tmp_path):
     assert rows(delimited.read_delimited(spark, str(tmp_path / "a.csv"))) == [("1", 'x "y"\nz'), ("2", "w")]
 
 
+@pytest.mark.parametrize("split_bytes", ["60", "1000", "100m"])
+def test_quoted_records_over_many_splits(spark, tmp_path, conf, split_bytes):
+    """Records that run over several splits, doubled quotes, an empty line, a file without quotes."""
+    conf("spark.sql.files.maxPartitionBytes", split_bytes)
+    conf("spark.sql.files.openCostInBytes", "1")
+    want = [(str(i), "\n".join(f"line {j} of ""{i}"" , x" if j % 2 else f'say "{j}"' for j in range(i % 9)) + "end") for i in range(200)]
+    quoted = lambda t: '"' + t.replace('"', '""') + '"'
+    (tmp_path / "a.csv").write_text("Id,The Text\n" + "".join(f"{i},{quoted(t)}\n" for i, t in want) + "\n")
+    (tmp_path / "b.csv").write_text("Id,The Text\n900,plain\n901,\n")
+    got = delimited.read_quoted_records(spark, str(tmp_path))
+    assert got.columns == ["Id", "The_Text"]
+    assert rows(got) == rows(spark.createDataFrame([*want, ("900", "plain"), ("901", None)], "a string, b string"))
+    assert rows(got) == rows(delimited.read_delimited(spark, str(tmp_path)))
+
+
 def test_ragged_rows_give_null(spark, tmp_path):
     (tmp_path / "a.txt").write_text("H|x\nD|1|2|3\nD|4\nT|2\n")
     cols = [ColumnSpec("a"), ColumnSpec("unused"), ColumnSpec("c")]
