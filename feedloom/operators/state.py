@@ -52,11 +52,14 @@ def upsert(
     order: str = "elt_execution_date",
     deleted: str = "elt_delete_ind",
     action: str = ACTION,
+    keys_are_clean: bool = False,
 ) -> DataFrame:
     """Update rows whose content changed or which were deleted, insert new ones.
 
     Only INSERT changes with a key count, the newest per key; a change older than its target row is
     ignored. Text that is null in a change is stored as empty, audit columns are stored as they are.
+    With ``keys_are_clean`` the target's keys are taken as trimmed and not null and are joined as they
+    are, so that a target bucketed by its key (see ``write_bucketed``) is not shuffled.
     """
     forced = F.col(_FORCE) if _FORCE in changes.columns else F.lit(False)
     source = (
@@ -72,14 +75,15 @@ def upsert(
         return F.coalesce(c, F.lit("")) if plain else c
 
     t, s = target.alias("t"), source.alias("s")
-    same_key = _key_text(F.col(f"t.{key}")) == F.col("s.__key")
+    own_key = (lambda c: c) if keys_are_clean else _key_text
+    same_key = own_key(F.col(f"t.{key}")) == F.col("s.__key")
     edited = (_key_text(F.col(f"t.{content}")) != F.col("s.__hash")) | (F.col(f"t.{deleted}") == 1) | F.col(f"s.{_FORCE}")
     newer = F.coalesce(F.col(f"s.{order}") >= F.col(f"t.{order}"), F.lit(True))
     take = F.coalesce(F.col("s.__key").isNotNull() & edited & newer, F.lit(False))
     kept = t.join(s, same_key, "left").select(
         *[F.when(take, incoming(c)).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns]
     )
-    known = target.select(_key_text(F.col(key)).alias("__key")).join(source.select("__key"), "__key", "left_semi")
+    known = target.select(own_key(F.col(key)).alias("__key")).join(source.select("__key"), "__key", "left_semi")
     new = source.join(known, "__key", "left_anti").alias("s").select(*[incoming(c).alias(c) for c in target.columns])
     return kept.unionByName(new)
 

@@ -9,7 +9,9 @@ from feedloom.operators import ledger, state
 from feedloom.operators.columns import with_history_meta
 from feedloom.operators.relational import union_by_name
 from feedloom.plans.registry import query, table
+from feedloom.session import scratch_path
 from feedloom.sources.coerce import load_with_rejects
+from feedloom.sources.lake import write_bucketed
 from feedloom.types import ACTION, CONTENT_HASH, INTEGRATION_ID
 
 DATA = ["custkey", "status", "price", "priority"]
@@ -94,6 +96,16 @@ def upsert_hash(spark, sf):
     return state.upsert(order_target(spark, sf), order_changes(spark, sf)).drop("elt_load_type")
 
 
+@query("upsert_bucketed", f"""
+WITH {ORDERS_SQL} SELECT id AS elt_integration_id, custkey, status, price, priority, h AS elt_columns_hash, exec AS elt_execution_date, del AS elt_delete_ind FROM merged
+""")
+def upsert_bucketed(spark, sf):
+    """The same upsert on a target that is bucketed by its key."""
+    path = scratch_path(spark, "orders_bucketed")
+    target = write_bucketed(order_target(spark, sf), path.rsplit("/", 1)[1].replace("-", "_"), path, INTEGRATION_ID, 16)
+    return state.upsert(target, order_changes(spark, sf), keys_are_clean=True).drop("elt_load_type")
+
+
 @query("dedupe_changes", """
 SELECT cast(o_orderkey AS varchar) AS elt_integration_id, 'INSERT' AS elt_stream_action, '2024-01-03' AS elt_execution_date,
   CASE WHEN coalesce(o_orderpriority, '') = '1-URGENT' THEN cast(cast(o_totalprice AS decimal(18,2)) + 10 AS varchar) ELSE cast(cast(o_totalprice AS decimal(18,2)) AS varchar) END AS price
@@ -286,8 +298,6 @@ SELECT 'loaded' AS status, count(*) FILTER (quantity <> 'many' AND shipdate <> '
 """)
 def stage_load(spark, sf):
     """Staging is replaced by the good rows, and the request log gets one row."""
-    from feedloom.session import scratch_path
-
     good, bad = load_with_rejects(raw_lines(spark, sf), {"quantity": "int", "shipdate": "date"})
     path = scratch_path(spark, "stage")
     good.write.mode("overwrite").parquet(path)

@@ -42,6 +42,19 @@ def write_lake(
     )
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """A table bucketed and sorted by its key: joins on the key then shuffle only the other side."""
+    (
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    return df.sparkSession.table(name)
+
+
 def latest_partition(df: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame:
     """Rows of the newest partition; the value is a scalar subquery, so only that folder is read."""
     newest = df.select(F.max(column).alias("newest"))

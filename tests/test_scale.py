@@ -110,6 +110,29 @@ def test_no_single_task_sorts_everything(spark):
         assert "SinglePartition" not in text and "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_bucketed_target_is_not_shuffled(spark, conf):
+    """Without broadcasts: every exchange below the join belongs to the changes."""
+    from feedloom.plans.state_queries import upsert_bucketed
+
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(upsert_bucketed(spark, SF).drop("x"))
+    final = text.split("Initial Plan")[0]
+    scans = [i for i, line in enumerate(final.splitlines()) if "Bucketed: true" in line]
+    assert len(scans) == 2 and "SelectedBucketsCount: 16 out of 16" in final
+    lines = final.splitlines()
+    for i in scans:
+        depth = len(lines[i]) - len(lines[i].lstrip(" :+-"))
+        above = []
+        for line in reversed(lines[:i]):
+            d = len(line) - len(line.lstrip(" :+-"))
+            if d < depth:
+                depth = d
+                above.append(line)
+            if "Join" in line and above and above[-1] is line:
+                break
+        assert "Join" in above[-1] and not any("Exchange" in line for line in above)
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     from feedloom.sources.lake import select_from_config
 
