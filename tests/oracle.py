@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from collections import Counter
@@ -51,6 +52,9 @@ def session():
         "feedloom-tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g"
     )
     spark.sparkContext.setLogLevel("ERROR")
+    # ORACLE_CONF="name=value;name=value" tries the queries under other settings, such as no broadcasts.
+    for pair in filter(None, os.environ.get("ORACLE_CONF", "").split(";")):
+        spark.conf.set(*pair.split("=", 1))
     return spark
 
 
