@@ -84,7 +84,7 @@ def delimiter_count_split(spark, sf):
 
 
 @query("ordinal_parse", """
-SELECT cast(o_orderkey AS varchar) AS order_key, o_orderstatus AS status, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority, 'albridge' AS run FROM orders
+SELECT cast(o_orderkey AS varchar) AS order_key, o_orderstatus AS status, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority, 'daily' AS run FROM orders
 """)
 def ordinal_parse(spark, sf):
     full = F.concat_ws("|", F.lit("D"), F.col("o_orderkey").cast("string"), F.lit("x"), "o_orderstatus", "o_orderpriority")
@@ -93,7 +93,7 @@ def ordinal_parse(spark, sf):
     edges = table(spark, sf, "region").select(F.concat(F.lit("H|"), "r_name").alias("value"))
     path = feeds.text_dir(o.unionByName(edges), "ordinal")
     columns = [ColumnSpec("Order Key", True), ColumnSpec("UNUSED"), ColumnSpec("Status"), ColumnSpec("Priority")]
-    return delimited.parse_ordinal(read_lines(spark, path), columns, "|", "D|").withColumn("run", F.lit("albridge"))
+    return delimited.parse_ordinal(read_lines(spark, path), columns, "|", "D|").withColumn("run", F.lit("daily"))
 
 
 @query("ordinal_parse_wide_separator", "SELECT p_name AS name, p_type AS kind, cast(p_size AS varchar) AS size FROM part")
@@ -422,7 +422,7 @@ def bounded_split(spark, sf):
     header = F.concat(F.lit("HDR "), F.col("chunk").cast("string"))
     trailer = F.concat(F.lit("TRL "), F.lpad(F.col("records").cast("string"), 10, "0"))
     path = scratch_path(spark, "bounded")
-    sinks.write_bounded(sinks.bounded_lines(chunks, line, ["record_in_chunk", *feeds.ITEM_ORDER], header, trailer, counted=entities), path)
+    sinks.write_bounded(sinks.bounded_lines(chunks, line, ["record_in_chunk"], header, trailer, counted=entities), path)
     back = with_line_order(read_lines(spark, path))
     is_line = F.col("value").startswith("D")
     per_file = back.groupBy("file_path").agg(
@@ -586,7 +586,7 @@ SELECT o_orderkey, 'firm_table_date' AS dialect, 'branches' AS table_name, cast(
 UNION ALL SELECT o_orderkey, 'table_date', CASE WHEN st <> 'P' THEN 'big_orders' END, NULL, CASE WHEN st <> 'P' THEN cast(day AS varchar) END, NULL, NULL FROM d
 UNION ALL SELECT o_orderkey, 'six_parts', 'ab_pos', NULL, cast(day AS varchar), CASE WHEN st = 'F' THEN 'full' ELSE '007' END, st = 'F' FROM d
 UNION ALL SELECT o_orderkey, 'type_institution', 'tr', '77', cast(day AS varchar), '03', NULL FROM d
-UNION ALL SELECT o_orderkey, 'group_prefix', 'reps', 'oas', cast(day AS varchar), NULL, NULL FROM d
+UNION ALL SELECT o_orderkey, 'group_prefix', 'reps', 'abc', cast(day AS varchar), NULL, NULL FROM d
 """)
 def file_name_meta_query(spark, sf):
     at = F.col("o_orderdate")
@@ -599,7 +599,7 @@ def file_name_meta_query(spark, sf):
         "table_date": F.concat(F.lit("BIG_ORDERS_"), F.when(F.col("o_orderstatus") == "P", "20011345").otherwise(stamp("yyyyMMdd")), F.lit(".csv")),
         "six_parts": F.concat(F.lit("AB_Pos_"), stamp("yyyy_MM_dd"), F.when(F.col("o_orderstatus") == "F", "_FULL.txt").otherwise("_007.txt")),
         "type_institution": F.concat(F.lit("TR77"), stamp("yyyyMMdd"), F.lit("03.txt")),
-        "group_prefix": F.concat(F.lit("OAS_reps_"), stamp("MMddyy"), F.lit(".dat")),
+        "group_prefix": F.concat(F.lit("ABC_reps_"), stamp("MMddyy"), F.lit(".dat")),
     }
     out = None
     for dialect, name in names.items():

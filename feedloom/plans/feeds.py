@@ -28,7 +28,6 @@ ITEM_LINE = (
     f"lpad({cents('l_quantity')}, 7, '0'), lpad({cents('l_extendedprice')}, 13, '0'), lpad({cents('l_discount')}, 5, ' '), "
     f"lpad({cents('l_tax')}, 5, ' '), l_returnflag, l_linestatus, {day('l_shipdate')})"
 )
-ITEM_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
 
 ORDER_LAYOUT = layout_from_positions(
     [
@@ -73,13 +72,11 @@ def item_lines(spark: SparkSession, sf: str) -> str:
 
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Record A per order followed by its records B: (order_key, kind, sort, value)."""
-    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_key"), F.lit("A").alias("kind"), F.lit("").alias("sort"), F.expr(ORDER_LINE).alias("value"))
-    l = table(spark, sf, "lineitem")
-    sort = F.concat_ws("/", F.lpad(F.col("l_linenumber").cast("string"), 3, "0"), F.expr(ITEM_LINE))
+    """Record A per order, a record B per line item: (order_key, value); an order's lines sort by their text."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_key"), F.expr(ORDER_LINE).alias("value"))
     known = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
-    items = l.join(known, "l_orderkey", "left_semi").select(F.col("l_orderkey").alias("order_key"), F.lit("B").alias("kind"), sort.alias("sort"), F.expr(ITEM_LINE).alias("value"))
-    return o.unionByName(items)
+    l = table(spark, sf, "lineitem").join(known, "l_orderkey", "left_semi")
+    return o.unionByName(l.select(F.col("l_orderkey").alias("order_key"), F.expr(ITEM_LINE).alias("value")))
 
 
 def order_feed(spark: SparkSession, sf: str) -> str:
@@ -94,7 +91,7 @@ def write_order_feed(spark: SparkSession, sf: str) -> str:
     )
     chunk = F.lpad(F.col("chunk").cast("string"), 8, "0")
     header = F.concat(F.rpad(F.lit(HEADER_TAG), 18, " "), F.rpad(F.lit("ORDERS ITEMS"), 18, " "), F.rpad(F.lit("DATA OF"), 10, " "), F.lit("01/31/2024"), F.lit(" "), F.lit("REFRESHED"), F.lit(" "), chunk)
-    body = bounded_lines(lines, F.col("value"), ["order_key", "kind", "sort"], header, None)
+    body = bounded_lines(lines, F.col("value"), ["order_key"], header, None)
     counts = lines.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
     trailer = counts.select(
         "chunk", F.lit(2).alias("place"), F.lit(None).cast(body.schema["at"].dataType).alias("at"),

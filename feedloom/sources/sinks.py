@@ -75,11 +75,11 @@ def bounded_lines(
 
 
 def write_bounded(lines: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
-    """One folder and file per chunk, lines in order. Chunks are bounded, so are the tasks that write them."""
+    """One folder and file per chunk, lines in order, equals by their text. Chunks are bounded, so are the tasks."""
     group = [*keys, "chunk"]
     (
         lines.repartition(*group)
-        .sortWithinPartitions(*group, "place", "at")
+        .sortWithinPartitions(*group, "place", "at", "value")
         .select(*group, "value")
         .write.mode("overwrite")
         .partitionBy(*group)
