@@ -394,6 +394,29 @@ def route_by_type(spark, sf):
     return spark.read.parquet(path).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum(F.substring("value", 4, 12).cast("bigint")).alias("keys"))
 
 
+@query("route_with_headers", f"""
+WITH {LINES_SQL} SELECT kind, 'BOF      ORDERS RECORD ' || kind AS header, count(*) AS n, count(*) AS trailer FROM lines GROUP BY chunk, kind
+""")
+def route_with_headers(spark, sf):
+    """Record types to files of their own; each file's header names its type, its trailer counts its lines."""
+    kind = F.substring("value", 3, 1)
+    lines = feeds.order_lines(spark, sf).select(kind.alias("kind"), F.floor(F.col("order_key") / feeds.ORDERS_PER_FILE).alias("chunk"), F.lit(1).alias("record_in_chunk"), "order_key", "value")
+    header = F.concat(F.lit("BOF      ORDERS RECORD "), F.col("kind"))
+    body = sinks.bounded_lines(lines, F.col("value"), ["order_key"], header, None, keys=["kind"])
+    trailer = F.concat(F.lit("EOF      "), F.lpad(F.col("n").cast("string"), 10, "0"))
+    ends = lines.groupBy("kind", "chunk").agg(F.count(F.lit(1)).alias("n")).select("kind", "chunk", F.lit(2).alias("place"), F.lit(None).cast(body.schema["at"].dataType).alias("at"), trailer.alias("value"))
+    path = scratch_path(spark, "routed-files")
+    sinks.write_bounded(body.unionByName(ends), path, keys=["kind"])
+    back = with_line_order(read_lines(spark, path))
+    edge = F.col("value").startswith("BOF") | F.col("value").startswith("EOF")
+    return back.groupBy("file_path").agg(
+        F.max(F.when(~edge, F.substring("value", 3, 1))).alias("kind"),
+        F.max(F.when(F.col("line_no") == 1, F.col("value"))).alias("header"),
+        F.count(F.when(~edge, 1)).alias("n"),
+        F.max(F.when(F.col("value").startswith("EOF"), F.substring("value", 10, 10))).cast("bigint").alias("trailer"),
+    ).drop("file_path")
+
+
 @query("record_arrays", f"""
 WITH {LINES_SQL} SELECT k AS order_key, count(*) FILTER (kind = 'A') AS record_a, count(*) FILTER (kind = 'B') AS record_b FROM lines GROUP BY k
 """)
@@ -621,14 +644,14 @@ def file_meta_scan(spark, sf):
 # Checks on files -----------------------------------------------------------------------------------
 
 @query("size_guard", """
-SELECT l_suppkey AS firm, l_returnflag AS feed, count(*) AS file_size, count(*) >= CASE WHEN l_suppkey % 2 = 0 THEN 3 * (SELECT count(*) FROM lineitem) / (8 * (SELECT count(DISTINCT l_suppkey) FROM lineitem)) ELSE 0 END AS is_accepted
+SELECT l_suppkey AS firm, l_returnflag AS feed, count(*) AS file_size, count(*) >= CASE WHEN l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0) THEN 3 * (SELECT count(*) FROM lineitem) / (8 * (SELECT count(DISTINCT l_suppkey) FROM lineitem)) ELSE 0 END AS is_accepted
 FROM lineitem GROUP BY 1, 2
 """)
 def size_guard(spark, sf):
     l = table(spark, sf, "lineitem")
     files = l.groupBy(F.col("l_suppkey").alias("firm"), F.col("l_returnflag").alias("feed")).agg(F.count(F.lit(1)).alias("file_size"))
     share = l.agg((3 * F.count(F.lit(1)) / (8 * F.count_distinct("l_suppkey"))).alias("min_size"))
-    limits = files.select("firm").distinct().where("firm % 2 = 0").select("firm", share.scalar().alias("min_size"))
+    limits = table(spark, sf, "supplier").where("s_acctbal >= 0").select(F.col("s_suppkey").alias("firm"), share.scalar().alias("min_size"))
     return quality.size_guard(files, limits)
 
 

@@ -185,13 +185,13 @@ def latest_runs(spark, sf):
 
 
 @query("preload_validation", """
-SELECT o_orderkey, CASE WHEN o_custkey % 10 = 0 THEN 'FILE_DETAILS_NOT_AVAILABLE,' ELSE '' END || CASE WHEN o_orderstatus = 'P' THEN 'LOAD_TYPE_NOT_FOUND,' ELSE '' END
-  || CASE WHEN o_custkey % 10 <> 0 AND o_orderstatus = 'F' AND c_mktsegment = 'BUILDING' THEN 'PRIMARY_KEY_COLUMNS_NOT_FOUND,' ELSE '' END
-  || CASE WHEN o_custkey % 10 <> 0 AND length(o_orderpriority) <> 8 THEN 'FIXED_LINE_LENGTH_NOT_MATCHING,' ELSE '' END AS violations
+SELECT o_orderkey, CASE WHEN c_acctbal < 0 THEN 'FILE_DETAILS_NOT_AVAILABLE,' ELSE '' END || CASE WHEN o_orderstatus = 'P' THEN 'LOAD_TYPE_NOT_FOUND,' ELSE '' END
+  || CASE WHEN c_acctbal >= 0 AND o_orderstatus = 'F' AND c_mktsegment = 'BUILDING' THEN 'PRIMARY_KEY_COLUMNS_NOT_FOUND,' ELSE '' END
+  || CASE WHEN c_acctbal >= 0 AND length(o_orderpriority) <> 8 THEN 'FIXED_LINE_LENGTH_NOT_MATCHING,' ELSE '' END AS violations
 FROM orders JOIN customer ON o_custkey = c_custkey
 """)
 def preload_validation(spark, sf):
-    c = table(spark, sf, "customer").where("c_custkey % 10 <> 0")
+    c = table(spark, sf, "customer").where("c_acctbal >= 0")
     known = c.select(
         F.col("c_custkey").alias("feed_id"), F.when(F.col("c_mktsegment") != "BUILDING", "k1,k2").alias("key_columns"),
         F.lit("FIXED_LENGTH").alias("file_format"), F.lit(8).alias("line_length"),
