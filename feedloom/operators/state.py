@@ -178,7 +178,9 @@ def mirror_merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 
 def insert_only_merge(target: DataFrame, batch: DataFrame, key: str, at: str, keep_from: str | Column) -> DataFrame:
     """Add rows with unseen ids, then drop rows older than the retention limit."""
-    new = newest_per_group(batch.select(*target.columns), [key], [F.col(at).desc()]).join(target.select(key), key, "left_anti")
+    newest = newest_per_group(batch.select(*target.columns), [key], [F.col(at).desc()])
+    known = target.select(key).join(newest.select(key), key, "left_semi")
+    new = newest.join(known, key, "left_anti")
     limit = F.lit(keep_from).cast("timestamp") if isinstance(keep_from, str) else keep_from
     return target.unionByName(new.select(*target.columns)).where(F.col(at) >= limit)
 
