@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-# UTC, and projections too long for the JVM's compiler are split instead of fused: a layout of some
-# twenty fields runs several times faster that way.
+# UTC, and projections too long for the JVM's compiler are split instead of fused, which matters for layouts
+# of many fields.
 SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
