@@ -11,9 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-# UTC, and projections too long for the JVM's compiler are split instead of fused, which matters for layouts
-# of many fields.
-SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.codegen.hugeMethodLimit": "8000"}
+# UTC; projections too long for the JVM's compiler are split instead of fused, which matters for layouts of many
+# fields; and batches of rows for Python are small enough to hold long texts.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+}
 
 
 def configure(spark: SparkSession) -> SparkSession:
