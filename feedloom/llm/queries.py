@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedloom.llm import mixing, token_counts, token_files
+from feedloom.llm import mixing, quality, token_counts, token_files
 from feedloom.llm.registry import QUERIES, query, table  # noqa: F401
 from feedloom.llm.text import word_count
 from feedloom.session import written
@@ -37,6 +37,13 @@ def vocabulary(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_quality_outliers")
+def quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), ["doc_id"])
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2"]
+    return judged.select("doc.doc_id", *counts)
+
+
 @query("op2_source_mix", MIX_SQL)
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = written(table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
