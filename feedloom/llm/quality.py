@@ -24,8 +24,8 @@ SUPPORT = 0.75
 IDENTITY = 0.1
 #: Groups below this many documents are judged with the other small ones of their language, or of all languages.
 MIN_GROUP = 200
-#: A document is an outlier beyond this quantile of the chi-squared law.
-QUANTILE = 1 - 1e-9
+#: A document is an outlier beyond this quantile of the chi-squared law; clean text has heavier tails than the normal law.
+QUANTILE = 1 - 1e-12
 STEPS = 8
 #: Words by which a statistic of a short text is drawn to its group's median.
 SHRINK = 50

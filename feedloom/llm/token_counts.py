@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from feedloom.llm.token_ids import ChunkEncoder
+from feedloom.llm.token_ids import PieceEncoder
 
 BLOCK = 4096
 
@@ -21,7 +21,7 @@ def length_counts(docs: DataFrame, vocabulary: str, text: str = "text", end: int
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, lengths = ChunkEncoder(vocabulary), Counter()
+        encoder, lengths = PieceEncoder(vocabulary), Counter()
         for batch in batches:
             lengths.update(len(ids) // 4 + end for ids in encoder.encode(batch.column(0).cast(pa.binary()).to_pylist()))
         yield pa.RecordBatch.from_pydict({"n_tokens": pa.array(lengths.keys(), pa.int64()), "n_docs": pa.array(lengths.values(), pa.int64())})

@@ -11,7 +11,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from feedloom.llm.token_ids import ChunkEncoder
+from feedloom.llm.token_ids import PieceEncoder
 from feedloom.session import scratch_path, written
 
 LENGTH = 2048
@@ -109,7 +109,7 @@ class SequenceFile:
             first = int(starts[0]) if len(starts) else real
             if at is not None:
                 crc, count = zlib.crc32(ids[:first], crc), count + first
-            for name, start, end in zip(names, starts, [*starts[1:], real], strict=True):
+            for name, start, end in zip(names, starts, [*starts[1:], real][: len(starts)], strict=True):
                 if at is not None:
                     yield doc, at, count, crc
                 doc, at, count, crc = name, base + int(start), int(end - start), zlib.crc32(ids[start:end])
@@ -136,7 +136,7 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
         task, out, sink, end = TaskContext.get(), None, None, np.array([end_id], "<u4").tobytes()
-        encoder = ChunkEncoder(vocabulary)
+        encoder = PieceEncoder(vocabulary)
         path = f"{task.partitionId():06d}-{task.taskAttemptId()}.arrow"
         for batch in batches:
             if not batch.num_rows:

@@ -1,21 +1,32 @@
-"""Token ids of whole texts from a public vocabulary file, one white-space chunk at a time."""
+"""Token ids of whole texts from a public vocabulary file, one pre-tokenized piece at a time."""
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Sequence
 
 import numpy as np
 
 MEMO_BYTES = 96_000_000
 
+#: The vocabulary's own rule for pieces, for lower-case texts of ASCII and Latin-1 characters.
+LETTER, NUMBER = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe"
+PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^\t-\r\x20{LETTER}{NUMBER}]+")
+#: Characters outside of these, and the opening of a special token.
+ODD = re.compile(r"[^\t-\r\x20-\x7e\xa1-\xff]|<\|")
+GAP = re.compile(r"[\t-\r\x20]+")
 
-class ChunkEncoder:
-    """Encodes texts with a vocabulary whose pre-tokenizer never joins characters across white space.
 
-    Then the ids of a text are those of its chunks one after the other, and chunks that were seen before need no
-    encoding. What is remembered is bounded by ``memo_bytes`` and forgotten as a whole beyond it. Ids come as
-    little-endian unsigned 32-bit integers. Null texts have none; bytes that are not UTF-8 count as U+FFFD.
+class PieceEncoder:
+    """Encodes texts with a lower-casing word-piece vocabulary (``word_bpe_49k.json``).
+
+    No piece of its pre-tokenizer crosses white space, so the ids of a text are those of its pieces one after the
+    other, and pieces that were seen before need no encoding. Texts without ``ODD`` characters are cut by
+    ``PIECE``; of the others each word is given to the tokenizer as it is. New pieces are encoded many at a time: each ends
+    with the one id that carries the end-of-word mark. What is remembered is bounded by ``memo_bytes`` and forgotten
+    as a whole beyond it. Ids come as little-endian unsigned 32-bit integers. Null texts have none; bytes that are
+    not UTF-8 count as U+FFFD.
     """
 
     def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
@@ -23,19 +34,50 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[bytes, bytes] = {}
-        self.memo_bytes = self.room = memo_bytes
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.memo_bytes = memo_bytes
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.room = memo_bytes
 
     def encode(self, texts: Sequence[bytes | None]) -> list[bytes]:
-        chunks = [t.split() if t else [] for t in texts]
-        new = {c for cs in chunks for c in cs if c not in self.memo}
-        if sum(map(len, new)) + 250 * len(new) > self.room:
-            self.memo, self.room = {}, self.memo_bytes
-            new = {c for cs in chunks for c in cs}
-        asked = list(new)
-        found = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in asked], add_special_tokens=False)
-        for c, e in zip(asked, found, strict=True):
-            ids = np.array(e.ids, "<u4").tobytes()
-            self.memo[c] = ids
-            self.room -= 250 + len(c) + len(ids)
-        return [b"".join(map(self.memo.__getitem__, cs)) for cs in chunks]
+        cut = [self._cut(t.decode("utf-8", "replace") if t else "") for t in texts]
+        self._learn(set().union(*[pieces for pieces, odd in cut if not odd]))
+        return [b"".join(map(self._word, pieces) if odd else map(self.pieces.__getitem__, pieces)) for pieces, odd in cut]
+
+    def _cut(self, text: str) -> tuple[list[str], bool]:
+        return (GAP.split(text), True) if ODD.search(text) else (PIECE.findall(text.lower()), False)
+
+    def _learn(self, wanted: set[str]) -> None:
+        new = [p for p in wanted if p not in self.pieces]
+        if 250 * len(new) + sum(map(len, new)) > self.room:
+            self.pieces, self.words, self.room, new = {}, {}, self.memo_bytes, list(wanted)
+        letters = [p for p in new if p.isalpha()]
+        groups = [letters[i : i + 200] for i in range(0, len(letters), 200)]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+            packed, start = ids.tobytes(), 0
+            for piece, end in zip(group, ends.tolist(), strict=True):
+                self._keep(self.pieces, piece, packed[start:end])
+                start = end
+        for piece in new:
+            if not piece.isalpha():
+                self._keep(self.pieces, piece, self._alone(piece))
+
+    def _alone(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _keep(self, memo: dict[str, bytes], key: str, ids: bytes) -> None:
+        memo[key] = ids
+        self.room -= 250 + len(key) + len(ids)
+
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self._alone(word)
+            if 250 + len(word) <= self.room:
+                self._keep(self.words, word, ids)
+        return ids
