@@ -32,12 +32,12 @@ SHRINK = 50
 
 #: The transformed statistics, and the least scale that is believed for each.
 FEATURES = {
-    "word_length": (F.log(F.col("word_chars") / F.col("n_words")), 0.1),
-    "symbols": (F.sqrt(F.col("n_symbols") / F.col("word_chars")), 0.04),
-    "marks": (F.sqrt(F.col("n_marks") / F.col("word_chars")), 0.05),
-    "capitals": (F.sqrt(F.col("n_capitals") / F.col("word_chars")), 0.05),
-    "dup_lines": (F.sqrt(F.col("n_dup_lines") / F.col("n_lines")), 0.3),
-    "repeats": (F.sqrt(F.col("n_repeat_words") / F.col("n_words")), 0.2),
+    "word_length": ("ln(word_chars / n_words)", 0.1),
+    "symbols": ("sqrt(n_symbols / word_chars)", 0.04),
+    "marks": ("sqrt(n_marks / word_chars)", 0.05),
+    "capitals": ("sqrt(n_capitals / word_chars)", 0.05),
+    "dup_lines": ("sqrt(n_dup_lines / n_lines)", 0.3),
+    "repeats": ("sqrt(n_repeat_words / n_words)", 0.2),
 }
 P = len(FEATURES)
 Z = [f"z{i}" for i in range(P)]
@@ -249,7 +249,7 @@ def judge(docs: DataFrame, keep: Sequence[str], quantile: float = QUANTILE, leas
     """
     read = carry(docs, keep, text=F.col("text"), lang=F.col("lang"), source=F.col("source"))
     stats = text_statistics(read).drop("text").withColumn("base_failed", base_failed())
-    x = {f"x{i}": F.when(~F.col("base_failed"), value) for i, (value, _) in enumerate(FEATURES.values())}
+    x = {f"x{i}": F.when(~F.col("base_failed"), F.expr(value)) for i, (value, _) in enumerate(FEATURES.values())}
     stats = written(stats.withColumns(x), "statistics")
     fine = stats.where(~F.col("base_failed"))
     pairs = fine.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedloom.llm import mixing, quality, token_counts, token_files
+from feedloom.llm import decontam, jaccard, mixing, quality, token_counts, token_files, url_graph, warc
 from feedloom.llm.registry import QUERIES, query, table  # noqa: F401
 from feedloom.llm.text import word_count
 from feedloom.session import written
@@ -57,6 +57,35 @@ def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(written(token_counts.length_counts(table(spark, sf_dir, "documents"), vocabulary()), "lengths"))
 
 
+URL_RULES = [
+    url_graph.Rule("allow", "com", "/"),
+    url_graph.Rule("block", "example.com", "/en/"),
+    url_graph.Rule("allow", "www.example.com", "/en/"),
+    url_graph.Rule("block", "net", "/es/"),
+    url_graph.Rule("block", "net", "/fr/"),
+]
+
+
+@query("op6_link_trust")
+def link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_graph.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op7_jaccard_components")
+def jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query("op8_token_files")
 def token_file_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(token_files.write_token_files(table(spark, sf_dir, "documents"), vocabulary()))
+
+
+@query("op9_warc_derivatives")
+def warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
+@query("op10_benchmark_overlaps")
+def benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -23,7 +24,7 @@ def length_counts(docs: DataFrame, vocabulary: str, text: str = "text", end: int
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, lengths = PieceEncoder(vocabulary), Counter()
         for batch in batches:
-            lengths.update(len(ids) // 4 + end for ids in encoder.encode(batch.column(0).cast(pa.binary()).to_pylist()))
+            lengths.update((np.diff(encoder.encode(batch.column(0))[1]) + end).tolist())
         yield pa.RecordBatch.from_pydict({"n_tokens": pa.array(lengths.keys(), pa.int64()), "n_docs": pa.array(lengths.values(), pa.int64())})
 
     counted = docs.select(text).mapInArrow(count, "n_tokens long, n_docs long")
@@ -55,25 +56,33 @@ def suffix_sums(counts: DataFrame) -> DataFrame:
 
 
 def truncated_totals(sums: DataFrame, limits: DataFrame) -> DataFrame:
-    """``limits`` (``context``) with the documents and tokens that each context limit keeps, and the tokens it cuts off.
+    """``limits`` (``context``) with the documents below each context limit, and the tokens it keeps and cuts off.
 
-    The shortest length that reaches a limit answers for it; a limit above all lengths keeps everything.
+    The shortest length that reaches a limit answers for it; a limit above all lengths keeps everything. Limits are
+    few: they are sorted in among the lengths, and each takes the next length above from its block or, if there is
+    none, from the first block above that has one.
     """
-    s = sums.select("n_tokens", "docs_at_least", "tokens_at_least")
-    total = sums.agg(F.sum(F.col("n_tokens") * F.col("n_docs")).alias("all_tokens"), F.sum("n_docs").alias("n_docs"))
-    reached = limits.join(s, F.col("n_tokens") >= F.col("context"), "left").groupBy("context").agg(
-        F.min_by(F.struct("docs_at_least", "tokens_at_least"), "n_tokens").alias("r")
-    )
-    long_docs, long_tokens = F.coalesce("r.docs_at_least", F.lit(0)), F.coalesce("r.tokens_at_least", F.lit(0))
-    lost = long_tokens - F.col("context") * long_docs
-    return reached.crossJoin(total).select(
-        "context", (F.col("n_docs") - long_docs).alias("docs_below"), (F.col("all_tokens") - lost).alias("kept_tokens"), lost.alias("cut_tokens")
-    )
+    all_tokens, all_docs = sums.agg(F.sum(F.col("n_tokens") * F.col("n_docs")), F.sum("n_docs")).first()
+    found = F.struct("docs_at_least", "tokens_at_least")
+    lengths = sums.select(F.col("n_tokens").alias("at"), found.alias("r"), F.lit(False).alias("asked"))
+    asked = limits.select(F.col("context").cast("long").alias("at"), F.lit(None).cast(lengths.schema["r"].dataType).alias("r"), F.lit(True).alias("asked"))
+    both = lengths.union(asked).withColumn("block", F.floor(F.col("at") / BLOCK))
+    firsts = both.groupBy("block").agg(F.min_by("r", F.when(F.col("r").isNotNull(), F.col("at"))).alias("f"))
+    above = W.orderBy("block").rowsBetween(1, W.unboundedFollowing)
+    later = firsts.select(F.col("block").alias("b"), F.first("f", ignorenulls=True).over(above).alias("next"))
+    up = W.partitionBy("block").orderBy("at", "asked").rowsBetween(0, W.unboundedFollowing)
+    equal = W.partitionBy("block", "at")
+    here = F.coalesce(F.max("r").over(equal), F.first("r", ignorenulls=True).over(up))
+    answered = both.withColumn("here", here).where("asked").join(later, F.col("block") == F.col("b"))
+    r = F.coalesce("here", "next")
+    docs, tokens = F.coalesce(r["docs_at_least"], F.lit(0)), F.coalesce(r["tokens_at_least"], F.lit(0))
+    cut = tokens - F.col("at") * docs
+    return answered.select(F.col("at").alias("context"), (F.lit(all_docs or 0) - docs).alias("docs_below"), (F.lit(all_tokens or 0) - cut).alias("kept_tokens"), cut.alias("cut_tokens"))
 
 
 def length_quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
     """``share`` and ``n_tokens``: the smallest length that at least this share of the documents does not exceed."""
-    total = sums.agg(F.sum("n_docs").alias("all_docs"))
-    below = sums.crossJoin(total).withColumn("up_to", F.col("all_docs") - F.col("docs_at_least") + F.col("n_docs"))
+    all_docs = sums.agg(F.sum("n_docs")).first()[0] or 0
+    up_to = F.lit(all_docs) - F.col("docs_at_least") + F.col("n_docs")
     wanted = F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share")
-    return below.select("n_tokens", "up_to", "all_docs", wanted).where(F.col("up_to") >= F.col("share") * F.col("all_docs")).groupBy("share").agg(F.min("n_tokens").alias("n_tokens"))
+    return sums.select("n_tokens", up_to.alias("up_to"), wanted).where(F.col("up_to") >= F.col("share") * all_docs).groupBy("share").agg(F.min("n_tokens").alias("n_tokens"))

@@ -20,11 +20,11 @@ END_ID = 2
 BATCH = 64
 
 
-def file_schema(length: int) -> pa.Schema:
+def file_schema(length: int, ids: pa.DataType) -> pa.Schema:
     """``ids`` and ``mask`` (1: an id, 0: padding) of one sequence, and the documents that begin in it, by offset."""
     return pa.schema(
         [
-            pa.field("ids", pa.list_(pa.field("item", pa.uint32(), False), length), False),
+            pa.field("ids", pa.list_(pa.field("item", ids, False), length), False),
             pa.field("mask", pa.list_(pa.field("item", pa.uint8(), False), length), False),
             pa.field("doc_ids", pa.list_(pa.int64()), False),
             pa.field("doc_offsets", pa.list_(pa.int32()), False),
@@ -35,48 +35,59 @@ def file_schema(length: int) -> pa.Schema:
 class SequenceWriter:
     """Collects documents and writes them as record batches of ``BATCH`` sequences; only the last one is padded."""
 
-    def __init__(self, sink, length: int):
-        self.length, self.schema = length, file_schema(length)
+    def __init__(self, sink, length: int, ids: pa.DataType):
+        self.length, self.schema = length, file_schema(length, ids)
         self.file = pa.ipc.new_file(sink, self.schema)
-        self.ids, self.starts, self.names = bytearray(), [], []
+        self.ids, self.held = [], 0
+        self.starts, self.names = [], []
         self.n_docs = self.n_tokens = self.n_sequences = 0
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.starts.append(len(self.ids) // 4)
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        self.starts.append(self.held)
         self.names.append(doc_id)
-        self.ids += ids
+        self.ids.append(ids)
+        self.held += len(ids)
         self.n_docs += 1
-        self.n_tokens += len(ids) // 4
-        whole = BATCH * self.length
-        while len(self.ids) >= 4 * whole:
-            self._write(bytes(self.ids[: 4 * whole]), whole)
-            del self.ids[: 4 * whole]
-            kept = int(np.searchsorted(self.starts, whole))
-            self.starts, self.names = [s - whole for s in self.starts[kept:]], self.names[kept:]
-
-    def _write(self, ids: bytes, real: int) -> None:
-        n = len(ids) // 4 // self.length
-        mask = np.zeros(n * self.length, np.uint8)
-        mask[:real] = 1
-        here = int(np.searchsorted(self.starts, n * self.length))
+        self.n_tokens += len(ids)
+        if self.held >= BATCH * self.length:
+            self._flush(self.held // (BATCH * self.length) * BATCH)
+
+    def _flush(self, sequences: int) -> None:
+        """Write so many sequences of what is held, padding the last one where that is not enough."""
+        size = sequences * self.length
+        held = np.concatenate(self.ids) if self.ids else np.empty(0, np.uint32)
+        ids = np.zeros(size, self.schema.field("ids").type.value_type.to_pandas_dtype())
+        ids[: len(held)] = held[:size]
+        mask = (np.arange(size) < len(held)).astype(np.uint8)
+        here = int(np.searchsorted(self.starts, size))
         rows, offsets = np.divmod(np.array(self.starts[:here], np.int64), self.length)
-        bounds = pa.array(np.searchsorted(rows, np.arange(n + 1)), pa.int32())
-        columns = [
-            pa.FixedSizeListArray.from_arrays(pa.array(np.frombuffer(ids, "<u4")), type=self.schema.field(0).type),
-            pa.FixedSizeListArray.from_arrays(pa.array(mask), type=self.schema.field(1).type),
-            pa.ListArray.from_arrays(bounds, pa.array(self.names[:here], pa.int64())),
-            pa.ListArray.from_arrays(bounds, pa.array(offsets, pa.int32())),
-        ]
-        self.file.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
-        self.n_sequences += n
+        bounds, names = np.searchsorted(rows, np.arange(sequences + 1)), self.names[:here]
+        for first in range(0, sequences, BATCH):
+            last = min(first + BATCH, sequences)
+            of, to = slice(first * self.length, last * self.length), slice(bounds[first], bounds[last])
+            starts = pa.array(bounds[first : last + 1] - bounds[first], pa.int32())
+            columns = [
+                pa.FixedSizeListArray.from_arrays(pa.array(ids[of]), type=self.schema.field("ids").type),
+                pa.FixedSizeListArray.from_arrays(pa.array(mask[of]), type=self.schema.field("mask").type),
+                pa.ListArray.from_arrays(starts, pa.array(names[to], pa.int64())),
+                pa.ListArray.from_arrays(starts, pa.array(offsets[to], pa.int32())),
+            ]
+            self.file.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
+        self.n_sequences += sequences
+        self.ids, self.held = [held[size:]], max(0, self.held - size)
+        self.starts, self.names = [s - size for s in self.starts[here:]], self.names[here:]
 
     def close(self) -> None:
-        if self.ids:
-            real = len(self.ids) // 4
-            self._write(bytes(self.ids) + bytes(-len(self.ids) % (4 * self.length)), real)
+        if self.held:
+            self._flush(-(-self.held // self.length))
         self.file.close()
 
 
+def _crc(ids: np.ndarray, before: int = 0) -> int:
+    """CRC-32 of the ids as little-endian unsigned 32-bit integers, whatever width the file has."""
+    return zlib.crc32(ids.astype("<u4", copy=False), before)
+
+
 class SequenceFile:
     """Random access to the sequences of one file: ids and masks are views of the mapped file."""
 
@@ -108,11 +119,11 @@ class SequenceFile:
             names = batch.column(2).flatten().to_pylist()
             first = int(starts[0]) if len(starts) else real
             if at is not None:
-                crc, count = zlib.crc32(ids[:first], crc), count + first
+                crc, count = _crc(ids[:first], crc), count + first
             for name, start, end in zip(names, starts, [*starts[1:], real][: len(starts)], strict=True):
                 if at is not None:
                     yield doc, at, count, crc
-                doc, at, count, crc = name, base + int(start), int(end - start), zlib.crc32(ids[start:end])
+                doc, at, count, crc = name, base + int(start), int(end - start), _crc(ids[start:end])
             base += len(ids)
         if at is not None:
             yield doc, at, count, crc
@@ -127,7 +138,7 @@ def write_token_files(
     writes its range in order into a file of its own, as it reads it. A task that is run again writes another file;
     the manifest names the files of the tasks that counted, and readers go by it. Null and blank texts are a single
     end id, repeated rows are written each, other columns are not read, no documents give an empty manifest.
-    ``offset`` is the number of ids in all files before.
+    ``offset`` is the number of ids in all files before. Ids take 16 bits where the vocabulary allows it, 32 otherwise.
     """
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "token-files")
@@ -135,8 +146,9 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
-        task, out, sink, end = TaskContext.get(), None, None, np.array([end_id], "<u4").tobytes()
+        task, out, sink, end = TaskContext.get(), None, None, np.array([end_id], np.uint32)
         encoder = PieceEncoder(vocabulary)
+        width = pa.uint16() if max(end_id, len(encoder.closes) - 1) < 1 << 16 else pa.uint32()
         path = f"{task.partitionId():06d}-{task.taskAttemptId()}.arrow"
         for batch in batches:
             if not batch.num_rows:
@@ -144,9 +156,10 @@ def write_token_files(
             if out is None:
                 fs.create_dir(base, recursive=True)
                 sink = fs.open_output_stream(f"{base}/{path}")
-                out = SequenceWriter(sink, length)
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).cast(pa.binary()).to_pylist()), strict=True):
-                out.add(doc_id, ids + end)
+                out = SequenceWriter(sink, length, width)
+            ids, bounds = encoder.encode(batch.column(1))
+            for doc_id, first, last in zip(batch.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                out.add(doc_id, np.concatenate([ids[first:last], end]))
         if out is not None:
             out.close()
             sink.close()

@@ -3,81 +3,105 @@
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MEMO_BYTES = 96_000_000
 
-#: The vocabulary's own rule for pieces, for lower-case texts of ASCII and Latin-1 characters.
-LETTER, NUMBER = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe"
-PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^\t-\r\x20{LETTER}{NUMBER}]+")
+#: The vocabulary's own rule for pieces, for lower-case ASCII and Latin-1 characters.
+LETTER, NUMBER = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
+PIECE = rf"('s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^\x09-\x0d\x20{LETTER}{NUMBER}]+)"
 #: Characters outside of these, and the opening of a special token.
-ODD = re.compile(r"[^\t-\r\x20-\x7e\xa1-\xff]|<\|")
-GAP = re.compile(r"[\t-\r\x20]+")
+ODD = r"[^\x09-\x0d\x20-\x7e¡-ÿ]|<\|"
+#: Pieces of letters that are encoded together.
+GROUP = 200
 
 
 class PieceEncoder:
     """Encodes texts with a lower-casing word-piece vocabulary (``word_bpe_49k.json``).
 
     No piece of its pre-tokenizer crosses white space, so the ids of a text are those of its pieces one after the
-    other, and pieces that were seen before need no encoding. Texts without ``ODD`` characters are cut by
-    ``PIECE``; of the others each word is given to the tokenizer as it is. New pieces are encoded many at a time: each ends
-    with the one id that carries the end-of-word mark. What is remembered is bounded by ``memo_bytes`` and forgotten
-    as a whole beyond it. Ids come as little-endian unsigned 32-bit integers. Null texts have none; bytes that are
-    not UTF-8 count as U+FFFD.
+    other. Texts without ``ODD`` characters are cut by ``PIECE`` and each different piece of a batch is looked up
+    once; of other texts each word is given to the tokenizer as it is. New pieces of letters are encoded many at a
+    time: each ends with the one id that carries the end-of-word mark. What is remembered is bounded by ``memo_bytes``
+    and forgotten as a whole beyond it. Null texts have no ids; bytes that are not UTF-8 count as U+FFFD.
     """
 
     def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(path)
+        # For pieces that are lower-case letters already: the same model behind white space alone.
+        self.model = Tokenizer.from_file(path)
+        self.model.normalizer = None
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), byte_level])
+        vocabulary = self.whole.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.memo_bytes = memo_bytes
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.room = memo_bytes
-
-    def encode(self, texts: Sequence[bytes | None]) -> list[bytes]:
-        cut = [self._cut(t.decode("utf-8", "replace") if t else "") for t in texts]
-        self._learn(set().union(*[pieces for pieces, odd in cut if not odd]))
-        return [b"".join(map(self._word, pieces) if odd else map(self.pieces.__getitem__, pieces)) for pieces, odd in cut]
-
-    def _cut(self, text: str) -> tuple[list[str], bool]:
-        return (GAP.split(text), True) if ODD.search(text) else (PIECE.findall(text.lower()), False)
-
-    def _learn(self, wanted: set[str]) -> None:
-        new = [p for p in wanted if p not in self.pieces]
+        self.memo_bytes = self.room = memo_bytes
+        self.known: dict[str, bytes] = {}
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows of a string column, and where those of each row begin and end."""
+        texts = self._valid(texts)
+        odd = pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
+        pieces = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(plain), PIECE, r"\1 "))
+        rows = pieces.offsets.to_numpy()
+        coded = pieces.values.slice(rows[0], rows[-1] - rows[0]).dictionary_encode()
+        packed = self._ids(coded.dictionary.to_pylist())
+        codes, lengths = coded.indices.to_numpy(), np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        pool = np.frombuffer(b"".join(packed), "<u4")
+        counts = lengths[codes]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        shift = (np.cumsum(lengths) - lengths)[codes] - ends[:-1]
+        ids, bounds = pool[np.repeat(shift, counts) + np.arange(ends[-1])], ends[rows - rows[0]]
+        if not odd.any():
+            return ids, bounds
+        parts = [ids[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        for i in np.flatnonzero(odd).tolist():
+            parts[i] = np.frombuffer(b"".join(map(self._word, pc.ascii_split_whitespace(texts[i]).as_py())), "<u4")
+        return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+
+    @staticmethod
+    def _valid(texts: pa.Array) -> pa.Array:
+        texts = texts.fill_null("")
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:
+            return pa.array([b.decode("utf-8", "replace") for b in texts.cast(pa.binary()).to_pylist()], pa.string())
+        return texts
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        new = [p for p in pieces if p not in self.known]
         if 250 * len(new) + sum(map(len, new)) > self.room:
-            self.pieces, self.words, self.room, new = {}, {}, self.memo_bytes, list(wanted)
+            self.known, self.room, new = {}, self.memo_bytes, pieces
         letters = [p for p in new if p.isalpha()]
-        groups = [letters[i : i + 200] for i in range(0, len(letters), 200)]
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+        groups = [letters[i : i + GROUP] for i in range(0, len(letters), GROUP)]
+        for group, found in zip(groups, self.model.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(found.ids, "<u4")
             ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
             packed, start = ids.tobytes(), 0
             for piece, end in zip(group, ends.tolist(), strict=True):
-                self._keep(self.pieces, piece, packed[start:end])
+                self.known[piece] = packed[start:end]
                 start = end
-        for piece in new:
-            if not piece.isalpha():
-                self._keep(self.pieces, piece, self._alone(piece))
+        self.known.update((p, self._alone(p)) for p in new if not p.isalpha())
+        self.room -= 200 * len(new) + 3 * sum(map(len, new))
+        return [self.known[p] for p in pieces]
 
     def _alone(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _keep(self, memo: dict[str, bytes], key: str, ids: bytes) -> None:
-        memo[key] = ids
-        self.room -= 250 + len(key) + len(ids)
+        return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = self._alone(word)
-            if 250 + len(word) <= self.room:
-                self._keep(self.words, word, ids)
-        return ids
+        """The ids of a word with odd characters; remembered under its own spelling, which no plain piece has."""
+        key = f" {word}"
+        if key not in self.known:
+            if self.room < 0:
+                self.known, self.room = {}, self.memo_bytes
+            self.known[key] = self._alone(word)
+            self.room -= 200 + 3 * len(word)
+        return self.known[key]
