@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from feedloom.llm import decontam, jaccard, mixing, quality, token_counts, token_files, url_graph, warc
+from feedloom.llm import decontam, jaccard, langid, mixing, quality, token_counts, token_files, url_graph, warc
 from feedloom.llm.registry import QUERIES, query, table  # noqa: F401
 from feedloom.llm.text import word_count
 from feedloom.session import written
@@ -52,6 +52,18 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def id_remainder(n: int) -> Column:
+    """crc32 of the id as text, modulo ``n``; 0 for a null id."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
+
+
+@query("op3_kernel_languages")
+def kernel_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(id_remainder(4) != 2).select("text", "lang"))
+    return langid.identify(docs, model).select("doc_id", (id_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query("op4_length_histogram")
 def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(written(token_counts.length_counts(table(spark, sf_dir, "documents"), vocabulary()), "lengths"))
