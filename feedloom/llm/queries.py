@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from feedloom.llm import decontam, jaccard, langid, mixing, quality, token_counts, token_files, url_graph, warc
+from feedloom.llm import decontam, jaccard, langid, mixing, ppm, quality, token_counts, token_files, url_graph, warc
 from feedloom.llm.registry import QUERIES, query, table  # noqa: F401
 from feedloom.llm.text import word_count
 from feedloom.session import written
@@ -69,6 +69,12 @@ def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(written(token_counts.length_counts(table(spark, sf_dir, "documents"), vocabulary()), "lengths"))
 
 
+@query("op5_ppm_scores")
+def ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ppm.score(table(spark, sf_dir, "documents"), id_remainder(10) != 0)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 URL_RULES = [
     url_graph.Rule("allow", "com", "/"),
     url_graph.Rule("block", "example.com", "/en/"),

@@ -12,7 +12,8 @@ MEMO_BYTES = 96_000_000
 
 #: The vocabulary's own rule for pieces, for lower-case ASCII and Latin-1 characters.
 LETTER, NUMBER = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
-PIECE = rf"('s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^\x09-\x0d\x20{LETTER}{NUMBER}]+)"
+#: All pieces but runs of letters, which are what lies between them.
+PIECE = rf"'s|'t|'re|'ve|'m|'ll|'d|[{NUMBER}]|[^\x09-\x0d\x20{LETTER}{NUMBER}]+"
 #: Characters outside of these, and the opening of a special token.
 ODD = r"[^\x09-\x0d\x20-\x7e¡-ÿ]|<\|"
 #: Pieces of letters that are encoded together.
@@ -50,10 +51,10 @@ class PieceEncoder:
         texts = self._valid(texts)
         odd = pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
-        pieces = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(plain), PIECE, r"\1 "))
+        pieces = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(plain), PIECE, r" \0 "))
         rows = pieces.offsets.to_numpy()
         coded = pieces.values.slice(rows[0], rows[-1] - rows[0]).dictionary_encode()
-        packed = self._ids(coded.dictionary.to_pylist())
+        packed = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         codes, lengths = coded.indices.to_numpy(), np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         pool = np.frombuffer(b"".join(packed), "<u4")
         counts = lengths[codes]
