@@ -97,8 +97,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], threshold: float = THRES
 
     A page that a rule fits has the rule's verdict. Hosts with allowed pages are trusted seeds, hosts with blocked
     ones blocked seeds, each by the number of such pages. Trust spreads along links, distrust against them: who names
-    a blocked host is distrusted. A host is blocked when its distrust is more than ``threshold`` of its trust, its
-    distrust and the pages it has that no rule fits; all other pages are allowed, also those without a host.
+    a blocked host is distrusted. Neither counts less than the host's own allowed or blocked pages. A host is blocked
+    when its distrust is more than ``threshold`` of its trust, its distrust and the pages it has that no rule fits;
+    all other pages are allowed, also those without a host.
 
     Null pages name nobody, repeated rows count and are judged each, other columns are not read. A table without rows
     gives none.
@@ -114,9 +115,11 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], threshold: float = THRES
     trust = propagate(links, hosts.where("allowed > 0").select("host", F.col("allowed").alias("mass")))
     against = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     distrust = propagate(against, hosts.where("blocked > 0").select("host", F.col("blocked").alias("mass")))
-    scored = hosts.select("host", "open").join(trust.withColumnRenamed("rank", "trust"), "host", "left")
+    scored = hosts.join(trust.withColumnRenamed("rank", "trust"), "host", "left")
     scored = scored.join(distrust.withColumnRenamed("rank", "distrust"), "host", "left").fillna(0.0, ["trust", "distrust"])
-    bad = F.col("distrust") > threshold * (F.col("trust") + F.col("distrust") + F.col("open"))
+    # What a host's own pages say is not lost by passing it on.
+    good, bad = F.greatest("trust", F.col("allowed").cast("double")), F.greatest("distrust", F.col("blocked").cast("double"))
+    bad = bad > threshold * (good + bad + F.col("open"))
     scored = written(scored.select("host", "trust", "distrust", F.when(bad, "block").otherwise("allow").alias("of_host")), "scores")
     judged = short.join(scored, "host", "left")
     return judged.select(
