@@ -33,14 +33,21 @@ def first_date(c: Column, formats: Sequence[str]) -> Column:
     return F.coalesce(*[parse_timestamp(c, f) for f in formats])
 
 
+# Date layouts of header lines, with the pattern of a date of eight digits and that of any other.
+HEADER_LAYOUTS = {
+    "MMDDYY": ("MMddyyyy", "MMddyy"),
+    "MMDDYYYY": ("MMddyyyy", "MMddyyyy"),
+    "MM/DD/YYYY": ("MM/dd/yyyy", "MM/dd/yyyy"),
+    "YYMMDD": ("yyyyMMdd", "yyMMdd"),
+    "YYYYMMDD": ("yyyyMMdd", "yyyyMMdd"),
+}
+
+
 def header_timestamp(c: Column, layout: str) -> Column:
-    """A header date by its layout text (``MMDDYY``, ``YYYYMMDD``, ...); eight digits mean a four-digit year."""
-    pattern = layout.strip().upper().replace("DD", "dd").replace("YY", "yy")
+    """A header date by one of the known layouts; eight digits have a four-digit year whatever the layout says."""
+    eight, other = HEADER_LAYOUTS[layout.strip().upper()]
     text = F.trim(c)
-    if "yyyy" in pattern:
-        return parse_timestamp(text, pattern)
-    wide = pattern.replace("yy", "yyyy")
-    return F.when(F.length(text) == 8, parse_timestamp(text, wide)).otherwise(parse_timestamp(text, pattern))
+    return F.when(F.length(text) == 8, parse_timestamp(text, eight)).otherwise(parse_timestamp(text, other))
 
 
 def file_suffix(template: str | None, at: dt.datetime) -> str:

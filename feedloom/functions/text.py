@@ -50,19 +50,22 @@ def implied_decimal_value(c: Column, scale: int) -> Column:
     return implied_decimal(c, scale).try_cast(T.DecimalType(38, max(scale, 0)))
 
 
+# The digits after the point of a picture: nines behind its last V, each alone or with a count in brackets.
+PICTURE_DIGITS = r"(?i)V((?:\s*9(?:\s*\(\s*[0-9]+\s*\))?)*)[^A-Z0-9()]*$"
+PICTURE_DIGIT = r"9(?:\s*\(\s*([0-9]+)\s*\))?"
+
+
+def picture_decimals(picture: str) -> int:
+    """Decimal places of a picture such as ``9(5)V99``; 0 for one without a point or with other signs behind it."""
+    found = re.search(PICTURE_DIGITS, picture)
+    return sum(int(n or 1) for n in re.findall(PICTURE_DIGIT, found[1])) if found else 0
+
+
 def picture_scale(c: Column) -> Column:
-    """Decimal places of a picture such as ``9(5)V99``: what stands after the last V."""
-    pic = F.upper(F.replace(c, F.lit(" "), F.lit("")))
-    parts = F.split(pic, "V")
-    tail = F.element_at(parts, -1)
-    repeat = F.regexp_extract(tail, r"\((\d+)\)", 1)
-    nines = F.length(tail) - F.length(F.replace(tail, F.lit("9"), F.lit("")))
-    return (
-        F.when(F.size(parts) <= 1, 0)
-        .when(tail.rlike("[A-Z]"), 0)
-        .when(repeat != "", repeat.try_cast("int"))
-        .otherwise(nines)
-    )
+    """The same for a column of pictures; 0 for null."""
+    digits = F.regexp_extract_all(F.regexp_extract(c, PICTURE_DIGITS, 1), F.lit(PICTURE_DIGIT), F.lit(1))
+    places = F.aggregate(digits, F.lit(0), lambda total, n: total + F.coalesce(n.try_cast("int"), F.lit(1)))
+    return F.coalesce(places, F.lit(0))
 
 
 def snake_case(c: Column) -> Column:

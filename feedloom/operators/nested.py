@@ -6,8 +6,6 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-MAX_KEYS = 1000
-
 
 def _arrays(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)]
@@ -86,19 +84,15 @@ def joined_codes(array: Column, field: str, sep: str = ", ") -> Column:
     return F.array_join(F.transform(array, lambda x: x[field].cast("string")), sep)
 
 
-def json_keys(df: DataFrame, column: str, max_keys: int = MAX_KEYS) -> list[str]:
+def json_keys(df: DataFrame, column: str) -> list[str]:
     """Names of the keys of all objects in a JSON column (an object, or an array of them), in order.
 
-    The names are reduced on the cluster; only they come to the driver, and more than ``max_keys`` of
-    them is an error, not a cut.
+    The names are reduced on the cluster; only they come to the driver, since they are columns to be.
     """
     is_array = F.ltrim(F.col(column)).startswith("[")
     objects = F.when(is_array, F.from_json(column, "array<string>")).otherwise(F.array(F.col(column)))
     keys = df.select(F.explode(objects).alias("o")).select(F.explode(F.json_object_keys("o")).alias("k")).distinct()
-    found = [r.k for r in keys.limit(max_keys + 1).collect()]
-    if len(found) > max_keys:
-        raise ValueError(f"more than {max_keys} different keys in {column}")
-    return sorted(found)
+    return sorted(r.k for r in keys.collect())
 
 
 def json_to_columns(df: DataFrame, column: str, keep: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:

@@ -6,7 +6,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from feedloom.operators.columns import differs
 from feedloom.operators.ranking import newest_per_group
@@ -160,22 +161,22 @@ class ReconcileConfig:
 
 
 def reconcile_batch(configs: Sequence[ReconcileConfig]) -> DataFrame:
-    """One result row per active configuration, with the whole summary as JSON."""
-    rows = []
+    """One result row per active configuration, with the whole summary as JSON.
+
+    Each configuration runs by itself: one that fails gives a row with status ``ERROR`` and the message as its
+    result, and the others go on. Without an active configuration there are no rows.
+    """
+    spark, rows = SparkSession.active(), []
     for c in configs:
         if not c.active:
             continue
-        if c.keys:
-            summary = reconcile(c.source, c.target, c.keys).summary
-        else:
-            summary = reconcile_counts(c.source, c.target)
-        rows.append(
-            summary.select(
-                F.lit(c.id).alias("config_id"), "source_count", "target_count", "status",
-                F.to_json(F.struct(*summary.columns)).alias("result"),
-            )
-        )
-    return reduce(DataFrame.unionByName, rows)
+        try:
+            summary = reconcile(c.source, c.target, c.keys).summary if c.keys else reconcile_counts(c.source, c.target)
+            found = summary.select("source_count", "target_count", "status", F.to_json(F.struct(*summary.columns)).alias("result")).first()
+            rows.append((c.id, *found))
+        except (ValueError, PySparkException) as e:
+            rows.append((c.id, None, None, "ERROR", str(e).splitlines()[0]))
+    return spark.createDataFrame(rows, "config_id int, source_count bigint, target_count bigint, status string, result string")
 
 
 def schedule_tags(calendar: DataFrame, monthly: DataFrame) -> DataFrame:

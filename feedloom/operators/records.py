@@ -14,17 +14,17 @@ NAME_SLOTS = ["x1", "x2", "x3"]
 BUSINESS, PERSON = "B", "P"
 MAX_LINES = 100_000
 
-# Hashes gathered at a time in the three levels of the hash tree.
+# Hashes gathered at a time in the lower levels of the hash tree.
 FAN_OUT = 4096
 _ENTITY = ["file_path", "entity_no"]
 
 
 def entity_hash(lines: DataFrame, suffix: Column | None = None, fan_out: int = FAN_OUT) -> DataFrame:
-    """A content id per entity: SHA-256 over its line hashes in order.
+    """A content id per entity: SHA-256 over its line hashes in order, as a tree of three levels.
 
-    Each line is hashed where it was read. An entity of more than ``fan_out`` lines is hashed as a tree,
-    ``fan_out`` hashes at a time by position, so that no task gathers an entity of any size at once.
-    ``suffix`` (a date, for feeds of one line per record) is added to every line.
+    Each line is hashed where it was read. Every ``fan_out`` line hashes in a row are joined and hashed, then every
+    ``fan_out`` of those, then the rest, for entities of any length alike; so no task gathers more than that many
+    hashes at once in the lower levels. ``suffix`` (a date, for feeds of one line per record) is added to every line.
     """
     text = F.concat(F.col("value"), suffix) if suffix is not None else F.col("value")
 
@@ -33,14 +33,10 @@ def entity_hash(lines: DataFrame, suffix: Column | None = None, fan_out: int = F
         return rows.groupBy(*group).agg(F.sum("n").alias("n"), F.sha2(F.array_join(hashes, ""), 256).alias("h"))
 
     block = F.floor(F.col("at") / fan_out).alias("at")
-    first = gather(
-        lines.select(*_ENTITY, (F.col("line_no") - F.col("entity_start")).alias("at"), F.lit(1).alias("n"), F.sha2(text, 256).alias("h")),
-        [*_ENTITY, block],
-    )
-    # A first block that is not full is a whole entity; only the blocks of longer ones are joined further.
-    whole = (F.col("at") == 0) & (F.col("n") < fan_out)
-    longer = gather(gather(first.where(~whole), [*_ENTITY, block]), _ENTITY)
-    out = first.where(whole).drop("at").unionByName(longer)
+    at = (F.col("line_no") - F.col("entity_start")).alias("at")
+    out = lines.select(*_ENTITY, at, F.lit(1).alias("n"), F.sha2(text, 256).alias("h"))
+    for group in ([*_ENTITY, block], [*_ENTITY, block], _ENTITY):
+        out = gather(out, group)
     return out.select(*_ENTITY, F.col("n").alias("line_count"), F.col("h").alias("entity_id"))
 
 
@@ -51,22 +47,33 @@ def with_entity_hash(lines: DataFrame, suffix: Column | None = None) -> DataFram
 def merge_segments(lines: DataFrame, layout: Sequence[FieldSpec], segment: Column, keep: Sequence[str] = _ENTITY) -> DataFrame:
     """All segment lines of an entity as one flat row.
 
-    Every segment has its own layout. A name that occurs in several segments is their texts one after
-    the other, in segment order. Each column is a plain maximum per entity, combined on the map side.
+    Every segment has its own layout. A name that occurs more than once, in several segments or because a segment
+    repeats, is its texts one after the other in line order; a name that no line has is null. Lines of segments
+    without a layout are left to :func:`segment_rejects`.
     """
     by_name: dict[str, list[FieldSpec]] = {}
-    for f in sorted(layout, key=lambda f: f.segment):
+    for f in layout:
         by_name.setdefault(f.name, []).append(f)
-    parts, columns = [], []
-    for name, fields in by_name.items():
-        own = []
-        for f in fields:
-            part = f"__{name}_{f.segment}"
-            parts.append(F.max(F.when(segment == f.segment, field_column(f))).alias(part))
-            own.append(F.col(part))
-        joined = own[0] if len(own) == 1 else F.concat(*[F.coalesce(p, F.lit("")) for p in own])
-        columns.append(joined.alias(name))
-    return lines.groupBy(*keep).agg(*parts).select(*keep, *columns)
+    known = lines.withColumn("__segment", segment).where(F.col("__segment").isin(sorted({f.segment for f in layout})))
+    gathered = known.groupBy(*keep).agg(F.sort_array(F.collect_list(F.struct("line_no", "__segment", "value"))).alias("__lines"))
+
+    def texts(fields: list[FieldSpec]) -> Column:
+        def cut(line: Column) -> Column:
+            out = F.lit(None).cast("string")
+            for f in fields:
+                out = F.when(line["__segment"] == f.segment, field_column(f, line["value"])).otherwise(out)
+            return out
+
+        own = F.filter("__lines", lambda line: line["__segment"].isin([f.segment for f in fields]))
+        return F.when(F.size(own) > 0, F.array_join(F.transform(own, cut), ""))
+
+    return gathered.select(*keep, *[texts(fields).alias(name) for name, fields in by_name.items()])
+
+
+def segment_rejects(lines: DataFrame, layout: Sequence[FieldSpec], segment: Column) -> DataFrame:
+    """Lines of a segment that no layout describes, null lines among them."""
+    known = segment.isin(sorted({f.segment for f in layout}))
+    return lines.where(~F.coalesce(known, F.lit(False)))
 
 
 def match_root(lines: DataFrame, is_root: Column, key: Sequence[Column]) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -239,7 +239,7 @@ def order_entities(spark, sf):
 
 
 @query("entity_groups", f"""
-WITH {LINES_SQL} SELECT dense_rank() OVER (PARTITION BY chunk ORDER BY k) AS entity_no, k AS order_key, count(*) AS line_count, sha256(string_agg(sha256(value), '' ORDER BY kind, s)) AS entity_id
+WITH {LINES_SQL} SELECT dense_rank() OVER (PARTITION BY chunk ORDER BY k) AS entity_no, k AS order_key, count(*) AS line_count, sha256(sha256(sha256(string_agg(sha256(value), '' ORDER BY kind, s)))) AS entity_id
 FROM lines GROUP BY chunk, k
 """)
 def entity_groups(spark, sf):
@@ -252,7 +252,7 @@ CONVERSATION_LINE = "concat(case when turn = 0 then 'S' else 'T' end, ' ', role,
 
 
 @query("entity_hash", f"""
-SELECT count(*) AS line_count, sha256(string_agg(sha256({CONVERSATION_LINE}), '' ORDER BY turn)) AS entity_id FROM conversations GROUP BY conv_id
+SELECT count(*) AS line_count, sha256(sha256(sha256(string_agg(sha256({CONVERSATION_LINE}), '' ORDER BY turn)))) AS entity_id FROM conversations GROUP BY conv_id
 """)
 def entity_hash(spark, sf):
     path = feeds.ordered_text(table(spark, sf, "conversations"), F.expr(CONVERSATION_LINE), ["conv_id", "turn"], "talk", "conv_id")
@@ -260,8 +260,20 @@ def entity_hash(spark, sf):
     return records.entity_hash(lines).select("line_count", "entity_id")
 
 
+@query("entity_hash_tree", f"""
+WITH one AS (SELECT conv_id, turn // 2 AS b1, count(*) AS n, sha256(string_agg(sha256({CONVERSATION_LINE}), '' ORDER BY turn)) AS h FROM conversations GROUP BY 1, 2),
+two AS (SELECT conv_id, b1 // 2 AS b2, sum(n) AS n, sha256(string_agg(h, '' ORDER BY b1)) AS h FROM one GROUP BY 1, 2)
+SELECT cast(sum(n) AS bigint) AS line_count, sha256(string_agg(h, '' ORDER BY b2)) AS entity_id FROM two GROUP BY conv_id
+""")
+def entity_hash_tree(spark, sf):
+    """The same tree with two hashes at a time, so that talks of more than four lines fill its levels."""
+    path = feeds.ordered_text(table(spark, sf, "conversations"), F.expr(CONVERSATION_LINE), ["conv_id", "turn"], "talk", "conv_id")
+    lines = with_line_order(read_lines(spark, path), F.col("value").startswith("S "))
+    return records.entity_hash(lines, fan_out=2).select("line_count", "entity_id")
+
+
 @query("entity_hash_dated", f"""
-SELECT conv_id, turn, sha256(sha256({CONVERSATION_LINE} || '2024-01-31 00:00:00')) AS entity_id FROM conversations
+SELECT conv_id, turn, sha256(sha256(sha256(sha256({CONVERSATION_LINE} || '2024-01-31 00:00:00')))) AS entity_id FROM conversations
 """)
 def entity_hash_dated(spark, sf):
     talk = table(spark, sf, "conversations").withColumns({"value": F.expr(CONVERSATION_LINE), "file_path": F.col("conv_id"), "entity_no": F.col("turn"), "line_no": F.lit(1), "entity_start": F.lit(1)})
@@ -269,26 +281,42 @@ def entity_hash_dated(spark, sf):
     return out.select("conv_id", "turn", "entity_id")
 
 
+def segment_part(n: int) -> str:
+    return f"string_agg(cast(l_partkey AS varchar), '' ORDER BY lpad(cast(l_partkey AS varchar), 12, '0')) FILTER (l_linenumber = {n - 1}) AS part_{n}, count(*) FILTER (l_linenumber = {n - 1}) AS n{n}"
+
+
 @query("segment_merge", f"""
-WITH one AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part FROM lineitem WHERE l_linenumber BETWEEN 1 AND 3 GROUP BY 1, 2)
-SELECT cast(o_orderkey AS varchar) AS order_key, {DEC.format('o_totalprice')} AS price, concat(o_orderstatus, '1', CASE WHEN a.part IS NULL THEN '' ELSE 'r2' END, CASE WHEN b.part IS NULL THEN '' ELSE 'r3' END, CASE WHEN c.part IS NULL THEN '' ELSE 'r4' END) AS remark,
-  cast(a.part AS varchar) AS part_2, cast(b.part AS varchar) AS part_3, cast(c.part AS varchar) AS part_4
-FROM orders LEFT JOIN one a ON a.l_orderkey = o_orderkey AND a.l_linenumber = 1 LEFT JOIN one b ON b.l_orderkey = o_orderkey AND b.l_linenumber = 2 LEFT JOIN one c ON c.l_orderkey = o_orderkey AND c.l_linenumber = 3
+WITH parts AS (SELECT l_orderkey, {segment_part(2)}, {segment_part(3)}, {segment_part(4)} FROM lineitem GROUP BY 1)
+SELECT cast(o_orderkey AS varchar) AS order_key, {DEC.format('o_totalprice')} AS price,
+  concat(o_orderstatus, '1', repeat('r2', coalesce(n2, 0)), repeat('r3', coalesce(n3, 0)), repeat('r4', coalesce(n4, 0))) AS remark, part_2, part_3, part_4
+FROM orders LEFT JOIN parts ON l_orderkey = o_orderkey
 """)
 def segment_merge(spark, sf):
+    return records.merge_segments(segment_lines(spark, sf), feeds.SEGMENT_LAYOUT, F.substring("value", 1, 1)).drop("file_path", "entity_no")
+
+
+@query("segment_rejects", """
+SELECT concat(l_linenumber + 1, lpad(cast(l_orderkey AS varchar), 12, '0'), lpad(cast(l_partkey AS varchar), 12, '0'), ' r', l_linenumber + 1) AS value
+FROM lineitem WHERE l_linenumber > 3 AND l_orderkey IN (SELECT o_orderkey FROM orders)
+""")
+def segment_rejects(spark, sf):
+    return records.segment_rejects(segment_lines(spark, sf), feeds.SEGMENT_LAYOUT, F.substring("value", 1, 1)).select("value")
+
+
+def segment_lines(spark, sf):
     path = written_once(spark, ("segments", sf), lambda: write_segments(spark, sf))
-    lines = with_line_order(read_lines(spark, path), F.col("value").startswith("1"))
-    return records.merge_segments(lines, feeds.SEGMENT_LAYOUT, F.substring("value", 1, 1)).drop("file_path", "entity_no")
+    return with_line_order(read_lines(spark, path), F.col("value").startswith("1"))
 
 
 def write_segments(spark, sf):
-    """Orders with up to three of their lines as segments 1 to 4."""
+    """Orders with all their lines as segments from 2 on, repeated line numbers included; 5 and above have no layout."""
     key = F.lpad(F.col("k").cast("string"), 12, "0")
     o = table(spark, sf, "orders").withColumn("k", F.col("o_orderkey"))
     first = o.select("k", F.lit("1").alias("seg"), F.concat(F.lit("1"), key, F.lpad(F.expr(feeds.cents("o_totalprice")), 13, "0"), "o_orderstatus", F.lit("1")).alias("value"))
-    items = table(spark, sf, "lineitem").where("l_linenumber BETWEEN 1 AND 3").groupBy(F.col("l_orderkey").alias("k"), "l_linenumber").agg(F.min("l_partkey").alias("part"))
+    items = table(spark, sf, "lineitem").withColumn("k", F.col("l_orderkey"))
     seg = (F.col("l_linenumber") + 1).cast("string")
-    rest = items.join(o.select("k"), "k", "left_semi").select("k", seg.alias("seg"), F.concat(seg, key, F.lpad(F.col("part").cast("string"), 12, "0"), F.lit(" r"), seg).alias("value"))
+    part = F.lpad(F.col("l_partkey").cast("string"), 12, "0")
+    rest = items.join(o.select("k"), "k", "left_semi").select("k", F.concat(seg, part).alias("seg"), F.concat(seg, key, part, F.lit(" r"), seg).alias("value"))
     return feeds.ordered_text(first.unionByName(rest), F.col("value"), ["k", "seg"], "segments", "k")
 
 

@@ -87,6 +87,7 @@ def reconcile_counts(spark, sf):
 WITH {SIDES_SQL} SELECT 1 AS config_id, (SELECT count(*) FROM s) AS source_count, (SELECT count(*) FROM t) AS target_count, 'DIFFERENT' AS status
 UNION ALL SELECT 2, (SELECT count(*) FROM customer), (SELECT count(*) FROM customer), 'MATCH'
 UNION ALL SELECT 3, (SELECT count(*) FROM orders), (SELECT count(*) FROM lineitem), 'DIFFERENT'
+UNION ALL SELECT 5, NULL, NULL, 'ERROR'
 """)
 def reconcile_batch(spark, sf):
     s, t = both_sides(spark, sf)
@@ -96,6 +97,7 @@ def reconcile_batch(spark, sf):
         quality.ReconcileConfig(2, c, c, ("c_custkey", "c_nationkey")),
         quality.ReconcileConfig(3, table(spark, sf, "orders"), table(spark, sf, "lineitem").select("l_orderkey")),
         quality.ReconcileConfig(4, c, c, ("c_custkey",), active=False),
+        quality.ReconcileConfig(5, c, c, ("no_such_key",)),
     ]
     return quality.reconcile_batch(configs).drop("result")
 

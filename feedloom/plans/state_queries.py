@@ -10,6 +10,7 @@ from feedloom.operators.columns import with_history_meta
 from feedloom.operators.relational import union_by_name
 from feedloom.plans.registry import query, table
 from feedloom.session import scratch_path
+from feedloom.sources import coerce
 from feedloom.sources.coerce import load_with_rejects
 from feedloom.sources.lake import write_bucketed
 from feedloom.types import ACTION, CONTENT_HASH, INTEGRATION_ID
@@ -294,17 +295,17 @@ def load_with_rejects_query(spark, sf):
 
 
 @query("stage_load", REJECT_SQL + """
-SELECT 'loaded' AS status, count(*) FILTER (quantity <> 'many' AND shipdate <> '2001-13-01') AS rows_loaded, count(*) FILTER (quantity = 'many' OR shipdate = '2001-13-01') AS rows_rejected FROM raw
+SELECT 'whole' AS request, 'loaded' AS status, count(*) FILTER (quantity <> 'many' AND shipdate <> '2001-13-01') AS rows_loaded, count(*) FILTER (quantity = 'many' OR shipdate = '2001-13-01') AS rows_rejected,
+  count(*) FILTER (quantity <> 'many' AND shipdate <> '2001-13-01') AS rows_staged FROM raw
+UNION ALL SELECT 'wrong', 'failed', NULL, NULL, count(*) FILTER (quantity <> 'many' AND shipdate <> '2001-13-01') FROM raw
 """)
 def stage_load(spark, sf):
-    """Staging is replaced by the good rows, and the request log gets one row."""
-    good, bad = load_with_rejects(raw_lines(spark, sf), {"quantity": "int", "shipdate": "date"})
-    path = scratch_path(spark, "stage")
-    good.write.mode("overwrite").parquet(path)
-    loaded = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_loaded"))
-    rejected = bad.agg(F.count(F.lit(1)).alias("rows_rejected"))
-    log = union_by_name(loaded, rejected).agg(F.max("rows_loaded").alias("rows_loaded"), F.max("rows_rejected").alias("rows_rejected"))
-    return log.select(F.lit("loaded").alias("status"), "rows_loaded", "rows_rejected")
+    """One request replaces staging by its good rows; the next one lacks a column, fails and leaves staging alone."""
+    path, raw = scratch_path(spark, "stage"), raw_lines(spark, sf)
+    first = coerce.stage_load(raw, {"quantity": "int", "shipdate": "date"}, path, "whole")
+    second = coerce.stage_load(raw.drop("shipdate"), {"quantity": "int", "shipdate": "date"}, path, "wrong")
+    staged = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
+    return first.unionByName(second).drop("message").withColumn("rows_staged", staged.scalar())
 
 
 # Files and windows ---------------------------------------------------------------------------------

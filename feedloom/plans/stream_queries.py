@@ -77,28 +77,31 @@ WITH {STANDING_SQL} SELECT id AS elt_integration_id, status, price, exec AS elt_
   CASE WHEN id NOT IN (SELECT id FROM changes) AND id NOT IN (SELECT id FROM o WHERE y = 2000 AND priority = '3-MEDIUM') THEN 1 ELSE del END AS elt_delete_ind FROM standing
 """)
 def stream_full_load(spark, sf):
-    """An incremental file, then a full one: keys that the full one lacks become deleted, a new snapshot is written."""
+    """An incremental load, a full load of several files, one per micro-batch, and its end: keys that none of the
+    files had become deleted."""
     changes = order_changes(spark, sf)
     early, late = changes.where("elt_execution_date = '2024-01-02'"), changes.where("elt_execution_date = '2024-01-03'")
     path = scratch_path(spark, "changes")
-    late_full = late.withColumn("elt_load_type", F.lit("FULL"))
+    late_full = late.withColumn("elt_load_type", F.lit("FULL")).repartition(3, INTEGRATION_ID)
+    end = {"elt_stream_action": streams.LOAD_END, "elt_load_type": "FULL", "elt_execution_date": "2024-01-03"}
+    marker = spark.range(1).select(*[F.lit(end.get(f.name)).cast(f.dataType).alias(f.name) for f in changes.schema])
     target = streams.ChangeStream(spark, scratch_path(spark, "target"), order_target(spark, sf))
     checkpoint = scratch_path(spark, "cp")
-    for step, batch in enumerate((early, late_full)):
-        batch.coalesce(1).write.parquet(f"{path}/step={step}")
-        stream = streams.file_stream(spark, path, changes.schema, files_per_trigger=100, recursiveFileLookup="true")
+    for step, batch in enumerate((early, late_full, marker)):
+        batch.write.parquet(f"{path}/step={step}")
+        stream = streams.file_stream(spark, path, changes.schema, files_per_trigger=1, recursiveFileLookup="true")
         target.run(stream, checkpoint)
     return target.current().select(INTEGRATION_ID, "status", "price", "elt_execution_date", "elt_delete_ind")
 
 
 @query("stream_dump", f"WITH {ORDERS_SQL} SELECT id AS elt_integration_id, price FROM changes")
 def stream_dump(spark, sf):
-    """The inserts of a consumed change stream, in a dump table that each batch overwrites."""
+    """The inserts of a consumed change stream, one dump folder per micro-batch, read together."""
     newest = state.dedupe_changes(order_changes(spark, sf).where("elt_integration_id IS NOT NULL"), INTEGRATION_ID)
     path = scratch_path(spark, "dump-in")
-    newest.write.parquet(path)
+    newest.repartition(4, INTEGRATION_ID).write.parquet(path)
     out = scratch_path(spark, "dump")
-    stream = streams.file_stream(spark, path, newest.schema, files_per_trigger=10_000)
-    query_ = stream.writeStream.foreachBatch(lambda b, _: streams.dump_inserts(b, out)).option("checkpointLocation", scratch_path(spark, "cp")).trigger(availableNow=True).start()
+    stream = streams.file_stream(spark, path, newest.schema, files_per_trigger=2)
+    query_ = stream.writeStream.foreachBatch(lambda b, n: streams.dump_inserts(b, out, n)).option("checkpointLocation", scratch_path(spark, "cp")).trigger(availableNow=True).start()
     streams.run_available(query_)
     return spark.read.parquet(out).select(INTEGRATION_ID, "price")

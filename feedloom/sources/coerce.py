@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, functions as F
 
+from feedloom.session import scratch_path
+
 # Source types of a relational result and their Spark types.
 SOURCE_TYPES = {
     "char": "string", "varchar": "string", "nvarchar": "string", "text": "string",
@@ -46,27 +48,52 @@ def coerce(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     )
 
 
-def load_with_rejects(df: DataFrame, types: Mapping[str, str], carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """(good, rejects): rejects keep the record, and the first column that failed with its text."""
+def load_with_rejects(
+    df: DataFrame, types: Mapping[str, str], carry: tuple[str, ...] = (), path: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(good, rejects): rejects keep the record, and the first column that failed with its text.
+
+    Every row is read, typed and checked once and written once, to a folder for its outcome below ``path`` (in the
+    shared folder if none is given); both results are read from there.
+    """
+    spark, path = df.sparkSession, path or scratch_path(df.sparkSession, "load")
     typed = {c: coerced(F.col(c), SOURCE_TYPES.get(k.lower(), k)) for c, k in types.items()}
-    wrong = {c: F.col(c).isNotNull() & (F.trim(c) != "") & v.isNull() for c, v in typed.items()}
-    any_wrong = reduce(lambda a, b: a | b, wrong.values())
+    wrong = {c: F.col(c).isNotNull() & (F.trim(c) != "") & F.col(f"__typed.{c}").isNull() for c in types}
     others = [c for c in df.columns if c not in types]
-    good = df.where(~any_wrong).select(*others, *[v.alias(c) for c, v in typed.items()])
     failed = F.array_compact(
         F.array(*[F.when(w, F.struct(F.lit(c).alias("name"), F.col(c).alias("text"), F.lit(types[c]).alias("kind"))) for c, w in wrong.items()])
     )
+    checked = df.withColumn("__typed", F.struct(*[v.alias(c) for c, v in typed.items()])).withColumn("__failed", failed)
+    bad = F.size("__failed") > 0
+    record = F.when(bad, F.to_json(F.struct(*types))).alias("rejected_record")
+    routed = checked.select(*others, "__typed", "__failed", record, bad.alias("__bad"))
+    routed.write.partitionBy("__bad").parquet(path)
+    staged = spark.read.schema(routed.schema).parquet(path)
     first = F.get(F.col("__failed"), 0)
-    rejects = (
-        df.where(any_wrong)
-        .select(*others, failed.alias("__failed"), F.to_json(F.struct(*types)).alias("rejected_record"))
-        .select(
-            *(carry or others),
-            F.concat(F.lit("not a "), first["kind"]).alias("error"),
-            first["name"].alias("column_name"),
-            first["text"].alias("column_text"),
-            F.size("__failed").alias("failed_columns"),
-            "rejected_record",
-        )
+    good = staged.where(~F.col("__bad")).select(*others, *[F.col(f"__typed.{c}").alias(c) for c in types])
+    rejects = staged.where("__bad").select(
+        *(carry or others),
+        F.concat(F.lit("not a "), first["kind"]).alias("error"),
+        first["name"].alias("column_name"),
+        first["text"].alias("column_text"),
+        F.size("__failed").alias("failed_columns"),
+        "rejected_record",
     )
     return good, rejects
+
+
+def stage_load(df: DataFrame, types: Mapping[str, str], path: str, request: str) -> DataFrame:
+    """Replace the staging table at ``path`` by the good rows of a request; its row for the request log comes back.
+
+    A request that cannot be loaded leaves the staging table as it is and is logged as ``failed`` with the reason.
+    """
+    spark = df.sparkSession
+    log = "request string, status string, rows_loaded bigint, rows_rejected bigint, message string"
+    try:
+        good, rejects = load_with_rejects(df, types)
+        counts = good.select(F.lit(1).alias("g"), F.lit(0).alias("r")).unionAll(rejects.select(F.lit(0), F.lit(1)))
+        loaded, rejected = counts.agg(F.coalesce(F.sum("g"), F.lit(0)), F.coalesce(F.sum("r"), F.lit(0))).first()
+        good.write.mode("overwrite").parquet(path)
+    except PySparkException as e:
+        return spark.createDataFrame([(request, "failed", None, None, e.getCondition() or str(e).splitlines()[0])], log)
+    return spark.createDataFrame([(request, "loaded", loaded, rejected, None)], log)

@@ -11,15 +11,14 @@ from feedloom.operators.columns import normalize_columns, trim_strings
 from feedloom.sources.lines import join_records, read_lines, with_quoted_records
 from feedloom.types import ColumnSpec
 
-# Field separators in the order they are tried, and how much of the header is looked at.
+# Field separators in the order they are tried.
 SEPARATORS = ["#!#!", "|", "\t", ","]
-HEADER_CHARS = 5000
 UNUSED = "unused"
 
 
 def guess_separator(spark: SparkSession, path: str) -> str:
-    """The first separator of the list that the header line holds."""
-    first = spark.read.text(path).select(F.substring("value", 1, HEADER_CHARS)).first()
+    """The first separator of the list that the header line holds; the files of a feed share their header."""
+    first = spark.read.text(path).first()
     return next((s for s in SEPARATORS if first and s in first[0]), ",")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from feedloom.functions.text import collapse_blanks, implied_decimal, normalize_name
+from feedloom.functions.text import collapse_blanks, implied_decimal, normalize_name, picture_decimals
 from feedloom.types import FieldSpec
 
 # Names that mark a field as filler.
@@ -68,7 +68,7 @@ def layout_from_pictures(rows: Iterable[Mapping[str, str]]) -> list[FieldSpec]:
         if not _keep(name):
             continue
         start, end = int(row["source_field_start_pos"]), int(row["source_field_end_pos"])
-        decimals = decimals_of(row.get("source_field_pic", ""))
+        decimals = picture_decimals(row.get("source_field_pic", ""))
         out.append(
             FieldSpec(
                 name, start, end - start + 1, decimals or None,
@@ -79,15 +79,6 @@ def layout_from_pictures(rows: Iterable[Mapping[str, str]]) -> list[FieldSpec]:
     return check_layout(out)
 
 
-def decimals_of(picture: str) -> int:
-    head, sep, tail = picture.replace(" ", "").upper().rpartition("V")
-    if not sep or any(ch.isalpha() for ch in tail):
-        return 0
-    if "(" in tail:
-        return int(tail[tail.index("(") + 1 : tail.index(")")])
-    return tail.count("9")
-
-
 def check_layout(fields: Sequence[FieldSpec]) -> list[FieldSpec]:
     """Refuse empty ranges and names that repeat within a record, segment and condition."""
     seen = set()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -56,9 +57,13 @@ def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int)
 
 
 def latest_partition(df: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame:
-    """Rows of the newest partition; the value is a scalar subquery, so only that folder is read."""
-    newest = df.select(F.max(column).alias("newest"))
-    return df.where(F.col(column) == newest.scalar())
+    """Rows of the newest partition. Its value is taken from the names of the folders Spark has listed; null is none."""
+    start = f"/{column}="
+    names = {unquote(f.split(start, 1)[1].split("/", 1)[0]) for f in df.inputFiles() if start in f}
+    kind = df.schema[column].dataType
+    values = df.sparkSession.createDataFrame([(n,) for n in sorted(names)], "name string")
+    newest = values.agg(F.max(F.col("name").try_cast(kind))).first()[0]
+    return df.where(F.col(column) == F.lit(newest).cast(kind))
 
 
 def select_from_config(df: DataFrame, columns: str, condition: str | None = None) -> DataFrame:

@@ -144,7 +144,7 @@ def read_records(spark: SparkSession, path: str, record_sep: str = "$#$#", encod
 
 
 def split_by_delimiter_count(lines: DataFrame, sep: str, count: int) -> tuple[DataFrame, DataFrame]:
-    """(good, bad) lines: those with exactly ``count`` separators, and the rest."""
+    """(good, bad) lines: those with exactly ``count`` separators, and the rest, a null line among them."""
     found = F.length("value") - F.length(F.replace(F.col("value"), F.lit(sep), F.lit("")))
-    good = found == count * len(sep)
+    good = F.coalesce(found == count * len(sep), F.lit(False))
     return lines.where(good), lines.where(~good)

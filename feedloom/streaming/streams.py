@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from feedloom.operators.state import dedupe_changes, fold_changes, soft_delete, upsert
+from feedloom.operators.ranking import newest_per_group
+from feedloom.operators.state import fold_changes, soft_delete, upsert
 from feedloom.sources.lake import NumberedFolders, TableVersions
-from feedloom.types import INTEGRATION_ID
+from feedloom.types import ACTION, CONTENT_HASH, INTEGRATION_ID, NO_KEY
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet", files_per_trigger: int = 1, **options) -> DataFrame:
@@ -49,13 +50,20 @@ def write_batches(stream: DataFrame, path: str, checkpoint: str, shape: Callable
     return query if every else run_available(query)
 
 
+#: Action of the row that ends a full load; its execution date says which load.
+LOAD_END = "LOAD_END"
+
+
 class ChangeStream:
     """A table kept current from a stream of changes.
 
     Micro-batches only append to a change log, so their cost is their own size. The log is folded into a
-    new snapshot after ``compact_every`` batches, or when a full load arrives, whose missing keys become
-    deleted; :meth:`current` reads snapshot and log together. Micro-batch b writes log folder b or
-    snapshot b + 1, hence a repeated batch replaces its own output.
+    new snapshot after ``compact_every`` batches; :meth:`current` reads snapshot and log together.
+
+    A full load may come in any number of micro-batches. Its rows have load type ``FULL`` and share their
+    execution date; a row with the action ``LOAD_END`` and that date ends it. Only then are the keys that
+    none of its rows had marked as deleted, in a snapshot of its own. Micro-batch b writes log folder b and
+    snapshot b + 1 at most, hence a repeated batch replaces its own output.
     """
 
     def __init__(self, spark: SparkSession, path: str, initial: DataFrame, compact_every: int = 100):
@@ -65,13 +73,14 @@ class ChangeStream:
         if not self.snapshots.versions():
             self.snapshots.write(initial, 0)
 
-    def _pending(self, upto: int | None = None) -> tuple[int, list[int]]:
-        """The newest snapshot and the log folders after it, as of a batch."""
-        version = max(v for v in self.snapshots.versions() if upto is None or v <= upto + 1)
+    def _pending(self, upto: int | None = None, newest: int | None = None) -> tuple[int, list[int]]:
+        """The newest snapshot (not after ``newest``) and the log folders after it, as of a batch."""
+        last = newest if newest is not None or upto is None else upto + 1
+        version = max(v for v in self.snapshots.versions() if last is None or v <= last)
         return version, [n for n in self.log.numbers() if n >= version and (upto is None or n <= upto)]
 
-    def current(self, upto: int | None = None) -> DataFrame:
-        version, pending = self._pending(upto)
+    def current(self, upto: int | None = None, newest: int | None = None) -> DataFrame:
+        version, pending = self._pending(upto, newest)
         table = self.snapshots.read(version)
         return upsert(table, fold_changes(self.log.read(pending))) if pending else table
 
@@ -80,17 +89,27 @@ class ChangeStream:
         if upto + 1 not in self.snapshots.versions():
             self.snapshots.write(self.current(upto), upto + 1)
 
+    def end_loads(self, loads: list[str], upto: int) -> None:
+        """Write snapshot ``upto + 1``, without the keys that these full loads lacked in all of their batches."""
+        table = self.current(upto, newest=upto)
+        seen = self.log.read([n for n in self.log.numbers() if n <= upto])
+        for load in sorted(loads):
+            table = soft_delete(table, seen.where(F.col("elt_execution_date") == load), INTEGRATION_ID)
+        self.snapshots.write(table, upto + 1)
+
     def apply(self, batch: DataFrame, number: int) -> None:
         batch.persist()
-        changes = dedupe_changes(batch, INTEGRATION_ID)
-        if batch.where((F.col("elt_delete_ind") == 0) & (F.col("elt_load_type") == "FULL")).isEmpty():
-            self.log.write(changes, number)
-            if len(self._pending(number)[1]) >= self.compact_every:
+        try:
+            # A key's row in a load stays in the log even if the same batch has a newer change of that key.
+            same = [F.coalesce(INTEGRATION_ID, F.lit(NO_KEY)), ACTION, "elt_load_type", "elt_execution_date"]
+            self.log.write(newest_per_group(batch, same, [F.col(CONTENT_HASH).desc()]), number)
+            ends = batch.where(F.col(ACTION) == LOAD_END).select("elt_execution_date").distinct().collect()
+            if ends:
+                self.end_loads([r[0] for r in ends], number)
+            elif len(self._pending(number)[1]) >= self.compact_every:
                 self.compact(number)
-        else:
-            before = self.current(number - 1)
-            self.snapshots.write(soft_delete(upsert(before, changes), batch, INTEGRATION_ID), number + 1)
-        batch.unpersist()
+        finally:
+            batch.unpersist()
 
     def run(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         return run_available(
@@ -98,9 +117,9 @@ class ChangeStream:
         )
 
 
-def dump_inserts(batch: DataFrame, path: str) -> None:
-    """Overwrite a dump table with the inserted rows of a batch."""
-    batch.where(F.col("elt_stream_action") == "INSERT").write.mode("overwrite").parquet(path)
+def dump_inserts(batch: DataFrame, path: str, number: int) -> None:
+    """The inserted rows of a micro-batch to a folder of its own, which a repeated batch overwrites."""
+    batch.where(F.col(ACTION) == "INSERT").write.mode("overwrite").parquet(f"{path}/batch={number}")
 
 
 def replay_files(df: DataFrame, path: str, step: str, fmt: str = "parquet", **options) -> None:

@@ -10,7 +10,7 @@ from feedloom.functions.dates import file_suffix, first_date, header_timestamp,
 from feedloom.functions.json import schema_from_prototype
 from feedloom.functions.keys import content_hash, row_key
 from feedloom.functions.text import (
-    canonical_text, cleanse_record, collapse_blanks, delimiter_safe, implied_decimal, implied_decimal_value, normalize_name, picture_scale, safe_name, snake_case,
+    canonical_text, cleanse_record, collapse_blanks, delimiter_safe, implied_decimal, implied_decimal_value, normalize_name, picture_decimals, picture_scale, safe_name, snake_case,
 )
 
 
@@ -35,12 +35,10 @@ def test_implied_decimal_value(spark):
     assert one(spark, "x", lambda c: implied_decimal_value(c, 2)) is None
 
 
-@pytest.mark.parametrize("pic,want", [("9(5)V99", 2), ("9(7)V9(4)", 4), ("X(10)", 0), ("S9(5)", 0), ("9(5) v 999", 3), ("9V9X", 0), ("9(3)V", 0)])
+@pytest.mark.parametrize("pic,want", [("9(5)V99", 2), ("9(7)V9(4)", 4), ("X(10)", 0), ("S9(5)", 0), ("9(5) v 999", 3), ("9V9X", 0), ("9(3)V", 0), ("9v9 ( 3 )", 3), ("V9(2)9", 3), ("9V9(", 0), ("9V(3)", 0), ("V", 0), ("", 0), ("9V99V9", 1), ("9(5)V99-", 2)])
 def test_picture_scale(spark, pic, want):
-    from feedloom.sources.fixed_width import decimals_of
-
     assert one(spark, pic, picture_scale) == want
-    assert decimals_of(pic) == want
+    assert picture_decimals(pic) == want
 
 
 def test_blanks_and_delimiters(spark):
