@@ -15,7 +15,10 @@ from feedloom.functions.text import canonical_text
 from feedloom.operators.ranking import newest_per_group
 from feedloom.types import ACTION, AUDIT_COLUMNS, CONTENT_HASH, INTEGRATION_ID, NO_KEY, PARTITION_COLUMN, ROW_KEY
 
-_FORCE = "__force"
+_FORCE, _LAST = "__force", "__last"
+
+#: Date of the newest change that was seen of a row, also of one with the content the row had already.
+SEEN = "elt_seen_date"
 
 
 def _key_text(c: Column) -> Column:
@@ -57,7 +60,10 @@ def upsert(
     """Update rows whose content changed or which were deleted, insert new ones.
 
     Only INSERT changes with a key count, the newest per key; a change older than its target row is
-    ignored. Text that is null in a change is stored as empty, audit columns are stored as they are.
+    ignored. Where the target has a column ``elt_seen_date`` it moves with every change of the row, of
+    equal content too, and a change older than that date is ignored: so the newest date wins in
+    whatever order batches come. Text that is null in a change is stored as empty, audit columns are
+    stored as they are.
     With ``keys_are_clean`` the target's keys are taken as trimmed and not null and are joined as they
     are, so that a target bucketed by its key (see ``write_bucketed``) is not shuffled.
     """
@@ -67,10 +73,13 @@ def upsert(
         .withColumns({"__key": _key_text(F.col(key)), "__hash": _key_text(F.col(content)), _FORCE: forced})
     )
     source = newest_per_group(source, ["__key"], [F.col(order).desc(), F.col("__hash").desc()])
+    seen = SEEN in target.columns
+    if seen:
+        source = source.drop(SEEN).withColumn(SEEN, F.col(_LAST if _LAST in changes.columns else order))
     kinds = {f.name: f.dataType for f in target.schema}
 
     def incoming(name: str) -> Column:
-        c = F.col(f"s.{name}") if name in changes.columns else F.lit(None).cast(kinds[name])
+        c = F.col(f"s.{name}") if name in source.columns else F.lit(None).cast(kinds[name])
         plain = isinstance(kinds[name], T.StringType) and name not in AUDIT_COLUMNS and name != content
         return F.coalesce(c, F.lit("")) if plain else c
 
@@ -78,32 +87,49 @@ def upsert(
     own_key = (lambda c: c) if keys_are_clean else _key_text
     same_key = own_key(F.col(f"t.{key}")) == F.col("s.__key")
     edited = (_key_text(F.col(f"t.{content}")) != F.col("s.__hash")) | (F.col(f"t.{deleted}") == 1) | F.col(f"s.{_FORCE}")
-    newer = F.coalesce(F.col(f"s.{order}") >= F.col(f"t.{order}"), F.lit(True))
+    since = F.coalesce(F.col(f"t.{SEEN}"), F.col(f"t.{order}")) if seen else F.col(f"t.{order}")
+    newer = F.coalesce(F.col(f"s.{order}") >= since, F.lit(True))
     take = F.coalesce(F.col("s.__key").isNotNull() & edited & newer, F.lit(False))
-    kept = t.join(s, same_key, "left").select(
-        *[F.when(take, incoming(c)).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns]
-    )
+
+    def value(name: str) -> Column:
+        if seen and name == SEEN:
+            return F.greatest(since, F.col(f"s.{SEEN}").cast(kinds[SEEN]))
+        return F.when(take, incoming(name)).otherwise(F.col(f"t.{name}"))
+
+    kept = t.join(s, same_key, "left").select(*[value(c).alias(c) for c in target.columns])
     known = target.select(own_key(F.col(key)).alias("__key")).join(source.select("__key"), "__key", "left_semi")
     new = source.join(known, "__key", "left_anti").alias("s").select(*[incoming(c).alias(c) for c in target.columns])
     return kept.unionByName(new)
 
 
 def fold_changes(
-    log: DataFrame, key: str = INTEGRATION_ID, content: str = CONTENT_HASH, order: str = "elt_execution_date", batch: str = "batch_no"
+    log: DataFrame,
+    key: str = INTEGRATION_ID,
+    content: str = CONTENT_HASH,
+    order: str = "elt_execution_date",
+    batch: str = "batch_no",
+    target: DataFrame | None = None,
 ) -> DataFrame:
     """Many change batches as one: the change that applying them one by one would have left standing.
 
-    Per key that is the last change whose content differs from the one before it. ``log`` holds at most
-    one row per key and batch (see :func:`dedupe_changes`), so a window is never longer than the number
-    of batches.
+    Per key that is the last change whose content differs from the one before it, among those that are
+    not older than a change of an earlier batch. With a ``target`` that has ``elt_seen_date``, changes
+    older than what its row has seen are left out as well. ``log`` holds at most one row per key, date
+    and batch, so a window is never longer than the number of batches and dates.
     """
-    valid = log.where((F.col(ACTION) == "INSERT") & (_key_text(F.col(key)) != NO_KEY))
-    per_key = Window.partitionBy(_key_text(F.col(key))).orderBy(order, batch)
-    before = F.lag(content).over(per_key)
+    valid = log.where((F.col(ACTION) == "INSERT") & (_key_text(F.col(key)) != NO_KEY)).withColumn("__key", _key_text(F.col(key)))
+    if target is not None and SEEN in target.columns:
+        rows = target.select(_key_text(F.col(key)).alias("__key"), F.coalesce(SEEN, order).alias("__since")).where(F.col("__key") != NO_KEY)
+        valid = valid.join(rows, "__key", "left").where(F.coalesce(F.col(order) >= F.col("__since"), F.lit(True))).drop("__since")
+    arrival = Window.partitionBy("__key").orderBy(batch, order)
+    newest = F.max(order).over(arrival.rowsBetween(Window.unboundedPreceding, -1))
+    valid = valid.withColumn("__newest", newest).where(F.coalesce(F.col(order) >= F.col("__newest"), F.lit(True))).drop("__newest")
+    before = F.lag(content).over(arrival)
     marked = valid.withColumn("__change", (before.isNull() | (before != F.col(content))).cast("int"))
-    whole = Window.partitionBy(_key_text(F.col(key)))
-    standing = marked.withColumn(_FORCE, F.sum("__change").over(whole) > 1).where(F.col("__change") == 1)
-    return newest_per_group(standing, [_key_text(F.col(key))], [F.col(order).desc(), F.col(batch).desc()]).drop("__change", batch)
+    whole = Window.partitionBy("__key")
+    marked = marked.withColumns({_FORCE: F.sum("__change").over(whole) > 1, _LAST: F.max(order).over(whole)})
+    standing = marked.where(F.col("__change") == 1)
+    return newest_per_group(standing, ["__key"], [F.col(order).desc(), F.col(batch).desc()]).drop("__change", "__key", batch)
 
 
 def soft_delete(

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from feedloom.operators.ranking import newest_per_group
-from feedloom.operators.state import fold_changes, soft_delete, upsert
+from feedloom.operators.state import SEEN, fold_changes, soft_delete, upsert
 from feedloom.sources.lake import NumberedFolders, TableVersions
 from feedloom.types import ACTION, CONTENT_HASH, INTEGRATION_ID, NO_KEY
 
@@ -71,7 +71,8 @@ class ChangeStream:
         self.snapshots = TableVersions(spark, f"{path.rstrip('/')}/table")
         self.compact_every = compact_every
         if not self.snapshots.versions():
-            self.snapshots.write(initial, 0)
+            seen = initial if SEEN in initial.columns else initial.withColumn(SEEN, F.col("elt_execution_date"))
+            self.snapshots.write(seen, 0)
 
     def _pending(self, upto: int | None = None, newest: int | None = None) -> tuple[int, list[int]]:
         """The newest snapshot (not after ``newest``) and the log folders after it, as of a batch."""
@@ -79,19 +80,22 @@ class ChangeStream:
         version = max(v for v in self.snapshots.versions() if last is None or v <= last)
         return version, [n for n in self.log.numbers() if n >= version and (upto is None or n <= upto)]
 
-    def current(self, upto: int | None = None, newest: int | None = None) -> DataFrame:
+    def current(self) -> DataFrame:
+        return self._state().drop(SEEN)
+
+    def _state(self, upto: int | None = None, newest: int | None = None) -> DataFrame:
         version, pending = self._pending(upto, newest)
         table = self.snapshots.read(version)
-        return upsert(table, fold_changes(self.log.read(pending))) if pending else table
+        return upsert(table, fold_changes(self.log.read(pending), target=table)) if pending else table
 
     def compact(self, upto: int) -> None:
         """Write snapshot ``upto + 1`` unless it is there."""
         if upto + 1 not in self.snapshots.versions():
-            self.snapshots.write(self.current(upto), upto + 1)
+            self.snapshots.write(self._state(upto), upto + 1)
 
     def end_loads(self, loads: list[str], upto: int) -> None:
         """Write snapshot ``upto + 1``, without the keys that these full loads lacked in all of their batches."""
-        table = self.current(upto, newest=upto)
+        table = self._state(upto, newest=upto)
         seen = self.log.read([n for n in self.log.numbers() if n <= upto])
         for load in sorted(loads):
             table = soft_delete(table, seen.where(F.col("elt_execution_date") == load), INTEGRATION_ID)

@@ -89,6 +89,19 @@ def test_folding_equals_one_batch_after_the_other(spark):
     assert rows(state.upsert(target, state.fold_changes(log))) == rows(one_by_one)
 
 
+def test_newest_date_wins_in_any_order(spark):
+    target = spark.createDataFrame([(k, "v", "w", "hB", "0", 0, "0") for k in ("late", "later", "back")], f"{TARGET}, {state.SEEN} string")
+    steps = [[("late", "hB", "2"), ("later", "hA", "3"), ("back", "hA", "1")], [("late", "hA", "1"), ("later", "hC", "2"), ("back", "hB", "2")], [("late", "hB", "3"), ("later", "hA", "4"), ("new", "h1", "2")], [("new", "h0", "1")]]
+    frames = [spark.createDataFrame([(k, h, h, h, d, 0, "INSERT") for k, h, d in step], CHANGE) for step in steps]
+    one_by_one, log = target, None
+    for i, f in enumerate(frames):
+        one_by_one = state.upsert(one_by_one, f)
+        log = f.withColumn("batch_no", F.lit(i)) if log is None else log.unionByName(f.withColumn("batch_no", F.lit(i)))
+    got = {r.elt_integration_id: (r.elt_columns_hash, r.elt_execution_date, r[state.SEEN]) for r in one_by_one.collect()}
+    assert got == {"late": ("hB", "0", "3"), "later": ("hA", "3", "4"), "back": ("hB", "2", "2"), "new": ("h1", "2", "2")}
+    assert rows(state.upsert(target, state.fold_changes(log, target=target))) == rows(one_by_one)
+
+
 def test_change_stream_compacts_and_restarts(spark, tmp_path):
     target, changes = order_target(spark, SF), order_changes(spark, SF)
     want = target
