@@ -25,8 +25,8 @@ CELLS = 1 << 19
 COLUMNS = 4096
 #: Documents in a group; larger ones are several rows of the matrix.
 GROUP = 64
-#: Bits of the filter that says which sets a verification may need.
-FILTER_BITS = 1 << 24
+#: Bits of the filters that tell in a scan which sets or tokens a join may need; what passes by chance the join drops.
+FILTER_BITS = 1 << 25
 
 
 class Shingler:
@@ -118,29 +118,33 @@ def _within(rows: DataFrame) -> DataFrame:
     return rows.select("a", "b", "n", "need", "bits", "others").mapInArrow(bound, "a long, b long")
 
 
-def _sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """``node`` and ``tokens`` of the sets in ``nodes``, built again from the texts.
-
-    Which sets to send on is asked of a filter with one bit per node; the few that pass by chance fall to the join.
-    """
-    spark, bit = docs.sparkSession, F.pmod("node", F.lit(FILTER_BITS))
-    words = nodes.select(F.floor(bit / 32).cast("int").alias("word"), F.pow(F.lit(2.0), bit % 32).cast("long").alias("bit"))
+def _bit_filter(keys: DataFrame, column: str):
+    """A broadcast array with the bit of every key set: FILTER_BITS of them, whatever the number of keys."""
+    bit = F.pmod(column, F.lit(FILTER_BITS))
+    words = keys.select(F.floor(bit / 32).cast("int").alias("word"), F.pow(F.lit(2.0), bit % 32).cast("long").alias("bit"))
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     asked = np.zeros(FILTER_BITS // 32, np.uint32)
     asked[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    filter_bits = spark.sparkContext.broadcast(asked)
+    return keys.sparkSession.sparkContext.broadcast(asked)
+
+
+def _passes(filter_bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys % FILTER_BITS
+    return (filter_bits[at // 32] >> (at % 32).astype(np.uint32) & 1).astype(bool)
+
+
+def _sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """``node`` and ``tokens`` of the sets in ``nodes``, built again from the texts."""
+    asked = _bit_filter(nodes, "node")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, asked, seen = Shingler(size), filter_bits.value, set()
+        shingler = Shingler(size)
         for batch in batches:
-            names, sets = [], []
-            for tokens in shingler.sets(batch.column(0)):
-                node = _named(tokens)
-                if node is None or node in seen or not int(asked[node % FILTER_BITS // 32]) >> node % 32 & 1:
-                    continue
-                names.append(node)
-                sets.append(tokens.view(np.int64))
-                seen.add(node)
+            found = {_named(tokens): tokens for tokens in shingler.sets(batch.column(0))}
+            found.pop(None, None)
+            every = np.fromiter(found, np.int64, len(found))
+            names = every[_passes(asked.value, every)].tolist()
+            sets = [found[n].view(np.int64) for n in names]
             if names:
                 ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))], ["node", "tokens"])
@@ -176,10 +180,13 @@ def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent:
     matrix, and only members of groups within the bound are compared one by one. Documents of one group are never
     compared with each other, so a large family of copies costs as many comparisons as it has members.
     """
-    sets = written(signed.where(F.col("node").isNotNull()).dropDuplicates(["node"]).select("node", "n", "prefix", "bits"), "distinct-sets")
+    some = signed.where(F.col("node").isNotNull()).select("node", "n", "prefix", "bits")
+    copied = written(some.groupBy("node").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("node"), "copied")
+    sets = some.join(copied, "node", "left_anti").union(some.join(copied, "node", "left_semi").dropDuplicates(["node"]))
     tokens = sets.select(F.explode("prefix").alias("token"), "node")
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("pivot")).where("m > 1").drop("m")
-    held = written(tokens.join(shared, "token"), "shared-tokens")
+    ends = tokens.groupBy("token").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
+    shared = written(ends.where("pivot != last").drop("last"), "shared")
+    held = written(_held(sets, _bit_filter(shared, "token")).join(shared, "token"), "shared-tokens")
     rows = sets.select("node", "n", "bits")
     stars = held.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     links = written(_linked(written(_bounded(stars, rows, percent), "pairs"), docs, size, percent), "links")
@@ -209,6 +216,20 @@ def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent:
     return written(components(links.union(more)), "roots")
 
 
+def _held(sets: DataFrame, asked) -> DataFrame:
+    """``token`` and ``node`` for the prefix tokens that pass a filter."""
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("prefix")
+            tokens = lists.flatten().to_numpy()
+            nodes = np.repeat(batch.column("node").to_numpy(), lists.value_lengths().to_numpy())
+            passed = _passes(asked.value, tokens)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[passed]), pa.array(nodes[passed])], ["token", "node"])
+
+    return sets.select("node", "prefix").mapInArrow(unfold, "token long, node long")
+
+
 def _unions(members: DataFrame) -> DataFrame:
     """The matrix: ``others``, the bits of all members of each ``root`` and ``part`` together."""
 
