@@ -21,11 +21,11 @@ BATCH = 64
 
 
 def file_schema(length: int, ids: pa.DataType) -> pa.Schema:
-    """``ids`` and ``mask`` (1: an id, 0: padding) of one sequence, and the documents that begin in it, by offset."""
+    """``ids`` and ``mask`` (true: an id, false: padding) of one sequence, and the documents that begin in it, by offset."""
     return pa.schema(
         [
             pa.field("ids", pa.list_(pa.field("item", ids, False), length), False),
-            pa.field("mask", pa.list_(pa.field("item", pa.uint8(), False), length), False),
+            pa.field("mask", pa.list_(pa.field("item", pa.bool_(), False), length), False),
             pa.field("doc_ids", pa.list_(pa.int64()), False),
             pa.field("doc_offsets", pa.list_(pa.int32()), False),
         ]
@@ -58,7 +58,7 @@ class SequenceWriter:
         held = np.concatenate(self.ids) if self.ids else np.empty(0, np.uint32)
         ids = np.zeros(size, self.schema.field("ids").type.value_type.to_pandas_dtype())
         ids[: len(held)] = held[:size]
-        mask = (np.arange(size) < len(held)).astype(np.uint8)
+        mask = np.arange(size) < len(held)
         here = int(np.searchsorted(self.starts, size))
         rows, offsets = np.divmod(np.array(self.starts[:here], np.int64), self.length)
         bounds, names = np.searchsorted(rows, np.arange(sequences + 1)), self.names[:here]
@@ -104,16 +104,16 @@ class SequenceFile:
         n = self.reader.num_record_batches
         return (n - 1) * BATCH + self.reader.get_batch(n - 1).num_rows if n else 0
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        batch, row = self.reader.get_batch(i // BATCH), slice(i % BATCH * self.length, (i % BATCH + 1) * self.length)
-        return batch.column(0).flatten().to_numpy()[row], batch.column(1).flatten().to_numpy()[row]
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        batch, start = self.reader.get_batch(i // BATCH), i % BATCH * self.length
+        return batch.column(0).flatten().to_numpy()[start : start + self.length], batch.column(1).flatten().slice(start, self.length)
 
     def documents(self) -> Iterator[tuple[int | None, int, int, int]]:
         """Id, start in the file, number of ids and their CRC-32 of every document, one batch in memory at a time."""
         doc, at, count, crc, base = None, None, 0, 0, 0
         for batch in self.batches():
             ids = batch.column(0).flatten().to_numpy()
-            real = int(np.count_nonzero(batch.column(1).flatten().to_numpy()))
+            real = batch.column(1).flatten().true_count
             rows = np.repeat(np.arange(batch.num_rows), batch.column(3).value_lengths().to_numpy())
             starts = rows * self.length + batch.column(3).flatten().to_numpy()
             names = batch.column(2).flatten().to_pylist()
