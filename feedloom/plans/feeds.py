@@ -52,6 +52,16 @@ HEADER_TAG, TRAILER_TAG = "BOF      FEED", "EOF      FEED"
 ORDERS_PER_FILE = 4000
 
 
+def named_file(df: DataFrame, name: str) -> str:
+    """A small CSV with a header under a name of its own, as vendors send them."""
+    spark, folder = df.sparkSession, scratch_path(df.sparkSession, "named")
+    df.coalesce(1).write.option("header", True).csv(folder)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.rename(fs.globStatus(hadoop(f"{folder}/part-*"))[0].getPath(), hadoop(f"{folder}/{name}"))
+    return f"{folder}/{name}"
+
+
 def text_dir(df: DataFrame, label: str) -> str:
     path = scratch_path(df.sparkSession, label)
     df.write.text(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,7 +12,10 @@ from feedloom.functions.dates import parse_timestamp
 
 @dataclass(frozen=True)
 class NameDialect:
-    """A pattern over the lower-cased name without extension; groups are numbered from 1, 0 is absent."""
+    """A pattern over the lower-cased name without extension; groups are numbered from 1, 0 is absent.
+
+    Without a date group the time of the file counts. Feeds with names of their own pass their own dialect.
+    """
 
     pattern: str
     date_format: str
@@ -33,19 +37,33 @@ DIALECTS = {
     # <type><institution><yyyyMMdd><two digits>
     "type_institution": NameDialect(r"^([a-z][a-z]?)([0-9]{1,4})([0-9]{8})([0-9]{2})$", "yyyyMMdd", 1, 3, firm=2, sequence=4),
     # <three letters of the group>_<table>_<MMddyy>
+    # any name at all
+    "undated": NameDialect(r"^(.+)$", "", 1, 0),
     "group_prefix": NameDialect(r"^([a-z]{3})_(.+)_([0-9]{6})$", "MMddyy", 2, 3, firm=1),
 }
 
 
-def file_name_meta(df: DataFrame, name: Column, dialect: NameDialect) -> DataFrame:
-    """Add table, firm, date, sequence and load type; names that do not fit, or whose date is none, give nulls."""
-    base = F.lower(F.regexp_replace(F.element_at(F.split(name, "/"), -1), r"\.[^.]*$", ""))
+def file_name_meta(
+    df: DataFrame, name: Column, dialect: NameDialect, extensions: Sequence[str] = (), modified: Column | None = None
+) -> DataFrame:
+    """Add table, firm, date, sequence and load type; names that do not fit, or whose date is none, give nulls.
+
+    With ``extensions`` (``csv``, ``.txt``) files of any other do not fit either. ``modified`` is the time of the
+    file, for dialects without a date.
+    """
+    last = F.lower(F.element_at(F.split(name, "/"), -1))
+    base = F.regexp_replace(last, r"\.[^.]*$", "")
     fits = base.rlike(dialect.pattern)
+    if extensions:
+        fits = fits & F.regexp_extract(last, r"\.([^.]*)$", 1).isin([e.strip().lstrip(".").lower() for e in extensions])
 
     def group(i: int) -> Column:
         return F.when(fits, F.regexp_extract(base, dialect.pattern, i)) if i else F.lit(None).cast("string")
 
-    at = parse_timestamp(group(dialect.date), dialect.date_format)
+    if dialect.date:
+        at = parse_timestamp(group(dialect.date), dialect.date_format)
+    else:
+        at = F.when(fits, modified if modified is not None else F.lit(None).cast("timestamp"))
     sequence = group(dialect.sequence)
     is_full = sequence == dialect.full_marker if dialect.full_marker else F.lit(None).cast("boolean")
     valid = at.isNotNull()
@@ -59,7 +77,7 @@ def file_name_meta(df: DataFrame, name: Column, dialect: NameDialect) -> DataFra
     )
 
 
-def with_file_meta(df: DataFrame, dialect: NameDialect) -> DataFrame:
+def with_file_meta(df: DataFrame, dialect: NameDialect, extensions: Sequence[str] = ()) -> DataFrame:
     """The same for rows just read from files."""
-    named = df.select("*", F.col("_metadata.file_name").alias("file_name"))
-    return file_name_meta(named, F.col("file_name"), dialect)
+    read = df.select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_modification_time").alias("__modified"))
+    return file_name_meta(read, F.col("file_name"), dialect, extensions, F.col("__modified")).drop("__modified")

@@ -173,3 +173,25 @@ def test_bounded_files_hold_whole_entities(spark, tmp_path):
     files = {p.parent.name: p.read_text().split() for p in (tmp_path / "out").glob("chunk=*/part-*")}
     assert files["chunk=0"] == ["HEAD", "1-0", "2-0", "2-1", "3-0", "3-1", "3-2", "T3"]
     assert files["chunk=2"] == ["HEAD", *[f"1-{i}" for i in range(7)], "T1"]
+
+
+def test_undated_names_take_the_time_of_the_file(spark):
+    from feedloom.sources.file_meta import DIALECTS, file_name_meta
+
+    df = spark.sql("SELECT * FROM VALUES ('in/Some Feed.TXT', timestamp'2024-01-31 10:00:00'), ('other.xml', timestamp'2024-01-31 10:00:00') AS t(f, at)")
+    got = file_name_meta(df, F.col("f"), DIALECTS["undated"], [".txt", "csv"], F.col("at")).select("table_name", F.col("key_datetime").cast("string")).collect()
+    assert [tuple(r) for r in got] == [("some feed", "2024-01-31 10:00:00"), (None, None)]
+
+
+def test_separator_behind_a_long_first_name(spark, tmp_path):
+    from feedloom.sources.delimited import read_delimited
+
+    (tmp_path / "a.csv").write_text("x" * 5100 + "|b,c\n1|2\n")
+    assert read_delimited(spark, str(tmp_path / "a.csv")).columns[1] == "b_c"
+
+
+def test_null_lines_are_bad_lines(spark):
+    from feedloom.sources.lines import split_by_delimiter_count
+
+    good, bad = split_by_delimiter_count(spark.createDataFrame([("a|b",), (None,), ("a",)], "value string"), "|", 1)
+    assert good.count() == 1 and bad.count() == 2
