@@ -129,7 +129,7 @@ def assemble(
 
     Every entry maps a name to (which child lines, what of them). The lists of an entity with more than
     ``max_lines`` lines continue in further rows, told apart by ``part_no``, so no task gathers an
-    unbounded list; singles and sums are whole in every part.
+    unbounded list; root fields, singles and sums are whole in every part. A row is an entity and a part.
     """
     part = F.floor((F.col("line_no") - F.col("entity_start")) / max_lines).cast("int")
     gathered = [

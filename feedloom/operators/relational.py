@@ -7,6 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from feedloom.operators.ranking import row_numbers
+from feedloom.session import written
+
 MAX_CHILDREN = 100_000
 
 
@@ -40,24 +43,21 @@ def left_chain(root: DataFrame, steps: Sequence[tuple[DataFrame, Column]]) -> Da
 def part_number(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], max_children: int = MAX_CHILDREN
 ) -> DataFrame:
-    """Add ``part_no``: 0 for ordinary keys; keys above ``max_children`` rows are spread over several parts.
+    """Add ``part_no``: the position of a row within its key, in ``order``, divided by ``max_children``.
 
-    Only the oversized keys are joined back, so with none of them this is one aggregate that combines
-    on the map side and an empty join.
+    It is 0 for all rows of ordinary keys, which one aggregate tells and an empty join. Only rows of larger
+    keys are ordered, by ranges of key and order, so no task sorts a key alone.
     """
-    big = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > max_children)
-        .select(*[F.col(k).alias(f"__{k}") for k in keys], F.ceil(F.col("__rows") / max_children).alias("__parts"))
-    )
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-    spread = F.pmod(F.xxhash64(*order), F.col("__parts"))
-    return (
-        df.join(big, on, "left")
-        .withColumn("part_no", F.coalesce(spread, F.lit(0)).cast("int"))
-        .drop("__parts", *[f"__{k}" for k in keys])
-    )
+    name = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    big = df.groupBy(name.alias("__big")).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > max_children).select("__big")
+    big = written(big, "large-keys")
+    named = df.withColumn("__key", name)
+    small = named.join(big, F.col("__key") == F.col("__big"), "left_anti").withColumn("part_no", F.lit(0))
+    large = named.join(big, F.col("__key") == F.col("__big"), "left_semi")
+    ranged = large.repartitionByRange("__key", *order).withColumn("__range", F.spark_partition_id())
+    numbered = row_numbers(written(ranged, "large-rows"), ["__key"], "__range", order, "__no")
+    large = numbered.withColumn("part_no", F.floor((F.col("__no") - 1) / max_children).cast("int"))
+    return small.unionByName(large.select(*small.columns)).drop("__key")
 
 
 def collect_records(
@@ -68,14 +68,16 @@ def collect_records(
     fields: Sequence[str],
     max_children: int = MAX_CHILDREN,
 ) -> DataFrame:
-    """One row per key (and part) with one sorted array of structs per record kind.
+    """One row per key and ``part_no`` with one sorted array of structs per record kind.
 
-    All kinds are gathered in a single grouping instead of one join per kind. A key with more rows than
-    ``max_children`` gives several rows, told apart by ``part_no``, so no array grows without bound.
+    All kinds are gathered in a single grouping instead of one join per kind. Part p of a key holds its
+    rows from position p * ``max_children`` on, in order, at most so many; so no array grows without
+    bound, and the parts of a key follow each other.
     """
     item = F.struct(*order, *[f for f in fields if f not in order])
     lists = [F.sort_array(F.collect_list(F.when(rule, item))).alias(name) for name, rule in kinds.items()]
-    return part_number(df, keys, order, max_children).groupBy(*keys, "part_no").agg(*lists)
+    ties = [F.xxhash64(*fields)] if fields else []
+    return part_number(df, keys, [*order, *ties], max_children).groupBy(*keys, "part_no").agg(*lists)
 
 
 def keys_without(df: DataFrame, group: Sequence[str], flag: Column) -> DataFrame:

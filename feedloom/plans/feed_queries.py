@@ -366,7 +366,7 @@ def account_documents(spark, sf, max_lines=records.MAX_LINES):
 
 
 @query("hierarchical_records", f"""
-SELECT lpad(cast(c_custkey AS varchar), 6, '0') AS account_number, {DEC.format('abs(c_acctbal)')} AS balance, c_mktsegment AS segment, cast(c_nationkey AS varchar) AS nation,
+SELECT lpad(cast(c_custkey AS varchar), 6, '0') AS account_number, 0 AS part_no, {DEC.format('abs(c_acctbal)')} AS balance, c_mktsegment AS segment, cast(c_nationkey AS varchar) AS nation,
   CASE WHEN c_acctbal < 0 THEN 2 ELSE 1 END AS ffr_name_count, c_mktsegment || '/' || CASE WHEN c_mktsegment <> 'BUILDING' THEN lpad(cast(c_custkey AS varchar), 9, '0') ELSE '' END || CASE WHEN c_acctbal < 0 THEN ' SECOND/' ELSE '' END AS names,
   (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS addresses,
   (SELECT string_agg(o_orderkey || '=' || {DEC.format('o_totalprice')}, ' ' ORDER BY o_orderkey) FROM orders WHERE o_custkey = c_custkey) AS address_text FROM customer
@@ -376,7 +376,7 @@ def hierarchical_records(spark, sf):
     names = F.array_join(F.transform("names", lambda x: F.concat_ws("/", x["ffr_primary_acct_name"], F.coalesce(x["ffr_ssn_number"], F.lit("")))), " ")
     text = F.array_join(F.transform("addresses", lambda x: F.concat_ws("=", F.regexp_replace(x["order_key"], "^0+(?=.)", ""), x["price"])), " ")
     return docs.select(
-        "account_number", "balance", "segment", "nation", F.col("ffr_name_count").cast("int").alias("ffr_name_count"), names.alias("names"),
+        "account_number", "part_no", "balance", "segment", "nation", F.col("ffr_name_count").cast("int").alias("ffr_name_count"), names.alias("names"),
         F.size("addresses").cast("bigint").alias("addresses"), F.nullif(text, F.lit("")).alias("address_text"),
     )
 
@@ -446,13 +446,13 @@ def route_with_headers(spark, sf):
 
 
 @query("record_arrays", f"""
-WITH {LINES_SQL} SELECT k AS order_key, count(*) FILTER (kind = 'A') AS record_a, count(*) FILTER (kind = 'B') AS record_b FROM lines GROUP BY k
+WITH {LINES_SQL} SELECT k AS order_key, 0 AS part_no, count(*) FILTER (kind = 'A') AS record_a, count(*) FILTER (kind = 'B') AS record_b FROM lines GROUP BY k
 """)
 def record_arrays(spark, sf):
     kind = F.substring("value", 3, 1)
     docs = collect_records(written(order_entities(spark, sf), "staged-lines"), ["file_path", "entity_no"], {"record_a": kind == "A", "record_b": kind == "B"}, ["line_no"], ["value"])
     return docs.select(
-        F.substring(F.get("record_a", 0)["value"], 4, 12).cast("bigint").alias("order_key"), F.size("record_a").cast("bigint").alias("record_a"), F.size("record_b").cast("bigint").alias("record_b")
+        F.substring(F.coalesce(F.get("record_a", 0), F.get("record_b", 0))["value"], 4, 12).cast("bigint").alias("order_key"), "part_no", F.size("record_a").cast("bigint").alias("record_a"), F.size("record_b").cast("bigint").alias("record_b")
     )
 
 

@@ -23,7 +23,7 @@ def order_documents(spark, sf):
     o = table(spark, sf, "orders").select(
         "o_orderkey", F.struct(F.col("o_orderstatus").alias("status"), F.struct(F.col("o_orderpriority").alias("_text")).alias("priority")).alias("head"), "o_custkey"
     )
-    return o.join(lines, "o_orderkey", "left")
+    return o.join(lines, "o_orderkey", "left").fillna(0, ["part_no"])
 
 
 FLAT_SQL = """
@@ -38,12 +38,12 @@ def flat_columns(df):
 
 @query("flatten_nested", FLAT_SQL.format(join="JOIN"))
 def flatten_nested(spark, sf):
-    return flat_columns(nested.flatten(order_documents(spark, sf)))
+    return flat_columns(nested.flatten(order_documents(spark, sf).drop("part_no")))
 
 
 @query("flatten_nested_outer", FLAT_SQL.format(join="LEFT JOIN"))
 def flatten_nested_outer(spark, sf):
-    return flat_columns(nested.flatten(order_documents(spark, sf), outer=True))
+    return flat_columns(nested.flatten(order_documents(spark, sf).drop("part_no"), outer=True))
 
 
 @query("flatten_divide", """
@@ -63,7 +63,7 @@ def flatten_divide(spark, sf):
 
 
 @query("doc_builder_filtered_first", """
-SELECT o_orderkey, o_orderstatus AS status, (SELECT string_agg(l_partkey || '@' || cast(l_shipdate AS date), ' ' ORDER BY l_linenumber, l_partkey, l_suppkey) FROM lineitem WHERE l_orderkey = o_orderkey) AS parts,
+SELECT o_orderkey, 0 AS part_no, o_orderstatus AS status, (SELECT string_agg(l_partkey || '@' || cast(l_shipdate AS date), ' ' ORDER BY l_linenumber, l_partkey, l_suppkey) FROM lineitem WHERE l_orderkey = o_orderkey) AS parts,
   (SELECT arg_min(l_partkey, (l_linenumber, l_partkey, l_suppkey)) FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') AS first_returned,
   (SELECT string_agg(l_returnflag, ', ' ORDER BY l_linenumber, l_partkey, l_suppkey) FROM lineitem WHERE l_orderkey = o_orderkey) AS flags
 FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
@@ -72,41 +72,41 @@ def doc_builder_filtered_first(spark, sf):
     docs = order_documents(spark, sf).where(F.size("lines") > 0)
     shipped = F.transform("lines", lambda x: F.struct(x["l_partkey"].alias("l_partkey"), x["ship"]["_date"].alias("day"), x["ship"]["flag"].alias("flag")))
     built = docs.select(
-        "o_orderkey", F.struct(F.col("head.status").alias("State")).alias("Address"),
+        "o_orderkey", "part_no", F.struct(F.col("head.status").alias("State")).alias("Address"),
         nested.renamed_items(shipped, {"l_partkey": "Part", "day": "Day"}).alias("Items"),
         nested.first_where(shipped, lambda x: x["flag"] == "R").alias("Registration"),
         nested.joined_codes(shipped, "flag").alias("Codes"),
     )
     text = F.array_join(F.transform("Items", lambda x: F.concat_ws("@", x["Part"].cast("string"), x["Day"])), " ")
-    return built.select("o_orderkey", F.col("Address.State").alias("status"), text.alias("parts"), F.col("Registration.l_partkey").alias("first_returned"), F.col("Codes").alias("flags"))
+    return built.select("o_orderkey", "part_no", F.col("Address.State").alias("status"), text.alias("parts"), F.col("Registration.l_partkey").alias("first_returned"), F.col("Codes").alias("flags"))
 
 
 @query("current_vs_history_arrays", """
-SELECT o_orderkey, count(*) FILTER (l_returnflag <> 'R') AS current_items, count(*) FILTER (l_returnflag = 'R') AS history_items,
+SELECT o_orderkey, 0 AS part_no, count(*) FILTER (l_returnflag <> 'R') AS current_items, count(*) FILTER (l_returnflag = 'R') AS history_items,
   min(cast(cast(l_shipdate AS date) AS varchar)) FILTER (l_returnflag = 'R') AS first_end FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
 """)
 def current_vs_history_arrays(spark, sf):
     docs = order_documents(spark, sf).where(F.size("lines") > 0)
     end = lambda x: F.when(x["ship"]["flag"] == "R", x["ship"]["_date"]).when(x["ship"]["flag"] == "A", "")
-    dated = docs.select("o_orderkey", F.transform("lines", lambda x: F.struct(x["l_partkey"].alias("part"), end(x).alias("to"))).alias("items"))
+    dated = docs.select("o_orderkey", "part_no", F.transform("lines", lambda x: F.struct(x["l_partkey"].alias("part"), end(x).alias("to"))).alias("items"))
     past = nested.closed_items(F.col("items"), "to")
     return dated.select(
-        "o_orderkey", F.size(nested.current_items(F.col("items"), "to")).cast("bigint").alias("current_items"),
+        "o_orderkey", "part_no", F.size(nested.current_items(F.col("items"), "to")).cast("bigint").alias("current_items"),
         F.size(past).cast("bigint").alias("history_items"), F.array_min(past.getField("to")).alias("first_end"),
     )
 
 
 @query("prototype_json", """
-SELECT o_orderkey AS key, o_orderstatus AS status, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS lines FROM orders
+SELECT o_orderkey AS key, 0 AS part_no, o_orderstatus AS status, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS lines FROM orders
 """)
 def prototype_json(spark, sf):
     """Documents read with a schema by example: every leaf is text."""
     path = scratch_path(spark, "prototype")
-    order_documents(spark, sf).select(F.to_json(F.struct("o_orderkey", "head", "lines")).alias("value")).write.text(path)
-    schema = schema_from_prototype({"o_orderkey": None, "head": {"status": None, "priority": {"_text": None}}, "lines": [{"l_partkey": None, "ship": {"flag": None}}]})
+    order_documents(spark, sf).select(F.to_json(F.struct("o_orderkey", "part_no", "head", "lines")).alias("value")).write.text(path)
+    schema = schema_from_prototype({"o_orderkey": None, "part_no": None, "head": {"status": None, "priority": {"_text": None}}, "lines": [{"l_partkey": None, "ship": {"flag": None}}]})
     docs = read_json_docs(spark, path, schema, multi_line=False)
     count = F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines"))
-    return docs.select(F.col("o_orderkey").cast("bigint").alias("key"), F.col("head.status").alias("status"), count.cast("bigint").alias("lines"))
+    return docs.select(F.col("o_orderkey").cast("bigint").alias("key"), F.col("part_no").cast("int").alias("part_no"), F.col("head.status").alias("status"), count.cast("bigint").alias("lines"))
 
 
 @query("variant_projection", "SELECT event_id, json_extract_string(props, '$.k') AS k, NULL AS absent FROM events")

@@ -125,7 +125,7 @@ def array_agg_struct(spark, sf):
 
 
 @query("collect_records", """
-SELECT o_orderkey AS order_key, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') AS returned,
+SELECT o_orderkey AS order_key, 0 AS part_no, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') AS returned,
   (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag <> 'R') AS kept,
   (SELECT string_agg(l_linenumber || ':' || l_partkey, ' ' ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate)
    FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') AS returned_parts
@@ -136,7 +136,7 @@ def collect_records(spark, sf):
     returned = F.col("l_returnflag") == "R"
     docs = rel.collect_records(l, ["order_key"], {"r": returned, "k": ~returned}, ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"], [])
     text = F.array_join(F.transform("r", lambda x: F.concat_ws(":", x["l_linenumber"].cast("string"), x["l_partkey"].cast("string"))), " ")
-    return docs.select("order_key", F.size("r").cast("bigint").alias("returned"), F.size("k").cast("bigint").alias("kept"), F.nullif(text, F.lit("")).alias("returned_parts"))
+    return docs.select("order_key", "part_no", F.size("r").cast("bigint").alias("returned"), F.size("k").cast("bigint").alias("kept"), F.nullif(text, F.lit("")).alias("returned_parts"))
 
 
 @query("duplicate_keys", """

@@ -34,8 +34,12 @@ def test_collected_parts_are_bounded_and_whole(hot):
     docs = relational.collect_records(hot, ["k"], {"items": F.lit(True)}, ["id"], ["v"], max_children=100).cache()
     assert rows(docs.select("k", F.inline("items"))) == rows(hot.select("k", "id", "v"))
     sizes = {(r.k, r.part_no): r.n for r in docs.select("k", "part_no", F.size("items").alias("n")).collect()}
-    assert max(sizes.values()) < 200 and len([k for k, _ in sizes if k == 0]) >= 10
+    hot_parts = sorted(p for k, p in sizes if k == 0)
+    assert hot_parts == list(range(len(hot_parts))) and len(hot_parts) >= 10
+    assert all(n == 100 for (k, p), n in sizes.items() if k == 0 and p < hot_parts[-1]) and max(sizes.values()) <= 100
     assert all(p == 0 for k, p in sizes if k != 0)
+    edges = sorted((r.part_no, r.low, r.high) for r in docs.where("k = 0").select("part_no", F.array_min("items.id").alias("low"), F.array_max("items.id").alias("high")).collect())
+    assert all(a[2] < b[1] for a, b in zip(edges, edges[1:], strict=False))
 
 
 def test_newest_rows_are_trimmed_before_the_shuffle(hot):
