@@ -1,8 +1,8 @@
 """Prediction by partial matching over bytes, trained on one part of the corpus and scoring all of it.
 
 The trie of byte contexts is a table of windows (a context and the byte after it) with counts; shorter contexts are
-sums of longer ones. It is never gathered in one place: texts are packed into blocks, each block asks for the windows
-it holds, and the answers travel back to the block.
+sums of longer ones. The score of a text is a sum over its windows: the most frequent windows, a bounded number, go to
+every task, and the rare rest is looked up by a join. Words of the unigram base score go the same way.
 """
 
 from __future__ import annotations
@@ -20,10 +20,12 @@ from feedloom.session import written
 
 #: Bytes of context.
 ORDER = 5
-#: Bytes of text that are packed together; a longer text is a block of its own.
-BLOCK_BYTES = 16_000_000
-#: Bytes that are worked on at a time within a block, in whole documents.
+#: Bytes that are worked on at a time, in whole documents.
 SLICE_BYTES = 2_000_000
+#: Windows, and words, that go to every task: the most frequent ones. All others are joined.
+TABLE = 1_000_000
+#: Different keys that a task counts before it passes them on.
+HELD = 3_000_000
 #: Stand for the time before a text and its end; neither occurs in UTF-8.
 BEFORE, END = 0xFE, 0xFF
 SYMBOLS = 256
@@ -33,7 +35,10 @@ LN10 = math.log(10)
 
 
 class Lookup:
-    """Places of numbers in a sorted array: by a hash table first, by bisection where two numbers share a slot."""
+    """Places of numbers in a sorted array: by a hash table first, by bisection where two numbers share a slot.
+
+    A number that is not there gets some place; compare with ``keys``.
+    """
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys
@@ -47,7 +52,7 @@ class Lookup:
     def find(self, asked: np.ndarray) -> np.ndarray:
         at = self.slots[self._slot(asked)]
         missed = np.flatnonzero(self.keys[at] != asked)
-        at[missed] = np.searchsorted(self.keys, asked[missed])
+        at[missed] = np.minimum(np.searchsorted(self.keys, asked[missed]), len(self.keys) - 1)
         return at
 
 
@@ -92,48 +97,22 @@ class Reader:
         return keys[real], np.concatenate([[0], np.cumsum(sizes + 1)])
 
 
-def packed(docs: DataFrame, train: Column, size: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks of texts, as they come: ``block``, ``doc_ids``, ``train``, ``texts`` (one after the other), ``lengths``."""
-    schema = "block long, doc_ids array<long>, train array<boolean>, texts binary, lengths array<long>"
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, n, held, room = TaskContext.get().partitionId() << 32, 0, [], size
-
-        def flush() -> pa.RecordBatch:
-            ids, flags, texts = zip(*held, strict=True)
-            columns = [[base + n], [list(ids)], [list(flags)], [b"".join(texts)], [[len(t) for t in texts]]]
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.list_(pa.int64())]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["block", "doc_ids", "train", "texts", "lengths"])
-
-        for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for doc_id, flag, text in zip(batch.column("doc_id").to_pylist(), batch.column("train").to_pylist(), texts, strict=True):
-                if held and len(text or b"") > room:
-                    yield flush()
-                    held, room, n = [], size, n + 1
-                held.append((doc_id, flag, text or b""))
-                room -= len(text or b"")
-        if held:
-            yield flush()
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), train.alias("train"), "text")
-    return rows.mapInArrow(pack, schema)
-
-
-def _slices(texts: bytes, lengths: np.ndarray) -> Iterator[tuple[slice, pa.Array]]:
-    """The texts of a block in runs of about ``SLICE_BYTES``."""
-    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[slice, pa.Array]]:
+    """The texts of a batch in runs of about ``SLICE_BYTES``; null texts are empty."""
+    texts = batch.column("text").cast(pa.large_binary()).fill_null(b"")
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     first = 0
-    while first < len(lengths):
+    while first < len(texts):
         last = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE_BYTES, "right")) - 1)
-        offsets = pa.py_buffer(np.ascontiguousarray(ends[first : last + 1]))
-        yield slice(first, last), pa.LargeBinaryArray.from_buffers(pa.large_binary(), last - first, [None, offsets, pa.py_buffer(texts)])
+        yield slice(first, last), texts.slice(first, last - first)
         first = last
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Keys and summed counts of several sorted lists."""
     keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    if not len(keys):
+        return keys, counts
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -149,30 +128,37 @@ def _counted(keys: np.ndarray, bounds: np.ndarray, train: np.ndarray) -> tuple[n
     return every, out
 
 
-def requests(blocks: DataFrame, order: int = ORDER) -> DataFrame:
-    """``block``, ``kind``, ``key`` and ``n``: the different windows and words of every block, with training counts."""
+def key_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """``kind``, ``key`` and ``n``: all windows and words of ``docs`` (``train``, ``text``) with their training counts."""
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(order)
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {WINDOW: [], WORD: []}
+
+        def flush(kind: int) -> Iterator[pa.RecordBatch]:
+            keys, n = _merged(held[kind]) if held[kind] else (np.empty(0, np.int64),) * 2
+            held[kind] = []
+            for a in range(0, len(keys), 1 << 16):
+                k = keys[a : a + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(n[a : a + (1 << 16)])], ["kind", "key", "n"])
+
         for batch in batches:
-            for i in range(batch.num_rows):
-                train = batch.column("train")[i].values.to_numpy(zero_copy_only=False)
-                windows, words = [], []
-                for part, texts in _slices(batch.column("texts")[i].as_py(), batch.column("lengths")[i].values.to_numpy()):
-                    windows.append(_counted(*reader.windows(texts), train[part]))
-                    words.append(_counted(*reader.words(texts), train[part]))
-                for kind, parts in ((WINDOW, windows), (WORD, words)):
-                    keys, n = _merged(parts) if sum(len(k) for k, _ in parts) else (np.empty(0, np.int64),) * 2
-                    for a in range(0, len(keys), 1 << 16):
-                        k = keys[a : a + (1 << 16)]
-                        block = pa.array(np.full(len(k), batch.column("block")[i].as_py()))
-                        yield pa.RecordBatch.from_arrays([block, pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(n[a : a + (1 << 16)])], ["block", "kind", "key", "n"])
-
-    return blocks.mapInArrow(ask, "block long, kind byte, key long, n long")
+            train = batch.column("train").to_numpy(zero_copy_only=False)
+            for part, texts in _slices(batch):
+                for kind, found in ((WINDOW, reader.windows(texts)), (WORD, reader.words(texts))):
+                    held[kind].append(_counted(*found, train[part]))
+                    if sum(len(k) for k, _ in held[kind]) > HELD:
+                        held[kind] = [_merged(held[kind])]
+                        if len(held[kind][0][0]) > HELD // 2:
+                            yield from flush(kind)
+        for kind in held:
+            yield from flush(kind)
+
+    return docs.select("train", "text").mapInArrow(count, "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 def window_scores(windows: DataFrame, order: int = ORDER) -> DataFrame:
-    """``key`` and ``value``, the log10 probability of every window of ``windows`` (``key``, training count ``n``).
+    """``windows`` (``key``, training count ``n``) with ``value``, the log10 probability of each.
 
     At a context with total T and D different followers, a follower with count c has c / (T + D) and the escape to the
     next shorter context D / (T + D). There all followers of the longer context are excluded: they all follow the
@@ -188,7 +174,7 @@ def window_scores(windows: DataFrame, order: int = ORDER) -> DataFrame:
     for k in range(order - 1, -1, -1):
         summed = counts[k + 1].groupBy(low(F.col("key"), k).alias("key")).agg(F.sum("c").alias("c"))
         counts[k] = written(summed, f"order-{k}")
-    scored = windows.select("key", *[low(F.col("key"), k).alias(f"key{k}") for k in range(order + 1)])
+    scored = windows.select("key", "n", *[low(F.col("key"), k).alias(f"key{k}") for k in range(order + 1)])
     for k in range(order + 1):
         scored = scored.join(counts[k].select(F.col("key").alias(f"key{k}"), F.col("c").alias(f"c{k}")), f"key{k}", "left")
         if k:
@@ -223,10 +209,26 @@ def window_scores(windows: DataFrame, order: int = ORDER) -> DataFrame:
     for k in range(order + 1):
         gone = F.coalesce(F.col(f"t{k}") > 0, F.lit(False)) if k else F.lit(t0 > 0)
         scored = scored.withColumn(f"after{k}", step(k - 1, gone if k else None))
-    return scored.select("key", (step(order, None) / LN10).alias("value"))
-
-
-def score(docs: DataFrame, train: Column, order: int = ORDER, size: int = BLOCK_BYTES) -> DataFrame:
+    return scored.select("key", "n", (step(order, None) / LN10).alias("value"))
+
+
+def _frequent(values: DataFrame, most: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Sorted keys and values of the most frequent windows and words, at most ``most`` of each, whole counts only."""
+    found, least = {}, {}
+    for kind, n, keys in values.groupBy("kind", "n").agg(F.count(F.lit(1)).alias("keys")).orderBy(F.col("n").desc()).collect():
+        room, _ = least.get(kind, (most, None))
+        if room is not None:
+            least[kind] = (room - keys, n) if keys <= room else (None, least.get(kind, (0, None))[1])
+    for kind in (WINDOW, WORD):
+        n = least.get(kind, (0, None))[1]
+        rows = values.where((F.col("kind") == kind) & (F.col("n") >= n if n is not None else F.lit(False))).select("key", "value").toArrow()
+        keys, held = rows.column("key").to_numpy(), rows.column("value").to_numpy()
+        order = np.argsort(keys)
+        found[kind] = keys[order], held[order]
+    return found
+
+
+def score(docs: DataFrame, train: Column, order: int = ORDER, table: int = TABLE) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     Tokens are the words with A-Z as a-z, then one end. ``base_score`` is the smoothed unigram score of the tokens,
@@ -234,49 +236,75 @@ def score(docs: DataFrame, train: Column, order: int = ORDER, size: int = BLOCK_
     are empty. Rows where ``train`` is not true teach nothing; without any that is, all bytes are equally likely.
     Repeated rows count and are scored each; other columns are not read; no rows give none.
 
-    A block asks for each different window and word once, so what is shuffled grows with the blocks and the variety
-    of their texts, and no key has more rows than there are blocks. Words are told apart by 64-bit hashes.
+    The keys that are joined are those too rare for the ``table``, so none of them is hot, and no text is shuffled.
+    Words are told apart by 64-bit hashes.
     """
-    blocks = written(packed(docs, F.coalesce(train, F.lit(False)), size), "blocks")
-    asked = written(requests(blocks, order), "requests")
-    totals = asked.groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    totals = written(totals, "totals")
-    words = totals.where(F.col("kind") == WORD).select("kind", "key", F.col("n").cast("double").alias("value"))
+    spark = docs.sparkSession
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), "text")
+    totals = written(key_counts(read, order), "totals")
+    words = totals.where(F.col("kind") == WORD).select("kind", "key", "n", F.col("n").cast("double").alias("value"))
     windows = totals.where(F.col("kind") == WINDOW).select("key", "n")
-    scored = written(window_scores(windows, order).select(F.lit(WINDOW).cast("byte").alias("kind"), "key", "value"), "scores")
-    ends = blocks.select(F.explode("train").alias("t")).agg(F.count_if("t")).first()[0]
-    tokens, kinds = words.agg(F.coalesce(F.sum("value"), F.lit(0.0)), F.count_if(F.col("value") > 0)).first()
-    n, v = int(tokens) + ends, kinds + (ends > 0)
-    answers = asked.select("block", "kind", "key").join(words.union(scored), ["kind", "key"])
-    schema = "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-
-    def answer(block: pa.Table, values: pa.Table) -> pa.Table:
-        block = block.combine_chunks()
-        kind = values.column("kind").to_numpy()
-        reader, found = Reader(order), {}
-        for k in (WINDOW, WORD):
-            keys, held = (values.column(c).to_numpy()[kind == k] for c in ("key", "value"))
-            at = np.argsort(keys)
-            found[k] = Lookup(keys[at]), held[at]
-        out: list[list[np.ndarray]] = []
-        floor = n + 0.1 * (v + 1)
-        for i in range(block.num_rows):
-            ids = block.column("doc_ids")[i].values
-            train = block.column("train")[i].values
-            for part, texts in _slices(block.column("texts")[i].as_py(), block.column("lengths")[i].values.to_numpy()):
-                keys, bounds = reader.windows(texts)
-                lookup, held = found[WINDOW]
-                bits = np.add.reduceat(held[lookup.find(keys)], bounds[:-1])
-                words, at = reader.words(texts)
-                lookup, held = found[WORD]
-                counts = held[lookup.find(words)] if len(words) else np.empty(0)
-                sums = [np.concatenate([[0.0], np.cumsum(x)]) for x in (np.log10((counts + 0.1) / floor), counts > 0)]
-                base, known = (s[at[1:]] - s[at[:-1]] for s in sums)
-                of = slice(part.start, part.stop)
-                out.append([ids[of], train[of], np.diff(at) + 1, known.astype(np.int64) + (ends > 0), base + math.log10((ends + 0.1) / floor), bits])
-        names = ["doc_id", "train", "n_tokens", "n_known", "base_score", "score"]
-        made = {c: pa.concat_arrays([pa.array(x[i]) for x in out]) for i, c in enumerate(names)}
-        made["train_tokens"] = pa.array(np.full(len(made["doc_id"]), n, np.int64))
-        return pa.table({c: made[c] for c in ("doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
-
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(answer, schema)
+    scored = window_scores(windows, order).select(F.lit(WINDOW).cast("byte").alias("kind"), "key", "n", "value")
+    values = written(words.union(scored), "values")
+    ends = read.agg(F.count_if("train")).first()[0]
+    tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+    n, v = tokens + ends, kinds + (ends > 0)
+    floor = n + 0.1 * (v + 1)
+    sent = spark.sparkContext.broadcast(_frequent(values, table))
+    of_end = math.log10((ends + 0.1) / floor)
+    schema = "row long, doc_id long, train boolean, n_tokens long, n_known long, base double, score double, kind byte, key long"
+    arrow = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("kind", pa.int8()), ("key", pa.int64())])
+
+    def sums(x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(x)])
+        return total[bounds[1:]] - total[bounds[:-1]]
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, row = Reader(order), TaskContext.get().partitionId() << 40
+        tables = {kind: (Lookup(keys), held) for kind, (keys, held) in sent.value.items()}
+
+        def known(kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            lookup, held = tables[kind]
+            if not len(held):
+                return np.zeros(len(keys), bool), np.zeros(len(keys))
+            at = lookup.find(keys)
+            hit = lookup.keys[at] == keys
+            return hit, np.where(hit, held[at], 0.0)
+
+        for batch in batches:
+            for part, texts in _slices(batch):
+                rows = np.arange(row, row + len(texts))
+                row += len(texts)
+                keys, at = reader.windows(texts)
+                hit, bits = known(WINDOW, keys)
+                words, to = reader.words(texts)
+                found, counts = known(WORD, words)
+                base = np.where(found, np.log10((counts + 0.1) / floor), 0.0)
+                size = np.diff(to) + 1
+                columns = {"row": rows, "doc_id": batch.column("doc_id").slice(part.start, len(rows)), "train": batch.column("train").slice(part.start, len(rows)), "n_tokens": size}
+                columns |= {"n_known": sums((counts > 0).astype(np.int64), to) + (ends > 0), "base": sums(base, to) + of_end, "score": sums(bits, at)}
+                yield _filled(columns, arrow)
+                for kind, keys, bounds, hit in ((WINDOW, keys, at, hit), (WORD, words, to, found)):
+                    rare = {"row": np.repeat(rows, np.diff(bounds))[~hit], "key": keys[~hit]}
+                    yield _filled(rare | {"kind": np.full(len(rare["key"]), kind, np.int8)}, arrow)
+
+    rated = written(read.mapInArrow(rate, schema), "rated")
+    rare = rated.where(F.col("kind").isNotNull()).select("row", "kind", "key").join(values.drop("n"), ["kind", "key"])
+    is_word = F.col("kind") == WORD
+    more = rare.groupBy(F.col("row").alias("r")).agg(
+        F.sum(F.when(~is_word, F.col("value")).otherwise(0.0)).alias("more_score"),
+        F.sum(F.when(is_word, F.log10((F.col("value") + 0.1) / floor)).otherwise(0.0)).alias("more_base"),
+        F.count_if(is_word & (F.col("value") > 0)).alias("more_known"),
+    )
+    rows = rated.where(F.col("kind").isNull()).join(more, F.col("row") == F.col("r"), "left").fillna(0, ["more_score", "more_base", "more_known"])
+    return rows.select(
+        "doc_id", "train", "n_tokens", (F.col("n_known") + F.col("more_known")).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("base") + F.col("more_base")).alias("base_score"), (F.col("score") + F.col("more_score")).alias("score"),
+    )
+
+
+def _filled(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
+    """A batch of a wider schema; the columns that are not given are null."""
+    n = len(next(iter(columns.values())))
+    arrays = [columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema]
+    return pa.RecordBatch.from_arrays([a if isinstance(a, pa.Array) else pa.array(a, f.type) for a, f in zip(arrays, schema, strict=True)], schema=schema)

@@ -148,14 +148,15 @@ def test_lengths(make, vocabulary):
     assert token_counts.length_counts(make([]), vocabulary).count() == 0
 
 
-@pytest.mark.parametrize("size", [200, 10**7])
-def test_ppm_equals_brute_force(make, conf, size, monkeypatch):
-    monkeypatch.setattr(ppm, "SLICE_BYTES", size // 2)
+@pytest.mark.parametrize("table", [0, 20, 10**6])
+def test_ppm_equals_brute_force(make, table, monkeypatch):
+    monkeypatch.setattr(ppm, "SLICE_BYTES", 300 if table else 2_000_000)
+    monkeypatch.setattr(ppm, "HELD", 50 if table else 3_000_000)
     rng = random.Random(6)
     rows = ODD[:5] + ODD[7:] + [(20 + i, text(rng, rng.randint(1, 20), "abC é"), "en") for i in range(60)] + [(90, "ab cd ef")] * 3
     train = [r[1] for r in rows if brute.remainder(r[0], 3)]
     flag = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 != 0
-    got = ppm.score(make(rows), flag, order=3, size=size).collect()
+    got = ppm.score(make(rows), flag, order=3, table=table).collect()
     model, base = brute.ppm(train, 3), brute.unigram(train)
     want = sorted((str(r[0]), *base(r[1]), model(r[1])) for r in rows)
     found = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got)
