@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -84,6 +86,86 @@ def joined_codes(array: Column, field: str, sep: str = ", ") -> Column:
     return F.array_join(F.transform(array, lambda x: x[field].cast("string")), sep)
 
 
+Rule = Callable[[Column], Column]
+
+
+def _at(item: Column, path: str) -> Column:
+    """A field of a struct by its path, such as ``DtRng._toDt``."""
+    return reduce(lambda c, name: c[name], path.split("."), item)
+
+
+def open_ended(path: str) -> Rule:
+    """The end date is open: null or empty."""
+    return lambda x: _at(x, path).isNull() | (_at(x, path) == "")
+
+
+def ended(path: str) -> Rule:
+    return lambda x: _at(x, path).isNotNull() & (_at(x, path) != "")
+
+
+def same(path: str, value: str | Column) -> Rule:
+    """The field equals a value as text; null does not."""
+    return lambda x: F.coalesce(_at(x, path).cast("string") == value, F.lit(False))
+
+
+def every(*rules: Rule) -> Rule:
+    return lambda x: reduce(lambda a, b: a & b, [rule(x) for rule in rules])
+
+
+@dataclass(frozen=True)
+class Part:
+    """A struct of the document."""
+
+    fields: Mapping[str, Spec]
+
+
+@dataclass(frozen=True)
+class Items:
+    """An array of the source in the document's own fields: all items that meet the rule, or the first of them."""
+
+    source: str
+    fields: Mapping[str, Spec]
+    where: Rule | None = None
+    first: bool = False
+
+
+@dataclass(frozen=True)
+class Codes:
+    """One field of all items that meet the rule as a list in one text."""
+
+    source: str
+    field: str
+    where: Rule | None = None
+    sep: str = ", "
+
+
+Spec = str | Part | Items | Codes
+
+
+def _built(spec: Spec, get: Callable[[str], Column]) -> Column:
+    if isinstance(spec, str):
+        return get(spec)
+    if isinstance(spec, Part):
+        return F.struct(*[_built(s, get).alias(name) for name, s in spec.fields.items()])
+    items = get(spec.source)
+    if spec.where:
+        items = F.filter(items, spec.where)
+    if isinstance(spec, Codes):
+        return F.array_join(F.transform(items, lambda x: _at(x, spec.field).cast("string")), spec.sep)
+    made = F.transform(items, lambda x: F.struct(*[_built(s, lambda path: _at(x, path)).alias(name) for name, s in spec.fields.items()]))
+    return F.get(made, 0) if spec.first else made
+
+
+def build_document(df: DataFrame, spec: Mapping[str, Spec]) -> DataFrame:
+    """Documents from nested rows by a specification of their fields.
+
+    A field is a path into the row, a struct, a list with its fields renamed and its items chosen by a rule (in any
+    depth, several lists side by side), the first such item, or the items' codes as one text. Nothing is exploded:
+    each document is made where its row is. A null list stays null.
+    """
+    return df.select(*[_built(s, lambda path: _at(F.col(path.split(".")[0]), path.split(".", 1)[1]) if "." in path else F.col(path)).alias(name) for name, s in spec.items()])
+
+
 def json_keys(df: DataFrame, column: str) -> list[str]:
     """Names of the keys of all objects in a JSON column (an object, or an array of them), in order.
 

@@ -96,6 +96,74 @@ def current_vs_history_arrays(spark, sf):
     )
 
 
+def listed(text: str, condition: str = "true") -> str:
+    return f"(SELECT string_agg({text}, ' ' ORDER BY l_linenumber, l_partkey, l_suppkey) FROM lineitem WHERE l_orderkey = o_orderkey AND {condition})"
+
+
+def first_part(condition: str) -> str:
+    return f"(SELECT arg_min(l_partkey, (l_linenumber, l_partkey, l_suppkey)) FROM lineitem WHERE l_orderkey = o_orderkey AND {condition})"
+
+
+def text_of(array: str, *fields: str):
+    """An array of structs as text, to be compared field by field."""
+    joined = F.array_join(F.transform(array, lambda x: F.concat_ws("@", *[x[f].cast("string") for f in fields])), " ")
+    return F.nullif(joined, F.lit(""))
+
+
+@query("branch_document", f"""
+SELECT o_orderkey AS number, 0 AS part_no, o_orderstatus AS state, o_orderpriority AS level, {listed("l_partkey || '@' || cast(l_shipdate AS date)")} AS items,
+  {listed("l_linenumber || '@' || l_suppkey")} AS suppliers, {first_part("l_returnflag = 'R'")} AS registration, {listed("l_returnflag", "l_linestatus = 'F'").replace("' '", "', '")} AS codes
+FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
+""")
+def branch_document(spark, sf):
+    """A struct, lists side by side, the first item of a kind and a list of codes."""
+    spec = {
+        "Number": "o_orderkey",
+        "part_no": "part_no",
+        "Address": nested.Part({"State": "head.status", "Detail": nested.Part({"Level": "head.priority._text"})}),
+        "Items": nested.Items("lines", {"Part": "l_partkey", "Day": "ship._date"}),
+        "Suppliers": nested.Items("lines", {"Sequence_Number": "l_linenumber", "Supplier": "l_suppkey"}),
+        "Registration": nested.Items("lines", {"Part": "l_partkey"}, where=nested.same("ship.flag", "R"), first=True),
+        "Codes": nested.Codes("lines", "ship.flag", where=nested.same("l_linestatus", "F")),
+    }
+    d = nested.build_document(order_documents(spark, sf).where(F.size("lines") > 0), spec)
+    return d.select(
+        F.col("Number").alias("number"), "part_no", F.col("Address.State").alias("state"), F.col("Address.Detail.Level").alias("level"), text_of("Items", "Part", "Day").alias("items"),
+        text_of("Suppliers", "Sequence_Number", "Supplier").alias("suppliers"), F.col("Registration.Part").alias("registration"), F.nullif("Codes", F.lit("")).alias("codes"),
+    )
+
+
+@query("individual_document", f"""
+SELECT o_orderkey AS number, 0 AS part_no, {listed("l_partkey", "l_returnflag <> 'R'")} AS current_offices, {listed("l_partkey || '@' || cast(l_shipdate AS date)", "l_returnflag = 'R'")} AS previous_offices,
+  {first_part("l_returnflag <> 'R' AND l_suppkey % 3 = 1")} AS office_of_firm, {listed("l_partkey || '/' || CASE WHEN l_linenumber > 2 THEN l_linestatus || ',' ELSE '' END || l_returnflag")} AS appointments
+FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
+""")
+def individual_document(spark, sf):
+    """Current and past items, the current one of a firm, and lists within lists."""
+
+    def history(x):
+        detail = F.filter(F.array(F.struct(F.when(x["l_linenumber"] > 2, x["l_linestatus"]).alias("code")), F.struct(x["ship"]["flag"].alias("code"))), lambda d: d["code"].isNotNull())
+        to = F.when(x["ship"]["flag"] == "R", x["ship"]["_date"]).when(x["ship"]["flag"] == "A", "")
+        return F.struct(x["l_partkey"].alias("part"), (x["l_suppkey"] % 3).alias("_orgPK"), F.struct(to.alias("_toDt")).alias("DtRng"), F.struct(detail.alias("Detail")).alias("Details"))
+
+    docs = order_documents(spark, sf).where(F.size("lines") > 0).withColumn("offices", F.transform("lines", history))
+    is_open, closed = nested.open_ended("DtRng._toDt"), nested.ended("DtRng._toDt")
+    spec = {
+        "Number": "o_orderkey",
+        "part_no": "part_no",
+        "Current": nested.Items("offices", {"Part": "part"}, where=is_open),
+        "Previous": nested.Items("offices", {"Part": "part", "To_Date": "DtRng._toDt"}, where=closed),
+        "Office": nested.Items("offices", {"Part": "part"}, where=nested.every(is_open, nested.same("_orgPK", "1")), first=True),
+        "Education": nested.Items("offices", {"Part": "part", "Appointments": nested.Items("Details.Detail", {"Current_Status": "code"})}),
+    }
+    d = nested.build_document(docs, spec)
+    status = F.transform("Education", lambda x: F.concat_ws("/", x["Part"].cast("string"), F.array_join(x["Appointments"]["Current_Status"], ",")))
+    return d.select(
+        F.col("Number").alias("number"), "part_no", text_of("Current", "Part").alias("current_offices"), text_of("Previous", "Part", "To_Date").alias("previous_offices"),
+        F.col("Office.Part").alias("office_of_firm"), F.array_join(status, " ").alias("appointments"),
+    )
+
+
 @query("prototype_json", """
 SELECT o_orderkey AS key, 0 AS part_no, o_orderstatus AS status, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS lines FROM orders
 """)
