@@ -608,7 +608,7 @@ XML_SCHEMA = "_key bigint, name string, nation struct<_code: int, label: string>
 
 @query("read_xml", "SELECT c_custkey AS key, c_name AS name, c_nationkey AS code, n_name AS label FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def read_xml(spark, sf):
-    rows = documents.read_xml(spark, nation_xml(spark, sf), "row", XML_SCHEMA)
+    rows = documents.xml_rows(documents.xml_pieces(spark, nation_xml(spark, sf), "row"), "row", XML_SCHEMA)
     return rows.select(F.col("_key").alias("key"), "name", F.col("nation._code").alias("code"), F.col("nation.label").alias("label"))
 
 
@@ -616,10 +616,9 @@ def read_xml(spark, sf):
 SELECT c_custkey AS key, 'f' || n_regionkey AS firm, '2024-01-31' AS as_of FROM customer JOIN nation ON c_nationkey = n_nationkey
 """)
 def xml_header_struct(spark, sf):
-    path = nation_xml(spark, sf)
-    at = F.col("_metadata.file_path").alias("file_path")
-    rows = documents.read_xml(spark, path, "row", XML_SCHEMA).select("_key", at)
-    heads = documents.read_xml(spark, path, "criteria", "_firm string, _as_of string").select("_firm", "_as_of", at)
+    pieces = documents.xml_pieces(spark, nation_xml(spark, sf), "row")
+    rows = documents.xml_rows(pieces, "row", XML_SCHEMA).select("_key", "file_path")
+    heads = documents.xml_elements(pieces, "criteria", "_firm string, _as_of string")
     out = documents.attach_header_struct(rows, heads)
     return out.select(F.col("_key").alias("key"), F.col("criteria._firm").alias("firm"), F.col("criteria._as_of").alias("as_of"))
 

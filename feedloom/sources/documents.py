@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from feedloom.sources.lines import read_lines
+
 
 def read_json_docs(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True
@@ -26,7 +28,10 @@ def json_column_rows(df: DataFrame, column: str, schema: T.StructType | str) ->
 def read_xml(
     spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
-    """Rows under a tag; attributes become ``_name``. Spark splits large files at the row tag."""
+    """Rows under a tag by Spark's own reader, a file in one task; attributes become ``_name``.
+
+    Large files with a known schema should go through :func:`xml_pieces`.
+    """
     reader = (
         spark.read.format("xml")
         .option("rowTag", row_tag)
@@ -38,6 +43,33 @@ def read_xml(
     return (reader.schema(schema) if schema else reader).load(path)
 
 
+XML_OPTIONS = {"attributePrefix": "_", "ignoreSurroundingSpaces": "true", "mode": "PERMISSIVE"}
+
+
+def xml_pieces(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
+    """XML files cut behind every closing tag of a row: ``value`` and the file. Files of any size are read in splits."""
+    return read_lines(spark, path, record_sep=f"</{row_tag}>")
+
+
+def xml_rows(pieces: DataFrame, row_tag: str, schema: T.StructType | str) -> DataFrame:
+    """The rows of :func:`xml_pieces` with their ``file_path``: one that ends a piece, and empty ones before it.
+
+    Rows hold no rows of the same tag, also not in comments, and no ``>`` in attributes.
+    """
+    start = rf"<{row_tag}(?:\s[^<>]*)?"
+    found = F.explode(F.regexp_extract_all("value", F.lit(rf"(?s){start}/>|{start}>.*$"), F.lit(0))).alias("xml")
+    rows = pieces.select("file_path", found)
+    whole = F.when(F.col("xml").rlike(rf"^{start}/>$"), F.col("xml")).otherwise(F.concat("xml", F.lit(f"</{row_tag}>")))
+    return rows.select("file_path", F.from_xml(whole, schema, XML_OPTIONS | {"rowTag": row_tag}).alias("__row")).select("file_path", "__row.*")
+
+
+def xml_elements(pieces: DataFrame, tag: str, schema: T.StructType | str) -> DataFrame:
+    """Whole elements of another tag within the pieces, such as the header of a file, with their ``file_path``."""
+    start = rf"<{tag}(?:\s[^<>]*)?"
+    found = F.explode(F.regexp_extract_all("value", F.lit(rf"(?s){start}/>|{start}>.*?</{tag}\s*>"), F.lit(0))).alias("xml")
+    return pieces.select("file_path", found).select("file_path", F.from_xml("xml", schema, XML_OPTIONS | {"rowTag": tag}).alias("__row")).select("file_path", "__row.*")
+
+
 def attach_header_struct(
     rows: DataFrame, headers: DataFrame, name: str = "criteria", file_column: str = "file_path"
 ) -> DataFrame:

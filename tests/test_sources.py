@@ -195,3 +195,16 @@ def test_null_lines_are_bad_lines(spark):
 
     good, bad = split_by_delimiter_count(spark.createDataFrame([("a|b",), (None,), ("a",)], "value string"), "|", 1)
     assert good.count() == 1 and bad.count() == 2
+
+
+def test_xml_is_split_at_rows(spark, tmp_path, conf):
+    rows_in = [f'<row key="{i}"><name> n{i}&amp;x </name>\r\n<t/></row>' if i % 7 else f'<row key="{i}"/>' for i in range(5000)]
+    (tmp_path / "a.xml").write_text('<rows><head of="h"><x>1</x></head>\n' + "\n".join(rows_in) + "\n</rows>\n")
+    conf("spark.sql.files.maxPartitionBytes", "65536")
+    pieces = documents.xml_pieces(spark, str(tmp_path / "a.xml"), "row")
+    got = documents.xml_rows(pieces, "row", "_key int, name string")
+    assert got.rdd.getNumPartitions() >= 3
+    assert sorted((r._key, r.name) for r in got.collect()) == [(i, f"n{i}&x" if i % 7 else None) for i in range(5000)]
+    assert [(r._of, r.x) for r in documents.xml_elements(pieces, "head", "_of string, x int").collect()] == [("h", 1)]
+    whole = documents.read_xml(spark, str(tmp_path / "a.xml"), "row", "_key int, name string")
+    assert rows(got.drop("file_path")) == rows(whole)
