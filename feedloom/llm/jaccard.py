@@ -133,86 +133,133 @@ def _passes(filter_bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (filter_bits[at // 32] >> (at % 32).astype(np.uint32) & 1).astype(bool)
 
 
-def _sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """``node`` and ``tokens`` of the sets in ``nodes``, built again from the texts."""
+def _rows_of(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node``, ``n`` and ``bits`` of the sets in ``nodes``; only what passes a filter leaves the scan."""
+    asked = _bit_filter(nodes, "node")
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_passes(asked.value, batch.column("node").to_numpy())))
+
+    found = sets.select("node", "n", "bits").mapInArrow(passing, "node long, n long, bits binary")
+    return found.join(nodes, "node", "left_semi")
+
+
+def _sets_of(docs: DataFrame, nodes: DataFrame, copied: DataFrame, size: int) -> DataFrame:
+    """``node`` and ``tokens`` of the sets in ``nodes``, built again from the texts; of copies from the smallest id."""
     asked = _bit_filter(nodes, "node")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
         for batch in batches:
-            found = {_named(tokens): tokens for tokens in shingler.sets(batch.column(0))}
-            found.pop(None, None)
-            every = np.fromiter(found, np.int64, len(found))
-            names = every[_passes(asked.value, every)].tolist()
-            sets = [found[n].view(np.int64) for n in names]
-            if names:
-                ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))], ["node", "tokens"])
+            sets = list(shingler.sets(batch.column("text")))
+            named = [_named(tokens) for tokens in sets]
+            passed = _passes(asked.value, np.array([n or 0 for n in named], np.int64)) & np.array([n is not None for n in named], bool)
+            rows = np.flatnonzero(passed)
+            lists = [sets[i].view(np.int64) for i in rows]
+            ends = pa.array(np.cumsum([0, *map(len, lists)]), pa.int32())
+            tokens = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int64), *lists])))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows)), pa.array([named[i] for i in rows], pa.int64()), tokens], ["doc_id", "node", "tokens"])
+
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    built = read.mapInArrow(build, "doc_id long, node long, tokens array<long>")
+    chosen = nodes.join(copied.withColumn("several", F.lit(True)), "node", "left")
+    found = built.join(chosen, "node").where(F.col("several").isNull() | F.col("doc_id").eqNullSafe(F.col("smallest")))
+    return found.select("node", "tokens")
+
 
-    built = docs.select("text").mapInArrow(build, "node long, tokens array<long>")
-    return built.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+def _nodes_of(pairs: DataFrame) -> DataFrame:
+    return written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "needed")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, copied: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` whose whole sets are similar enough."""
-    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "needed")
-    sets = written(_sets_of(docs, nodes, size), "sets")
+    sets = written(_sets_of(docs, _nodes_of(pairs), copied, size), "sets")
     left, right = (sets.select(F.col("node").alias(c), F.col("tokens").alias(f"tokens_{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - shared
-    return both.where(shared * 100 >= union * percent).select("a", "b")
+    return both.where(shared * 100 >= union * percent).select("a", "b").distinct()
 
 
-def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _overlap(n: Column, other: Column, percent: int) -> Column:
+    """Tokens that two sets of these sizes share if they are similar enough."""
+    return F.ceil((n + other) * percent / (100 + percent))
+
+
+def _common(n: Column, other: Column, percent: int) -> Column:
+    """Tokens that the prefixes of two such sets share at least.
+
+    Of a prefix, n - overlap tokens may be missing in the other set; what is left of the prefix that ends first in the
+    common order of tokens lies in the other prefix too.
+    """
+    return _overlap(n, other, percent) - _need(F.greatest(n, other), percent) + 1
+
+
+def _bounded(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a``, ``b`` whose sizes and rows of the matrix allow a link."""
-    of_a = sets.select(F.col("node").alias("a"), "n", "bits")
-    of_b = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("others"))
-    need = F.ceil((F.col("n") + F.col("n_b")) * percent / (100 + percent))
+    of_a = rows.select(F.col("node").alias("a"), "n", "bits")
+    of_b = rows.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("others"))
+    need = _overlap(F.col("n"), F.col("n_b"), percent)
     return _within(pairs.join(of_a, "a").join(of_b, "b").where(F.least("n", "n_b") >= need).withColumn("need", need))
 
 
 def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``node`` and ``root`` of all sets that are linked to another one, directly or through others.
 
-    First every prefix token links its documents to the smallest of them, and what is truly linked forms groups. Then
-    each document that shares a prefix token with a group it is not linked to is held against the group's row of the
-    matrix, and only members of groups within the bound are compared one by one. Documents of one group are never
-    compared with each other, so a large family of copies costs as many comparisons as it has members.
+    First every prefix token links its documents to the smallest of them, as far as they share enough tokens in this
+    way, and what is truly linked forms groups. Then each document that shares a prefix token with a group it is not
+    linked to is held against the group's row of the matrix, and only members of groups within the bound are compared
+    one by one. Documents of one group are never compared with each other, so a large family of copies costs as many
+    comparisons as it has members. A link that the first step misses is one of the second.
     """
-    some = signed.where(F.col("node").isNotNull()).select("node", "n", "prefix", "bits")
-    copied = written(some.groupBy("node").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("node"), "copied")
-    sets = some.join(copied, "node", "left_anti").union(some.join(copied, "node", "left_semi").dropDuplicates(["node"]))
+    some = signed.where(F.col("node").isNotNull())
+    copied = some.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.min("doc_id").alias("smallest")).where("m > 1").drop("m")
+    copied = written(copied, "copied")
+    some, names = some.select("node", "n", "prefix", "bits"), copied.select("node")
+    sets = some.join(names, "node", "left_anti").union(some.join(names, "node", "left_semi").dropDuplicates(["node"]))
     tokens = sets.select(F.explode("prefix").alias("token"), "node")
     ends = tokens.groupBy("token").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
     shared = written(ends.where("pivot != last").drop("last"), "shared")
     held = written(_held(sets, _bit_filter(shared, "token")).join(shared, "token"), "shared-tokens")
-    rows = sets.select("node", "n", "bits")
-    stars = held.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = written(_linked(written(_bounded(stars, rows, percent), "pairs"), docs, size, percent), "links")
+
+    stars = held.where("node != pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    n_a, n_b = (sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
+    close = (F.least("n_a", "n_b") >= _overlap(F.col("n_a"), F.col("n_b"), percent)) & (F.col("c") * 2 >= _common(F.col("n_a"), F.col("n_b"), percent))
+    stars = written(stars.join(n_a, "a").join(n_b, "b").where(close).select("a", "b"), "stars")
+    rows = written(_rows_of(sets, _nodes_of(stars)), "rows")
+    links = written(_linked(written(_bounded(stars, rows, percent), "pairs"), docs, copied, size, percent), "links")
     roots = written(components(links), "roots")
 
     # Groups: what is linked so far, in rows of at most GROUP members; a set without links is a group of its own.
-    placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    placed = placed.join(sizes, "root", "left").withColumn("members", F.coalesce("members", F.lit(1)))
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / GROUP))
-    placed = written(placed.withColumn("part", part), "groups")
-    at = held.join(placed.select("node", "root", "members", "part"), "node").withColumn("rank", F.struct("members", "root"))
+    grouped = roots.join(sizes, "root")
+    placed = sets.select("node", "n").join(grouped, "node", "left")
+    placed = placed.withColumns({"root": F.coalesce("root", "node"), "members": F.coalesce("members", F.lit(1))})
+    placed = written(placed.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / GROUP))), "groups")
+    at = held.drop("pivot").join(placed.drop("n"), "node").withColumn("rank", F.struct("members", "root"))
     several = at.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).where("low != high").drop("low")
-    at = written(at.join(several, "token").drop("pivot"), "open-tokens")
+    at = written(at.join(several, "token"), "open-tokens")
     # The largest group at a token is looked up, never asking; of two groups the smaller one asks.
     asking = at.where("rank < high").select("token", F.col("node").alias("a"), F.col("rank").alias("own"))
     matrix = at.select("token", "rank", "part").distinct()
     asked = asking.join(matrix, "token").where(F.col("own") < F.col("rank"))
-    asked = written(asked.select("a", F.col("rank.root").alias("root"), "part").distinct(), "asked")
-    unions = _unions(placed.join(asked.select("root", "part").distinct(), ["root", "part"], "left_semi"))
+    asked = asked.groupBy("a", F.col("rank.root").alias("root"), "part", F.col("rank.members").alias("members")).agg(F.count(F.lit(1)).alias("c"))
+    # Of a group of one the size is known, so the tokens that both prefixes share must be enough for it.
+    single = placed.where("members = 1").select("root", F.col("n").alias("n_b"))
+    asked = asked.join(n_a, "a").join(single, "root", "left")
+    enough = (F.least("n_a", "n_b") >= _overlap(F.col("n_a"), F.col("n_b"), percent)) & (F.col("c") >= _common(F.col("n_a"), F.col("n_b"), percent))
+    asked = written(asked.where(F.col("n_b").isNull() | enough).select("a", "root", "part"), "asked")
+    members = placed.join(asked.select("root", "part").distinct(), ["root", "part"], "left_semi")
+    nodes = written(members.select("node").union(asked.select(F.col("a").alias("node"))).distinct(), "needed")
+    rows = written(_rows_of(sets, nodes), "rows")
+    unions = _unions(members.drop("n").join(rows, "node"))
     own = rows.select(F.col("node").alias("a"), "n", "bits", _need(F.col("n"), percent).alias("need"))
     candidates = asked.join(own, "a").join(unions, ["root", "part"])
     opened = _within(candidates.select("a", F.xxhash64("root", "part").alias("b"), "n", "need", "bits", "others"))
-    members = placed.select(F.xxhash64("root", "part").alias("group"), F.col("node").alias("b"))
-    pairs = opened.select("a", F.col("b").alias("group")).join(members, "group").select("a", "b").where("a != b").distinct()
-    more = written(_linked(written(_bounded(pairs, rows, percent), "pairs"), docs, size, percent), "links")
+    inside = members.select(F.xxhash64("root", "part").alias("group"), F.col("node").alias("b"))
+    pairs = opened.select("a", F.col("b").alias("group")).join(inside, "group").select("a", "b").where("a != b").distinct()
+    more = written(_linked(written(_bounded(pairs, rows, percent), "pairs"), docs, copied, size, percent), "links")
     return written(components(links.union(more)), "roots")
 
 
