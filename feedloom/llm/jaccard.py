@@ -20,7 +20,7 @@ from feedloom.session import written
 SHINGLE = 5
 PERCENT = 75
 #: Cells in which token frequencies are counted to find a cheap order of tokens; any order gives the same links.
-CELLS = 1 << 19
+CELLS = 1 << 18
 #: Width of a row of the matrix: tokens share columns, which can only raise a bound.
 COLUMNS = 4096
 #: Documents in a group; larger ones are several rows of the matrix.
@@ -163,7 +163,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, copied: DataFrame, size: int) ->
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     built = read.mapInArrow(build, "doc_id long, node long, tokens array<long>")
-    chosen = nodes.join(copied.withColumn("several", F.lit(True)), "node", "left")
+    chosen = written(nodes.join(copied.withColumn("several", F.lit(True)), "node", "left"), "chosen")
     found = built.join(chosen, "node").where(F.col("several").isNull() | F.col("doc_id").eqNullSafe(F.col("smallest")))
     return found.select("node", "tokens")
 
@@ -219,11 +219,13 @@ def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent:
     some, names = some.select("node", "n", "prefix", "bits"), copied.select("node")
     sets = some.join(names, "node", "left_anti").union(some.join(names, "node", "left_semi").dropDuplicates(["node"]))
     tokens = sets.select(F.explode("prefix").alias("token"), "node")
-    ends = tokens.groupBy("token").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-    shared = written(ends.where("pivot != last").drop("last"), "shared")
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
+    shared = written(shared, "shared")
     held = written(_held(sets, _bit_filter(shared, "token")).join(shared, "token"), "shared-tokens")
 
-    stars = held.where("node != pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    pivots = held.groupBy("token").agg(F.min("node").alias("pivot"))
+    stars = held.join(pivots, "token").where("node != pivot")
+    stars = stars.groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("c"))
     n_a, n_b = (sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
     close = (F.least("n_a", "n_b") >= _overlap(F.col("n_a"), F.col("n_b"), percent)) & (F.col("c") * 2 >= _common(F.col("n_a"), F.col("n_b"), percent))
     stars = written(stars.join(n_a, "a").join(n_b, "b").where(close).select("a", "b"), "stars")
@@ -237,7 +239,7 @@ def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent:
     placed = sets.select("node", "n").join(grouped, "node", "left")
     placed = placed.withColumns({"root": F.coalesce("root", "node"), "members": F.coalesce("members", F.lit(1))})
     placed = written(placed.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / GROUP))), "groups")
-    at = held.drop("pivot").join(placed.drop("n"), "node").withColumn("rank", F.struct("members", "root"))
+    at = held.join(placed.drop("n"), "node").withColumn("rank", F.struct("members", "root"))
     several = at.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).where("low != high").drop("low")
     at = written(at.join(several, "token"), "open-tokens")
     # The largest group at a token is looked up, never asking; of two groups the smaller one asks.
