@@ -10,6 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from feedloom.session import written
+
 #: Lengths of the character n-grams whose presence the kernel blends.
 ORDERS = (1, 2, 3)
 #: Labelled texts per language that the classifier is fitted on: the first by hash of the text.
@@ -110,9 +112,10 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Classifier:
     classifier knows no language and answers ``und``.
     """
     fine = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("h"))
-    first = W.partitionBy("lang").orderBy("h", "text")
-    ranked = fine.withColumn("rank", F.dense_rank().over(first)).where(F.col("rank") <= sample)
-    ranked = ranked.dropDuplicates(["lang", "rank"])
+    # Hashes are chosen first, so that copies of a text are one row before anything is ranked.
+    ranked = fine.select("lang", "h").distinct().withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("h")))
+    chosen = written(ranked.where(F.col("rank") <= sample), "language-sample")
+    ranked = fine.join(chosen, ["lang", "h"]).groupBy("lang", "rank").agg(F.min("text").alias("text"))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

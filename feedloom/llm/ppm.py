@@ -213,15 +213,24 @@ def window_scores(windows: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def _frequent(values: DataFrame, most: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Sorted keys and values of the most frequent windows and words, at most ``most`` of each, whole counts only."""
-    found, least = {}, {}
-    for kind, n, keys in values.groupBy("kind", "n").agg(F.count(F.lit(1)).alias("keys")).orderBy(F.col("n").desc()).collect():
-        room, _ = least.get(kind, (most, None))
-        if room is not None:
-            least[kind] = (room - keys, n) if keys <= room else (None, least.get(kind, (0, None))[1])
+    """Sorted keys and values of the most frequent windows and words, at most ``most`` of each.
+
+    Counts are compared exactly up to 1,000 and by thousandths of a decade above, so the driver sees some thousand
+    levels, and all keys of a level are in or out.
+    """
+    level = F.when(F.col("n") < 1000, F.col("n")).otherwise(F.floor(F.log10("n") * 1000))
+    levels, found = values.withColumn("level", level), {}
+    sizes = levels.groupBy("kind", "level").agg(F.count(F.lit(1)).alias("keys")).orderBy(F.col("level").desc()).collect()
     for kind in (WINDOW, WORD):
-        n = least.get(kind, (0, None))[1]
-        rows = values.where((F.col("kind") == kind) & (F.col("n") >= n if n is not None else F.lit(False))).select("key", "value").toArrow()
+        room, least = most, None
+        for r in sizes:
+            if r.kind == kind:
+                room -= r["keys"]
+                if room < 0:
+                    break
+                least = r.level
+        kept = F.col("level") >= least if least is not None else F.lit(False)
+        rows = levels.where((F.col("kind") == kind) & kept).select("key", "value").toArrow()
         keys, held = rows.column("key").to_numpy(), rows.column("value").to_numpy()
         order = np.argsort(keys)
         found[kind] = keys[order], held[order]
