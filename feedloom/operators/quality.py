@@ -42,9 +42,10 @@ def _comparable(a: T.DataType, b: T.DataType) -> bool:
 def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Reconciliation:
     """Compare two tables by key: counts, keys on one side, and values that differ.
 
-    Both sides go into one aggregate per key, which combines on the map side, so neither repeated keys
-    nor null keys pile up or multiply. Keys that are alike on both sides are dropped there; what is left
-    is written to the shared folder once, and all results are read from it. A key held once on each side
+    Both sides go into one aggregate per key of counts and 64-bit row digests, which combines on the map
+    side, so neither repeated keys nor null keys pile up or multiply, and no whole row is shuffled. Only
+    the rows of keys that differ there are compared; what is left is written to the shared folder once,
+    and all results are read from it. A key held once on each side
     is compared column by column. A key held more often is compared by how often each value of each
     column occurs, which is exact and grows with the rows, not with their pairs; its values carry the
     surplus count.
@@ -60,6 +61,14 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Reco
     both = s.select(*keys, F.lit(1).alias("__s"), F.lit(0).alias("__t"), F.struct(*cells).alias("__row")).unionByName(
         t.select(*keys, F.lit(0).alias("__s"), F.lit(1).alias("__t"), F.struct(*cells).alias("__row"))
     )
+    values = [F.col(f"__row.{f.name}") for f in both.schema["__row"].dataType]
+    digest = F.xxhash64(*[part for v in values for part in (v, v.isNull())])
+    sides = {side: F.bit_xor(F.when(F.col(side) == 1, digest)) for side in ("__s", "__t")}
+    counted = both.groupBy(*keys).agg(F.sum("__s").alias("n_s"), F.sum("__t").alias("n_t"), *[v.alias(f"h{k}") for k, v in sides.items()])
+    same = (F.col("n_s") == 1) & (F.col("n_t") == 1) & (F.col("h__s") == F.col("h__t"))
+    suspect = written(counted.where(~F.coalesce(same, F.lit(False))).select(*keys), "suspect-keys")
+    match = reduce(lambda a, b: a & b, [F.col(f"b.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys])
+    both = both.alias("b").join(suspect.alias("k"), match, "left_semi")
     per_key = both.groupBy(*keys).agg(
         F.sum("__s").alias("source_rows"),
         F.sum("__t").alias("target_rows"),
@@ -105,8 +114,8 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Reco
         "mismatched_keys": F.count(F.when(single, 1)),
         "repeated_keys": F.count(F.when((F.col("source_rows") > 1) | (F.col("target_rows") > 1), 1)),
     }
-    sides = [df.select(F.count(F.lit(1)).alias("n")).scalar().alias(n) for df, n in ((s, "source_count"), (t, "target_count"))]
-    totals = found.agg(*[F.coalesce(v, F.lit(0)).cast("bigint").alias(n) for n, v in counts.items()]).select(*sides, *counts)
+    totals = [df.select(F.count(F.lit(1)).alias("n")).scalar().alias(n) for df, n in ((s, "source_count"), (t, "target_count"))]
+    totals = found.agg(*[F.coalesce(v, F.lit(0)).cast("bigint").alias(n) for n, v in counts.items()]).select(*totals, *counts)
     return Reconciliation(totals.select("*", summary_status()), missing, mismatches)
 
 

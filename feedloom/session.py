@@ -20,10 +20,17 @@ SETTINGS = {
 }
 
 
+# Spark derives the split size from the number of live cores, which changes when executors come and go. Line numbers
+# need two scans to cut the files alike, so the number at the start is made explicit.
+_MIN_SPLITS = "spark.sql.files.minPartitionNum"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators count on to a running session."""
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    if spark.conf.get(_MIN_SPLITS, None) is None:
+        spark.conf.set(_MIN_SPLITS, str(spark.sparkContext.defaultParallelism))
     return spark
 
 
@@ -81,11 +88,7 @@ def written_once(spark: SparkSession, key: tuple, write: Callable[[], str]) -> s
     return _WRITTEN[full]
 
 
-def pin_splits(spark: SparkSession) -> None:
-    """Fix how files are cut into splits for the life of the session.
-
-    Spark derives the split size from the number of live cores, which changes when executors come and
-    go. Line numbers need two scans to cut the files alike, so the present number is made explicit.
-    """
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+def require_pinned_splits(spark: SparkSession) -> None:
+    """Refuse a session in which two scans of a file may cut it differently."""
+    if spark.conf.get(_MIN_SPLITS, None) is None:
+        raise ValueError(f"set {_MIN_SPLITS}, or call feedloom.session.configure")

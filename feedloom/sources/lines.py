@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from feedloom.functions.text import cleanse_record
-from feedloom.session import pin_splits, written
+from feedloom.session import require_pinned_splits, written
 
 _BLOCK = ["file_path", "block_start", "block_length"]
 
@@ -47,7 +47,7 @@ def with_line_order(lines: DataFrame, is_start: Column | None = None) -> DataFra
     the last of them; lines before the first start of a file have entity 0, which starts at line 1. Both
     run within a block and continue from what the earlier blocks left.
     """
-    pin_splits(lines.sparkSession)
+    require_pinned_splits(lines.sparkSession)
     starts = F.coalesce(is_start, F.lit(False)) if is_start is not None else F.lit(False)
     marked = lines.withColumns({"__id": F.monotonically_increasing_id(), "__start": starts})
     earlier = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
@@ -85,7 +85,7 @@ def with_quoted_records(lines: DataFrame, quote: str = '"') -> DataFrame:
     lines: within a block, plus what the blocks before it hold, so a file of any size is read in splits.
     ``is_whole`` marks lines that are a record of their own. The lines are staged once.
     """
-    pin_splits(lines.sparkSession)
+    require_pinned_splits(lines.sparkSession)
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit(quote), F.lit("")))
     marked = lines.withColumns({"__id": F.monotonically_increasing_id(), "__quotes": quotes})
     earlier = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
