@@ -107,16 +107,17 @@ def upsert_bucketed(spark, sf):
     return state.upsert(target, order_changes(spark, sf), keys_are_clean=True).drop("elt_load_type")
 
 
-@query("dedupe_changes", """
-SELECT cast(o_orderkey AS varchar) AS elt_integration_id, 'INSERT' AS elt_stream_action, '2024-01-03' AS elt_execution_date,
-  CASE WHEN coalesce(o_orderpriority, '') = '1-URGENT' THEN cast(cast(o_totalprice AS decimal(18,2)) + 10 AS varchar) ELSE cast(cast(o_totalprice AS decimal(18,2)) AS varchar) END AS price
-FROM orders WHERE year(o_orderdate) >= 1998 AND year(o_orderdate) <= 2000 AND NOT (year(o_orderdate) = 2000 AND o_orderpriority = '3-MEDIUM')
+@query("dedupe_changes", f"""
+WITH {ORDERS_SQL}
+SELECT id AS elt_integration_id, CASE WHEN y = 2000 AND priority = '3-MEDIUM' THEN 'DELETE' ELSE 'INSERT' END AS elt_stream_action, '2024-01-03' AS elt_execution_date,
+  CASE WHEN priority = '1-URGENT' THEN cast(cast(price AS decimal(18,2)) + 10 AS varchar) ELSE price END AS price
+FROM o WHERE y >= 1998 AND NOT (y = 2001 AND coalesce(priority, '') = '4-NOT SPECIFIED')
+UNION ALL SELECT NULL, 'INSERT', '2024-01-03', arg_max(price, sha256(concat_ws(chr(31), custkey, status, price, priority))) FROM o WHERE y = 2001 AND priority = '4-NOT SPECIFIED' HAVING count(*) > 0
 """)
 def dedupe_changes(spark, sf):
-    newest = state.dedupe_changes(order_changes(spark, sf).where("elt_integration_id IS NOT NULL"), INTEGRATION_ID)
-    years = order_rows(spark, sf).where("year <= 2000").select(INTEGRATION_ID)
-    inserts = newest.where("elt_stream_action = 'INSERT'").join(years, INTEGRATION_ID, "left_semi")
-    return inserts.select(INTEGRATION_ID, ACTION, "elt_execution_date", "price")
+    """Inserts, deletes and, as one key, the changes without a key."""
+    newest = state.dedupe_changes(order_changes(spark, sf), INTEGRATION_ID)
+    return newest.select(INTEGRATION_ID, ACTION, "elt_execution_date", "price")
 
 
 @query("soft_delete", f"""
