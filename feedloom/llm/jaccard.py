@@ -6,11 +6,13 @@ bounds its overlap with every member, so only groups that may hold a partner are
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom.llm.components import components
@@ -20,7 +22,10 @@ from feedloom.session import written
 SHINGLE = 5
 PERCENT = 75
 #: Cells in which token frequencies are counted to find a cheap order of tokens; any order gives the same links.
-CELLS = 1 << 18
+CELLS = 1 << 22
+#: Cells that are added up together, and groups of tasks whose counts are added up before those of all.
+CHUNK = 1 << 16
+TASK_GROUPS = 256
 #: Width of a row of the matrix: tokens share columns, which can only raise a bound.
 COLUMNS = 4096
 #: Documents in a group; larger ones are several rows of the matrix.
@@ -54,20 +59,34 @@ def _need(n: Column, percent: int) -> Column:
 
 
 def token_frequencies(docs: DataFrame, size: int = SHINGLE, cells: int = CELLS) -> np.ndarray:
-    """How many token occurrences in sets fall into each of ``cells`` cells, over all documents."""
-    shift = np.uint64(64 - cells.bit_length() + 1)
+    """How many token occurrences in sets fall into each of ``cells`` cells, over all documents.
+
+    Every task packs its counts in chunks. They are added up chunk by chunk, first for some tasks, then for all.
+    """
+    shift, chunk = np.uint64(64 - cells.bit_length() + 1), min(cells, CHUNK)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts = Shingler(size), np.zeros(cells, np.int64)
+        shingler, counts = Shingler(size), np.zeros(cells, np.uint32)
         for batch in batches:
             tokens = np.concatenate([np.empty(0, np.uint64), *shingler.sets(batch.column(0))])
-            counts += np.bincount((tokens >> shift).astype(np.int64), minlength=cells)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used])], ["cell", "n"])
-
-    found = docs.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(cells, np.int64)
-    total[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+            counts += np.bincount((tokens >> shift).astype(np.int64), minlength=cells).astype(np.uint32)
+        if counts.any():
+            packed = [zlib.compress(counts[i : i + chunk].tobytes(), 1) for i in range(0, cells, chunk)]
+            group = np.full(len(packed), TaskContext.get().partitionId() % TASK_GROUPS)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(packed)), pa.int32()), pa.array(group, pa.int32()), pa.array(packed, pa.binary())], ["chunk", "tasks", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(chunk, np.uint32)
+        for packed in table.column("counts").to_pylist():
+            total += np.frombuffer(zlib.decompress(packed), np.uint32)
+        return pa.table({"chunk": table.column("chunk")[:1], "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+
+    made = docs.select("text").mapInArrow(count, "chunk int, tasks int, counts binary")
+    some = made.groupBy("chunk", "tasks").applyInArrow(add, "chunk int, counts binary")
+    found = some.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").toArrow()
+    total = np.zeros(cells, np.uint32)
+    for i, packed in zip(found.column("chunk").to_pylist(), found.column("counts").to_pylist(), strict=True):
+        total[i * chunk : (i + 1) * chunk] = np.frombuffer(zlib.decompress(packed), np.uint32)
     return total
 
 
@@ -207,8 +226,8 @@ def _bounded(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
 def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``node`` and ``root`` of all sets that are linked to another one, directly or through others.
 
-    First every prefix token links its documents to the smallest of them, as far as they share enough tokens in this
-    way, and what is truly linked forms groups. Then each document that shares a prefix token with a group it is not
+    First every prefix token links its documents to the smallest of them, as far as they share two tokens in this way,
+    and what is truly linked forms groups. Then each document that shares a prefix token with a group it is not
     linked to is held against the group's row of the matrix, and only members of groups within the bound are compared
     one by one. Documents of one group are never compared with each other, so a large family of copies costs as many
     comparisons as it has members. A link that the first step misses is one of the second.
@@ -227,7 +246,7 @@ def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent:
     stars = held.join(pivots, "token").where("node != pivot")
     stars = stars.groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("c"))
     n_a, n_b = (sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
-    close = (F.least("n_a", "n_b") >= _overlap(F.col("n_a"), F.col("n_b"), percent)) & (F.col("c") * 2 >= _common(F.col("n_a"), F.col("n_b"), percent))
+    close = (F.least("n_a", "n_b") >= _overlap(F.col("n_a"), F.col("n_b"), percent)) & (F.col("c") >= F.least(F.lit(2), _common(F.col("n_a"), F.col("n_b"), percent)))
     stars = written(stars.join(n_a, "a").join(n_b, "b").where(close).select("a", "b"), "stars")
     rows = written(_rows_of(sets, _nodes_of(stars)), "rows")
     links = written(_linked(written(_bounded(stars, rows, percent), "pairs"), docs, copied, size, percent), "links")
