@@ -23,9 +23,9 @@ ORDER = 5
 #: Bytes that are worked on at a time, in whole documents.
 SLICE_BYTES = 2_000_000
 #: Windows, and words, that go to every task: the most frequent ones. All others are joined.
-TABLE = 1_000_000
+TABLE = 600_000
 #: Different keys that a task counts before it passes them on.
-HELD = 3_000_000
+HELD = 2_000_000
 #: Stand for the time before a text and its end; neither occurs in UTF-8.
 BEFORE, END = 0xFE, 0xFF
 SYMBOLS = 256
@@ -42,7 +42,7 @@ class Lookup:
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys
-        self.shift = np.uint64(64 - max(4, (16 * len(keys)).bit_length()))
+        self.shift = np.uint64(64 - max(4, (4 * len(keys)).bit_length()))
         self.slots = np.zeros(1 << (64 - int(self.shift)), np.int32)
         self.slots[self._slot(keys)] = np.arange(len(keys), dtype=np.int32)
 

@@ -151,7 +151,7 @@ def test_lengths(make, vocabulary):
 @pytest.mark.parametrize("table", [0, 20, 10**6])
 def test_ppm_equals_brute_force(make, table, monkeypatch):
     monkeypatch.setattr(ppm, "SLICE_BYTES", 300 if table else 2_000_000)
-    monkeypatch.setattr(ppm, "HELD", 50 if table else 3_000_000)
+    monkeypatch.setattr(ppm, "HELD", 50 if table else 2_000_000)
     rng = random.Random(6)
     rows = ODD[:5] + ODD[7:] + [(20 + i, text(rng, rng.randint(1, 20), "abC é"), "en") for i in range(60)] + [(90, "ab cd ef")] * 3
     train = [r[1] for r in rows if brute.remainder(r[0], 3)]
