@@ -258,17 +258,15 @@ def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent:
     placed = sets.select("node", "n").join(grouped, "node", "left")
     placed = placed.withColumns({"root": F.coalesce("root", "node"), "members": F.coalesce("members", F.lit(1))})
     placed = written(placed.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / GROUP))), "groups")
-    at = held.join(placed.drop("n"), "node").withColumn("rank", F.struct("members", "root"))
+    # Of a group of one the size is known, so the tokens that both prefixes share must be enough for it.
+    at = held.join(placed, "node").withColumns({"rank": F.struct("members", "root"), "n_b": F.when(F.col("members") == 1, F.col("n"))})
     several = at.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).where("low != high").drop("low")
     at = written(at.join(several, "token"), "open-tokens")
     # The largest group at a token is looked up, never asking; of two groups the smaller one asks.
-    asking = at.where("rank < high").select("token", F.col("node").alias("a"), F.col("rank").alias("own"))
-    matrix = at.select("token", "rank", "part").distinct()
+    asking = at.where("rank < high").select("token", F.col("node").alias("a"), F.col("rank").alias("own"), F.col("n").alias("n_a"))
+    matrix = at.select("token", "rank", "part", "n_b").distinct()
     asked = asking.join(matrix, "token").where(F.col("own") < F.col("rank"))
-    asked = asked.groupBy("a", F.col("rank.root").alias("root"), "part", F.col("rank.members").alias("members")).agg(F.count(F.lit(1)).alias("c"))
-    # Of a group of one the size is known, so the tokens that both prefixes share must be enough for it.
-    single = placed.where("members = 1").select("root", F.col("n").alias("n_b"))
-    asked = asked.join(n_a, "a").join(single, "root", "left")
+    asked = asked.groupBy("a", "n_a", F.col("rank.root").alias("root"), "part", "n_b").agg(F.count(F.lit(1)).alias("c"))
     enough = (F.least("n_a", "n_b") >= _overlap(F.col("n_a"), F.col("n_b"), percent)) & (F.col("c") >= _common(F.col("n_a"), F.col("n_b"), percent))
     asked = written(asked.where(F.col("n_b").isNull() | enough).select("a", "root", "part"), "asked")
     members = placed.join(asked.select("root", "part").distinct(), ["root", "part"], "left_semi")
