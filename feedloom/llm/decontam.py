@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -44,19 +45,35 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     return mixed(total + np.uint64(int(mask, 2)))
 
 
-def extend(doc: np.ndarray, item: np.ndarray, at: int, item_at: int, span: int) -> tuple[int, int, int, int]:
-    """The best run of words around a hit along its diagonal: start in the document and the item, length, equal words.
+def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
+    """Start, length and equal words of the stretch with most equal words of those with ``MIN_SHARE``, the first on a tie.
 
-    An equal word gains 1, a different one costs 2, and the run ends where that sum is highest on either side.
+    ``equal`` says of every pair of words along a diagonal whether they are equal. The stretch begins and ends with
+    equal words. A stretch has the share if the score, which falls by the share with every word and rises by 1 with an
+    equal one, is not lower behind it than before it; so the first place with a score as low as that of an end is its
+    best start, and one pass over the diagonal sees all stretches.
     """
-    left, right = min(at, item_at), min(len(doc) - at - span, len(item) - item_at - span)
-    equal = doc[at - left : at + span + right] == item[item_at - left : item_at + span + right]
-    worth = np.where(equal, 1, -2)
-    after, before = np.cumsum(worth[left + span :]), np.cumsum(worth[:left][::-1])
-    more = int(np.argmax(after)) + 1 if len(after) and after.max() > 0 else 0
-    less = int(np.argmax(before)) + 1 if len(before) and before.max() > 0 else 0
-    kept = equal[left - less : left + span + more]
-    return at - less, item_at - less, len(kept), int(kept.sum())
+    share = Fraction(MIN_SHARE).limit_denominator(1000)
+    count = np.concatenate([[0], np.cumsum(equal)])
+    score = count * share.denominator - np.arange(len(count)) * share.numerator
+    first = np.searchsorted(-np.minimum.accumulate(score), -score, "left")
+    end = int(np.argmax(count - count[first]))
+    start = int(first[end])
+    start += int(np.argmax(equal[start:end])) if end > start else 0
+    return start, end - start, int(count[end] - count[start])
+
+
+def along(doc: np.ndarray, item: np.ndarray, at: int, item_at: int, least: int) -> tuple[int, int, int, int] | None:
+    """The best stretch of the whole diagonal of a hit: start in the document and the item, length, equal words.
+
+    None if it has fewer than ``least`` equal words.
+    """
+    left, right = min(at, item_at), min(len(doc) - at, len(item) - item_at)
+    equal = doc[at - left : at + right] == item[item_at - left : item_at + right]
+    if np.count_nonzero(equal) < least:
+        return None
+    start, length, n = best_stretch(equal)
+    return (at - left + start, item_at - left + start, length, n) if n >= least else None
 
 
 @dataclass
@@ -118,12 +135,9 @@ class Seeds:
             if covered.get(line, -1) >= at + span:
                 continue
             item = self.items[i]
-            found = extend(words[bounds[d] : bounds[d + 1]], item, at, item_at, span)
-            covered[line] = found[0] + found[2]
-            start, _, length, equal = found
-            if equal < min(MIN_EQUAL, -(-len(item) * 9 // 10)) or equal < MIN_SHARE * length:
-                continue
-            if (d, i) not in best or (equal, -start) > (best[d, i][3], -best[d, i][0]):
+            found = along(words[bounds[d] : bounds[d + 1]], item, at, item_at, min(MIN_EQUAL, -(-len(item) * 9 // 10)))
+            covered[line] = found[0] + found[2] if found else at + span
+            if found and ((d, i) not in best or (found[3], -found[0]) > (best[d, i][3], -best[d, i][0])):
                 best[d, i] = found
         return best
 

@@ -113,6 +113,42 @@ def test_overlaps_survive_substitutions(make, spark):
     assert decontam.contaminated(make([]), bench).count() == 0 and decontam.contaminated(docs, bench.limit(0)).count() == 0
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([True, True, True, False]), min_size=1, max_size=60))
+def test_best_stretch_equals_brute_force(equal):
+    fits = [(sum(equal[i:j]), -i, i - j) for i in range(len(equal)) for j in range(i + 1, len(equal) + 1) if equal[i] and equal[j - 1] and sum(equal[i:j]) * 5 >= 4 * (j - i)]
+    n, start, length = max(fits, default=(0, 0, 0))
+    assert decontam.best_stretch(np.array(equal))[1:] == (-length, n)
+    assert not n or decontam.best_stretch(np.array(equal))[0] == -start
+
+
+def overlap(doc, item):
+    found = decontam.Seeds.of(["i"], pa.array([" ".join(item)]))
+    return found.overlaps(*decontam._words(decontam.WordHasher(decontam.SEPARATORS), pa.array([" ".join(doc)]))).get((0, 0))
+
+
+def worn(rng, words, share):
+    return [f"x{rng.random()}" if rng.random() < share else w for w in words]
+
+
+def test_worn_text_around_a_copy_does_not_hide_it():
+    item = [f"w{i}" for i in range(156)]
+    doc = item[:16] + [f"x{i}" if i % 4 == 0 else w for i, w in enumerate(item[16:])]
+    start, item_start, length, equal = overlap(doc, item)
+    assert (start, item_start) == (0, 0) and equal >= 16 and equal * 5 >= length * 4
+    rng, seen = random.Random(8), 0
+    for n in (100, 200):
+        for share in (0.2, 0.22, 0.25):
+            for _ in range(30):
+                item = [f"w{i}" for i in range(n)]
+                doc = worn(rng, item, share)
+                if any(doc[i : i + 13] == item[i : i + 13] for i in range(n - 12)):
+                    seen += 1
+                    found = overlap(["before", *doc, "after"], item)
+                    assert found and found[3] >= 13 and found[3] * 5 >= found[2] * 4
+    assert seen > 40
+
+
 RULES = [url_graph.Rule("allow", "com", "/"), url_graph.Rule("block", "example.com", "/en/"), url_graph.Rule("allow", "www.example.com", "/en/"), url_graph.Rule("block", "net", "/es/")]
 
 
