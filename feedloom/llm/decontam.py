@@ -110,8 +110,8 @@ class Seeds:
             out.place.append(np.concatenate([np.arange(len(f)) for f in found])[order])
         return out
 
-    def hits(self, words: np.ndarray, bounds: np.ndarray, table_bits: int = 20) -> Iterator[tuple[int, int, int, int, int]]:
-        """Document, place in its words, item, place in the item and span of every hash that agrees."""
+    def hits(self, words: np.ndarray, bounds: np.ndarray, table_bits: int = 20) -> Iterator[tuple[int, int, int, int]]:
+        """Document, place in its words, item and place in the item of every hash that agrees, mask by mask."""
         shift = np.uint64(64 - table_bits)
         for mask, hashes, item, place in zip(self.masks, self.hashes, self.item, self.place, strict=True):
             table = np.zeros(1 << table_bits, bool)
@@ -124,19 +124,19 @@ class Seeds:
             inside = at + len(mask) <= bounds[doc + 1]
             for d, a, f, t in zip(doc[inside].tolist(), at[inside].tolist(), first[inside].tolist(), last[inside].tolist(), strict=True):
                 for k in range(f, t):
-                    yield d, a - int(bounds[d]), int(item[k]), int(place[k]), len(mask)
+                    yield d, a - int(bounds[d]), int(item[k]), int(place[k])
 
     def overlaps(self, words: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int, int]]:
-        """The best verified overlap of each document and item."""
+        """The best verified overlap of each document and item. A diagonal is judged as a whole, at its first hit."""
         best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
-        covered: dict[tuple[int, int, int], int] = {}
-        for d, at, i, item_at, span in self.hits(words, bounds):
+        judged: set[tuple[int, int, int]] = set()
+        for d, at, i, item_at in self.hits(words, bounds):
             line = (d, i, at - item_at)
-            if covered.get(line, -1) >= at + span:
+            if line in judged:
                 continue
+            judged.add(line)
             item = self.items[i]
             found = along(words[bounds[d] : bounds[d + 1]], item, at, item_at, min(MIN_EQUAL, -(-len(item) * 9 // 10)))
-            covered[line] = found[0] + found[2] if found else at + span
             if found and ((d, i) not in best or (found[3], -found[0]) > (best[d, i][3], -best[d, i][0])):
                 best[d, i] = found
         return best

@@ -149,6 +149,15 @@ def test_worn_text_around_a_copy_does_not_hide_it():
     assert seen > 40
 
 
+def test_a_hit_of_one_mask_does_not_hide_those_of_others():
+    item = [f"w{i}" for i in range(60)]
+    doc = [f"x{i}" if i in (4, 9, 14, 19) or 20 <= i < 48 else w for i, w in enumerate(item)]
+    hashes = [decontam._words(decontam.WordHasher(decontam.SEPARATORS), pa.array([" ".join(t)]))[0] for t in (doc, item)]
+    hit = [np.flatnonzero(decontam.seeds(hashes[0], m) == decontam.seeds(hashes[1], m)) for m in decontam.MASKS]
+    assert hit[0].min() > 40 and min(hit[1].min(), hit[2].min()) < 10
+    assert overlap(doc, item) == (0, 0, 19, 16)
+
+
 RULES = [url_graph.Rule("allow", "com", "/"), url_graph.Rule("block", "example.com", "/en/"), url_graph.Rule("allow", "www.example.com", "/en/"), url_graph.Rule("block", "net", "/es/")]
 
 
