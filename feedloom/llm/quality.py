@@ -24,6 +24,8 @@ SUPPORT = 0.75
 IDENTITY = 0.1
 #: Groups below this many documents are judged with the other small ones of their language, or of all languages.
 MIN_GROUP = 200
+#: What is left below that has the group of all documents.
+ALL = "all"
 #: A document is an outlier beyond this quantile of the chi-squared law; clean text has heavier tails than the normal law.
 QUANTILE = 1 - 1e-12
 STEPS = 8
@@ -122,10 +124,10 @@ def _consistency(share: float) -> float:
 
 
 def assign_groups(counts: DataFrame, least: int = MIN_GROUP) -> DataFrame:
-    """``lang``, ``source`` and the ``grp`` each pair is judged in; ``counts`` has a row with ``n`` for each pair.
+    """``lang``, ``source``, ``n`` and the ``grp`` of each pair; ``counts`` has a row with ``n`` for each pair.
 
     A pair of its own from ``least`` documents on; the smaller pairs of a language together, if they reach that; all
-    that remain together otherwise. Where even those are fewer, ``grp`` is null and nothing is judged.
+    that remain together otherwise. Where even those are fewer, ``grp`` is null: they are held against all documents.
     """
     own, pool = F.col("n") >= least, W.partitionBy("lang", F.col("n") >= least)
     pooled = counts.withColumn("of_lang", F.sum("n").over(pool))
@@ -136,7 +138,7 @@ def assign_groups(counts: DataFrame, least: int = MIN_GROUP) -> DataFrame:
     grp = grp.when(F.col("level") == 1, F.struct(F.lit(1).alias("level"), "lang", F.lit(None).cast("string").alias("source")))
     none = F.lit(None).cast("string")
     grp = grp.when(rest >= least, F.struct(F.lit(2).alias("level"), none.alias("lang"), none.alias("source")))
-    return levelled.select("lang", "source", F.to_json(grp).alias("grp"))
+    return levelled.select("lang", "source", "n", F.to_json(grp).alias("grp"))
 
 
 def _sweep(matrix: Column) -> Column:
@@ -206,6 +208,12 @@ def _concentrate(points: DataFrame, estimates: DataFrame, keys: Sequence[str]) -
     return cells.withColumn("part", part).groupBy(*keys).agg(*[F.sum(F.col("part") * F.col(c)).alias(c) for c in sums])
 
 
+def _plain() -> list[Column]:
+    """``center`` and ``precision`` of standardised values before any estimate: the identity around the median."""
+    eye = F.array(*[F.lit(float(i == j)) for i in range(P) for j in range(P)])
+    return [F.array(*[F.lit(0.0)] * P).alias("center"), eye.alias("precision")]
+
+
 def fit(points: DataFrame, steps: int = STEPS) -> DataFrame:
     """``grp``, ``center`` and ``precision`` of every group of ``points`` (``grp`` and standardised ``z0``..).
 
@@ -215,8 +223,7 @@ def fit(points: DataFrame, steps: int = STEPS) -> DataFrame:
     """
     tanh = points.groupBy("grp").agg(*_moments(z=[F.tanh(c) for c in Z]))
     bounded = _estimates(tanh, ["grp"], 1 - 1e-12).withColumn("start", F.lit("tanh"))
-    eye = F.array(*[F.lit(float(i == j)) for i in range(P) for j in range(P)])
-    plain = bounded.select("grp", F.array(*[F.lit(0.0)] * P).alias("center"), eye.alias("precision"), F.lit(math.inf).alias("logdet"), F.lit("plain").alias("start"))
+    plain = bounded.select("grp", *_plain(), F.lit(math.inf).alias("logdet"), F.lit("plain").alias("start"))
     est = written(bounded.unionByName(plain), "estimates")
     for step in range(steps):
         keys = ["grp", "start"]
@@ -242,7 +249,10 @@ def judge(docs: DataFrame, keep: Sequence[str], quantile: float = QUANTILE, leas
 
     ``docs`` has ``text``, ``lang`` and ``source``. Null languages and sources are groups like any other. Documents
     that fail the base rules are not part of any estimate and not kept; null and blank texts are among them. Repeated
-    rows count and are judged each. With no rows, or fewer than ``least`` in all, the base rules alone decide.
+    rows count and are judged each, at every size: where the small groups that remain are fewer than ``least``, they
+    are held against the estimate of all documents, and where all are fewer, against the median of all, with scales
+    that are not below their floors and without correlations. So every document that passes the base rules has a
+    ``distance2``.
 
     Statistics are written to the shared folder once; estimates have a row per group, and Spark broadcasts them if
     they are small. Groups are only ever summed, so one with a third of all documents is no burden on a task.
@@ -253,14 +263,20 @@ def judge(docs: DataFrame, keep: Sequence[str], quantile: float = QUANTILE, leas
     stats = written(stats.withColumns(x), "statistics")
     fine = stats.where(~F.col("base_failed"))
     pairs = fine.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    groups = written(assign_groups(pairs, least), "groups").select(F.col("lang").alias("l"), F.col("source").alias("s"), "grp")
+    name = [F.col("lang").alias("l"), F.col("source").alias("s")]
+    groups = written(assign_groups(pairs, least), "groups").select(*name, "n", "grp")
+    known = groups.agg(F.sum("n").alias("n"), F.count_if(F.col("grp").isNull()).alias("left")).first()
+    judged_in = groups.select("l", "s", F.coalesce("grp", F.lit(ALL)).alias("grp"))
+    # The documents of all groups are members of that of all as well, if it is needed.
+    members = groups.where(F.col("grp").isNotNull()).select("l", "s", "grp")
+    members = members.union(groups.select("l", "s", F.lit(ALL))) if known.left else members
     match = F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))
 
-    def placed(rows: DataFrame) -> DataFrame:
-        return rows.join(groups, match, "left").drop("l", "s")
+    def placed(rows: DataFrame, groups: DataFrame, how: str) -> DataFrame:
+        return rows.join(groups, match, how).drop("l", "s")
 
     quartiles = [F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(P)]
-    scales = written(placed(fine).where(F.col("grp").isNotNull()).groupBy("grp").agg(*quartiles), "scales")
+    scales = written(placed(fine, members, "inner").groupBy("grp").agg(*quartiles), "scales")
     floors = [floor for _, floor in FEATURES.values()]
 
     def standard(rows: DataFrame, how: str) -> DataFrame:
@@ -271,8 +287,11 @@ def judge(docs: DataFrame, keep: Sequence[str], quantile: float = QUANTILE, leas
         }
         return rows.join(scales, "grp", how).withColumns(z)
 
-    estimates = fit(standard(placed(fine), "inner").select("grp", *Z))
-    scored = standard(placed(stats), "left").join(estimates, "grp", "left")
+    if (known.n or 0) < least:
+        estimates = scales.select("grp", *_plain())
+    else:
+        estimates = fit(standard(placed(fine, members, "inner"), "inner").select("grp", *Z))
+    scored = standard(placed(stats, judged_in, "left"), "left").join(estimates, "grp", "left")
     d2 = _distance(F.col("center"), F.col("precision"), [F.col(c) for c in Z])
     inside = F.coalesce(d2 <= chi2_quantile(quantile, P), F.lit(True))
     return scored.withColumn("distance2", d2).select(

@@ -72,6 +72,17 @@ def test_small_groups_are_pooled(spark):
     assert quality.assign_groups(counts.where("n < 50"), 200).first().grp is None
 
 
+@pytest.mark.parametrize("clean", [300, 90])
+def test_rare_languages_and_small_tables_are_judged(make, clean):
+    rng = random.Random(9)
+    rows = [(i, text(rng, rng.randint(60, 300)) + ".", "en", "a") for i in range(clean)]
+    rows += [(500 + i, text(rng, 100) + ".", "fr", "a" if i % 2 else None) for i in range(10)]
+    rows += [(1000 + i, " ".join(w + "$$$" for w in text(rng, 100).split()), "fr" if i % 2 else None, "b") for i in range(6)]
+    judged = quality.judge(make(rows), ["doc_id"]).select("doc.doc_id", "kept", "distance2").collect()
+    assert len(judged) == len(rows) and all(r.distance2 is not None for r in judged)
+    assert {r.doc_id for r in judged if r.kept} == {r[0] for r in rows if r[0] < 1000}
+
+
 def test_quality_without_rows(make):
     assert quality.keep_good(make([])).count() == 0
 
