@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -11,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from feedloom.session import written
 
 DAMPING = 0.85
-ROUNDS = 16
 #: Propagation ends when less than this share of the mass moves in a round.
 TOLERANCE = 1e-3
 #: A host is blocked when distrust makes up more than this share of all that speaks for and against it.
@@ -66,13 +66,18 @@ def host_links(pages: DataFrame) -> DataFrame:
     return named.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")).join(known, "dst", "left_semi")
 
 
-def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
     """Personalised PageRank: ``host`` and ``rank`` from ``seeds`` (``host``, ``mass``) along ``src`` to ``dst``.
 
     In every round a host passes on ``damping`` of its rank by weight of its links; what is not passed on returns to
     the seeds, also from hosts without links. The total stays the mass of the seeds. Ranks are written to the shared
     folder each round; the driver sees two sums. Without seeds nobody has a rank.
+
+    Rounds end when less than ``TOLERANCE`` of the mass moves. The mass that moves falls by ``damping`` in each, so at
+    most 48 are needed at the default. With a number of ``rounds`` that is too small for that, it is an error.
     """
+    if rounds is None:
+        rounds = math.ceil(math.log(TOLERANCE / 2) / math.log(damping)) + 1
     total = seeds.agg(F.sum("mass")).first()[0]
     ranks = written(seeds.select("host", F.col("mass").cast("double").alias("rank")), "ranks")
     if not total:
@@ -88,8 +93,8 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         change = new.union(ranks.select("host", -F.col("rank"))).groupBy("host").agg(F.abs(F.sum("rank")).alias("d"))
         ranks = new
         if change.agg(F.sum("d")).first()[0] <= TOLERANCE * total:
-            break
-    return ranks
+            return ranks
+    raise RuntimeError(f"ranks still move by more than {TOLERANCE:g} of their mass after {rounds} rounds")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], threshold: float = THRESHOLD) -> DataFrame:

@@ -184,6 +184,17 @@ def test_url_rules_and_links(spark):
     assert url_graph.judge_urls(pages(spark, []), RULES).count() == 0
 
 
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    chain = spark.createDataFrame([(f"h{i + 1}", f"h{i}", 1) for i in range(30)], "src string, dst string, weight long")
+    against = chain.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
+    seeds = spark.createDataFrame([("h0", 1000.0)], "host string, mass double")
+    got = {r.host: r["rank"] for r in url_graph.propagate(against, seeds).collect()}
+    first = 150 / (1 - 0.85**31)
+    assert all(got[f"h{i}"] == pytest.approx(first * 0.85**i, abs=1) for i in range(31)) and got["h30"] > 1
+    with pytest.raises(RuntimeError):
+        url_graph.propagate(against, seeds, rounds=3)
+
+
 def test_ranks_keep_their_mass(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(30), rng.randrange(30), rng.randint(1, 5)) for _ in range(80)]
