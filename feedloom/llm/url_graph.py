@@ -17,7 +17,9 @@ TOLERANCE = 1e-3
 #: A host is blocked when distrust makes up more than this share of all that speaks for and against it.
 THRESHOLD = 0.5
 
-#: Names of hosts in pages, in links as well as in the text.
+#: Hosts of URLs in pages, with their ports and whatever else :func:`host_of` takes as part of a host.
+URL_HOST = r"//([^/?#\s\"'<>&,;()|\\`{}]+)"
+#: Names of hosts elsewhere in pages.
 HOST_NAME = r"(?i)\b((?:[a-z0-9-]+\.)+[a-z]{2,})\b"
 
 
@@ -58,9 +60,14 @@ def matched_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 def host_links(pages: DataFrame) -> DataFrame:
     """``src``, ``dst`` and ``weight``: how many pages of one host name another host that has pages itself.
 
-    ``pages`` has ``host`` and ``html``; a page counts once however often it names the host.
+    ``pages`` has ``host`` and ``html``; a page counts once however often it names the host. Hosts in URLs are cut as
+    :func:`host_of` does, and also without a mark that ends a sentence; in the rest of the page ASCII names count.
     """
-    names = F.array_distinct(F.regexp_extract_all(lower_ascii(F.col("html")), F.lit(HOST_NAME), F.lit(1)))
+    html = lower_ascii(F.col("html"))
+    urls = F.regexp_extract_all(html, F.lit(URL_HOST), F.lit(1))
+    ended = F.transform(urls, lambda u: F.regexp_replace(u, r"[.:!*]+$", ""))
+    bare = F.regexp_extract_all(F.regexp_replace(html, URL_HOST, " "), F.lit(HOST_NAME), F.lit(1))
+    names = F.array_distinct(F.concat(urls, ended, bare))
     named = pages.where("host != ''").select(F.col("host").alias("src"), F.explode(F.filter(names, lambda n: n != F.col("host"))).alias("dst"))
     known = pages.select(F.col("host").alias("dst")).distinct()
     return named.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")).join(known, "dst", "left_semi")

@@ -184,6 +184,15 @@ def test_url_rules_and_links(spark):
     assert url_graph.judge_urls(pages(spark, []), RULES).count() == 0
 
 
+def test_hosts_of_any_form_are_linked(spark):
+    hosts = ["example.net:8080", "10.0.0.1", "10.0.0.1:81", "a_b.example.org", "münchen.de", "x.xn--p1ai", "[::1]:80", "plain.org", "end.org"]
+    links = "".join(f'<a href="HTTP://{h.upper() if h.isascii() else h}/p?q">x</a>' for h in hosts[:-2])
+    read = [(h, None) for h in [*hosts, "example.net", "port.org"]]
+    read += [("src.org", links + " see plain.org and http://end.org. Bye"), ("src.org", "<a href='//port.org'>x</a>"), ("src.org", "nothing")]
+    got = url_graph.host_links(spark.createDataFrame(read, "host string, html string")).collect()
+    assert {(r.src, r.dst): r.weight for r in got} == {("src.org", h): 1 for h in [*hosts, "port.org"]}
+
+
 def test_distrust_reaches_the_end_of_a_long_chain(spark):
     chain = spark.createDataFrame([(f"h{i + 1}", f"h{i}", 1) for i in range(30)], "src string, dst string, weight long")
     against = chain.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
