@@ -6,8 +6,6 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -19,6 +17,7 @@ def spark():
 @pytest.fixture(scope="session")
 def con():
     from oracle import connect
+    from support import SF
 
     return connect(SF)
 
@@ -35,7 +34,3 @@ def conf(spark):
     yield put
     for name, value in before.items():
         spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
-def rows(df, *order):
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple(str(x) for x in r))

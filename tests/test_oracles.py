@@ -1,8 +1,8 @@
 """Every registered query against its SQL."""
 
 import pytest
-from conftest import SF
 from oracle import compare
+from support import SF
 
 from feedloom.plans import load_all
 

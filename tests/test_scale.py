@@ -3,8 +3,8 @@
 import hashlib
 
 import pytest
-from conftest import SF, rows
 from pyspark.sql import Window, functions as F
+from support import SF, rows
 
 from feedloom.operators import nested, quality, ranking, records, relational, state
 from feedloom.plans import feed_queries

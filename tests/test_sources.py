@@ -3,8 +3,8 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
 from pyspark.sql import functions as F
+from support import rows
 
 from feedloom.sources import delimited, documents, fixed_width as fw, lake, sinks
 from feedloom.sources.coerce import coerce, load_with_rejects

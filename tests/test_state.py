@@ -1,8 +1,8 @@
 """Table state: repeated loads change nothing, history stays consistent, streams equal batches."""
 
 import pytest
-from conftest import SF, rows
 from pyspark.sql import functions as F
+from support import SF, rows
 
 from feedloom.functions.keys import with_content_hash
 from feedloom.operators import ledger, state
