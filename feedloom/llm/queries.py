@@ -5,12 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from feedloom.llm import decontam, jaccard, langid, mixing, ppm, quality, token_counts, token_files, url_graph, warc
+from feedloom.llm import decontam, jaccard, langid, mixing, pieces, ppm, quality, runs, token_counts, token_files, url_graph, warc
 from feedloom.llm.registry import QUERIES, query, table  # noqa: F401
-from feedloom.llm.text import word_count
+from feedloom.llm.text import word_count, words_of
 from feedloom.session import written
 
 VOCABULARY = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 MIX_SQL = r"""
 WITH sized AS (
@@ -107,3 +108,41 @@ def warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_benchmark_overlaps")
 def benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def with_periodic_ends(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; in one of ten documents, by the id's crc32, the words from some place on repeat."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    g = F.floor(h / 10)
+    chosen = docs.where(h % 10 == 0).select("doc_id", "text", g.alias("g"), words_of(F.col("text")).alias("words"))
+    chosen = chosen.withColumn("n", F.size("words").cast("long")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rest = F.col("n") - F.col("a")
+    chosen = chosen.withColumn("p", 1 + F.floor(rest / (3 + F.col("g") % 8)))
+    cycle = F.slice("words", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    tail = F.flatten(F.array_repeat(cycle, F.ceil(rest / F.col("p")).cast("int")))
+    ended = F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), F.slice(tail, F.lit(1), rest.cast("int")))
+    ended = chosen.select("doc_id", F.when(F.col("n") > 0, F.array_join(ended, " ")).otherwise(F.col("text")).alias("text"))
+    return docs.where(h % 10 != 0).select("doc_id", "text").union(ended)
+
+
+@query("op12_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_periodic_ends(table(spark, sf_dir, "documents")), ["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    written = F.array_join(lines, "")
+    best = F.element_at(F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))), 1)
+    best = F.when(F.size("runs") > 0, best)
+    return found.select(
+        "doc.doc_id", F.size("runs").cast("long").alias("n_runs"), best["s"].alias("start"), (-best["l"]).alias("length"), best["p"].alias("period"),
+        F.floor(-best["l"] * 1000 / best["p"]).alias("exponent_milli"), F.sha2(written, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_piece_digests")
+def piece_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(vocabulary(PIECES), "rb") as file:
+        model = file.read()
+    coded = pieces.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), model, ["doc_id"])
+    written = F.array_join(F.col("ids").cast("array<string>"), ",")
+    digests = [F.sha2(written, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")]
+    return coded.select("doc.doc_id", F.size("ids").cast("long").alias("n_tokens"), *digests)
