@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from feedloom.llm import decontam, jaccard, langid, mixing, pieces, ppm, quality, runs, token_counts, token_files, url_graph, warc
+from feedloom.llm import decontam, jaccard, langid, mixing, pieces, ppm, prefix_trie, quality, runs, token_counts, token_files, url_graph, warc
 from feedloom.llm.registry import QUERIES, query, table  # noqa: F401
 from feedloom.llm.text import word_count, words_of
 from feedloom.session import written
@@ -110,6 +110,26 @@ def benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def with_grafted_heads(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every conversation c rebuilt, and all ids: h turns of c - c % 5 come first, then its own after its first h."""
+    sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    sizes = written(sizes.withColumns({"h": F.crc32(F.col("conv_id").cast("string")) % 9, "base": F.col("conv_id") - F.col("conv_id") % 5}), "lengths")
+    bases = sizes.select(F.col("conv_id").alias("base"), F.col("n").alias("n_base"))
+    heads = turns.where("conv_id % 5 = 0 and position < 8").select(F.col("conv_id").alias("base"), "position", "id", "size")
+    grafted = sizes.select("conv_id", "base", "h").join(heads, "base").where("position < h").select("conv_id", "position", "id", "size")
+    # Where the other conversation is shorter than h, what follows moves up.
+    moved = sizes.join(bases, "base", "left").select("conv_id", (F.col("h") - F.coalesce("n_base", F.lit(0))).alias("short")).where("short > 0")
+    own = turns.where(F.col("position") >= F.crc32(F.col("conv_id").cast("string")) % 9).join(moved, "conv_id", "left")
+    own = own.select("conv_id", (F.col("position") - F.coalesce("short", F.lit(0))).alias("position"), "id", "size")
+    return grafted.union(own), sizes.select("conv_id")
+
+
+@query("op11_prefix_trie")
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.number_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*with_grafted_heads(written(turns, "numbered")))
+
+
 def with_periodic_ends(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text``; in one of ten documents, by the id's crc32, the words from some place on repeat."""
     h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
