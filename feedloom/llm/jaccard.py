@@ -1,19 +1,22 @@
 """Exact Jaccard join of word n-gram sets through a matrix of tokens and groups.
 
-Similar documents form groups; the matrix holds each group's union of tokens. A document's overlap with the union
-bounds its overlap with every member, so only groups that may hold a partner are opened.
+Similar documents form groups around one of them, the hub; the matrix holds each group's union of tokens. A document's
+overlap with the union bounds its overlap with every member, so only groups that may hold a partner are opened. Within
+a group the hub stands for what all have in common: members are told by the tokens in which they differ from it, and
+compared only if they share enough of those.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from contextlib import AbstractContextManager, contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedloom.llm.components import components
 from feedloom.llm.word_hashes import WordHasher, grams
@@ -30,6 +33,8 @@ TASK_GROUPS = 256
 COLUMNS = 4096
 #: Documents in a group; larger ones are several rows of the matrix.
 GROUP = 64
+#: Similarity to a hub, in per cent, from which on a document belongs to its group.
+NEAR = 40
 #: Bits of the filters that tell in a scan which sets or tokens a join may need; what passes by chance the join drops.
 FILTER_BITS = 1 << 25
 
@@ -90,15 +95,17 @@ def token_frequencies(docs: DataFrame, size: int = SHINGLE, cells: int = CELLS)
     return total
 
 
-def signatures(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def _frequency(cells: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    return cells[(tokens >> np.uint64(64 - len(cells).bit_length() + 1)).astype(np.int64)]
+
+
+def signatures(docs: DataFrame, order: Broadcast, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per document: ``n``, ``node`` (equal sets share it; null for the empty set), ``prefix`` and ``bits``.
 
     Tokens are ordered by the frequency of their cell, rare first. Two sets that are similar enough share a token
     among the first n - ceil(n * percent / 100) + 1 of each: their prefix. ``bits`` is the set's row of the matrix.
+    ``order`` holds :func:`token_frequencies`.
     """
-    spark = docs.sparkSession
-    order = spark.sparkContext.broadcast(token_frequencies(docs, size))
-    shift = np.uint64(64 - CELLS.bit_length() + 1)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
@@ -108,7 +115,7 @@ def signatures(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
                 n.append(len(tokens))
                 node.append(_named(tokens))
                 first = len(tokens) - -(-len(tokens) * percent // 100) + 1
-                rare = np.argsort(order.value[(tokens >> shift).astype(np.int64)], kind="stable")[:first]
+                rare = np.argsort(_frequency(order.value, tokens), kind="stable")[:first]
                 prefix.append(tokens[rare].view(np.int64))
                 row = np.zeros(COLUMNS, np.uint8)
                 row[(tokens % np.uint64(COLUMNS)).astype(np.int64)] = 1
@@ -137,14 +144,24 @@ def _within(rows: DataFrame) -> DataFrame:
     return rows.select("a", "b", "n", "need", "bits", "others").mapInArrow(bound, "a long, b long")
 
 
-def _bit_filter(keys: DataFrame, column: str):
+@contextmanager
+def _sent(spark: SparkSession, value: np.ndarray) -> Iterator[Broadcast]:
+    """A value that tasks can read; what they make of it must be written before it is given back."""
+    sent = spark.sparkContext.broadcast(value)
+    try:
+        yield sent
+    finally:
+        sent.destroy()
+
+
+def _bit_filter(keys: DataFrame, column: str) -> AbstractContextManager[Broadcast]:
     """A broadcast array with the bit of every key set: FILTER_BITS of them, whatever the number of keys."""
     bit = F.pmod(column, F.lit(FILTER_BITS))
     words = keys.select(F.floor(bit / 32).cast("int").alias("word"), F.pow(F.lit(2.0), bit % 32).cast("long").alias("bit"))
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     asked = np.zeros(FILTER_BITS // 32, np.uint32)
     asked[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    return keys.sparkSession.sparkContext.broadcast(asked)
+    return _sent(keys.sparkSession, asked)
 
 
 def _passes(filter_bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -153,57 +170,147 @@ def _passes(filter_bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _rows_of(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node``, ``n`` and ``bits`` of the sets in ``nodes``; only what passes a filter leaves the scan."""
-    asked = _bit_filter(nodes, "node")
+    """``node``, ``n`` and ``bits`` of the sets in ``nodes``, as a table; only what passes a filter leaves the scan."""
 
-    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(_passes(asked.value, batch.column("node").to_numpy())))
+    with _bit_filter(nodes, "node") as asked:
+
+        def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(_passes(asked.value, batch.column("node").to_numpy())))
 
-    found = sets.select("node", "n", "bits").mapInArrow(passing, "node long, n long, bits binary")
-    return found.join(nodes, "node", "left_semi")
+        found = sets.select("node", "n", "bits").mapInArrow(passing, "node long, n long, bits binary")
+        return written(found.join(nodes, "node", "left_semi"), "rows")
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, copied: DataFrame, size: int) -> DataFrame:
-    """``node`` and ``tokens`` of the sets in ``nodes``, built again from the texts; of copies from the smallest id."""
-    asked = _bit_filter(nodes, "node")
+    """``node`` and ``tokens`` of the sets in ``nodes`` as a table, built again from the texts; of copies from the smallest id."""
+    chosen = written(nodes.join(copied.withColumn("several", F.lit(True)), "node", "left"), "chosen")
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(size)
-        for batch in batches:
-            sets = list(shingler.sets(batch.column("text")))
-            named = [_named(tokens) for tokens in sets]
-            passed = _passes(asked.value, np.array([n or 0 for n in named], np.int64)) & np.array([n is not None for n in named], bool)
-            rows = np.flatnonzero(passed)
-            lists = [sets[i].view(np.int64) for i in rows]
-            ends = pa.array(np.cumsum([0, *map(len, lists)]), pa.int32())
-            tokens = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int64), *lists])))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows)), pa.array([named[i] for i in rows], pa.int64()), tokens], ["doc_id", "node", "tokens"])
+    with _bit_filter(nodes, "node") as asked:
 
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    built = read.mapInArrow(build, "doc_id long, node long, tokens array<long>")
-    chosen = written(nodes.join(copied.withColumn("several", F.lit(True)), "node", "left"), "chosen")
-    found = built.join(chosen, "node").where(F.col("several").isNull() | F.col("doc_id").eqNullSafe(F.col("smallest")))
-    return found.select("node", "tokens")
+        def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shingler = Shingler(size)
+            for batch in batches:
+                sets = list(shingler.sets(batch.column("text")))
+                named = [_named(tokens) for tokens in sets]
+                passed = _passes(asked.value, np.array([n or 0 for n in named], np.int64)) & np.array([n is not None for n in named], bool)
+                rows = np.flatnonzero(passed)
+                lists = [sets[i].view(np.int64) for i in rows]
+                ends = pa.array(np.cumsum([0, *map(len, lists)]), pa.int32())
+                tokens = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int64), *lists])))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows)), pa.array([named[i] for i in rows], pa.int64()), tokens], ["doc_id", "node", "tokens"])
+
+        built = read.mapInArrow(build, "doc_id long, node long, tokens array<long>")
+        found = built.join(chosen, "node").where(F.col("several").isNull() | F.col("doc_id").eqNullSafe(F.col("smallest")))
+        return written(found.select("node", "tokens"), "sets")
 
 
 def _nodes_of(pairs: DataFrame) -> DataFrame:
     return written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "needed")
 
 
+def _with_sets(pairs: DataFrame, docs: DataFrame, copied: DataFrame, size: int) -> DataFrame:
+    """``pairs`` with the whole sets of both sides."""
+    sets = _sets_of(docs, _nodes_of(pairs), copied, size)
+    left, right = (sets.select(F.col("node").alias(c), F.col("tokens").alias(f"tokens_{c}")) for c in "ab")
+    return pairs.join(left, "a").join(right, "b")
+
+
 def _linked(pairs: DataFrame, docs: DataFrame, copied: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` whose whole sets are similar enough."""
-    sets = written(_sets_of(docs, _nodes_of(pairs), copied, size), "sets")
-    left, right = (sets.select(F.col("node").alias(c), F.col("tokens").alias(f"tokens_{c}")) for c in "ab")
-    both = pairs.join(left, "a").join(right, "b")
+    both = _with_sets(pairs, docs, copied, size)
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - shared
     return both.where(shared * 100 >= union * percent).select("a", "b").distinct()
 
 
-def _overlap(n: Column, other: Column, percent: int) -> Column:
+def _compared(both: DataFrame, order: Broadcast, percent: int) -> DataFrame:
+    """Pairs with their sets, ``b`` being a hub: ``linked``, both sizes, and for near pairs how ``a`` differs.
+
+    ``differs`` lists the tokens that only one of both has, those first that few others of the group differ in: by the
+    frequency of a token that the hub lacks, and of one that it has by how much rarer it is than the hub's usual ones.
+    ``score`` is (100 - percent) times the size less (100 + percent) times the number of differing tokens.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked, sizes, others, scores, lists = [], [], [], [], []
+            for mine, hub, is_hub in zip(batch.column("tokens_a"), batch.column("tokens_b"), batch.column("hub").to_pylist(), strict=True):
+                mine, hub = (x.values.to_numpy().view(np.uint64) for x in (mine, hub))
+                extra, missing = np.setdiff1d(mine, hub, True), np.setdiff1d(hub, mine, True)
+                shared, union = len(mine) - len(extra), len(hub) + len(extra)
+                linked.append(shared * 100 >= union * percent)
+                sizes.append(len(mine))
+                others.append(len(hub))
+                if not is_hub or shared * 100 < union * NEAR:
+                    scores.append(None)
+                    lists.append(None)
+                    continue
+                usual = int(np.median(_frequency(order.value, hub)))
+                tokens = np.concatenate([extra, missing])
+                rare = np.concatenate([_frequency(order.value, extra).astype(np.int64), usual - _frequency(order.value, missing).astype(np.int64)])
+                scores.append((100 - percent) * len(mine) - (100 + percent) * len(tokens))
+                lists.append(tokens[np.lexsort((tokens, rare))].view(np.int64))
+            columns = [pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(others, pa.int64()), pa.array(scores, pa.int64()), pa.array(lists, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *columns], ["a", "b", "linked", "n", "n_b", "score", "differs"])
+
+    schema = "a long, b long, linked boolean, n long, n_b long, score long, differs array<long>"
+    return both.select("a", "b", "hub", "tokens_a", "tokens_b").mapInArrow(compare, schema)
+
+
+def _members(compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Every member of a group: ``node``, ``hub``, ``n``, ``score``, ``differs``, ``bucket`` (of scores), ``root``, ``best``, ``top``.
+
+    ``best`` is the member with the highest score, ``top``. Two members whose scores add up to 0 or more are linked,
+    whatever they differ in; then both are linked to the best one too, so such members count to its component.
+    """
+    near = compared.where(F.col("score").isNotNull())
+    own = near.select(F.col("a").alias("node"), F.col("b").alias("hub"), "n", "score", "differs", F.col("n_b").alias("n_hub"))
+    hubs = near.select("b", F.col("b").alias("hub"), F.col("n_b").alias("n"), (F.col("n_b") * (100 - percent)).alias("score"), F.array().cast("array<long>").alias("differs"), F.col("n_b").alias("n_hub"))
+    members = own.union(hubs.distinct())
+    step = F.greatest(F.lit(1), F.floor(F.col("n_hub") * (100 - percent) / 2))
+    members = members.withColumn("bucket", F.floor((F.col("n_hub") * (100 - percent) - F.col("score")) / step)).drop("n_hub")
+    members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    best = members.groupBy("hub").agg(F.max(F.struct("score", "node", "root")).alias("best"))
+    members = members.join(best, "hub").withColumns({"top": F.col("best.score"), "best": F.col("best.node"), "best_root": F.col("best.root")})
+    root = F.when(F.col("score") + F.col("top") >= 0, F.col("best_root")).otherwise(F.col("root"))
+    return members.withColumns({"root": root, "in_best": (root == F.col("best_root")).cast("int")}).drop("best_root")
+
+
+def _inside(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of a group, not known to be in one component, that differ from the hub alike enough to be linked.
+
+    If two members have scores s and t, they share at least -(s + t) / (2 * (100 + percent)) differing tokens, or are
+    no link. So they share one among the first of each: its prefix, whose length depends on the scores of the bucket
+    that the other is in.
+    """
+    weight = 2 * (100 + percent)
+    opened = members.groupBy("hub").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("hub")
+    tops = members.groupBy("hub", "bucket").agg(F.max("score").alias("top")).groupBy("hub").agg(F.collect_list(F.struct(F.col("bucket").alias("other"), F.col("top").alias("other_top"))).alias("tops"))
+    some = members.join(opened, "hub", "left_semi").drop("top", "best").join(tops, "hub")
+    some = some.select("hub", "node", "score", "differs", "bucket", F.struct("in_best", "root").alias("rank"), F.inline("tops"))
+    some = some.withColumn("least", F.greatest(F.lit(1), F.ceil(-(F.col("score") + F.col("other_top")) / weight)).cast("int"))
+    some = some.where(F.size("differs") >= F.col("least"))
+    prefix = F.expr("slice(differs, 1, size(differs) - least + 1)")
+    key = ["hub", "small", "large", "token"]
+    some = some.select(
+        "hub", F.least("bucket", "other").alias("small"), F.greatest("bucket", "other").alias("large"), F.explode(prefix).alias("token"),
+        "node", "score", "bucket", "rank", "least",
+    )
+    some = written(some, "differing")
+    several = some.groupBy(*key).agg(F.min("rank").alias("low"), F.max("rank").alias("high")).where("low != high").drop("low")
+    at = written(some.join(several, key), "open-differing")
+    asking = at.where("rank < high").select(*key, F.col("node").alias("a"), F.col("score").alias("s"), F.col("bucket").alias("own"), F.col("rank").alias("own_rank"), F.col("least").alias("own_least"))
+    both = asking.join(at, key).where((F.col("own_rank") < F.col("rank")) & ((F.col("small") == F.col("large")) | (F.col("own") != F.col("bucket"))))
+    shared = both.groupBy("a", F.col("node").alias("b"), "s", "score", "own_least", "least").agg(F.count(F.lit(1)).alias("c"))
+    need = F.greatest(F.lit(1), F.ceil(-(F.col("s") + F.col("score")) / weight)) - F.greatest("own_least", "least") + 1
+    return shared.where(F.col("c") >= need).select("a", "b").distinct()
+
+
+def _overlap(n: Column, other: Column, percent: int | Column) -> Column:
     """Tokens that two sets of these sizes share if they are similar enough."""
-    return F.ceil((n + other) * percent / (100 + percent))
+    return F.ceil((n + other) * percent / (percent + 100))
 
 
 def _common(n: Column, other: Column, percent: int) -> Column:
@@ -215,22 +322,22 @@ def _common(n: Column, other: Column, percent: int) -> Column:
     return _overlap(n, other, percent) - _need(F.greatest(n, other), percent) + 1
 
 
-def _bounded(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a``, ``b`` whose sizes and rows of the matrix allow a link."""
+def _bounded(pairs: DataFrame, rows: DataFrame, percent: int | Column) -> DataFrame:
+    """Pairs ``a``, ``b`` whose sizes and rows of the matrix allow this similarity."""
     of_a = rows.select(F.col("node").alias("a"), "n", "bits")
     of_b = rows.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("others"))
     need = _overlap(F.col("n"), F.col("n_b"), percent)
     return _within(pairs.join(of_a, "a").join(of_b, "b").where(F.least("n", "n_b") >= need).withColumn("need", need))
 
 
-def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def set_links(docs: DataFrame, signed: DataFrame, order: Broadcast, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``node`` and ``root`` of all sets that are linked to another one, directly or through others.
 
-    First every prefix token links its documents to the smallest of them, as far as they share two tokens in this way,
-    and what is truly linked forms groups. Then each document that shares a prefix token with a group it is not
-    linked to is held against the group's row of the matrix, and only members of groups within the bound are compared
-    one by one. Documents of one group are never compared with each other, so a large family of copies costs as many
-    comparisons as it has members. A link that the first step misses is one of the second.
+    First every prefix token brings its documents to the smallest of them, as far as they share two tokens in this
+    way. What is truly linked forms components, and what is near forms groups around these hubs. Pairs of one group
+    are found by what they differ in, see :func:`_inside`. Pairs of different groups share a prefix token: then the
+    document of the smaller group is held against the rows of the matrix of the other one, and only members of rows
+    within the bound are compared one by one. Documents that are known to be in one component are not compared.
     """
     some = signed.where(F.col("node").isNotNull())
     copied = some.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.min("doc_id").alias("smallest")).where("m > 1").drop("m")
@@ -240,46 +347,61 @@ def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent:
     tokens = sets.select(F.explode("prefix").alias("token"), "node")
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
     shared = written(shared, "shared")
-    held = written(_held(sets, _bit_filter(shared, "token")).join(shared, "token"), "shared-tokens")
+    with _bit_filter(shared, "token") as asked:
+        held = written(_held(sets, asked).join(shared, "token"), "shared-tokens")
 
     pivots = held.groupBy("token").agg(F.min("node").alias("pivot"))
     stars = held.join(pivots, "token").where("node != pivot")
     stars = stars.groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("c"))
     n_a, n_b = (sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
     close = (F.least("n_a", "n_b") >= _overlap(F.col("n_a"), F.col("n_b"), percent)) & (F.col("c") >= F.least(F.lit(2), _common(F.col("n_a"), F.col("n_b"), percent)))
-    stars = written(stars.join(n_a, "a").join(n_b, "b").where(close).select("a", "b"), "stars")
-    rows = written(_rows_of(sets, _nodes_of(stars)), "rows")
-    links = written(_linked(written(_bounded(stars, rows, percent), "pairs"), docs, copied, size, percent), "links")
+    stars = written(stars.join(n_a, "a").join(n_b, "b").where(close).select("a", "b", "c"), "stars")
+    # The hub of a document is the pivot it shares most tokens with; a hub of others is its own.
+    chosen = stars.groupBy("a").agg(F.min(F.struct((-F.col("c")).alias("c"), "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+    chosen = chosen.join(chosen.select(F.col("b").alias("a")), "a", "left_anti").withColumn("hub", F.lit(True))
+    stars = stars.select("a", "b").join(chosen, ["a", "b"], "left").withColumn("hub", F.coalesce("hub", F.lit(False)))
+    stars = written(stars, "hubs")
+    rows = _rows_of(sets, _nodes_of(stars))
+    near = _bounded(stars, rows, F.when(F.col("hub"), NEAR).otherwise(percent))
+    near = written(near.join(stars, ["a", "b"]), "pairs")
+    compared = written(_compared(_with_sets(near, docs, copied, size), order, percent), "compared")
+    links = compared.where("linked").select("a", "b")
     roots = written(components(links), "roots")
-
-    # Groups: what is linked so far, in rows of at most GROUP members; a set without links is a group of its own.
-    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    grouped = roots.join(sizes, "root")
-    placed = sets.select("node", "n").join(grouped, "node", "left")
-    placed = placed.withColumns({"root": F.coalesce("root", "node"), "members": F.coalesce("members", F.lit(1))})
+    members = written(_members(compared, roots, percent), "members")
+    sure = members.where((F.col("score") + F.col("top") >= 0) & (F.col("node") != F.col("best"))).select(F.col("node").alias("a"), F.col("best").alias("b"))
+
+    # Groups: members in rows of at most GROUP; a set without a hub is a group of its own.
+    sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("only"), F.max("root").alias("high"))
+    grouped = members.select("node", "hub", "root").join(sizes, "hub").withColumn("only", F.when(F.col("only") == F.col("high"), F.col("only"))).drop("high")
+    alone = F.coalesce("own_root", "node")
+    placed = sets.select("node", "n").join(grouped, "node", "left").join(roots.withColumnRenamed("root", "own_root"), "node", "left")
+    placed = placed.withColumns({"only": F.when(F.col("hub").isNull(), alone).otherwise(F.col("only")), "root": F.coalesce("root", alone)})
+    placed = placed.withColumns({"hub": F.coalesce("hub", "node"), "members": F.coalesce("members", F.lit(1))}).drop("own_root")
     placed = written(placed.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / GROUP))), "groups")
     # Of a group of one the size is known, so the tokens that both prefixes share must be enough for it.
-    at = held.join(placed, "node").withColumns({"rank": F.struct("members", "root"), "n_b": F.when(F.col("members") == 1, F.col("n"))})
+    at = held.join(placed, "node").withColumns({"rank": F.struct("members", "hub"), "n_b": F.when(F.col("members") == 1, F.col("n"))})
     several = at.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).where("low != high").drop("low")
     at = written(at.join(several, "token"), "open-tokens")
     # The largest group at a token is looked up, never asking; of two groups the smaller one asks.
-    asking = at.where("rank < high").select("token", F.col("node").alias("a"), F.col("rank").alias("own"), F.col("n").alias("n_a"))
-    matrix = at.select("token", "rank", "part", "n_b").distinct()
-    asked = asking.join(matrix, "token").where(F.col("own") < F.col("rank"))
-    asked = asked.groupBy("a", "n_a", F.col("rank.root").alias("root"), "part", "n_b").agg(F.count(F.lit(1)).alias("c"))
+    asking = at.where("rank < high").select("token", F.col("node").alias("a"), F.col("rank").alias("own"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
+    matrix = at.select("token", "rank", "part", "n_b", "only").distinct()
+    asked = asking.join(matrix, "token").where((F.col("own") < F.col("rank")) & ~F.col("root_a").eqNullSafe(F.col("only")))
+    asked = asked.groupBy("a", "n_a", "root_a", F.col("rank.hub").alias("hub"), "part", "n_b").agg(F.count(F.lit(1)).alias("c"))
     enough = (F.least("n_a", "n_b") >= _overlap(F.col("n_a"), F.col("n_b"), percent)) & (F.col("c") >= _common(F.col("n_a"), F.col("n_b"), percent))
-    asked = written(asked.where(F.col("n_b").isNull() | enough).select("a", "root", "part"), "asked")
-    members = placed.join(asked.select("root", "part").distinct(), ["root", "part"], "left_semi")
-    nodes = written(members.select("node").union(asked.select(F.col("a").alias("node"))).distinct(), "needed")
-    rows = written(_rows_of(sets, nodes), "rows")
-    unions = _unions(members.drop("n").join(rows, "node"))
+    asked = written(asked.where(F.col("n_b").isNull() | enough).select("a", "root_a", "hub", "part"), "asked")
+    met = placed.join(asked.select("hub", "part").distinct(), ["hub", "part"], "left_semi")
+    nodes = written(met.select("node").union(asked.select(F.col("a").alias("node"))).distinct(), "needed")
+    rows = _rows_of(sets, nodes)
+    unions = _unions(met.drop("n").join(rows, "node"))
     own = rows.select(F.col("node").alias("a"), "n", "bits", _need(F.col("n"), percent).alias("need"))
-    candidates = asked.join(own, "a").join(unions, ["root", "part"])
-    opened = _within(candidates.select("a", F.xxhash64("root", "part").alias("b"), "n", "need", "bits", "others"))
-    inside = members.select(F.xxhash64("root", "part").alias("group"), F.col("node").alias("b"))
-    pairs = opened.select("a", F.col("b").alias("group")).join(inside, "group").select("a", "b").where("a != b").distinct()
-    more = written(_linked(written(_bounded(pairs, rows, percent), "pairs"), docs, copied, size, percent), "links")
-    return written(components(links.union(more)), "roots")
+    candidates = asked.join(own, "a").join(unions, ["hub", "part"])
+    opened = _within(candidates.select("a", F.xxhash64("hub", "part").alias("b"), "n", "need", "bits", "others"))
+    inside = met.select(F.xxhash64("hub", "part").alias("group"), F.col("node").alias("b"), "root")
+    pairs = opened.select("a", F.col("b").alias("group")).join(inside, "group").join(asked.select("a", "root_a").distinct(), "a")
+    across = _bounded(pairs.where("root_a != root").select("a", "b").distinct(), rows, percent)
+    within = _inside(members, percent)
+    more = written(_linked(written(across.union(within).distinct(), "pairs"), docs, copied, size, percent), "links")
+    return written(components(links.union(sure).union(more)), "roots")
 
 
 def _held(sets: DataFrame, asked) -> DataFrame:
@@ -297,17 +419,17 @@ def _held(sets: DataFrame, asked) -> DataFrame:
 
 
 def _unions(members: DataFrame) -> DataFrame:
-    """The matrix: ``others``, the bits of all members of each ``root`` and ``part`` together."""
+    """The matrix: ``others``, the bits of all members of each ``hub`` and ``part`` together."""
 
-    one = members.where("members = 1").select("root", "part", F.col("bits").alias("others"))
+    one = members.where("members = 1").select("hub", "part", F.col("bits").alias("others"))
 
     def joined(table: pa.Table) -> pa.Table:
         bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(-1, COLUMNS // 8)
-        row = {"root": table.column("root")[:1], "part": table.column("part")[:1], "others": pa.array([np.bitwise_or.reduce(bits).tobytes()], pa.binary())}
+        row = {"hub": table.column("hub")[:1], "part": table.column("part")[:1], "others": pa.array([np.bitwise_or.reduce(bits).tobytes()], pa.binary())}
         return pa.table(row)
 
-    many = members.where("members > 1").select("root", "part", "bits")
-    return one.union(many.groupBy("root", "part").applyInArrow(joined, "root long, part long, others binary"))
+    many = members.where("members > 1").select("hub", "part", "bits")
+    return one.union(many.groupBy("hub", "part").applyInArrow(joined, "hub long, part long, others binary"))
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -320,8 +442,9 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
 
     Shingles and sets are compared by 64-bit hashes: among 10^11 sets some 300 unrelated pairs would be taken as equal.
     """
-    signed = written(signatures(docs, size, percent), "signatures")
-    roots = set_links(docs, signed, size, percent)
+    with _sent(docs.sparkSession, token_frequencies(docs, size)) as order:
+        signed = written(signatures(docs, order, size, percent), "signatures")
+        roots = set_links(docs, signed, order, size, percent)
     rows = signed.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "node").join(roots, "node", "left")
     rows = rows.withColumn("root", F.coalesce("root", "node"))
     smallest = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("smallest"))
