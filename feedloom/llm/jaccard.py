@@ -225,61 +225,58 @@ def _linked(pairs: DataFrame, docs: DataFrame, copied: DataFrame, size: int, per
     return both.where(shared * 100 >= union * percent).select("a", "b").distinct()
 
 
-def _compared(both: DataFrame, order: Broadcast, percent: int) -> DataFrame:
-    """Pairs with their sets, ``b`` being a hub: ``linked``, both sizes, and for near pairs how ``a`` differs.
-
-    ``differs`` lists the tokens that only one of both has, those first that few others of the group differ in: by the
-    frequency of a token that the hub lacks, and of one that it has by how much rarer it is than the hub's usual ones.
-    ``score`` is (100 - percent) times the size less (100 + percent) times the number of differing tokens.
-    """
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked, sizes, others, scores, lists = [], [], [], [], []
-            for mine, hub, is_hub in zip(batch.column("tokens_a"), batch.column("tokens_b"), batch.column("hub").to_pylist(), strict=True):
-                mine, hub = (x.values.to_numpy().view(np.uint64) for x in (mine, hub))
-                extra, missing = np.setdiff1d(mine, hub, True), np.setdiff1d(hub, mine, True)
-                shared, union = len(mine) - len(extra), len(hub) + len(extra)
-                linked.append(shared * 100 >= union * percent)
-                sizes.append(len(mine))
-                others.append(len(hub))
-                if not is_hub or shared * 100 < union * NEAR:
-                    scores.append(None)
-                    lists.append(None)
-                    continue
-                usual = int(np.median(_frequency(order.value, hub)))
-                tokens = np.concatenate([extra, missing])
-                rare = np.concatenate([_frequency(order.value, extra).astype(np.int64), usual - _frequency(order.value, missing).astype(np.int64)])
-                scores.append((100 - percent) * len(mine) - (100 + percent) * len(tokens))
-                lists.append(tokens[np.lexsort((tokens, rare))].view(np.int64))
-            columns = [pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(others, pa.int64()), pa.array(scores, pa.int64()), pa.array(lists, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *columns], ["a", "b", "linked", "n", "n_b", "score", "differs"])
-
-    schema = "a long, b long, linked boolean, n long, n_b long, score long, differs array<long>"
-    return both.select("a", "b", "hub", "tokens_a", "tokens_b").mapInArrow(compare, schema)
-
-
-def _members(compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Every member of a group: ``node``, ``hub``, ``n``, ``score``, ``differs``, ``bucket`` (of scores), ``root``, ``best``, ``top``.
-
-    ``best`` is the member with the highest score, ``top``. Two members whose scores add up to 0 or more are linked,
-    whatever they differ in; then both are linked to the best one too, so such members count to its component.
+def _compared(both: DataFrame, percent: int) -> DataFrame:
+    """Pairs with their sets, ``b`` being a pivot: ``linked``, both sizes and, near its hub, the tokens in which ``a`` differs."""
+    extra, missing = F.array_except("tokens_a", "tokens_b"), F.array_except("tokens_b", "tokens_a")
+    found = both.select("a", "b", "hub", F.size("tokens_a").alias("n"), F.size("tokens_b").alias("n_b"), extra.alias("extra"), missing.alias("missing"))
+    shared, union = F.col("n") - F.size("extra"), F.col("n_b") + F.size("extra")
+    near = F.col("hub") & (shared * 100 >= union * NEAR)
+    return found.select("a", "b", (shared * 100 >= union * percent).alias("linked"), "n", "n_b", F.when(near, F.concat("extra", "missing")).alias("differs"))
+
+
+def _members(compared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Every member of a group, the hub included: ``node``, ``hub``, ``n``, ``n_hub``, ``differs`` and ``root``."""
+    near = compared.where("differs is not null")
+    own = near.select(F.col("a").alias("node"), F.col("b").alias("hub"), "n", F.col("n_b").alias("n_hub"), "differs")
+    hubs = near.select("b", "n_b").distinct().select(F.col("b").alias("node"), F.col("b").alias("hub"), F.col("n_b").alias("n"), F.col("n_b").alias("n_hub"), F.array().cast("array<long>").alias("differs"))
+    return own.union(hubs).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _centred(members: DataFrame, percent: int) -> DataFrame:
+    """Members of groups with several components, told by what they differ in from most others instead of from the hub.
+
+    Adds ``score``, (100 - percent) times the size less (100 + percent) times the number of differing tokens, ``best``,
+    the member with the highest score, ``top``, and a ``bucket`` of scores. Two members whose scores add up to 0 or
+    more are linked, whatever they differ in; then both are linked to the best one too, so their ``root`` is its own.
+    ``differs`` has first the tokens that few members differ in, but only those of several; ``own`` is the number of
+    the others, which go before them.
     """
-    near = compared.where(F.col("score").isNotNull())
-    own = near.select(F.col("a").alias("node"), F.col("b").alias("hub"), "n", "score", "differs", F.col("n_b").alias("n_hub"))
-    hubs = near.select("b", F.col("b").alias("hub"), F.col("n_b").alias("n"), (F.col("n_b") * (100 - percent)).alias("score"), F.array().cast("array<long>").alias("differs"), F.col("n_b").alias("n_hub"))
-    members = own.union(hubs.distinct())
+    several = members.groupBy("hub").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    opened = written(members.join(several.select("hub", "m"), "hub"), "opened")
+    often = opened.select("hub", "m", F.explode("differs").alias("token")).groupBy("hub", "m", "token").agg(F.count(F.lit(1)).alias("c")).where("2 * c > m")
+    # Fewer than twice as many tokens as a member differs in on average.
+    usual = often.groupBy("hub").agg(F.sort_array(F.collect_list("token")).alias("usual"))
+    told = opened.join(usual, "hub", "left")
+    differs = F.concat(F.array_except("differs", "usual"), F.array_except("usual", "differs"))
+    told = told.withColumn("differs", F.when(F.col("usual").isNull(), F.col("differs")).otherwise(differs))
+    told = told.withColumn("score", F.col("n") * (100 - percent) - F.size("differs") * (100 + percent))
     step = F.greatest(F.lit(1), F.floor(F.col("n_hub") * (100 - percent) / 2))
-    members = members.withColumn("bucket", F.floor((F.col("n_hub") * (100 - percent) - F.col("score")) / step)).drop("n_hub")
-    members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    best = members.groupBy("hub").agg(F.max(F.struct("score", "node", "root")).alias("best"))
-    members = members.join(best, "hub").withColumns({"top": F.col("best.score"), "best": F.col("best.node"), "best_root": F.col("best.root")})
+    told = told.withColumn("bucket", F.floor((F.col("n_hub") * (100 - percent) - F.col("score")) / step))
+    told = written(told.select("node", "hub", "root", "score", "bucket", "differs"), "told")
+    tokens = told.select("hub", "node", F.explode("differs").alias("token"))
+    counts = tokens.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    lists = tokens.join(counts, ["hub", "token"]).groupBy("node").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("several"))
+    several = F.coalesce(F.col("several.token"), F.array().cast("array<long>"))
+    centred = told.join(lists, "node", "left").withColumn("own", F.size("differs") - F.size(several)).withColumn("differs", several).drop("several")
+    centred = written(centred, "centred")
+    best = centred.groupBy("hub").agg(F.max(F.struct("score", "node", "root")).alias("best"))
+    centred = centred.join(best, "hub").withColumns({"top": F.col("best.score"), "best_root": F.col("best.root"), "best": F.col("best.node")})
     root = F.when(F.col("score") + F.col("top") >= 0, F.col("best_root")).otherwise(F.col("root"))
-    return members.withColumns({"root": root, "in_best": (root == F.col("best_root")).cast("int")}).drop("best_root")
+    return centred.withColumn("root", root).withColumn("in_best", (F.col("root") == F.col("best_root")).cast("int")).drop("best_root")
 
 
 def _inside(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a``, ``b`` of a group, not known to be in one component, that differ from the hub alike enough to be linked.
+    """Pairs ``a``, ``b`` of a group, not known to be in one component, that differ from the others alike enough to be linked.
 
     If two members have scores s and t, they share at least -(s + t) / (2 * (100 + percent)) differing tokens, or are
     no link. So they share one among the first of each: its prefix, whose length depends on the scores of the bucket
@@ -289,10 +286,10 @@ def _inside(members: DataFrame, percent: int) -> DataFrame:
     opened = members.groupBy("hub").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("hub")
     tops = members.groupBy("hub", "bucket").agg(F.max("score").alias("top")).groupBy("hub").agg(F.collect_list(F.struct(F.col("bucket").alias("other"), F.col("top").alias("other_top"))).alias("tops"))
     some = members.join(opened, "hub", "left_semi").drop("top", "best").join(tops, "hub")
-    some = some.select("hub", "node", "score", "differs", "bucket", F.struct("in_best", "root").alias("rank"), F.inline("tops"))
+    some = some.select("hub", "node", "score", "differs", "own", "bucket", F.struct("in_best", "root").alias("rank"), F.inline("tops"))
     some = some.withColumn("least", F.greatest(F.lit(1), F.ceil(-(F.col("score") + F.col("other_top")) / weight)).cast("int"))
-    some = some.where(F.size("differs") >= F.col("least"))
-    prefix = F.expr("slice(differs, 1, size(differs) - least + 1)")
+    some = some.withColumn("first", F.size("differs") - F.col("least") + 1).where("first > 0")
+    prefix = F.slice("differs", F.lit(1), F.col("first"))
     key = ["hub", "small", "large", "token"]
     some = some.select(
         "hub", F.least("bucket", "other").alias("small"), F.greatest("bucket", "other").alias("large"), F.explode(prefix).alias("token"),
@@ -330,7 +327,7 @@ def _bounded(pairs: DataFrame, rows: DataFrame, percent: int | Column) -> DataFr
     return _within(pairs.join(of_a, "a").join(of_b, "b").where(F.least("n", "n_b") >= need).withColumn("need", need))
 
 
-def set_links(docs: DataFrame, signed: DataFrame, order: Broadcast, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``node`` and ``root`` of all sets that are linked to another one, directly or through others.
 
     First every prefix token brings its documents to the smallest of them, as far as they share two tokens in this
@@ -364,11 +361,12 @@ def set_links(docs: DataFrame, signed: DataFrame, order: Broadcast, size: int =
     rows = _rows_of(sets, _nodes_of(stars))
     near = _bounded(stars, rows, F.when(F.col("hub"), NEAR).otherwise(percent))
     near = written(near.join(stars, ["a", "b"]), "pairs")
-    compared = written(_compared(_with_sets(near, docs, copied, size), order, percent), "compared")
+    compared = written(_compared(_with_sets(near, docs, copied, size), percent), "compared")
     links = compared.where("linked").select("a", "b")
     roots = written(components(links), "roots")
-    members = written(_members(compared, roots, percent), "members")
-    sure = members.where((F.col("score") + F.col("top") >= 0) & (F.col("node") != F.col("best"))).select(F.col("node").alias("a"), F.col("best").alias("b"))
+    members = written(_members(compared, roots), "members")
+    centred = written(_centred(members, percent), "centred")
+    sure = centred.where((F.col("score") + F.col("top") >= 0) & (F.col("node") != F.col("best"))).select(F.col("node").alias("a"), F.col("best").alias("b"))
 
     # Groups: members in rows of at most GROUP; a set without a hub is a group of its own.
     sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("only"), F.max("root").alias("high"))
@@ -378,17 +376,18 @@ def set_links(docs: DataFrame, signed: DataFrame, order: Broadcast, size: int =
     placed = placed.withColumns({"only": F.when(F.col("hub").isNull(), alone).otherwise(F.col("only")), "root": F.coalesce("root", alone)})
     placed = placed.withColumns({"hub": F.coalesce("hub", "node"), "members": F.coalesce("members", F.lit(1))}).drop("own_root")
     placed = written(placed.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / GROUP))), "groups")
-    # Of a group of one the size is known, so the tokens that both prefixes share must be enough for it.
-    at = held.join(placed, "node").withColumns({"rank": F.struct("members", "hub"), "n_b": F.when(F.col("members") == 1, F.col("n"))})
+    at = held.join(placed, "node").withColumn("rank", F.struct("members", "hub"))
     several = at.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).where("low != high").drop("low")
     at = written(at.join(several, "token"), "open-tokens")
     # The largest group at a token is looked up, never asking; of two groups the smaller one asks.
     asking = at.where("rank < high").select("token", F.col("node").alias("a"), F.col("rank").alias("own"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    matrix = at.select("token", "rank", "part", "n_b", "only").distinct()
+    matrix = at.groupBy("token", "rank", "part", "only").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     asked = asking.join(matrix, "token").where((F.col("own") < F.col("rank")) & ~F.col("root_a").eqNullSafe(F.col("only")))
-    asked = asked.groupBy("a", "n_a", "root_a", F.col("rank.hub").alias("hub"), "part", "n_b").agg(F.count(F.lit(1)).alias("c"))
-    enough = (F.least("n_a", "n_b") >= _overlap(F.col("n_a"), F.col("n_b"), percent)) & (F.col("c") >= _common(F.col("n_a"), F.col("n_b"), percent))
-    asked = written(asked.where(F.col("n_b").isNull() | enough).select("a", "root_a", "hub", "part"), "asked")
+    asked = asked.groupBy("a", "n_a", "root_a", F.col("rank.hub").alias("hub"), "part").agg(F.count(F.lit(1)).alias("c"), F.min("low").alias("low"), F.max("high").alias("high"))
+    # As many tokens of the prefix as a partner of any size in the row shares at least; rounding is up to 1 off.
+    asked = asked.withColumns({"low": F.greatest("low", _need(F.col("n_a"), percent)), "high": F.least("high", F.floor(F.col("n_a") * 100 / percent))})
+    common = F.least(*[_common(F.col("n_a"), F.col(c), percent) for c in ("low", "high")]) - F.when(F.col("low") < F.col("high"), 1).otherwise(0)
+    asked = written(asked.where((F.col("low") <= F.col("high")) & (F.col("c") >= common)).select("a", "root_a", "hub", "part"), "asked")
     met = placed.join(asked.select("hub", "part").distinct(), ["hub", "part"], "left_semi")
     nodes = written(met.select("node").union(asked.select(F.col("a").alias("node"))).distinct(), "needed")
     rows = _rows_of(sets, nodes)
@@ -399,7 +398,7 @@ def set_links(docs: DataFrame, signed: DataFrame, order: Broadcast, size: int =
     inside = met.select(F.xxhash64("hub", "part").alias("group"), F.col("node").alias("b"), "root")
     pairs = opened.select("a", F.col("b").alias("group")).join(inside, "group").join(asked.select("a", "root_a").distinct(), "a")
     across = _bounded(pairs.where("root_a != root").select("a", "b").distinct(), rows, percent)
-    within = _inside(members, percent)
+    within = _inside(centred, percent)
     more = written(_linked(written(across.union(within).distinct(), "pairs"), docs, copied, size, percent), "links")
     return written(components(links.union(sure).union(more)), "roots")
 
@@ -432,6 +431,15 @@ def _unions(members: DataFrame) -> DataFrame:
     return one.union(many.groupBy("hub", "part").applyInArrow(joined, "hub long, part long, others binary"))
 
 
+def _judged(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``n_shingles`` and ``root``, equal for all rows of a component; null without shingles."""
+    with _sent(docs.sparkSession, token_frequencies(docs, size)) as order:
+        signed = written(signatures(docs, order, size, percent), "signatures")
+    roots = set_links(docs, signed, size, percent)
+    rows = signed.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "node").join(roots, "node", "left")
+    return rows.withColumn("root", F.coalesce("root", "node")).drop("node")
+
+
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_shingles`` and ``component_id`` for every row of ``docs`` (``doc_id``, ``text``).
 
@@ -442,26 +450,25 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
 
     Shingles and sets are compared by 64-bit hashes: among 10^11 sets some 300 unrelated pairs would be taken as equal.
     """
-    with _sent(docs.sparkSession, token_frequencies(docs, size)) as order:
-        signed = written(signatures(docs, order, size, percent), "signatures")
-        roots = set_links(docs, signed, order, size, percent)
-    rows = signed.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "node").join(roots, "node", "left")
-    rows = rows.withColumn("root", F.coalesce("root", "node"))
-    smallest = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("smallest"))
+    rows = _judged(docs, size, percent)
+    smallest = written(rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("smallest")), "smallest")
     found = rows.join(smallest, "root", "left")
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
     return found.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with the row of the smallest id of each component only; same columns.
+    """``docs`` with one row of each component only, that of the smallest id; same columns.
 
-    Rows with the same id and text are one document: one of them stays. Rows without an id stay if nothing in their
-    component has one. The rows to drop are looked up by id and text hash, so Spark broadcasts them if they are few.
+    Rows without an id come last, among equal ids the smallest hash of the text decides. Rows with the same id and
+    text are one document: one of them stays, also of those without words. The rows to drop are looked up by id and
+    text hash, so Spark broadcasts them if they are few.
     """
-    judged = written(jaccard_components(docs), "components")
+    judged = written(_judged(docs, SHINGLE, PERCENT), "components")
+    name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = written(judged.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(name).alias("best"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m"), "best")
     key = {c: F.col(c).alias(f"__{c}") for c in ("doc_id", "text_hash")}
-    drop = judged.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*key.values()).distinct()
+    drop = judged.join(best, "root").where(~name.eqNullSafe(F.col("best"))).select(*key.values()).distinct()
     hashed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
     match = F.col("id").eqNullSafe(F.col("__doc_id")) & (F.col("hash") == F.col("__text_hash"))
     kept = hashed.join(drop, match, "left_anti")
