@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -22,10 +21,10 @@ MAX_REPEAT_PERCENT = 50
 SUPPORT = 0.75
 #: Weight of the identity in a regularised covariance, in units of the group's own scales.
 IDENTITY = 0.1
-#: Groups below this many documents are judged with the other small ones of their language, or of all languages.
-MIN_GROUP = 200
-#: What is left below that has the group of all documents.
-ALL = "all"
+#: Documents that a language's pooled covariance counts for in that of each of its sources, and all documents' in its own.
+DRAW = 50
+#: The same for centers.
+DRAW_CENTER = 10
 #: A document is an outlier beyond this quantile of the chi-squared law; clean text has heavier tails than the normal law.
 QUANTILE = 1 - 1e-12
 STEPS = 8
@@ -123,24 +122,6 @@ def _consistency(share: float) -> float:
     return share / chi2_cdf(chi2_quantile(share, P), P + 2)
 
 
-def assign_groups(counts: DataFrame, least: int = MIN_GROUP) -> DataFrame:
-    """``lang``, ``source``, ``n`` and the ``grp`` of each pair; ``counts`` has a row with ``n`` for each pair.
-
-    A pair of its own from ``least`` documents on; the smaller pairs of a language together, if they reach that; all
-    that remain together otherwise. Where even those are fewer, ``grp`` is null: they are held against all documents.
-    """
-    own, pool = F.col("n") >= least, W.partitionBy("lang", F.col("n") >= least)
-    pooled = counts.withColumn("of_lang", F.sum("n").over(pool))
-    level = F.when(own, 0).when(F.col("of_lang") >= least, 1).otherwise(2)
-    levelled = pooled.withColumn("level", level)
-    rest = F.sum("n").over(W.partitionBy(F.col("level")))
-    grp = F.when(own, F.struct(F.lit(0).alias("level"), "lang", "source"))
-    grp = grp.when(F.col("level") == 1, F.struct(F.lit(1).alias("level"), "lang", F.lit(None).cast("string").alias("source")))
-    none = F.lit(None).cast("string")
-    grp = grp.when(rest >= least, F.struct(F.lit(2).alias("level"), none.alias("lang"), none.alias("source")))
-    return levelled.select("lang", "source", "n", F.to_json(grp).alias("grp"))
-
-
 def _sweep(matrix: Column) -> Column:
     """Inverse and log determinant of a symmetric positive definite matrix, given and returned row by row.
 
@@ -164,30 +145,48 @@ def _sweep(matrix: Column) -> Column:
 
 
 def _estimates(moments: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
-    """``center``, ``precision`` and ``logdet`` per key from weighted sums ``n``, ``s{i}`` and ``s{i}_{j}``."""
-    mean = [F.col(f"s{i}") / F.col("n") for i in range(P)]
-    factor = (1 - IDENTITY) * _consistency(share)
+    """``center``, ``precision`` and ``logdet`` per key from weighted sums ``n``, ``s{i}`` and ``s{i}_{j}``.
 
-    def cov(i: int, j: int) -> Column:
-        spread = F.col(f"s{min(i, j)}_{max(i, j)}") / F.col("n") - mean[i] * mean[j]
-        return spread * factor + (IDENTITY if i == j else 0.0)
+    ``moments`` has a row per pair of language and source, ``grp`` and ``lang`` among the keys. A pair of n documents
+    has its own covariance by n / (n + DRAW), the rest is the one within the sources of its language; its center is
+    its own by n / (n + DRAW_CENTER), the rest its language's. Languages are drawn to all documents in the same way.
+    """
+    start = [k for k in keys if k not in ("grp", "lang")]
+    windows = {"lang": ", ".join(["lang", *start]), "all": ", ".join(["0", *start])}
 
-    matrix = F.array(*[cov(i, j) for i in range(P) for j in range(P)])
-    solved = moments.select(*keys, F.array(*mean).alias("center"), matrix.alias("matrix"))
+    def drawn(own: str, parent: str, n: str, k: int) -> str:
+        return f"(({own}) * {n} + ({parent}) * {k}) / ({n} + {k})"
+
+    rows = moments.selectExpr("*", *[f"if(n > 0, s{i} / n, 0D) AS m{i}" for i in range(P)])
+    rows = rows.selectExpr("*", *[f"if(n > 0, s{i}_{j} / n, 0D) - m{i} * m{j} AS c{i}_{j}" for i, j in PAIRS])
+    pooled = [f"sum(n) OVER (PARTITION BY {w}) AS n_{level}" for level, w in windows.items()]
+    pooled += [f"sum(s{i}) OVER (PARTITION BY {w}) AS m{i}_{level}" for level, w in windows.items() for i in range(P)]
+    pooled += [f"sum(n * c{i}_{j}) OVER (PARTITION BY {w}) AS c{i}_{j}_{level}" for level, w in windows.items() for i, j in PAIRS]
+    rows = rows.selectExpr("*", *pooled)
+
+    def shrunk(value: str, k: int) -> str:
+        lang, every = (f"if(n_{level} > 0, {value}_{level} / n_{level}, 0D)" for level in windows)
+        return drawn(value, drawn(lang, every, "n_lang", k), "n", k)
+
+    factor = (1 - IDENTITY) * _consistency(share)
+    center = [shrunk(f"m{i}", DRAW_CENTER) for i in range(P)]
+    cells = [(min(i, j), max(i, j)) for i in range(P) for j in range(P)]
+    matrix = [f"({shrunk(f'c{i}_{j}', DRAW)}) * {factor!r}D" + (f" + {IDENTITY!r}D" if i == j else "") for i, j in cells]
+    solved = rows.selectExpr(*keys, f"array({', '.join(center)}) AS center", f"array({', '.join(matrix)}) AS matrix")
     return solved.withColumn("solved", _sweep(F.col("matrix"))).select(*keys, "center", "solved.precision", "solved.logdet")
 
 
-def _distance(center: Column, precision: Column, z: Sequence[Column]) -> Column:
-    d = [z[i] - center[i] for i in range(P)]
-    terms = [precision[i * P + j] * d[i] * d[j] * (1.0 if i == j else 2.0) for i, j in PAIRS]
-    return reduce(lambda a, b: a + b, terms)
+def _distance() -> Column:
+    """The squared Mahalanobis distance of ``z0``.. from ``center`` by ``precision``."""
+    terms = [f"precision[{i * P + j}] * (z{i} - center[{i}]) * (z{j} - center[{j}]) * {1 if i == j else 2}" for i, j in PAIRS]
+    return F.expr(" + ".join(terms))
 
 
-def _moments(weight: Column | None = None, z: Sequence[Column] | None = None) -> list[Column]:
-    z = z or [F.col(c) for c in Z]
-    w = F.lit(1.0) if weight is None else weight
-    sums = [F.sum(w * z[i]).alias(f"s{i}") for i in range(P)]
-    return [F.sum(w).alias("n"), *sums, *[F.sum(w * z[i] * z[j]).alias(f"s{i}_{j}") for i, j in PAIRS]]
+def _moments(weight: str = "1D", z: str = "z{}") -> list[Column]:
+    """Weighted sums of the statistics and of their products; ``z`` says how each goes in."""
+    of = [z.format(i) for i in range(P)]
+    sums = [f"sum({weight} * {of[i]}) AS s{i}" for i in range(P)]
+    return [F.expr(e) for e in [f"sum({weight}) AS n", *sums, *[f"sum({weight} * {of[i]} * {of[j]}) AS s{i}_{j}" for i, j in PAIRS]]]
 
 
 def _concentrate(points: DataFrame, estimates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -196,8 +195,8 @@ def _concentrate(points: DataFrame, estimates: DataFrame, keys: Sequence[str]) -
     Distances are cut into narrow logarithmic bins whose moments are summed; the bin in which the share is reached
     counts in part. So a group of any size is combined on the map side and never ordered.
     """
-    joined = points.join(estimates, "grp")
-    d2 = _distance(F.col("center"), F.col("precision"), [F.col(c) for c in Z])
+    joined = points.join(estimates.drop("lang"), "grp")
+    d2 = _distance()
     cell = F.floor(F.log2(F.greatest(d2, F.lit(1e-6))) * 8).cast("int")
     cells = joined.withColumn("cell", cell).groupBy(*keys, "cell").agg(*_moments())
     group = W.partitionBy(*keys)
@@ -205,7 +204,7 @@ def _concentrate(points: DataFrame, estimates: DataFrame, keys: Sequence[str]) -
     before = F.coalesce(F.sum("n").over(group.orderBy("cell").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
     part = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (inside - before) / F.col("n")))
     sums = ["n", *[f"s{i}" for i in range(P)], *[f"s{i}_{j}" for i, j in PAIRS]]
-    return cells.withColumn("part", part).groupBy(*keys).agg(*[F.sum(F.col("part") * F.col(c)).alias(c) for c in sums])
+    return cells.withColumn("part", part).groupBy(*keys).agg(*[F.expr(f"sum(part * {c}) AS {c}") for c in sums])
 
 
 def _plain() -> list[Column]:
@@ -214,23 +213,44 @@ def _plain() -> list[Column]:
     return [F.array(*[F.lit(0.0)] * P).alias("center"), eye.alias("precision")]
 
 
+def _scales(quartiles: DataFrame) -> DataFrame:
+    """``grp``, ``middle`` and ``spread`` per statistic, from ``n`` and quartiles per pair of language and source.
+
+    Drawn like the estimates: medians by DRAW_CENTER, quartile distances by DRAW, towards the mean over the documents of
+    the language, and those towards the mean over all.
+    """
+    n, of_lang, of_all = F.col("n"), W.partitionBy("lang"), W.partitionBy(F.lit(0))
+
+    def drawn(value: Column, k: int) -> Column:
+        n_lang = F.sum(n).over(of_lang)
+        lang, every = F.sum(value * n).over(of_lang) / n_lang, F.sum(value * n).over(of_all) / F.sum(n).over(of_all)
+        parent = (lang * n_lang + every * k) / (n_lang + k)
+        return (value * n + parent * k) / (n + k)
+
+    floors = [floor for _, floor in FEATURES.values()]
+    middle = [drawn(F.get(f"q{i}", F.lit(1)), DRAW_CENTER) for i in range(P)]
+    spread = [F.greatest(drawn(F.get(f"q{i}", F.lit(2)) - F.get(f"q{i}", F.lit(0)), DRAW) / 1.349, F.lit(floors[i])) for i in range(P)]
+    return quartiles.select("grp", F.array(*middle).alias("middle"), F.array(*spread).alias("spread"))
+
+
 def fit(points: DataFrame, steps: int = STEPS) -> DataFrame:
-    """``grp``, ``center`` and ``precision`` of every group of ``points`` (``grp`` and standardised ``z0``..).
+    """``grp``, ``center`` and ``precision`` of every group of ``points`` (``grp``, its ``lang``, and standardised ``z0``..).
 
     Two starts, both computed from all documents: the identity around the median, and the covariance of tanh(z),
     which bounds the pull of outliers. After two concentration steps the start with the smaller determinant goes on,
-    until no determinant moves. A last pass takes in every document within the 97.5 % quantile.
+    until no determinant moves. A last pass takes in every document within the 97.5 % quantile. Groups of any size
+    have an estimate, see :func:`_estimates`.
     """
-    tanh = points.groupBy("grp").agg(*_moments(z=[F.tanh(c) for c in Z]))
-    bounded = _estimates(tanh, ["grp"], 1 - 1e-12).withColumn("start", F.lit("tanh"))
-    plain = bounded.select("grp", *_plain(), F.lit(math.inf).alias("logdet"), F.lit("plain").alias("start"))
+    tanh = points.groupBy("grp", "lang").agg(*_moments(z="tanh(z{})"))
+    bounded = _estimates(tanh, ["grp", "lang"], 1 - 1e-12).withColumn("start", F.lit("tanh"))
+    plain = bounded.select("grp", "lang", *_plain(), F.lit(math.inf).alias("logdet"), F.lit("plain").alias("start"))
     est = written(bounded.unionByName(plain), "estimates")
     for step in range(steps):
-        keys = ["grp", "start"]
+        keys = ["grp", "lang", "start"]
         new = _estimates(_concentrate(points, est, keys), keys, SUPPORT)
         if step == 1:
             best = W.partitionBy("grp").orderBy("logdet", "start")
-            new = new.withColumn("rank", F.row_number().over(best)).where("rank = 1").drop("rank")
+            new = new.withColumn("rank", F.row_number().over(best)).where("rank = 1").drop("rank").withColumn("start", F.lit("best"))
         new = written(new, "estimates")
         if step > 1:
             old = est.select("grp", F.col("logdet").alias("was"))
@@ -239,60 +259,41 @@ def fit(points: DataFrame, steps: int = STEPS) -> DataFrame:
                 est = new
                 break
         est = new
-    d2 = _distance(F.col("center"), F.col("precision"), [F.col(c) for c in Z])
-    near = points.join(est, "grp").where(d2 <= chi2_quantile(0.975, P))
-    return written(_estimates(near.groupBy("grp").agg(*_moments()), ["grp"], 0.975), "estimates")
+    d2 = _distance()
+    near = points.join(est.drop("lang"), "grp").withColumn("near", (d2 <= chi2_quantile(0.975, P)).cast("double"))
+    last = near.groupBy("grp", "lang").agg(*_moments("near"))
+    return written(_estimates(last, ["grp", "lang"], 0.975).drop("lang"), "estimates")
 
 
-def judge(docs: DataFrame, keep: Sequence[str], quantile: float = QUANTILE, least: int = MIN_GROUP) -> DataFrame:
+def judge(docs: DataFrame, keep: Sequence[str], quantile: float = QUANTILE) -> DataFrame:
     """Every row of ``docs`` as ``doc`` (a struct of the columns ``keep``), its statistics, ``base_failed`` and ``kept``.
 
     ``docs`` has ``text``, ``lang`` and ``source``. Null languages and sources are groups like any other. Documents
     that fail the base rules are not part of any estimate and not kept; null and blank texts are among them. Repeated
-    rows count and are judged each, at every size: where the small groups that remain are fewer than ``least``, they
-    are held against the estimate of all documents, and where all are fewer, against the median of all, with scales
-    that are not below their floors and without correlations. So every document that passes the base rules has a
-    ``distance2``.
+    rows count and are judged each. Every pair of language and source has an estimate of its own at every size: what
+    few documents cannot tell is drawn from the language's and all documents' in proportion, so nothing changes at a
+    threshold and a single document is judged by the others of its language. An empty table gives no rows.
 
-    Statistics are written to the shared folder once; estimates have a row per group, and Spark broadcasts them if
+    Statistics are written to the shared folder once; estimates have a row per pair, and Spark broadcasts them if
     they are small. Groups are only ever summed, so one with a third of all documents is no burden on a task.
     """
     read = carry(docs, keep, text=F.col("text"), lang=F.col("lang"), source=F.col("source"))
     stats = text_statistics(read).drop("text").withColumn("base_failed", base_failed())
     x = {f"x{i}": F.when(~F.col("base_failed"), F.expr(value)) for i, (value, _) in enumerate(FEATURES.values())}
-    stats = written(stats.withColumns(x), "statistics")
+    stats = stats.withColumns(x).withColumn("grp", F.to_json(F.struct("lang", "source")))
+    stats = written(stats, "statistics")
     fine = stats.where(~F.col("base_failed"))
-    pairs = fine.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    name = [F.col("lang").alias("l"), F.col("source").alias("s")]
-    groups = written(assign_groups(pairs, least), "groups").select(*name, "n", "grp")
-    known = groups.agg(F.sum("n").alias("n"), F.count_if(F.col("grp").isNull()).alias("left")).first()
-    judged_in = groups.select("l", "s", F.coalesce("grp", F.lit(ALL)).alias("grp"))
-    # The documents of all groups are members of that of all as well, if it is needed.
-    members = groups.where(F.col("grp").isNotNull()).select("l", "s", "grp")
-    members = members.union(groups.select("l", "s", F.lit(ALL))) if known.left else members
-    match = F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))
-
-    def placed(rows: DataFrame, groups: DataFrame, how: str) -> DataFrame:
-        return rows.join(groups, match, how).drop("l", "s")
-
     quartiles = [F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(P)]
-    scales = written(placed(fine, members, "inner").groupBy("grp").agg(*quartiles), "scales")
-    floors = [floor for _, floor in FEATURES.values()]
+    scales = written(_scales(fine.groupBy("grp", "lang").agg(F.count(F.lit(1)).alias("n"), *quartiles)), "scales")
 
-    def standard(rows: DataFrame, how: str) -> DataFrame:
-        drawn = F.col("n_words") / (F.col("n_words") + SHRINK)
-        z = {
-            Z[i]: (F.col(f"x{i}") - F.col(f"q{i}")[1]) * drawn / F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(floors[i]))
-            for i in range(P)
-        }
-        return rows.join(scales, "grp", how).withColumns(z)
-
-    if (known.n or 0) < least:
-        estimates = scales.select("grp", *_plain())
-    else:
-        estimates = fit(standard(placed(fine, members, "inner"), "inner").select("grp", *Z))
-    scored = standard(placed(stats, judged_in, "left"), "left").join(estimates, "grp", "left")
-    d2 = _distance(F.col("center"), F.col("precision"), [F.col(c) for c in Z])
+    def standard(rows: DataFrame) -> DataFrame:
+        weight = F.col("n_words") / (F.col("n_words") + SHRINK)
+        z = {Z[i]: (F.col(f"x{i}") - F.get("middle", F.lit(i))) * weight / F.get("spread", F.lit(i)) for i in range(P)}
+        return rows.join(scales, "grp", "left").withColumns(z)
+
+    estimates = fit(standard(fine).select("grp", "lang", *Z))
+    scored = standard(stats).join(estimates, "grp", "left")
+    d2 = _distance()
     inside = F.coalesce(d2 <= chi2_quantile(quantile, P), F.lit(True))
     return scored.withColumn("distance2", d2).select(
         "doc", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_marks", "n_capitals", "n_lines",

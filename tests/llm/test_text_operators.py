@@ -53,7 +53,7 @@ def test_sweep_inverts(spark):
 def test_concentration_lowers_the_determinant_of_a_spoiled_group(spark):
     rng = np.random.default_rng(4)
     good, bad = rng.normal(size=(900, quality.P)), rng.normal(8, 0.5, size=(180, quality.P))
-    points = spark.createDataFrame([("g", *map(float, x)) for x in np.vstack([good, bad])], ["grp", *quality.Z])
+    points = spark.createDataFrame([("g", "en", *map(float, x)) for x in np.vstack([good, bad])], ["grp", "lang", *quality.Z])
     found = quality.fit(points).first()
     assert np.abs(np.array(found.center)).max() < 0.3
     d = bad - np.array(found.center)
@@ -65,11 +65,94 @@ def test_chi2():
     assert quality.chi2_quantile(0.95, 6) == pytest.approx(12.5916, abs=1e-3)
 
 
-def test_small_groups_are_pooled(spark):
-    counts = spark.createDataFrame([("en", "a", 500), ("en", "b", 150), ("en", None, 60), ("fr", "a", 20), (None, "a", 190)], "lang string, source string, n long")
-    got = {(r.lang, r.source): r.grp for r in quality.assign_groups(counts, 200).collect()}
-    assert len(set(got.values())) == 3 and got["en", "b"] == got["en", None] and got["fr", "a"] == got[None, "a"]
-    assert quality.assign_groups(counts.where("n < 50"), 200).first().grp is None
+def estimate(groups, weights, share):
+    """Centers and covariances of {grp: (lang, points)} drawn to the language's and to all, in numpy."""
+    p, moments = quality.P, {}
+    for g, (lang, x) in groups.items():
+        w = weights[g]
+        n = w.sum()
+        mean = w @ x / n if n else np.zeros(p)
+        moments[g] = lang, n, mean, (x * w[:, None]).T @ x / n - np.outer(mean, mean) if n else np.zeros((p, p))
+
+    def pooled(keys):
+        n = sum(moments[g][1] for g in keys)
+        if not n:
+            return n, np.zeros(p), np.zeros((p, p))
+        return n, sum(moments[g][1] * moments[g][2] for g in keys) / n, sum(moments[g][1] * moments[g][3] for g in keys) / n
+
+    def drawn(own, parent, n, k):
+        return (own * n + parent * k) / (n + k)
+
+    _, center_all, cov_all = pooled(moments)
+    out = {}
+    for g, (lang, n, mean, cov) in moments.items():
+        n_lang, center_lang, cov_lang = pooled([h for h in moments if moments[h][0] == lang])
+        parent = drawn(center_lang, center_all, n_lang, quality.DRAW_CENTER), drawn(cov_lang, cov_all, n_lang, quality.DRAW)
+        c = drawn(cov, parent[1], n, quality.DRAW) * (1 - quality.IDENTITY) * quality._consistency(share) + quality.IDENTITY * np.eye(p)
+        out[g] = drawn(mean, parent[0], n, quality.DRAW_CENTER), c
+    return out
+
+
+def squared(estimates, groups):
+    return {g: np.einsum("ni,ij,nj->n", x - estimates[g][0], np.linalg.inv(estimates[g][1]), x - estimates[g][0]) for g, (_, x) in groups.items()}
+
+
+def inmost(d2):
+    """Weights of the nearest SUPPORT share, in eighths of powers of two of the distance."""
+    cell = np.floor(np.log2(np.maximum(d2, 1e-6)) * 8)
+    left, weight = len(d2) * quality.SUPPORT, np.zeros(len(d2))
+    for c in np.unique(cell):
+        inside = cell == c
+        weight[inside] = min(1.0, max(0.0, left / inside.sum()))
+        left -= inside.sum()
+    return weight
+
+
+def brute_fit(groups):
+    tanh = {g: (lang, np.tanh(x)) for g, (lang, x) in groups.items()}
+    starts = [estimate(tanh, {g: np.ones(len(x)) for g, (_, x) in groups.items()}, 1 - 1e-12), {g: (np.zeros(quality.P), np.eye(quality.P)) for g in groups}]
+    for _ in range(2):
+        starts = [estimate(groups, {g: inmost(d) for g, d in squared(e, groups).items()}, quality.SUPPORT) for e in starts]
+    volume = [{g: np.linalg.slogdet(c)[1] for g, (_, c) in e.items()} for e in starts]
+    now = {g: starts[int(volume[0][g] > volume[1][g])][g] for g in groups}
+    was = {g: min(v[g] for v in volume) for g in groups}
+    for _ in range(quality.STEPS - 2):
+        now = estimate(groups, {g: inmost(d) for g, d in squared(now, groups).items()}, quality.SUPPORT)
+        volume = {g: np.linalg.slogdet(c)[1] for g, (_, c) in now.items()}
+        if max(abs(volume[g] - was[g]) for g in groups) < 1e-3:
+            break
+        was = volume
+    near = {g: (d <= quality.chi2_quantile(0.975, quality.P)).astype(float) for g, d in squared(now, groups).items()}
+    return estimate(groups, near, 0.975)
+
+
+def test_estimates_equal_numpy(spark):
+    rng = np.random.default_rng(6)
+    groups = {}
+    for g, lang, n in [("a", "en", 120), ("b", "en", 30), ("c", "en", 1), ("d", "de", 40), ("e", None, 3)]:
+        x = rng.normal(rng.normal(0, 2), 1, size=(n, quality.P)) @ np.triu(rng.normal(0.3, 0.3, size=(quality.P, quality.P)) + np.eye(quality.P))
+        x[: n // 6] += 12
+        groups[g] = lang, x
+    points = [(g, lang, *map(float, row)) for g, (lang, x) in groups.items() for row in x]
+    found = quality.fit(spark.createDataFrame(points, ["grp", "lang", *quality.Z]))
+    want = brute_fit(groups)
+    got = {r.grp: r for r in found.collect()}
+    assert got.keys() == want.keys()
+    for g, (center, cov) in want.items():
+        assert np.allclose(got[g].center, center, atol=1e-6)
+        assert np.allclose(np.array(got[g].precision).reshape(cov.shape), np.linalg.inv(cov), rtol=1e-5, atol=1e-7)
+
+
+def test_what_is_normal_in_another_source_is_an_outlier(make):
+    rng = random.Random(12)
+
+    def marked(n):
+        return " ".join(w + "!!!" for w in text(rng, n).split())
+
+    rows = [(i, text(rng, rng.randint(80, 200)), "en", "plain") for i in range(30)] + [(100 + i, marked(rng.randint(80, 200)), "en", "marked") for i in range(30)]
+    rows += [(200, marked(150), "en", "plain")]
+    judged = {r.doc_id: r.kept for r in quality.judge(make(rows), ["doc_id"]).select("doc.doc_id", "kept").collect()}
+    assert [i for i, kept in judged.items() if not kept] == [200]
 
 
 @pytest.mark.parametrize("clean", [300, 90])
