@@ -11,6 +11,8 @@ from feedloom.operators.relational import anti_join
 
 # States of a backfill window.
 NOT_YET_LOADED, IN_PROGRESS, COMPLETE = "NOT_YET_LOADED", "IN_PROGRESS", "COMPLETE"
+#: Days of a bin by which rows meet their windows.
+WINDOW_DAYS = 31
 
 
 def unseen_files(files: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,10 +73,27 @@ def next_windows(windows: DataFrame) -> DataFrame:
     return newest_per_group(open_, ["table_name"], [F.col("start_date").asc()])
 
 
-def rows_in_windows(df: DataFrame, table: Column, date: Column, windows: DataFrame) -> DataFrame:
-    """Rows of each table that fall between its window's dates (both included)."""
-    w = windows.select(F.col("table_name").alias("__table"), F.col("start_date").alias("__from"), F.col("end_date").alias("__to"))
-    return df.join(w, (table == F.col("__table")) & date.between(F.col("__from"), F.col("__to"))).drop("__table", "__from", "__to")
+def rows_in_windows(df: DataFrame, table: Column, date: Column, windows: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
+    """Rows of each table that fall between its window's dates (both included), once per window they fall into.
+
+    A window without a start or an end is open on that side; a row without a table or date is in none. Windows are
+    cut into bins of ``days`` and rows are joined by table and bin, so a table with most rows is spread over its bins.
+    Bins outside of all given dates count as the outermost ones, which bounds those of open windows.
+    """
+
+    def bin_of(day: Column) -> Column:
+        return F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / days)
+
+    span = windows.select(F.explode(F.array("start_date", "end_date")).alias("d")).agg(F.min(bin_of(F.col("d"))), F.max(bin_of(F.col("d")))).first()
+    low, high = span[0] or 0, span[1] or 0
+    first, last = F.coalesce(bin_of(F.col("start_date")), F.lit(low)), F.coalesce(bin_of(F.col("end_date")), F.lit(high))
+    w = windows.where(first <= last).select(
+        F.col("table_name").alias("__table"), F.col("start_date").alias("__from"), F.col("end_date").alias("__to"), F.explode(F.sequence(first, last)).alias("__of")
+    )
+    placed = df.withColumns({"__name": table, "__day": date}).withColumn("__bin", F.least(F.lit(high), F.greatest(F.lit(low), bin_of(F.col("__day")))))
+    placed = placed.where("__day IS NOT NULL")
+    inside = ((F.col("__day") >= F.col("__from")) | F.col("__from").isNull()) & ((F.col("__day") <= F.col("__to")) | F.col("__to").isNull())
+    return placed.join(w, (F.col("__name") == F.col("__table")) & (F.col("__bin") == F.col("__of")) & inside).select(*[placed[c] for c in df.columns])
 
 
 def mark_windows(windows: DataFrame, chosen: DataFrame, status: str) -> DataFrame:

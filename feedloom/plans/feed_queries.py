@@ -113,6 +113,24 @@ def quoted_csv_parse(spark, sf):
     return delimited.parse_quoted(read_lines(spark, path), columns)
 
 
+@query("quoted_csv_lines", """
+WITH n AS (SELECT row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS place, * FROM customer)
+SELECT cast(c_custkey AS varchar) AS cust_key, c_name || ', ' || c_mktsegment AS label, cast(c_nationkey AS varchar) AS nation, place + 1 AS line_no, 'nation-' || c_nationkey AS file FROM n
+""")
+def quoted_csv_lines(spark, sf):
+    """Quoted lines with their line number and file: a file per nation, with a line before and behind the data."""
+    c = table(spark, sf, "customer")
+    line = F.concat(F.lit('"'), F.col("c_custkey").cast("string"), F.lit('","'), "c_name", F.lit(", "), "c_mktsegment", F.lit('",'), F.col("c_nationkey").cast("string"))
+    marks = c.select("c_nationkey").distinct().select("c_nationkey", F.explode(F.map_from_arrays(F.array(F.lit(-1), F.lit(2**62)), F.array(F.lit('"*BOF*"'), F.lit('"*EOF*"')))).alias("c_custkey", "value"))
+    data = c.select("c_nationkey", F.col("c_custkey").cast("long").alias("c_custkey"), line.alias("value")).unionByName(marks.select("c_nationkey", F.col("c_custkey").cast("long").alias("c_custkey"), "value"))
+    path = scratch_path(spark, "quoted-lines")
+    data.withColumn("nation", F.col("c_nationkey")).repartition("nation").sortWithinPartitions("nation", "c_custkey").select("nation", "value").write.partitionBy("nation").text(path)
+    columns = [ColumnSpec("Cust Key"), ColumnSpec("Label"), ColumnSpec("Nation")]
+    rows = delimited.parse_quoted(with_line_order(read_lines(spark, path)), columns, keep=["line_no", "file_path"])
+    file = F.concat(F.lit("nation-"), F.regexp_extract("file_path", "/nation=([^/]*)/", 1))
+    return rows.select("cust_key", "label", "nation", "line_no", file.alias("file"))
+
+
 @query("subtable_split", """
 SELECT r_name AS source, 'customer' AS kind, count(*) AS n, cast(sum(c_custkey) AS bigint) AS keys FROM customer, nation, region WHERE c_nationkey = n_nationkey AND n_regionkey = r_regionkey GROUP BY 1
 UNION ALL SELECT r_name, 'supplier', count(*), cast(sum(s_suppkey) AS bigint) FROM supplier, nation, region WHERE s_nationkey = n_nationkey AND n_regionkey = r_regionkey GROUP BY 1
@@ -243,7 +261,7 @@ WITH {LINES_SQL} SELECT dense_rank() OVER (PARTITION BY chunk ORDER BY k) AS ent
 FROM lines GROUP BY chunk, k
 """)
 def entity_groups(spark, sf):
-    e = order_entities(spark, sf)
+    e = written(order_entities(spark, sf), "entity-lines")
     keys = e.where(F.col("line_no") == F.col("entity_start")).select("file_path", "entity_no", F.substring("value", 4, 12).cast("bigint").alias("order_key"))
     return records.entity_hash(e).join(keys, ["file_path", "entity_no"]).select("entity_no", "order_key", "line_count", "entity_id")
 
@@ -595,7 +613,7 @@ def write_nation_xml(spark, sf):
     places = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     rows = table(spark, sf, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("r_regionkey").cast("bigint").alias("chunk"), F.lit(1).alias("record_in_chunk"), "c_custkey",
-        F.concat(F.lit('<row key="'), F.col("c_custkey").cast("string"), F.lit('"><name> '), "c_name", F.lit(' </name><nation code="'), F.col("c_nationkey").cast("string"), F.lit('"><label>'), "n_name", F.lit("</label></nation></row>")).alias("value"),
+        F.concat(F.lit('<row key="'), F.col("c_custkey").cast("string"), F.lit('"><name> '), "c_name", F.lit(' </name><nation code="'), F.col("c_nationkey").cast("string"), F.lit('"><label>'), "n_name", F.lit("</label></nation></row"), F.when(F.col("c_custkey") % 3 == 0, " >").otherwise(">")).alias("value"),
     )
     header = F.concat(F.lit('<rows><criteria firm="f'), F.col("chunk").cast("string"), F.lit('" as_of="2024-01-31"/>'))
     path = scratch_path(spark, "xml")
@@ -612,6 +630,22 @@ def read_xml(spark, sf):
     return rows.select(F.col("_key").alias("key"), "name", F.col("nation._code").alias("code"), F.col("nation.label").alias("label"))
 
 
+@query("xml_rejects", """
+SELECT 'f' || n_regionkey AS firm, count(*) AS rejects, cast(sum(c_custkey) AS bigint) AS keys FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 = 0 GROUP BY n_regionkey
+""")
+def xml_rejects(spark, sf):
+    """Rows that are never closed are no rows of the table, nor lost: they and what they run into come back as texts."""
+    c = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    whole = F.concat(F.lit('<row key="'), F.col("c_custkey").cast("string"), F.lit('"><name>'), "c_name", F.lit("</name></row>"))
+    torn = F.concat(F.lit('<row key="'), F.col("c_custkey").cast("string"), F.lit('"><name>'), "c_name", F.lit('<row key="0"><name>'), "c_name", F.lit("</name></row>"))
+    path = scratch_path(spark, "torn")
+    c.select(F.col("n_regionkey").alias("region"), F.when(F.col("c_custkey") % 10 == 0, torn).otherwise(whole).alias("value")).write.partitionBy("region").text(path)
+    left = documents.xml_rejects(documents.xml_pieces(spark, path, "row"), "row")
+    firm = F.concat(F.lit("f"), F.regexp_extract("file_path", "/region=([^/]*)/", 1))
+    key = F.regexp_extract("xml", '^<row key="([0-9]+)"', 1).cast("bigint")
+    return left.groupBy(firm.alias("firm")).agg(F.count(F.lit(1)).alias("rejects"), F.sum(key).alias("keys"))
+
+
 @query("xml_header_struct", """
 SELECT c_custkey AS key, 'f' || n_regionkey AS firm, '2024-01-31' AS as_of FROM customer JOIN nation ON c_nationkey = n_nationkey
 """)

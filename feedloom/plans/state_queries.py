@@ -405,6 +405,22 @@ def backfill_windows(spark, sf):
     return rows.select("o_orderkey", "o_orderpriority")
 
 
+@query("window_rows", """
+WITH w AS (
+  SELECT o_orderpriority AS t, year(o_orderdate) AS y, min(cast(o_orderdate AS date)) AS a, max(cast(o_orderdate AS date)) + 45 AS z FROM orders GROUP BY 1, 2
+), open AS (SELECT t, y, CASE WHEN y > 1993 THEN a END AS a, CASE WHEN y < 1997 THEN z END AS z FROM w)
+SELECT o_orderkey, o_orderpriority FROM orders JOIN open ON o_orderpriority = t AND (a IS NULL OR cast(o_orderdate AS date) >= a) AND (z IS NULL OR cast(o_orderdate AS date) <= z)
+""")
+def window_rows(spark, sf):
+    """Orders in windows of a year that overlap by 45 days; the first ones have no start, the last ones no end."""
+    year = F.year("start_date")
+    windows = order_windows(spark, sf).select(
+        "table_name", F.when(year > 1993, F.col("start_date")).alias("start_date"), F.when(year < 1997, F.date_add("end_date", 45)).alias("end_date")
+    )
+    rows = ledger.rows_in_windows(table(spark, sf, "orders"), F.col("o_orderpriority"), F.col("o_orderdate").cast("date"), windows)
+    return rows.select("o_orderkey", "o_orderpriority")
+
+
 @query("backfill_states", """
 SELECT o_orderpriority AS table_name, cast(min(cast(o_orderdate AS date)) AS varchar) AS start_date,
   CASE WHEN year(o_orderdate) < 1998 THEN 'COMPLETE' WHEN year(o_orderdate) = 1998 THEN 'IN_PROGRESS' ELSE 'NOT_YET_LOADED' END AS status FROM orders GROUP BY o_orderpriority, year(o_orderdate)

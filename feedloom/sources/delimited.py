@@ -46,11 +46,13 @@ def read_delimited(
 def read_quoted_records(spark: SparkSession, path: str, sep: str | None = None, quote: str = '"') -> DataFrame:
     """The same table as :func:`read_delimited` for files of any size: quoted line breaks do not keep them whole.
 
-    Every file has its own header, all with the same columns.
+    Every file has its own header, all with the same columns. Lines end with LF or CR LF; what stands in quotes stays
+    as it is, a CR of its own too.
     """
     sep = sep or guess_separator(spark, path)
     options = {"sep": sep, "quote": quote, "escape": '"', "multiLine": "true"}
-    records = join_records(with_quoted_records(read_lines(spark, path), quote)).where(F.col("value") != "")
+    records = join_records(with_quoted_records(read_lines(spark, path, record_sep="\n"), quote))
+    records = records.withColumn("value", F.regexp_replace("value", r"\r\z", "")).where(F.col("value") != "")
     header = spark.read.options(header=True, inferSchema=False, **options).csv(path).columns
     data = records.where(F.col("record_start") > 1).select(F.from_csv("value", _slots(len(header)), options).alias("__row"))
     return trim_strings(normalize_columns(data.select("__row.*").toDF(*header)))

@@ -51,16 +51,32 @@ def xml_pieces(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
     return read_lines(spark, path, record_sep=f"</{row_tag}>")
 
 
+def _xml_texts(pieces: DataFrame, row_tag: str) -> DataFrame:
+    """``file_path`` and ``xml``, the text of each row, and whether it is ``one``: no other row begins within it.
+
+    Pieces are cut at closing tags without blanks; rows closed with blanks before ``>`` are cut here.
+    """
+    start, close = rf"<{row_tag}(?:\s[^<>]*)?", rf"</{row_tag}\s+>"
+    found = F.regexp_extract_all("value", F.lit(rf"(?s){start}/>|{start}>.*?(?:{close}|$(?!\n))"), F.lit(0))
+    rows = pieces.select("file_path", F.explode(found).alias("xml"))
+    closed = F.col("xml").rlike(rf"^{start}/>$") | F.col("xml").rlike(rf"(?s){close}$")
+    one = ~F.col("xml").rlike(rf"(?s)^<{row_tag}.*<{row_tag}[\s/>]")
+    return rows.select("file_path", F.when(closed, F.col("xml")).otherwise(F.concat("xml", F.lit(f"</{row_tag}>"))).alias("xml"), one.alias("one"))
+
+
 def xml_rows(pieces: DataFrame, row_tag: str, schema: T.StructType | str) -> DataFrame:
-    """The rows of :func:`xml_pieces` with their ``file_path``: one that ends a piece, and empty ones before it.
+    """The rows of :func:`xml_pieces` with their ``file_path``; blanks may stand before the ``>`` of a closing tag.
 
-    Rows hold no rows of the same tag, also not in comments, and no ``>`` in attributes.
+    Rows hold no rows of the same tag, also not in comments, and no ``>`` in attributes: texts in which a second one
+    begins are not guessed at, :func:`xml_rejects` has them.
     """
-    start = rf"<{row_tag}(?:\s[^<>]*)?"
-    found = F.explode(F.regexp_extract_all("value", F.lit(rf"(?s){start}/>|{start}>.*$"), F.lit(0))).alias("xml")
-    rows = pieces.select("file_path", found)
-    whole = F.when(F.col("xml").rlike(rf"^{start}/>$"), F.col("xml")).otherwise(F.concat("xml", F.lit(f"</{row_tag}>")))
-    return rows.select("file_path", F.from_xml(whole, schema, XML_OPTIONS | {"rowTag": row_tag}).alias("__row")).select("file_path", "__row.*")
+    rows = _xml_texts(pieces, row_tag).where("one")
+    return rows.select("file_path", F.from_xml("xml", schema, XML_OPTIONS | {"rowTag": row_tag}).alias("__row")).select("file_path", "__row.*")
+
+
+def xml_rejects(pieces: DataFrame, row_tag: str) -> DataFrame:
+    """``file_path`` and ``xml`` of what :func:`xml_rows` leaves out: a row that is not closed before the next one begins."""
+    return _xml_texts(pieces, row_tag).where(~F.col("one")).select("file_path", "xml")
 
 
 def xml_elements(pieces: DataFrame, tag: str, schema: T.StructType | str) -> DataFrame:

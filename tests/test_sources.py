@@ -208,3 +208,25 @@ def test_xml_is_split_at_rows(spark, tmp_path, conf):
     assert [(r._of, r.x) for r in documents.xml_elements(pieces, "head", "_of string, x int").collect()] == [("h", 1)]
     whole = documents.read_xml(spark, str(tmp_path / "a.xml"), "row", "_key int, name string")
     assert rows(got.drop("file_path")) == rows(whole)
+
+
+def test_xml_rows_closed_with_blanks(spark, tmp_path, conf):
+    texts = ['<row key="1"><name>a</name></row >', '<row key="2"/>', '<row key="3"><name>b</name></row\n>\n', '<row key="4"><name>c</name></row>', '<row key="5"><rowid>7</rowid></row >']
+    (tmp_path / "a.xml").write_text("<rows>" + "".join(texts * 400) + '<row key="6"><name>never closed<row key="7"><name>d</name></row></rows>')
+    conf("spark.sql.files.maxPartitionBytes", "8192")
+    pieces = documents.xml_pieces(spark, str(tmp_path), "row")
+    got = documents.xml_rows(pieces, "row", "_key int, name string, rowid int").drop("file_path")
+    assert rows(got) == sorted([(1, "a", None), (2, None, None), (3, "b", None), (4, "c", None), (5, None, 7)] * 400, key=lambda r: tuple(map(str, r)))
+    (left,) = documents.xml_rejects(pieces, "row").collect()
+    assert left.xml.startswith('<row key="6">') and left.file_path.endswith("a.xml")
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_line_ends_in_quotes_stay(spark, tmp_path, conf, end):
+    values = ["p\rq", "p\nq", "plain", "", "\rp", "a\r\rb"]
+    body = "".join(f'{i},"{v}"{end}' for i, v in enumerate(values * 50))
+    (tmp_path / "a.csv").write_bytes(f"id,v{end}{body}".encode())
+    conf("spark.sql.files.maxPartitionBytes", "256")
+    got = rows(delimited.read_quoted_records(spark, str(tmp_path)))
+    assert got == rows(delimited.read_delimited(spark, str(tmp_path)))
+    assert ("0", "p\rq") in got and len(got) == 300

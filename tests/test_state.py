@@ -149,3 +149,23 @@ def test_replaced_schema_refuses_existing_table(spark):
     assert rows(replace_feed_schema(schema, 2, new, none)) == [(1, "t1", "a"), (2, "t2", "x_y")]
     with pytest.raises(Exception, match="table exists"):
         replace_feed_schema(schema, 2, new, there).collect()
+
+
+def test_rows_meet_open_and_overlapping_windows(spark, conf):
+    """One table has most rows; the join is by table and bin, and equals a plain one."""
+    import datetime as dt
+
+    day = dt.date(2020, 1, 1)
+    data = [(i, "hot" if i % 4 else "cold", day + dt.timedelta(days=i % 900)) for i in range(3000)] + [(-1, None, day), (-2, "hot", None)]
+    frame = spark.createDataFrame(data, "id long, t string, d date")
+    given = [("hot", day, dt.date(2020, 3, 1)), ("hot", dt.date(2020, 2, 1), dt.date(2021, 6, 1)), ("hot", dt.date(2022, 1, 1), None), ("cold", None, dt.date(2020, 1, 5)), ("none", None, None), ("hot", dt.date(2021, 1, 1), dt.date(2020, 1, 1))]
+    windows = spark.createDataFrame(given, "table_name string, start_date date, end_date date")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = ledger.rows_in_windows(frame, F.col("t"), F.col("d"), windows)
+    assert found.columns == frame.columns
+    want = [r for r in data for t, a, b in given if r[1] == t and r[2] and (a is None or r[2] >= a) and (b is None or r[2] <= b)]
+    assert rows(found) == sorted(want, key=lambda r: tuple(map(str, r)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__name" in plan and "__bin" in plan
+    assert ledger.rows_in_windows(frame, F.col("t"), F.col("d"), windows.limit(0)).count() == 0
+    assert ledger.rows_in_windows(frame, F.col("t"), F.col("d"), windows.where("table_name = 'none'")).count() == 0
