@@ -45,19 +45,24 @@ def part_number(
 ) -> DataFrame:
     """Add ``part_no``: the position of a row within its key, in ``order``, divided by ``max_children``.
 
-    It is 0 for all rows of ordinary keys, which one aggregate tells and an empty join. Only rows of larger
-    keys are ordered, by ranges of key and order, so no task sorts a key alone.
+    Rows are counted by a hash of the key, which is combined on the map side. Where no hash has more than
+    ``max_children`` rows, as is usual, no key has, and 0 is added in the caller's own pass. Else only rows of the
+    large hashes are ordered, by ranges of key and order, so no task sorts a key alone; an ordinary key that shares
+    its hash with a large one is numbered with it and gets 0 there.
     """
-    name = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
-    big = df.groupBy(name.alias("__big")).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > max_children).select("__big")
+    cell = F.xxhash64(*keys)
+    big = df.groupBy(cell.alias("__big")).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > max_children).select("__big")
     big = written(big, "large-keys")
-    named = df.withColumn("__key", name)
-    small = named.join(big, F.col("__key") == F.col("__big"), "left_anti").withColumn("part_no", F.lit(0))
-    large = named.join(big, F.col("__key") == F.col("__big"), "left_semi")
-    ranged = large.repartitionByRange("__key", *order).withColumn("__range", F.spark_partition_id())
+    if big.isEmpty():
+        return df.withColumn("part_no", F.lit(0))
+    celled = df.withColumn("__cell", cell)
+    of_big = F.col("__cell") == F.col("__big")
+    small = celled.join(big, of_big, "left_anti").withColumn("part_no", F.lit(0))
+    named = celled.join(big, of_big, "left_semi").withColumn("__key", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
+    ranged = named.repartitionByRange("__key", *order).withColumn("__range", F.spark_partition_id())
     numbered = row_numbers(written(ranged, "large-rows"), ["__key"], "__range", order, "__no")
     large = numbered.withColumn("part_no", F.floor((F.col("__no") - 1) / max_children).cast("int"))
-    return small.unionByName(large.select(*small.columns)).drop("__key")
+    return small.unionByName(large.select(*small.columns)).drop("__cell")
 
 
 def collect_records(

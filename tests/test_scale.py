@@ -42,6 +42,21 @@ def test_collected_parts_are_bounded_and_whole(hot):
     assert all(a[2] < b[1] for a, b in zip(edges, edges[1:], strict=False))
 
 
+def test_ordinary_keys_are_collected_in_one_pass(spark, tmp_path):
+    rows_ = [(None, "a", i) for i in range(5)] + [("a", None, i) for i in range(5)] + [("", "a", 9)]
+    spark.createDataFrame(rows_, "k string, l string, v int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plain = relational.collect_records(df, ["k", "l"], {"items": F.lit(True)}, ["v"], [], max_children=10)
+    assert plan(plain).split("== Initial Plan ==")[0].count("FileScan") == 1 and {r.part_no for r in plain.collect()} == {0}
+    # null keys are told apart in parts too, whether or not their hashes are
+    parts = relational.collect_records(df, ["k", "l"], {"items": F.lit(True)}, ["v"], [], max_children=4)
+    assert {(r.k, r.l, r.part_no): len(r["items"]) for r in parts.collect()} == {
+        (None, "a", 0): 4, (None, "a", 1): 1, ("a", None, 0): 4, ("a", None, 1): 1, ("", "a", 0): 1,
+    }
+    empty = relational.collect_records(df.limit(0), ["k", "l"], {"items": F.lit(True)}, ["v"], [])
+    assert empty.columns == ["k", "l", "part_no", "items"] and empty.isEmpty()
+
+
 def test_newest_rows_are_trimmed_before_the_shuffle(hot):
     text = plan(ranking.newest_per_group(hot, ["k"], [F.col("id").desc()]))
     assert "WindowGroupLimit" in text and "Partial" in text
