@@ -95,8 +95,16 @@ class NumberedFolders:
         found = [int(n.removeprefix(start)) for n in names if n.startswith(start)]
         return sorted(n for n in found if fs.exists(hadoop(f"{self.folder(n)}/_SUCCESS")))
 
-    def write(self, df: DataFrame, number: int) -> None:
-        df.write.mode("overwrite").parquet(self.folder(number))
+    def write(self, df: DataFrame, number: int, partition_by: Sequence[str] = ()) -> None:
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.folder(number))
+
+    def remove(self, numbers: Sequence[int]) -> None:
+        """Delete folders that nothing reads any more. The mark goes first, so a folder that is half deleted is not read."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = hadoop(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for n in numbers:
+            fs.delete(hadoop(f"{self.folder(n)}/_SUCCESS"), False)
+            fs.delete(hadoop(self.folder(n)), True)
 
     def read(self, numbers: Sequence[int]) -> DataFrame:
         """Several folders in one scan, their number as the column named like the prefix."""

@@ -122,6 +122,36 @@ def test_change_stream_compacts_and_restarts(spark, tmp_path):
     assert rows(again.current()) == rows(want)
 
 
+def test_full_loads_read_and_leave_their_own_folders(spark, tmp_path):
+    row = lambda k, d, kind="INSERT", load="FULL": (k, f"h{k}", f"h{k}", load, d, 0, kind)
+    schema = "elt_integration_id string, v string, elt_columns_hash string, elt_load_type string, elt_execution_date string, elt_delete_ind int, elt_stream_action string"
+    frame = lambda *r: spark.createDataFrame(list(r), schema).coalesce(1)
+    table = streams.ChangeStream(spark, str(tmp_path / "t"), frame(*[row(k, "0") for k in "abcd"]).drop("elt_stream_action"), compact_every=2)
+    end = lambda d: (None, None, None, "FULL", d, None, streams.LOAD_END)
+    deleted = lambda: {r.elt_integration_id for r in table.current().where("elt_delete_ind = 1").collect()}
+    # two loads side by side over several batches, a change between them
+    table.apply(frame(row("a", "1")), 0)
+    table.apply(frame(row("b", "1"), row("a", "2"), row("e", "1", load="INCR")), 1)
+    assert deleted() == set() and table.load_keys.numbers() == [0, 1]
+    table.apply(frame(row("c", "1"), end("1")), 2)
+    assert deleted() == {"d", "e"} and table.load_keys.numbers() == [1]
+    # the end again, in the same batch after a failure and in one of its own
+    table.apply(frame(row("c", "1"), end("1")), 2)
+    table.apply(frame(row("d", "1"), end("1")), 3)
+    assert deleted() == {"e"} and table.load_keys.numbers() == [1]
+    table.apply(frame(row("b", "2"), row("c", "2"), row("d", "2"), end("2")), 4)
+    assert deleted() == {"e"} and table.load_keys.numbers() == []
+    before = rows(table.current())
+    table.apply(frame(row("b", "2"), row("c", "2"), row("d", "2"), end("2")), 4)
+    assert rows(table.current()) == before and table.load_keys.numbers() == []
+    # what two snapshots hold is gone, the rest of the log is there
+    for n in range(5, 12):
+        table.apply(frame(row("a", str(n), load="INCR")), n)
+    versions = table.snapshots.versions()
+    assert len(versions) <= 3 and min(table.log.numbers()) >= versions[0] and max(table.log.numbers()) == 11
+    assert deleted() == {"e"} and table.current().count() == 5
+
+
 def test_dml_type_is_checked(spark):
     run = RunContext("d", "s", "d", True, "p", "i", "f", "x", dml_type="X")
     with pytest.raises(ValueError):
