@@ -44,9 +44,14 @@ def with_entity_hash(lines: DataFrame, suffix: Column | None = None) -> DataFram
     return lines.join(entity_hash(lines, suffix).select(*_ENTITY, "entity_id"), _ENTITY)
 
 
-def merge_segments(lines: DataFrame, layout: Sequence[FieldSpec], segment: Column, keep: Sequence[str] = _ENTITY) -> DataFrame:
+def merge_segments(
+    lines: DataFrame, layout: Sequence[FieldSpec], segment: Column, keep: Sequence[str] = _ENTITY, fan_out: int = FAN_OUT
+) -> DataFrame:
     """All segment lines of an entity as one flat row.
 
+    Fields are cut where a line was read. Their texts are joined within blocks of ``fan_out`` line numbers and then
+    over the blocks, so a task never gathers the lines of a long entity, only one row per block.
+
     Every segment has its own layout. A name that occurs more than once, in several segments or because a segment
     repeats, is its texts one after the other in line order; a name that no line has is null. Lines of segments
     without a layout are left to :func:`segment_rejects`.
@@ -54,20 +59,24 @@ def merge_segments(lines: DataFrame, layout: Sequence[FieldSpec], segment: Colum
     by_name: dict[str, list[FieldSpec]] = {}
     for f in layout:
         by_name.setdefault(f.name, []).append(f)
-    known = lines.withColumn("__segment", segment).where(F.col("__segment").isin(sorted({f.segment for f in layout})))
-    gathered = known.groupBy(*keep).agg(F.sort_array(F.collect_list(F.struct("line_no", "__segment", "value"))).alias("__lines"))
-
-    def texts(fields: list[FieldSpec]) -> Column:
-        def cut(line: Column) -> Column:
-            out = F.lit(None).cast("string")
-            for f in fields:
-                out = F.when(line["__segment"] == f.segment, field_column(f, line["value"])).otherwise(out)
-            return out
-
-        own = F.filter("__lines", lambda line: line["__segment"].isin([f.segment for f in fields]))
-        return F.when(F.size(own) > 0, F.array_join(F.transform(own, cut), ""))
-
-    return gathered.select(*keep, *[texts(fields).alias(name) for name, fields in by_name.items()])
+    of = F.col("__segment")
+
+    def cut(fields: list[FieldSpec]) -> Column:
+        out = F.lit(None).cast("string")
+        for f in fields:
+            out = F.when(of == f.segment, F.coalesce(field_column(f), F.lit(""))).otherwise(out)
+        return out
+
+    def fold(rows: DataFrame, group: list) -> DataFrame:
+        rows = rows.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("at", *by_name))).alias("__lines"))
+        found = {name: F.array_compact(F.col(f"__lines.{name}")) for name in by_name}
+        joined = [F.when(F.size(texts) > 0, F.array_join(texts, "")).alias(name) for name, texts in found.items()]
+        return rows.select(*[c for c in rows.columns if c != "__lines"], *joined)
+
+    known = lines.withColumn("__segment", segment).where(of.isin(sorted({f.segment for f in layout})))
+    texts = known.select(*keep, F.col("line_no").alias("at"), *[cut(fields).alias(name) for name, fields in by_name.items()])
+    blocks = fold(texts, [*keep, F.floor(F.col("at") / fan_out).alias("at")])
+    return fold(blocks, [*keep]).select(*keep, *by_name)
 
 
 def segment_rejects(lines: DataFrame, layout: Sequence[FieldSpec], segment: Column) -> DataFrame:

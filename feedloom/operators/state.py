@@ -17,6 +17,9 @@ from feedloom.types import ACTION, AUDIT_COLUMNS, CONTENT_HASH, INTEGRATION_ID,
 
 _FORCE, _LAST = "__force", "__last"
 
+#: Parts over which rows without a key are spread.
+KEYLESS_PARTS = 4096
+
 #: Date of the newest change that was seen of a row, also of one with the content the row had already.
 SEEN = "elt_seen_date"
 
@@ -25,6 +28,17 @@ def _key_text(c: Column) -> Column:
     return F.trim(F.coalesce(c, F.lit(NO_KEY)))
 
 
+def _spread(target: DataFrame, keyless: Column) -> Column:
+    """0 for rows with a key; for others a number from their values, so that they do not meet in one task of a join."""
+    plain = [F.col(f"t.{f.name}") for f in target.schema if isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)]
+    return F.when(keyless, F.pmod(F.xxhash64(*plain), F.lit(KEYLESS_PARTS)) + 1).otherwise(0)
+
+
+def _with_part(source: DataFrame) -> DataFrame:
+    """The other side of :func:`_spread`: 0 for every key, as a value Spark does not fold, or it would not join by it."""
+    return source.withColumn("__part", F.pmod(F.xxhash64("__key"), F.lit(1).cast("bigint")))
+
+
 def dedupe_changes(
     changes: DataFrame, key: str = ROW_KEY, action: str = ACTION, order: str = "elt_execution_date"
 ) -> DataFrame:
@@ -83,9 +97,11 @@ def upsert(
         plain = isinstance(kinds[name], T.StringType) and name not in AUDIT_COLUMNS and name != content
         return F.coalesce(c, F.lit("")) if plain else c
 
-    t, s = target.alias("t"), source.alias("s")
+    t, s = target.alias("t"), _with_part(source).alias("s")
     own_key = (lambda c: c) if keys_are_clean else _key_text
     same_key = own_key(F.col(f"t.{key}")) == F.col("s.__key")
+    if not keys_are_clean:
+        same_key = same_key & (_spread(target, _key_text(F.col(f"t.{key}")) == NO_KEY) == F.col("s.__part"))
     edited = (_key_text(F.col(f"t.{content}")) != F.col("s.__hash")) | (F.col(f"t.{deleted}") == 1) | F.col(f"s.{_FORCE}")
     since = F.coalesce(F.col(f"t.{SEEN}"), F.col(f"t.{order}")) if seen else F.col(f"t.{order}")
     newer = F.coalesce(F.col(f"s.{order}") >= since, F.lit(True))
@@ -97,7 +113,7 @@ def upsert(
         return F.when(take, incoming(name)).otherwise(F.col(f"t.{name}"))
 
     kept = t.join(s, same_key, "left").select(*[value(c).alias(c) for c in target.columns])
-    known = target.select(own_key(F.col(key)).alias("__key")).join(source.select("__key"), "__key", "left_semi")
+    known = target.select(own_key(F.col(key)).alias("__key")).where(F.col("__key") != NO_KEY).join(source.select("__key"), "__key", "left_semi")
     new = source.join(known, "__key", "left_anti").alias("s").select(*[incoming(c).alias(c) for c in target.columns])
     return kept.unionByName(new)
 
@@ -137,10 +153,11 @@ def soft_delete(
 ) -> DataFrame:
     """Mark target rows whose key the batch lacks, if the batch holds a row of a full load."""
     full = batch.where((F.col(deleted) == 0) & (F.col(load_type) == "FULL")).select(F.count(F.lit(1)).alias("n"))
-    present = batch.where(F.col(key).isNotNull()).select(F.col(key).alias("__key")).distinct()
+    present = _with_part(batch.where(F.col(key).isNotNull()).select(F.col(key).alias("__key")).distinct())
+    same = (F.col(f"t.{key}") == F.col("__key")) & (_spread(target, F.col(f"t.{key}").isNull()) == F.col("__part"))
     missing = F.col("__key").isNull() & (F.col(deleted) != 1) & F.col(key).isNotNull()
     return (
-        target.join(present, F.col(key) == F.col("__key"), "left")
+        target.alias("t").join(present, same, "left")
         .withColumn(deleted, F.when(missing & (full.scalar() > 0), 1).otherwise(F.col(deleted)))
         .select(*target.columns)
     )

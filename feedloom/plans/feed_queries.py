@@ -534,7 +534,7 @@ def latest_partition(spark, sf):
     path = scratch_path(spark, "days")
     e = table(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("date").alias("elt_partition_date"))
     lake.write_lake(e, path)
-    return lake.latest_partition(lake.read_lake(spark, path)).select("event_id", "event_type")
+    return lake.read_latest_partition(spark, path).select("event_id", "event_type")
 
 
 @query("outbound_extract", """

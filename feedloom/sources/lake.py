@@ -12,6 +12,8 @@ from feedloom.types import PARTITION_COLUMN
 
 # Fixed value: rows per output file.
 ROWS_PER_FILE = 50_000
+# Fixed value: the folder name Spark gives to the partition of null.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
@@ -66,6 +68,21 @@ def latest_partition(df: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame
     return df.where(F.col(column) == F.lit(newest).cast(kind))
 
 
+def read_latest_partition(spark: SparkSession, path: str, column: str = PARTITION_COLUMN, kind: str = "date") -> DataFrame:
+    """Rows of the newest partition of a table at a path. One listing of its folders finds it; no other is listed or
+    read. Values that are not of the given kind, and null, are none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    start = f"{column}="
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    names = [n for n in (f.getPath().getName() for f in found if f.isDirectory()) if n.startswith(start) and n != start + NULL_PARTITION]
+    values = spark.createDataFrame([(n, unquote(n.removeprefix(start))) for n in names], "folder string, name string")
+    value = F.col("name").try_cast(kind)
+    newest = values.where(value.isNotNull()).orderBy(value.desc()).first()
+    if newest is None:
+        return spark.read.parquet(path).limit(0)
+    return spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/{newest.folder}").withColumn(column, F.col(column).cast(kind))
+
+
 def select_from_config(df: DataFrame, columns: str, condition: str | None = None) -> DataFrame:
     """A comma list of columns and a filter, as kept in a configuration row."""
     out = df.where(condition) if condition else df

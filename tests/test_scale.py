@@ -10,6 +10,7 @@ from feedloom.operators import nested, quality, ranking, records, relational, st
 from feedloom.plans import feed_queries
 from feedloom.plans.registry import table
 from feedloom.plans.state_queries import order_changes, order_target
+from feedloom.sources.fixed_width import FieldSpec
 from feedloom.sources.lines import read_lines, with_line_order
 
 
@@ -42,6 +43,43 @@ def test_collected_parts_are_bounded_and_whole(hot):
     assert all(a[2] < b[1] for a, b in zip(edges, edges[1:], strict=False))
 
 
+def test_rows_without_a_key_do_not_meet_in_one_task(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    key = F.when(F.col("id") % 3 == 0, F.when(F.col("id") % 2 == 0, F.lit("N/A"))).otherwise(F.col("id").cast("string"))
+    target = spark.range(9000).select(
+        key.alias("elt_integration_id"), F.col("id").cast("string").alias("v"), F.lit("h").alias("elt_columns_hash"),
+        F.lit("FULL").alias("elt_load_type"), F.lit("1").alias("elt_execution_date"), F.lit(0).alias("elt_delete_ind"),
+    )
+    changes = target.where("v % 7 = 1").withColumns({"elt_columns_hash": F.lit("g"), "elt_stream_action": F.lit("INSERT"), "elt_execution_date": F.lit("2")})
+    merged = state.upsert(target, changes)
+    got = {r.v: (r.elt_columns_hash, r.elt_execution_date) for r in merged.collect()}
+    assert len(got) == merged.count() == 9000
+    assert all(h == (("g", "2") if int(v) % 7 == 1 and int(v) % 3 else ("h", "1")) for v, h in got.items())
+    unkeyed = target.withColumn("elt_integration_id", F.nullif("elt_integration_id", F.lit("N/A")))
+    deleted = state.soft_delete(unkeyed, changes, "elt_integration_id")
+    assert deleted.count() == 9000 and deleted.where("elt_delete_ind = 1 AND elt_integration_id IS NULL").isEmpty()
+    for out in (merged, deleted):
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect() if r["count"] > 100)
+        assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
+def test_segments_of_a_long_entity_are_joined_in_blocks(spark):
+    field = lambda name, segment, start, length: FieldSpec(name=name, record="", segment=segment, start=start, length=length)
+    layout = [field("one", "1", 2, 3), field("two", "2", 2, 3), field("both", "1", 5, 1), field("both", "2", 5, 1), field("none", "3", 2, 3)]
+    entity = F.when(F.col("id") < 1000, 0).otherwise(F.floor(F.col("id") / 10))
+    lines = spark.range(3000).select(
+        F.lit("f").alias("file_path"), entity.cast("long").alias("entity_no"), F.col("id").alias("line_no"),
+        F.concat(F.when(F.col("id") % 10 == 0, "1").when(F.col("id") % 10 == 9, "9").otherwise("2"), F.lpad((F.col("id") % 1000).cast("string"), 3, "0"), F.lit("x")).alias("value"),
+    ).repartition(7)
+    segment = F.substring("value", 1, 1)
+    want = rows(records.merge_segments(lines, layout, segment, fan_out=10**9))
+    assert rows(records.merge_segments(lines, layout, segment, fan_out=16)) == want and len(want) == 201
+    longest = next(r for r in want if r[1] == 0)
+    body = [f"{i:03d}" for i in range(1000)]
+    assert longest[2:] == ("".join(body[::10]), "".join(b for b in body if b[2] not in "09"), "x" * 900, None)
+
+
 def test_ordinary_keys_are_collected_in_one_pass(spark, tmp_path):
     rows_ = [(None, "a", i) for i in range(5)] + [("a", None, i) for i in range(5)] + [("", "a", 9)]
     spark.createDataFrame(rows_, "k string, l string, v int").write.parquet(str(tmp_path / "t"))

@@ -157,6 +157,9 @@ def test_lake_replaces_only_its_partitions(spark, tmp_path):
     lake.write_lake(frame(3, "b"), path)
     assert rows(lake.read_lake(spark, path).select("v", "elt_partition_date")) == [(1, "a"), (3, "b")]
     assert rows(lake.latest_partition(lake.read_lake(spark, path)).select("v")) == [(3,)]
+    lake.write_lake(frame(4, None), path)
+    assert rows(lake.read_latest_partition(spark, path, kind="string").select("v", "elt_partition_date")) == [(3, "b")]
+    assert lake.read_latest_partition(spark, path, kind="date").isEmpty()
 
 
 def test_extract_names():
