@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from feedloom.session import written
+
 
 def newest_per_group(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
     """One row per key, first by ``order``. Spark trims every map task to one row per key before the shuffle."""
@@ -50,6 +52,16 @@ def row_numbers(
     return running_total(df, keys, bucket, order, F.lit(1).cast("bigint"), name)
 
 
+def table_numbers(df: DataFrame, order: Sequence[str], name: str = "row_number") -> DataFrame:
+    """Exact numbers from 1 over a whole table, by columns whose values together are unique.
+
+    Spark cuts the rows into as many ranges of like size as it has partitions, whatever their values; rows are
+    numbered within their range, and all that is added up in one place is a count per range.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
+    return row_numbers(written(ranged, "ranges"), [], "__range", order, name).drop("__range")
+
+
 def priority_pick(
     df: DataFrame, keys: Sequence[str], name: Column, ranking: Sequence[Sequence[str]], rest: int = 1000
 ) -> DataFrame:

@@ -483,8 +483,7 @@ SELECT (no - 1) // 1000 AS chunk, count(*) AS entities, cast(sum(n) AS bigint) A
 def bounded_split(spark, sf):
     """Files of 1000 orders, an order never cut, entity numbers starting anew in each file."""
     l = table(spark, sf, "lineitem")
-    keys = l.select("l_orderkey").distinct().withColumn("range", F.floor(F.col("l_orderkey") / 100_000)).withColumn("all", F.lit(1))
-    numbered = ranking.row_numbers(keys, ["all"], "range", ["l_orderkey"], "entity_no").select("l_orderkey", "entity_no")
+    numbered = ranking.table_numbers(l.select("l_orderkey").distinct(), ["l_orderkey"], "entity_no")
     entities = sinks.chunked(numbered, "entity_no", 1000)
     chunks = l.join(entities, "l_orderkey")
     line = F.concat(F.lit("D"), F.lpad(F.col("record_in_chunk").cast("string"), 8, "0"), F.expr(feeds.ITEM_LINE))

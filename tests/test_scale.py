@@ -31,6 +31,17 @@ def test_running_total_of_a_hot_key(hot):
     assert rows(got.select("id", "s")) == rows(want.select("id", "s"))
 
 
+def test_numbers_of_a_table_come_from_ranges_of_like_size(spark, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    # a third of the rows share the first column, the rest grows by powers
+    df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.pow(F.lit(1.01), F.col("id"))).alias("a"), "id")
+    got = [tuple(r) for r in ranking.table_numbers(df.repartition(5), ["a", "id"], "no").collect()]
+    assert sorted(got) == [(*r, i) for i, r in enumerate(sorted(tuple(r) for r in df.collect()), 1)]
+    assert ranking.table_numbers(df.limit(0), ["a", "id"], "no").isEmpty()
+    sizes = [r["count"] for r in df.repartitionByRange("a", "id").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * min(sizes)
+
+
 def test_collected_parts_are_bounded_and_whole(hot):
     docs = relational.collect_records(hot, ["k"], {"items": F.lit(True)}, ["id"], ["v"], max_children=100).cache()
     assert rows(docs.select("k", F.inline("items"))) == rows(hot.select("k", "id", "v"))
