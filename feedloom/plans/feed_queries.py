@@ -507,8 +507,7 @@ SELECT (row_number() OVER (ORDER BY event_id) - 1) // 700 AS chunk, event_id FRO
 """)
 def bounded_line_split(spark, sf):
     """Files of 700 lines, whatever they hold."""
-    e = table(spark, sf, "events").select("event_id", F.floor(F.col("event_id") / 100_000).alias("range"), F.lit(1).alias("all"))
-    chunks = sinks.chunked(ranking.row_numbers(e, ["all"], "range", ["event_id"], "n"), "n", 700)
+    chunks = sinks.chunked(ranking.table_numbers(table(spark, sf, "events").select("event_id"), ["event_id"], "n"), "n", 700)
     path = scratch_path(spark, "line-split")
     sinks.write_bounded(sinks.bounded_lines(chunks, F.col("event_id").cast("string"), ["event_id"], None, None), path)
     back = read_lines(spark, path)

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedloom.functions.dates import file_suffix
+from feedloom.session import written
 
 
 def extract_name(prefix: str, template: str | None, at: dt.datetime, fmt: str = "csv") -> str:
@@ -74,14 +79,59 @@ def bounded_lines(
     return body
 
 
-def write_bounded(lines: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
-    """One folder and file per chunk, lines in order, equals by their text. Chunks are bounded, so are the tasks."""
-    group = [*keys, "chunk"]
-    (
-        lines.repartition(*group)
-        .sortWithinPartitions(*group, "place", "at", "value")
-        .select(*group, "value")
-        .write.mode("overwrite")
-        .partitionBy(*group)
-        .text(path)
-    )
+def write_bounded(lines: DataFrame, path: str, keys: Sequence[str] = ()) -> DataFrame:
+    """One file per chunk, all in one folder, lines in order, equals by their text; a row per file comes back.
+
+    Files are named after their keys and chunk (``kind=A.chunk=12.txt``); the manifest has the keys, ``chunk``,
+    ``path`` and ``n_lines``. Chunks are dealt out by their hash, so a task writes any number of them, one after the
+    other and a batch of lines at a time. A file is written aside and named when it is whole: a task that is run again
+    puts the same file in its place. The folder is emptied first. Null lines are empty ones.
+    """
+    group, spark = [*keys, "chunk"], lines.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(where, True)
+    files.mkdirs(where)
+    folder = files.makeQualified(where).toString()
+    aside = f"{folder}/_unfinished"
+    schema = T.StructType([*[lines.schema[c] for c in group], T.StructField("path", T.StringType()), T.StructField("n_lines", T.LongType())])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = pafs.FileSystem.from_uri(folder)
+        store.create_dir(f"{base}/_unfinished", recursive=True)
+        sink, now, count = None, None, 0
+
+        def close() -> pa.RecordBatch:
+            sink.close()
+            parts = [f"{c}={quote(str(v), safe='') if v is not None else '__HIVE_DEFAULT_PARTITION__'}" for c, v in zip(group, now, strict=True)]
+            name = f"{'.'.join(parts)}.txt"
+            try:
+                store.move(unfinished, f"{base}/{name}")
+            except OSError:
+                if store.get_file_info(f"{base}/{name}").type != pafs.FileType.File:
+                    raise
+                store.delete_file(unfinished)
+            columns = [pa.array([v], kind) for v, kind in zip(now, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array([f"{folder}/{name}"]), pa.array([count], pa.int64())], [*group, "path", "n_lines"])
+
+        for batch in batches:
+            kinds = [batch.column(c).type for c in group]
+            rows, values = list(zip(*[batch.column(c).to_pylist() for c in group], strict=True)), batch.column("value").to_pylist()
+            edges = [i for i in range(1, len(rows)) if rows[i] != rows[i - 1]]
+            for first, last in zip([0, *edges], [*edges, len(rows)], strict=True):
+                if first == last:
+                    continue
+                if rows[first] != now or sink is None:
+                    if sink is not None:
+                        yield close()
+                    now, count, unfinished = rows[first], 0, f"{base}/_unfinished/{uuid.uuid4().hex}"
+                    sink = store.open_output_stream(unfinished)
+                sink.write(b"".join([(v or b"") + b"\n" for v in values[first:last]]))
+                count += last - first
+        if sink is not None:
+            yield close()
+
+    ordered = lines.repartition(*group).sortWithinPartitions(*group, "place", "at", "value")
+    manifest = written(ordered.select(*group, F.col("value").cast("binary").alias("value")).mapInArrow(write, schema), "bounded-files")
+    files.delete(spark._jvm.org.apache.hadoop.fs.Path(aside), True)
+    return manifest

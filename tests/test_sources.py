@@ -172,10 +172,29 @@ def test_bounded_files_hold_whole_entities(spark, tmp_path):
     chunks = sinks.chunked(df, "entity_no", 3)
     line = F.concat_ws("-", F.col("record_in_chunk").cast("string"), F.col("i").cast("string"))
     body = sinks.bounded_lines(chunks, line, ["record_in_chunk", "i"], F.lit("HEAD"), F.concat(F.lit("T"), F.col("records").cast("string")))
-    sinks.write_bounded(body, str(tmp_path / "out"))
-    files = {p.parent.name: p.read_text().split() for p in (tmp_path / "out").glob("chunk=*/part-*")}
-    assert files["chunk=0"] == ["HEAD", "1-0", "2-0", "2-1", "3-0", "3-1", "3-2", "T3"]
-    assert files["chunk=2"] == ["HEAD", *[f"1-{i}" for i in range(7)], "T1"]
+    manifest = sinks.write_bounded(body, str(tmp_path / "out"))
+    files = {p.name: p.read_text().split() for p in (tmp_path / "out").glob("chunk=*.txt")}
+    assert files["chunk=0.txt"] == ["HEAD", "1-0", "2-0", "2-1", "3-0", "3-1", "3-2", "T3"]
+    assert files["chunk=2.txt"] == ["HEAD", *[f"1-{i}" for i in range(7)], "T1"]
+    assert sorted((r.chunk, r.path.rsplit("/", 1)[1], r.n_lines) for r in manifest.collect()) == [(c, f"chunk={c}.txt", len(files[f"chunk={c}.txt"])) for c in range(3)]
+
+
+def test_many_bounded_files_take_one_folder_and_few_tasks(spark, tmp_path):
+    lines = spark.range(6000).select(
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("a/"), (F.col("id") % 3).cast("string"))).alias("kind"), F.floor(F.col("id") / 20).alias("chunk"), F.lit(1).alias("place"), "id",
+        F.when(F.col("id") != 77, F.concat(F.lit("é"), F.col("id").cast("string"))).alias("value"),
+    ).withColumnRenamed("id", "at")
+    out = tmp_path / "out"
+    (out / "old").mkdir(parents=True)
+    (out / "old.txt").write_text("left")
+    for _ in range(2):
+        manifest = sinks.write_bounded(lines, str(out), keys=["kind"])
+        found = [p for p in out.iterdir() if not p.name.startswith(".")]
+        assert len(found) == 900 == manifest.count() and all(p.is_file() for p in found)
+    assert manifest.rdd.getNumPartitions() <= 16
+    assert (out / "kind=a%2F2.chunk=3.txt").read_text().split("\n") == [*[f"é{i}" if i != 77 else "" for i in range(60, 80) if i % 3 == 2], ""]
+    assert (out / "kind=__HIVE_DEFAULT_PARTITION__.chunk=0.txt").read_text().split() == [f"é{i}" for i in range(0, 20, 3)]
+    assert sinks.write_bounded(lines.where("false"), str(out), keys=["kind"]).count() == 0 and not list(out.glob("*.txt"))
 
 
 def test_undated_names_take_the_time_of_the_file(spark):
