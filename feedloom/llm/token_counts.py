@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from feedloom.llm.token_ids import PieceEncoder
+from feedloom.llm.token_ids import PieceEncoder, read_vocabulary
 
 BLOCK = 4096
 
@@ -18,11 +18,13 @@ def length_counts(docs: DataFrame, vocabulary: str, text: str = "text", end: int
     """``n_tokens`` and ``n_docs``: how many documents have each encoded length, with ``end`` ids added to each.
 
     Each task counts on its own, so the shuffle carries one row per task and length. Null and blank texts have
-    length ``end``, repeated rows count each, no rows give no rows, other columns are not read.
+    length ``end``, repeated rows count each, no rows give no rows, other columns are not read. The vocabulary's file
+    is read on the driver.
     """
+    sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, lengths = PieceEncoder(vocabulary), Counter()
+        encoder, lengths = PieceEncoder(sent.value), Counter()
         for batch in batches:
             lengths.update((np.diff(encoder.encode(batch.column(0))[1]) + end).tolist())
         yield pa.RecordBatch.from_pydict({"n_tokens": pa.array(lengths.keys(), pa.int64()), "n_docs": pa.array(lengths.values(), pa.int64())})

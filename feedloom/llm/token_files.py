@@ -11,7 +11,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from feedloom.llm.token_ids import PieceEncoder
+from feedloom.llm.token_ids import PieceEncoder, read_vocabulary
 from feedloom.session import scratch_path, written
 
 LENGTH = 2048
@@ -139,16 +139,18 @@ def write_token_files(
     the manifest names the files of the tasks that counted, and readers go by it. Null and blank texts are a single
     end id, repeated rows are written each, other columns are not read, no documents give an empty manifest.
     ``offset`` is the number of ids in all files before. Ids take 16 bits where the vocabulary allows it, 32 otherwise.
+    The vocabulary's file is read on the driver.
     """
     spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
     folder = folder or scratch_path(spark, "token-files")
     schema = "part int, path string, n_docs long, n_tokens long, n_sequences long"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
         task, out, sink, end = TaskContext.get(), None, None, np.array([end_id], np.uint32)
-        encoder = PieceEncoder(vocabulary)
-        width = pa.uint16() if max(end_id, len(encoder.closes) - 1) < 1 << 16 else pa.uint32()
+        encoder = PieceEncoder(sent.value)
+        width = pa.uint16() if max(end_id, encoder.size - 1) < 1 << 16 else pa.uint32()
         path = f"{task.partitionId():06d}-{task.taskAttemptId()}.arrow"
         for batch in batches:
             if not batch.num_rows:
@@ -171,6 +173,7 @@ def write_token_files(
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     ordered = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
     files = written(ordered.mapInArrow(write, schema), "token-manifest")
+    sent.destroy()
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     return files.withColumn("offset", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 

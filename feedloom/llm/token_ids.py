@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -10,6 +11,11 @@ import pyarrow.compute as pc
 
 MEMO_BYTES = 96_000_000
 
+#: The splitting rules, as they stand in a vocabulary file, that PIECE, ODD and the end-of-word mark follow.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+MARK = "</w>"
 #: The vocabulary's own rule for pieces, for lower-case ASCII and Latin-1 characters.
 LETTER, NUMBER = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
 #: All pieces but runs of letters, which are what lies between them.
@@ -20,35 +26,62 @@ ODD = r"[^\x09-\x0d\x20-\x7e¡-ÿ]|<\|"
 GROUP = 200
 
 
+def read_vocabulary(path: str) -> str:
+    """The text of a vocabulary file, read on the driver: it goes to the tasks as a value, not as a path."""
+    with open(path, encoding="utf-8") as file:
+        return file.read()
+
+
+def cut_in_pieces(vocabulary: str) -> bool:
+    """Whether a vocabulary (the text of its file) has the splitting rules that texts are cut by here."""
+    rules = json.loads(vocabulary)
+    model = rules["model"]
+    return (
+        rules["normalizer"] == NORMALIZER
+        and rules["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [SPLIT, BYTES]}
+        and (model["type"], model["end_of_word_suffix"]) == ("BPE", MARK)
+        and not (model["dropout"] or model["continuing_subword_prefix"] or rules["truncation"] or rules["padding"])
+        and all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) for t in rules["added_tokens"])
+    )
+
+
 class PieceEncoder:
-    """Encodes texts with a lower-casing word-piece vocabulary (``word_bpe_49k.json``).
+    """Encodes texts with a lower-casing word-piece vocabulary (``word_bpe_49k.json``), given as the text of its file.
 
     No piece of its pre-tokenizer crosses white space, so the ids of a text are those of its pieces one after the
     other. Texts without ``ODD`` characters are cut by ``PIECE`` and each different piece of a batch is looked up
     once; of other texts each word is given to the tokenizer as it is. New pieces of letters are encoded many at a
     time: each ends with the one id that carries the end-of-word mark. What is remembered is bounded by ``memo_bytes``
     and forgotten as a whole beyond it. Null texts have no ids; bytes that are not UTF-8 count as U+FFFD.
+
+    A vocabulary with other splitting rules is given each text whole.
     """
 
-    def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
+    def __init__(self, vocabulary: str, memo_bytes: int = MEMO_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(path)
+        self.whole = Tokenizer.from_str(vocabulary)
+        pieces = self.whole.get_vocab(with_added_tokens=True)
+        self.size, self.in_pieces = max(pieces.values()) + 1, cut_in_pieces(vocabulary)
+        self.memo_bytes = self.room = memo_bytes
+        self.known: dict[str, bytes] = {}
+        if not self.in_pieces:
+            return
         # For pieces that are lower-case letters already: the same model behind white space alone.
-        self.model = Tokenizer.from_file(path)
+        self.model = Tokenizer.from_str(vocabulary)
         self.model.normalizer = None
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), byte_level])
-        vocabulary = self.whole.get_vocab(with_added_tokens=True)
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.memo_bytes = self.room = memo_bytes
-        self.known: dict[str, bytes] = {}
+        self.closes = np.zeros(self.size, bool)
+        self.closes[[i for token, i in pieces.items() if token.endswith(MARK)]] = True
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows of a string column, and where those of each row begin and end."""
         texts = self._valid(texts)
+        if not self.in_pieces:
+            packed = [self._alone(t) for t in texts.to_pylist()]
+            return np.frombuffer(b"".join(packed), "<u4"), np.cumsum([0, *[len(p) // 4 for p in packed]])
         odd = pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
         pieces = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(plain), PIECE, r" \0 "))

@@ -1,5 +1,6 @@
 """Near duplicates, decontamination, urls, WARC, token files and the pipeline on small inputs."""
 
+import json
 import random
 import zlib
 
@@ -11,7 +12,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from feedloom.llm import components, decontam, jaccard, token_files, url_graph, warc, word_hashes
-from feedloom.llm.token_ids import PieceEncoder
+from feedloom.llm.token_ids import PieceEncoder, read_vocabulary
 
 VOCABULARY = [f"w{i}" for i in range(400)]
 
@@ -302,12 +303,51 @@ TOKENS = st.lists(st.sampled_from(CHARACTERS), max_size=20).map("".join)
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.one_of(st.none(), TOKENS), min_size=1, max_size=5), st.sampled_from([10**8, 300]))
 def test_piece_ids_equal_whole_texts(vocabulary, texts, memo):
-    encoder = PieceEncoder(vocabulary, memo)
+    encoder = PieceEncoder(read_vocabulary(vocabulary), memo)
+    assert encoder.in_pieces
     ids, bounds = encoder.encode(pa.array(texts, pa.string()))
     for t, a, b in zip(texts, bounds, bounds[1:], strict=False):
         assert ids[a:b].tolist() == encoder.whole.encode(t or "", add_special_tokens=False).ids
 
 
+OTHER_RULES = [
+    lambda v: v["normalizer"]["normalizers"].pop(),
+    lambda v: v["pre_tokenizer"]["pretokenizers"][0]["pattern"].update(Regex=r"\S+"),
+    lambda v: v["added_tokens"].append(v["added_tokens"][0] | {"id": 49408, "content": "the end"}),
+]
+
+
+@pytest.mark.parametrize("change", [None, *range(len(OTHER_RULES))])
+def test_other_splitting_rules_are_given_whole_texts(vocabulary, change):
+    """A vocabulary of another kind, and this one with a rule changed: the ids are those of the tokenizer itself."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    if change is None:
+        source = read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    else:
+        rules = json.loads(read_vocabulary(vocabulary))
+        OTHER_RULES[change](rules)
+        source = json.dumps(rules)
+    encoder, whole = PieceEncoder(source), Tokenizer.from_str(source)
+    texts = ["The end of it's 12 Days", None, "", "  two\n\n spaces\u3000ÉA the end", "x" * 5000]
+    ids, bounds = encoder.encode(pa.array(texts, pa.string()))
+    assert not encoder.in_pieces
+    for t, a, b in zip(texts, bounds, bounds[1:], strict=False):
+        assert ids[a:b].tolist() == whole.encode(t or "", add_special_tokens=False).ids
+
+
+def test_vocabulary_travels_as_a_value(make, vocabulary, tmp_path):
+    """Its file may be gone when the tasks run."""
+    from feedloom.llm import token_counts
+
+    path = tmp_path / "words.json"
+    path.write_text(read_vocabulary(vocabulary), encoding="utf-8")
+    counts = token_counts.length_counts(make([(1, "one two"), (2, None)]), str(path))
+    path.unlink()
+    assert sorted(tuple(r) for r in counts.collect()) == [(1, 1), (3, 1)]
+
+
 @pytest.mark.parametrize("length", [4, 2048])
 def test_token_files_read_back(make, vocabulary, length):
     from tokenizers import Tokenizer
