@@ -40,6 +40,27 @@ def read_quoted_records(spark, sf):
     return rows.select("doc_id", F.md5("text").alias("digest"), "lang")
 
 
+@query("quoted_rejects", """
+SELECT 'row' AS kind, cast(c_custkey AS varchar) AS id, c_name || chr(10) || '5" ' || c_mktsegment AS text FROM customer
+UNION ALL SELECT 'reject', cast(c_nationkey AS varchar), 'S' || c_custkey || ',"never closed' FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT 'row', 'T' || c_custkey, '6" ' || c_name FROM customer WHERE c_acctbal > 9000
+""")
+def quoted_rejects(spark, sf):
+    """Records of two lines, some behind a quote that opens a field and is never closed, some before one within a field."""
+    key = F.col("c_custkey").cast("string")
+    value = F.concat(
+        F.when(F.col("c_acctbal") < 0, F.concat(F.lit("S"), key, F.lit(',"never closed\n'))).otherwise(""),
+        key, F.lit(',"'), "c_name", F.lit('\n5"" '), "c_mktsegment", F.lit('"'),
+        F.when(F.col("c_acctbal") > 9000, F.concat(F.lit("\nT"), key, F.lit(',6" '), "c_name")).otherwise(""),
+    )
+    rows = table(spark, sf, "customer").select(F.col("c_nationkey").alias("chunk"), F.lit(1).alias("record_in_chunk"), "c_custkey", value.alias("value"))
+    path = scratch_path(spark, "csv")
+    sinks.write_bounded(sinks.bounded_lines(rows, F.col("value"), ["c_custkey"], F.lit("id,text"), None), path)
+    read, rejects = delimited.read_quoted(spark, path, ",")
+    lost = rejects.select(F.lit("reject").alias("kind"), F.regexp_extract("file_path", "chunk=([0-9]+)", 1).alias("id"), F.col("value").alias("text"))
+    return read.select(F.lit("row").alias("kind"), "id", "text").unionByName(lost)
+
+
 @query("read_delimited_multichar", "SELECT cast(s_suppkey AS varchar) AS s_suppkey, s_name, cast(s_nationkey AS varchar) AS s_nationkey FROM supplier")
 def read_delimited_multichar(spark, sf):
     path = scratch_path(spark, "csv")

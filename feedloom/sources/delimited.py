@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedloom.functions.text import normalize_name
 from feedloom.operators.columns import normalize_columns, trim_strings
-from feedloom.sources.lines import join_records, read_lines, with_quoted_records
+from feedloom.sources.lines import LONGEST, join_records, read_lines, with_quoted_records
 from feedloom.types import ColumnSpec
 
 # Field separators in the order they are tried.
@@ -43,19 +43,28 @@ def read_delimited(
     return trim_strings(normalize_columns(df))
 
 
-def read_quoted_records(spark: SparkSession, path: str, sep: str | None = None, quote: str = '"') -> DataFrame:
-    """The same table as :func:`read_delimited` for files of any size: quoted line breaks do not keep them whole.
+def read_quoted(
+    spark: SparkSession, path: str, sep: str | None = None, quote: str = '"', longest: int = LONGEST
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects): the table of :func:`read_delimited` for files of any size, and lines that are in no record.
 
     Every file has its own header, all with the same columns. Lines end with LF or CR LF; what stands in quotes stays
-    as it is, a CR of its own too.
+    as it is, a CR of its own too. Rejects have ``file_path``, ``line_no`` and ``value``: a quote that opens a field
+    and is never closed costs its own line and those up to the next whole row, see :func:`with_quoted_records`.
     """
     sep = sep or guess_separator(spark, path)
     options = {"sep": sep, "quote": quote, "escape": '"', "multiLine": "true"}
-    records = join_records(with_quoted_records(read_lines(spark, path, record_sep="\n"), quote))
-    records = records.withColumn("value", F.regexp_replace("value", r"\r\z", "")).where(F.col("value") != "")
     header = spark.read.options(header=True, inferSchema=False, **options).csv(path).columns
-    data = records.where(F.col("record_start") > 1).select(F.from_csv("value", _slots(len(header)), options).alias("__row"))
-    return trim_strings(normalize_columns(data.select("__row.*").toDF(*header)))
+    lines = with_quoted_records(read_lines(spark, path, record_sep="\n"), len(header), sep, quote, longest)
+    ended = F.regexp_replace("value", r"\r\z", "").alias("value")
+    data = join_records(lines).select("record_start", ended).where((F.col("value") != "") & (F.col("record_start") > 1))
+    rows = data.select(F.from_csv("value", _slots(len(header)), options).alias("__row")).select("__row.*").toDF(*header)
+    return trim_strings(normalize_columns(rows)), lines.where("is_broken").select("file_path", "line_no", ended)
+
+
+def read_quoted_records(spark: SparkSession, path: str, sep: str | None = None, quote: str = '"') -> DataFrame:
+    """The rows of :func:`read_quoted`."""
+    return read_quoted(spark, path, sep, quote)[0]
 
 
 def _slots(count: int) -> str:

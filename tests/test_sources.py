@@ -252,3 +252,71 @@ def test_line_ends_in_quotes_stay(spark, tmp_path, conf, end):
     got = rows(delimited.read_quoted_records(spark, str(tmp_path)))
     assert got == rows(delimited.read_delimited(spark, str(tmp_path)))
     assert ("0", "p\rq") in got and len(got) == 300
+
+
+def test_stray_quotes_cost_their_own_lines(spark, tmp_path, conf):
+    """Quotes within a field are text; one that opens a field for good is a reject, alone, and all else is read."""
+    conf("spark.sql.files.maxPartitionBytes", "300")
+    good = [f'{i},"a ""{i}""\nb, c",z' if i % 3 else f"{i},plain,z" for i in range(300)]
+    stray = {40: 'x1,"open,z', 41: 'x2,5" pipe,z', 200: 'x3,"again,z', 299: '"end,y,z'}
+    (tmp_path / "a.csv").write_text("id,v,w\n" + "".join(f"{g}\n{stray[i]}\n" if i in stray else f"{g}\n" for i, g in enumerate(good)))
+    got, rejects = delimited.read_quoted(spark, str(tmp_path))
+    want = [(str(i), f'a "{i}"\nb, c' if i % 3 else "plain", "z") for i in range(300)]
+    assert rows(got) == sorted([*want, ("x2", '5" pipe', "z")])
+    assert sorted(r.value for r in rejects.collect()) == sorted([stray[40], stray[200], stray[299]])
+    whole = (tmp_path / "a.csv").read_text().split("\n")
+    assert all(whole[r.line_no - 1] == r.value for r in rejects.collect())
+
+
+def line_states(lines, width, longest):
+    """The rule of quoted records, one line after the other: (first line of the record, broken) of every line."""
+    import re
+
+    events = []
+    for n, line in enumerate(lines):
+        single = line.replace('""', "")
+        if single.count('"') % 2:
+            opens, closes = re.search(r'(^|,)"[^"]*$', single), re.match(r'[^"]*"[ \t\r]*(,|$)', single)
+            if opens or closes:
+                events.append([n, bool(opens), bool(closes)])
+    out, open_at, at = [(n, False) for n in range(len(lines))], None, 0
+    while at < len(events):
+        n, opens, closes = events[at]
+        near = at > 0 and n - events[at - 1][0] <= longest
+        inside = open_at is not None and near
+        if opens and not (closes and inside):
+            last = events[at + 1] if at + 1 < len(events) else None
+            ended = last and last[2] and last[0] - n <= longest
+            for i in range(n, last[0] if last else len(lines)):
+                bare = re.sub(r'"[^"]*"', "", lines[i])
+                if not ended and i > n and bare.count(",") == width - 1 and '"' not in bare:
+                    break
+                out[i] = (n, not ended)
+            open_at = n
+        else:
+            if inside:
+                out[n] = (open_at, False)
+            open_at = None
+        at += 1
+    return out
+
+
+@pytest.mark.parametrize("longest", [3, 1000])
+def test_quoted_records_equal_the_rule_line_by_line(spark, tmp_path, conf, longest):
+    import random
+
+    from feedloom.sources.lines import with_quoted_records
+
+    rng = random.Random(longest)
+    kinds = ['a,"b', 'c",d', '"', ',"', '",', "x,y", "text", 'q"r,s', '"a","b"', '"a",""', 'e"",f', '"""g,', 'h"""', "", '",i,"j', 'k","l","']
+    conf("spark.sql.files.maxPartitionBytes", "40")
+    conf("spark.sql.files.openCostInBytes", "1")
+    files = {f"{i}.csv": rng.choices(kinds, [rng.random() ** 3 for _ in kinds], k=120) for i in range(25)}
+    for name, lines in files.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    got = {}
+    for r in with_quoted_records(read_lines(spark, str(tmp_path), record_sep="\n"), 2, longest=longest).collect():
+        got.setdefault(r.file_path.rsplit("/", 1)[1], {})[r.line_no - 1] = (r.record_start - 1, r.is_broken)
+        assert r.is_whole or r.is_broken or r.record_start <= r.line_no
+    for name, lines in files.items():
+        assert [got[name][n] for n in range(len(lines))] == line_states(lines, 2, longest), name
