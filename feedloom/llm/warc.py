@@ -9,6 +9,7 @@ import html
 import io
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,6 +36,14 @@ CHARSET = re.compile(r"charset=\"?([\w.:-]+)", re.I)
 BLANKS = re.compile(r"[^\S\n]+")
 LINES = re.compile(r" ?\n[ \n]*")
 
+CHUNK_SIZE = re.compile(rb"[0-9A-Fa-f]{1,15}")
+#: Content codings that are undone, and the window bits by which zlib knows them; the first that fits counts.
+CODINGS = {"gzip": (31,), "x-gzip": (31,), "deflate": (15, -15)}
+#: Bytes of a decoded body; a record with a longer one becomes an ``error`` row.
+MAX_BODY = 1 << 28
+#: Compressed bytes that are decoded at a time.
+PIECE = 1 << 16
+
 HEADERS = "map<string,string>"
 SCHEMA = f"record_type string, record_id string, refers_to string, target_uri string, headers {HEADERS}, source_headers {HEADERS}, block string"
 
@@ -94,6 +103,58 @@ def response_record(url: str | None, payload: bytes, name: str, date: str = EPOC
     return serialise(headers, block)
 
 
+def _dechunked(data: bytes) -> bytes:
+    """The chunks of a body one after the other, as far as they go; a body without chunk sizes is left as it is."""
+    out, at = bytearray(), 0
+    while True:
+        end = data.find(b"\r\n", at)
+        size = CHUNK_SIZE.fullmatch(data[at:end].partition(b";")[0].strip()) if end >= 0 else None
+        if not size:
+            return bytes(out) if at else data
+        if not int(size[0], 16):
+            return bytes(out)
+        at = end + 2 + int(size[0], 16)
+        out += data[end + 2 : at]
+        at += 2
+
+
+def _inflated(data: bytes, bits: int, most: int) -> bytes | None:
+    """All members of a compressed body, as far as they are sound; None if not even the first one begins as one."""
+    out, at, sound, stream = bytearray(), 0, False, zlib.decompressobj(bits)
+    while at < len(data):
+        piece = data[at : at + PIECE]
+        try:
+            out += stream.decompress(piece)
+        except zlib.error:
+            break
+        if len(out) > most:
+            raise ValueError(f"a body of over {most} bytes")
+        sound = True
+        at += len(piece) - len(stream.unused_data)
+        if stream.eof:
+            stream = zlib.decompressobj(bits)
+    return bytes(out) if sound else None
+
+
+def decoded(payload: bytes, http: dict[str, str], most: int = MAX_BODY) -> bytes:
+    """The body of a response without its transfer and content codings.
+
+    Bodies that crawlers have decoded already, though the headers still name a coding, stay as they are; truncated ones
+    give what can be read. ValueError for a coding that is not known and for more than ``most`` bytes.
+    """
+    fields = {k.lower(): [x for x in re.split(r"[\s,]+", v.lower()) if x] for k, v in http.items()}
+    transfer = fields.get("transfer-encoding", [])
+    if "chunked" in transfer:
+        payload = _dechunked(payload)
+    for coding in reversed([*fields.get("content-encoding", []), *transfer]):
+        if coding in ("chunked", "identity", "none"):
+            continue
+        if coding not in CODINGS:
+            raise ValueError(f"unknown coding {coding}")
+        payload = next((x for x in (_inflated(payload, bits, most) for bits in CODINGS[coding]) if x is not None), payload)
+    return payload
+
+
 def plain_text(page: str) -> str:
     """The visible text of a page: one line per block element, entities resolved, blanks collapsed."""
     page = HIDDEN.sub(" ", COMMENT.sub(" ", page))
@@ -106,7 +167,7 @@ def derive(record: bytes) -> list[dict]:
 
     Both name the response in ``WARC-Refers-To``, keep its URI and date, and name each other. The conversion holds
     the text; the metadata holds the source's identifier, digests, length, status and HTTP headers, and the page's
-    title and links.
+    title and links. Bodies are read as :func:`decoded` gives them.
     """
     source, block = parse(record)
     if source.get("WARC-Type") != "response":
@@ -114,6 +175,7 @@ def derive(record: bytes) -> list[dict]:
     head, _, payload = block.partition(b"\r\n\r\n")
     status, *lines = head.split(b"\r\n")
     http = _fields(lines)
+    payload = decoded(payload, http)
     kind = {k.lower(): v for k, v in http.items()}.get("content-type", "")
     named = CHARSET.search(kind)
     try:
@@ -165,8 +227,9 @@ def responses(pages: DataFrame, date: str = EPOCH) -> DataFrame:
 def derivatives(records: DataFrame) -> DataFrame:
     """``page_id`` and the columns of ``SCHEMA`` for the derivatives of every response in ``record``.
 
-    Records that are null or cannot be parsed give one row of type ``error`` with the reason as ``block``; records of
-    other types give none, repeated ones give theirs each time.
+    Records that are null or cannot be parsed, or whose body is in an unknown coding or over ``MAX_BODY`` long, give
+    one row of type ``error`` with the reason as ``block``; records of other types give none, repeated ones give theirs
+    each time.
     """
     arrow = pa.schema(
         [("page_id", pa.int64()), *[(c, pa.string()) for c in ("record_type", "record_id", "refers_to", "target_uri")], ("headers", pa.map_(pa.string(), pa.string())), ("source_headers", pa.map_(pa.string(), pa.string())), ("block", pa.string())]

@@ -296,6 +296,45 @@ def test_warc_round_trip(spark):
     assert warc.derivatives(warc.responses(pages(spark, []))).count() == 0
 
 
+def test_warc_bodies_are_decoded(spark):
+    import gzip
+
+    page = ("<title>t</title><p>é " + "words and words " * 9000 + "</p>").encode()
+    raw = zlib.compressobj(wbits=-15)
+    raw = raw.compress(page) + raw.flush()
+
+    def chunked(data, size):
+        parts = [data[i : i + size] for i in range(0, len(data), size)]
+        return b"".join(b"%X;x=1\r\n%s\r\n" % (len(p), p) for p in parts) + b"0\r\n\r\n"
+
+    two = gzip.compress(page[:50]) + gzip.compress(page[50:])
+    bodies = [
+        ({}, page), ({"content-encoding": "GZIP"}, gzip.compress(page)), ({"Content-Encoding": "x-gzip"}, two), ({"Content-Encoding": "deflate"}, zlib.compress(page)),
+        ({"Content-Encoding": "deflate"}, raw), ({"Transfer-Encoding": "chunked"}, chunked(page, 700)), ({"Transfer-Encoding": "gzip, chunked"}, chunked(gzip.compress(page), 100)),
+        ({"Content-Encoding": "gzip", "Transfer-encoding": "Chunked"}, chunked(two, 33)), ({"Content-Encoding": "gzip, deflate"}, zlib.compress(gzip.compress(page))),
+        ({"Content-Encoding": "gzip", "Transfer-Encoding": "chunked"}, page), ({"Content-Encoding": "identity"}, page), ({"Content-Encoding": "gzip"}, two + b"junk behind"),
+    ]
+    for http, body in bodies:
+        assert warc.decoded(body, http) == page, http
+    # Three lines of 9 bytes with sizes and two line ends are no data.
+    assert warc.decoded(chunked(page, 700)[:2000], {"Transfer-Encoding": "chunked"}) == page[: 2000 - 3 * 9 - 2 * 2]
+    assert page.startswith(cut := warc.decoded(gzip.compress(page)[:-30], {"Content-Encoding": "gzip"})) and len(cut) > 1000
+    assert warc.decoded(b"", {"Content-Encoding": "gzip"}) == warc.decoded(gzip.compress(b""), {"Content-Encoding": "gzip"}) == b""
+    for http, body, most in (({"Content-Encoding": "br"}, page, 10**9), ({"Content-Encoding": "gzip"}, gzip.compress(page), 1000)):
+        with pytest.raises(ValueError):
+            warc.decoded(body, http, most)
+
+    def record(http, body):
+        block = b"HTTP/1.1 200 OK\r\n" + "".join(f"{k}: {v}\r\n" for k, v in http.items()).encode() + b"\r\n" + body
+        return warc.serialise({"WARC-Type": "response", "WARC-Record-ID": "<a>", "Content-Length": str(len(block))}, block)
+
+    rows = [(i, record(*b)) for i, b in enumerate(bodies)] + [(99, record({"Content-Encoding": "br"}, page))]
+    got = warc.derivatives(spark.createDataFrame(rows, "page_id long, record binary")).collect()
+    texts = [r.block for r in got if r.record_type == "conversion"]
+    assert len(texts) == len(bodies) and {t.removesuffix("junk behind") for t in texts} == {warc.plain_text(page.decode())}
+    assert [(r.page_id, r.block) for r in got if r.record_type == "error"] == [(99, "unknown coding br")]
+
+
 CHARACTERS = [*"abZsd09 .,'<|>\t\n\x0b\x0c\r\x1c\x85\xa0éÉßªº²µİſΣς́漢Ⅳẞ😀’`~#$", "'ll", "<|endoftext|>"]
 TOKENS = st.lists(st.sampled_from(CHARACTERS), max_size=20).map("".join)
 
