@@ -718,11 +718,11 @@ SELECT event_type, count(*) AS n, 'events' AS table_name, '2024-01-31' AS day FR
 UNION ALL SELECT max(event_type), (SELECT count(*) FROM events WHERE event_type = (SELECT max(event_type) FROM events)), NULL, NULL FROM events
 """)
 def file_meta_scan(spark, sf):
-    """One named file per event type; the last has an extension that the feed does not allow."""
+    """Named files of each event type; those of the last have an extension that the feed does not allow."""
     e, read = table(spark, sf, "events").select("event_id", "event_type"), None
     kinds = sorted(r[0] for r in e.select("event_type").distinct().collect())
     for kind in kinds:
-        path = feeds.named_file(e.where(F.col("event_type") == kind), f"Events_20240131.{'bak' if kind == kinds[-1] else 'CSV'}")
+        path = feeds.named_files(e.where(F.col("event_type") == kind), f"Events_20240131.{'bak' if kind == kinds[-1] else 'CSV'}")
         rows = with_file_meta(spark.read.option("header", True).csv(path), DIALECTS["table_date"], ["csv"])
         read = rows if read is None else read.unionByName(rows)
     day = F.col("key_datetime").cast("date").cast("string").alias("day")

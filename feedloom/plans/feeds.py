@@ -52,14 +52,16 @@ HEADER_TAG, TRAILER_TAG = "BOF      FEED", "EOF      FEED"
 ORDERS_PER_FILE = 4000
 
 
-def named_file(df: DataFrame, name: str) -> str:
-    """A small CSV with a header under a name of its own, as vendors send them."""
+def named_files(df: DataFrame, name: str) -> str:
+    """CSV files with a header, one per task, each under the same name in a folder of its own; a path that matches all."""
     spark, folder = df.sparkSession, scratch_path(df.sparkSession, "named")
-    df.coalesce(1).write.option("header", True).csv(folder)
+    df.write.option("header", True).csv(folder)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     fs = hadoop(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.rename(fs.globStatus(hadoop(f"{folder}/part-*"))[0].getPath(), hadoop(f"{folder}/{name}"))
-    return f"{folder}/{name}"
+    for i, part in enumerate(fs.globStatus(hadoop(f"{folder}/part-*"))):
+        fs.mkdirs(hadoop(f"{folder}/{i}"))
+        fs.rename(part.getPath(), hadoop(f"{folder}/{i}/{name}"))
+    return f"{folder}/*/{name}"
 
 
 def text_dir(df: DataFrame, label: str) -> str:
