@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from feedloom.plans.registry import table
-from feedloom.session import scratch_path, written_once
+from feedloom.session import scratch_path, written, written_once
 from feedloom.sources.fixed_width import layout_from_pictures, layout_from_positions, layout_from_segments
 from feedloom.sources.sinks import bounded_lines, write_bounded
 
@@ -70,10 +70,14 @@ def text_dir(df: DataFrame, label: str) -> str:
     return path
 
 
-def ordered_text(df: DataFrame, line: Column, order: list[str], label: str, split: str) -> str:
-    """Lines in order, cut into files by ranges of the first order column."""
+def ordered_text(df: DataFrame, line: Column, order: list[str], label: str, split: str, having: Column | None = None) -> str:
+    """Lines in order, cut into files by ranges of the first order column; those that meet a condition, which may look
+    over all rows of a value of that column."""
     path = scratch_path(df.sparkSession, label)
-    df.repartitionByRange(split).sortWithinPartitions(*order).select(line.alias("value")).write.text(path)
+    ordered = df.repartitionByRange(split).sortWithinPartitions(*order)
+    if having is not None:
+        ordered = ordered.withColumn("__having", having).where("__having")
+    ordered.select(line.alias("value")).write.text(path)
     return path
 
 
@@ -91,6 +95,17 @@ def order_lines(spark: SparkSession, sf: str) -> DataFrame:
     return o.unionByName(l.select(F.col("l_orderkey").alias("order_key"), F.expr(ITEM_LINE).alias("value")))
 
 
+def order_and_item_rows(spark: SparkSession, sf: str, order_value: Column, item_value: Column) -> DataFrame:
+    """Orders and all line items that have a key: (order_key, is_order, value).
+
+    Items without an order are told by a window over the key where the rows have met for another reason: a join before
+    that would shuffle all items a second time as soon as the orders are too many to be broadcast.
+    """
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_key"), F.lit(True).alias("is_order"), order_value.alias("value"))
+    l = table(spark, sf, "lineitem").where("l_orderkey IS NOT NULL")
+    return o.unionByName(l.select(F.col("l_orderkey").alias("order_key"), F.lit(False).alias("is_order"), item_value.alias("value")))
+
+
 def order_feed(spark: SparkSession, sf: str) -> str:
     """The order feed, written once per session."""
     return written_once(spark, ("order feed", sf), lambda: write_order_feed(spark, sf))
@@ -98,19 +113,23 @@ def order_feed(spark: SparkSession, sf: str) -> str:
 
 def write_order_feed(spark: SparkSession, sf: str) -> str:
     """Fixed-width files of so many orders each, with header, records A and B, and a trailer count."""
-    lines = order_lines(spark, sf).withColumns(
-        {"chunk": F.floor(F.col("order_key") / ORDERS_PER_FILE), "record_in_chunk": F.lit(1)}
-    )
+    rows = order_and_item_rows(spark, sf, F.expr(ORDER_LINE), F.expr(ITEM_LINE))
+    in_chunk = {"chunk": F.floor(F.col("order_key") / ORDERS_PER_FILE), "record_in_chunk": F.lit(1)}
+    lines = rows.withColumns(in_chunk)
+    # Lines are counted once, by their keys alone; headers and trailers come from these counts.
+    per_order = rows.groupBy("order_key").agg(F.count(F.lit(1)).alias("n"), F.max("is_order").alias("known")).where("known")
+    counts = written(per_order.withColumns(in_chunk).groupBy("chunk", "record_in_chunk").agg(F.sum("n").alias("n")), "chunks")
     chunk = F.lpad(F.col("chunk").cast("string"), 8, "0")
     header = F.concat(F.rpad(F.lit(HEADER_TAG), 18, " "), F.rpad(F.lit("ORDERS ITEMS"), 18, " "), F.rpad(F.lit("DATA OF"), 10, " "), F.lit("01/31/2024"), F.lit(" "), F.lit("REFRESHED"), F.lit(" "), chunk)
-    body = bounded_lines(lines, F.col("value"), ["order_key"], header, None)
-    counts = lines.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
+    body = bounded_lines(lines, F.col("value"), ["order_key"], header, None, counted=counts, keep=["is_order"])
     trailer = counts.select(
         "chunk", F.lit(2).alias("place"), F.lit(None).cast(body.schema["at"].dataType).alias("at"),
         F.concat(F.rpad(F.lit(TRAILER_TAG), 18, " "), F.lpad(F.col("n").cast("string"), 10, "0")).alias("value"),
+        F.lit(None).cast("boolean").alias("is_order"),
     )
     path = scratch_path(spark, "order-feed")
-    write_bounded(body.unionByName(trailer), path)
+    known = F.max("is_order").over(Window.partitionBy("chunk", "place", "at"))
+    write_bounded(body.unionByName(trailer), path, having=(F.col("place") != 1) | known)
     return path
 
 

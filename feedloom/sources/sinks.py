@@ -61,31 +61,37 @@ def bounded_lines(
     trailer: Column | None,
     keys: Sequence[str] = (),
     counted: DataFrame | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Lines of all chunks with a header before and a trailer after each.
 
     ``trailer`` may use ``records``, the number of distinct records of the chunk. ``counted`` is the list
     of records with their chunk where that is at hand, so that the lines need not be read to count them.
+    Columns of ``keep`` stay on the lines for the condition of :func:`write_bounded`; edges have null there.
     """
     group = [*keys, "chunk"]
     key = F.struct(*order)
-    body = chunks.select(*group, F.lit(1).alias("place"), key.alias("at"), line.alias("value"))
+    body = chunks.select(*group, F.lit(1).alias("place"), key.alias("at"), line.alias("value"), *keep)
     totals = (counted or chunks).groupBy(*group).agg(F.max("record_in_chunk").alias("records"))
     nothing = F.lit(None).cast(body.schema["at"].dataType)
     for place, text in ((0, header), (2, trailer)):
         if text is not None:
-            edge = totals.select(*group, F.lit(place).alias("place"), nothing.alias("at"), text.alias("value"))
+            edge = totals.select(*group, F.lit(place).alias("place"), nothing.alias("at"), text.alias("value"), *[F.lit(None).cast(body.schema[c].dataType).alias(c) for c in keep])
             body = body.unionByName(edge)
     return body
 
 
-def write_bounded(lines: DataFrame, path: str, keys: Sequence[str] = ()) -> DataFrame:
+def write_bounded(lines: DataFrame, path: str, keys: Sequence[str] = (), having: Column | None = None) -> DataFrame:
     """One file per chunk, all in one folder, lines in order, equals by their text; a row per file comes back.
 
     Files are named after their keys and chunk (``kind=A.chunk=12.txt``); the manifest has the keys, ``chunk``,
     ``path`` and ``n_lines``. Chunks are dealt out by their hash, so a task writes any number of them, one after the
     other and a batch of lines at a time. A file is written aside and named when it is whole: a task that is run again
     puts the same file in its place. The folder is emptied first. Null lines are empty ones.
+
+    ``having`` is a condition that lines must meet to be written. It is checked where the lines of a chunk have met, in
+    order, so it may look over them by windows that are partitioned by the keys, ``chunk``, ``place`` and ``at`` without
+    another shuffle or sort.
     """
     group, spark = [*keys, "chunk"], lines.sparkSession
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -132,6 +138,8 @@ def write_bounded(lines: DataFrame, path: str, keys: Sequence[str] = ()) -> Data
             yield close()
 
     ordered = lines.repartition(*group).sortWithinPartitions(*group, "place", "at", "value")
+    if having is not None:
+        ordered = ordered.withColumn("__having", having).where("__having")
     manifest = written(ordered.select(*group, F.col("value").cast("binary").alias("value")).mapInArrow(write, schema), "bounded-files")
     files.delete(spark._jvm.org.apache.hadoop.fs.Path(aside), True)
     return manifest

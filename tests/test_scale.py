@@ -7,11 +7,12 @@ from pyspark.sql import Window, functions as F
 from support import SF, rows
 
 from feedloom.operators import nested, quality, ranking, records, relational, state
-from feedloom.plans import feed_queries
+from feedloom.plans import feed_queries, feeds
 from feedloom.plans.registry import table
 from feedloom.plans.state_queries import order_changes, order_target
-from feedloom.sources.fixed_width import FieldSpec
-from feedloom.sources.lines import read_lines, with_line_order
+from feedloom.sources.fixed_width import FieldSpec, attach_header
+from feedloom.sources.lines import first_lines, read_lines, with_line_order
+from feedloom.streaming import streams
 
 
 def plan(df):
@@ -235,3 +236,48 @@ def test_ambiguous_prefix(spark):
     inventory = spark.createDataFrame([("ABC", "l1"), ("abcd", "l2")], "prefix string, location string")
     got = quality.prefix_match(files, inventory).select("file_name", "prefix", "match_status")
     assert rows(got) == [("X_abc_1.csv", "ABC", "MATCHED"), ("x_abcd_1.csv", "ABC", "AMBIGUOUS"), ("zzz", None, "UNKNOWN")]
+
+
+def _feed_tables(spark, path):
+    """Orders, one twice and one without a key, and items: some without an order, some without a key."""
+    day = "timestamp '1996-01-02 00:00:00'"
+    spark.sql(f"SELECT cast(k AS bigint) AS o_orderkey, k * 10 AS o_custkey, 'O' AS o_orderstatus, 1.5D AS o_totalprice, {day} AS o_orderdate, '1-URGENT' AS o_orderpriority FROM VALUES (1), (2), (2), (5000), (null) AS t(k)").write.parquet(f"{path}/orders.parquet")
+    spark.sql(f"SELECT cast(k AS bigint) AS l_orderkey, 7L AS l_partkey, 8L AS l_suppkey, n AS l_linenumber, 1D AS l_quantity, 2D AS l_extendedprice, 0D AS l_discount, 0D AS l_tax, 'N' AS l_returnflag, 'O' AS l_linestatus, {day} AS l_shipdate FROM VALUES (1, 1), (1, 2), (2, 1), (3, 1), (5000, 1), (9999, 1), (null, 1) AS t(k, n)").write.parquet(f"{path}/lineitem.parquet")
+    return str(path)
+
+
+def _tables_by_sql(spark, sf):
+    """The same lines by a semi-join: (order_key, kind, value)."""
+    o = table(spark, sf, "orders").selectExpr("o_orderkey k", "'A' kind", f"{feeds.ORDER_LINE} value")
+    l = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.expr("l_orderkey = o_orderkey"), "left_semi")
+    return o.unionByName(l.selectExpr("l_orderkey k", "'B' kind", f"{feeds.ITEM_LINE} value"))
+
+
+def test_order_feed_holds_the_lines_of_known_orders(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    sf = _feed_tables(spark, tmp_path)
+    got = spark.read.text(feeds.write_order_feed(spark, sf)).where("not startswith(value, 'BOF') and not startswith(value, 'EOF')")
+    # A line without a key is an empty one, its chunk's header too.
+    assert rows(got.where("value != ''")) == rows(_tables_by_sql(spark, sf).where("value is not null").select("value"))
+    trailers = spark.read.text(feeds.write_order_feed(spark, sf)).where("startswith(value, 'EOF')").selectExpr("cast(substring(value, 19, 10) as int)")
+    assert rows(trailers) == [(1,), (2,), (6,)]
+
+
+def test_items_are_shuffled_once_for_a_feed(spark, tmp_path, conf):
+    """However many orders there are: no join tells which items are known."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    sf = _feed_tables(spark, tmp_path)
+    seen = []
+    real = feeds.write_bounded
+
+    def spy(lines, path, keys=(), having=None):
+        seen.append(lines._jdf.queryExecution().executedPlan().toString())
+        return real(lines, path, keys, having)
+
+    feeds.write_bounded = spy
+    try:
+        feeds.write_order_feed(spark, sf)
+    finally:
+        feeds.write_bounded = real
+    # The one exchange is that of the chunks' counts, which are written already.
+    assert len(seen) == 1 and "Join" not in seen[0] and seen[0].count("Exchange") == 1
