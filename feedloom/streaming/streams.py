@@ -181,6 +181,15 @@ def dump_inserts(batch: DataFrame, path: str, number: int) -> None:
     batch.where(F.col(ACTION) == "INSERT").write.mode("overwrite").parquet(f"{path}/batch={number}")
 
 
-def replay_files(df: DataFrame, path: str, step: str, fmt: str = "parquet", **options) -> None:
-    """A table as files per step value, to be streamed."""
-    df.repartition(step).write.partitionBy(step).format(fmt).options(**options).save(path)
+#: Rows of a file of :func:`replay_files`, about.
+ROWS_PER_FILE = 4_000_000
+
+
+def replay_files(df: DataFrame, path: str, step: str, fmt: str = "parquet", rows_per_file: int = ROWS_PER_FILE, **options) -> None:
+    """A table as files per step value, to be streamed: steps one after the other, so all files of a step are older than
+    those of the next (null comes first), and each in as many files, by a task each, as its rows ask for."""
+    kind = df.schema[step].dataType
+    steps = df.groupBy(step).agg(F.count(F.lit(1))).orderBy(step).collect() or [(None, 1)]
+    for i, (value, n) in enumerate(steps):
+        rows = df.where(F.col(step).eqNullSafe(F.lit(value).cast(kind))).repartition(-(-n // rows_per_file))
+        rows.write.mode("append" if i else "error").partitionBy(step).format(fmt).options(**options).save(path)

@@ -281,3 +281,15 @@ def test_items_are_shuffled_once_for_a_feed(spark, tmp_path, conf):
         feeds.write_bounded = real
     # The one exchange is that of the chunks' counts, which are written already.
     assert len(seen) == 1 and "Join" not in seen[0] and seen[0].count("Exchange") == 1
+
+
+def test_steps_are_replayed_in_order_by_many_tasks(spark, tmp_path):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 10 > 0, F.concat(F.lit("d"), (F.col("id") % 3).cast("string"))).alias("step"))
+    streams.replay_files(df, str(tmp_path / "s"), "step", rows_per_file=100)
+    files = sorted((p.stat().st_mtime_ns, p.parent.name) for p in (tmp_path / "s").glob("*/*.parquet"))
+    names = [n for _, n in files]
+    assert list(dict.fromkeys(names)) == ["step=__HIVE_DEFAULT_PARTITION__", "step=d0", "step=d1", "step=d2"] and names == sorted(names)
+    assert all(names.count(n) >= 3 for n in names if n != names[0])
+    assert rows(spark.read.parquet(str(tmp_path / "s")).select("id", "step")) == rows(df)
+    streams.replay_files(df.where("false"), str(tmp_path / "none"), "step")
+    assert (tmp_path / "none" / "_SUCCESS").exists()
