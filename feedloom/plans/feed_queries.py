@@ -231,7 +231,8 @@ WITH {LINES_SQL} SELECT lpad(cast(chunk AS varchar), 8, '0') AS chunk, row_numbe
 def file_line_number(spark, sf):
     lines = read_lines(spark, feeds.order_feed(spark, sf))
     numbered = with_line_order(lines)
-    heads = numbered.where("line_no = 1").select("file_path", fw.field_column(feeds.HEADER_LAYOUT[-1]).alias("chunk"))
+    # A row per file, written so that Spark sees how small it is.
+    heads = written(numbered.where("line_no = 1").select("file_path", fw.field_column(feeds.HEADER_LAYOUT[-1]).alias("chunk")), "heads")
     data = numbered.where(~F.col("value").startswith(feeds.HEADER_TAG) & ~F.col("value").startswith(feeds.TRAILER_TAG))
     return data.join(heads, "file_path").select("chunk", "line_no", F.md5("value").alias("digest"))
 

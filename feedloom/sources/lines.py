@@ -43,7 +43,8 @@ def with_line_order(lines: DataFrame, is_start: Column | None = None) -> DataFra
 
     ``lines`` comes from :func:`read_lines`; later filters belong after this call. Lines of a file block
     sit together in their scan task, so the position within the block is the distance to the block's
-    first row id. What comes before the block is one small row per block, found in a first scan. The
+    first row id. What comes before the block is one small row per block, found in a first scan and written
+    at once, so that Spark sees its size and sends it to the lines instead of shuffling them to it. The
     row id range is checked: should the two scans ever cut the files differently, the job stops.
 
     ``entity_no`` counts the start lines up to and including this one, ``entity_start`` is the number of
@@ -67,13 +68,14 @@ def with_line_order(lines: DataFrame, is_start: Column | None = None) -> DataFra
         F.coalesce(F.sum("__starts").over(earlier), F.lit(0)).alias("__starts_before"),
         F.coalesce(F.max(last_line).over(earlier), F.lit(1)).alias("__last_before"),
     )
+    blocks = written(blocks, "blocks")
     place = F.col("__id") - F.col("__first")
     number = F.when(place.between(0, F.col("__lines") - 1), F.col("__lines_before") + place + 1)
     numbered = marked.join(blocks, _BLOCK, "left").withColumn("line_no", F.coalesce(number, _cut_differently()))
     columns = [*lines.columns, "line_no"]
     if is_start is None:
         return numbered.select(*columns)
-    within = Window.partitionBy(*_BLOCK).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("__first").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     return numbered.select(
         *columns,
         (F.col("__starts_before") + F.count(F.when(F.col("__start"), 1)).over(within)).alias("entity_no"),

@@ -263,6 +263,10 @@ def test_order_feed_holds_the_lines_of_known_orders(spark, tmp_path, conf):
     assert rows(trailers) == [(1,), (2,), (6,)]
 
 
+def _shuffled_columns(df):
+    return [line for line in plan(df).split("== Initial Plan ==")[0].splitlines() if " Exchange " in line]
+
+
 def test_items_are_shuffled_once_for_a_feed(spark, tmp_path, conf):
     """However many orders there are: no join tells which items are known."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -283,6 +287,17 @@ def test_items_are_shuffled_once_for_a_feed(spark, tmp_path, conf):
     assert len(seen) == 1 and "Join" not in seen[0] and seen[0].count("Exchange") == 1
 
 
+def test_lines_are_numbered_and_joined_to_headers_without_a_shuffle(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.txt").write_text("".join(f"{i}.{j}\n" for j in range(50)))
+    lines = read_lines(spark, str(tmp_path))
+    numbered = with_line_order(lines)
+    assert not _shuffled_columns(numbered)
+    assert rows(numbered.select("value", "line_no")) == sorted(((f"{i}.{j}", j + 1) for i in range(3) for j in range(50)), key=lambda r: (r[0], str(r[1])))
+    headed = attach_header(lines, first_lines(lines), [F.col("value").alias("head")])
+    assert not _shuffled_columns(headed) and headed.where("head = concat(substring(value, 1, 1), '.0')").count() == 150
+
+
 def test_steps_are_replayed_in_order_by_many_tasks(spark, tmp_path):
     df = spark.range(1000).select("id", F.when(F.col("id") % 10 > 0, F.concat(F.lit("d"), (F.col("id") % 3).cast("string"))).alias("step"))
     streams.replay_files(df, str(tmp_path / "s"), "step", rows_per_file=100)
