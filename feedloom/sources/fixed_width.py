@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom.functions.text import collapse_blanks, implied_decimal, normalize_name, picture_decimals
+from feedloom.session import written
 from feedloom.types import FieldSpec
 
 # Names that mark a field as filler.
@@ -149,5 +150,8 @@ def data_lines(
 
 
 def attach_header(data: DataFrame, headers: DataFrame, columns: Sequence[Column]) -> DataFrame:
-    """File-level columns, cut from each file's header line, on every data row of the file."""
-    return data.join(headers.select("file_path", *columns), "file_path", "left")
+    """File-level columns, cut from each file's header line, on every data row of the file.
+
+    The headers, a row per file, are written at once: Spark sees their size and does not shuffle the data to them.
+    """
+    return data.join(written(headers.select("file_path", *columns), "headers"), "file_path", "left")
