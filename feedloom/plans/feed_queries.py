@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from feedloom.operators import quality, ranking, records
 from feedloom.operators.relational import collect_records
@@ -350,14 +350,13 @@ def segment_lines(spark, sf):
 
 def write_segments(spark, sf):
     """Orders with all their lines as segments from 2 on, repeated line numbers included; 5 and above have no layout."""
-    key = F.lpad(F.col("k").cast("string"), 12, "0")
-    o = table(spark, sf, "orders").withColumn("k", F.col("o_orderkey"))
-    first = o.select("k", F.lit("1").alias("seg"), F.concat(F.lit("1"), key, F.lpad(F.expr(feeds.cents("o_totalprice")), 13, "0"), "o_orderstatus", F.lit("1")).alias("value"))
-    items = table(spark, sf, "lineitem").withColumn("k", F.col("l_orderkey"))
-    seg = (F.col("l_linenumber") + 1).cast("string")
-    part = F.lpad(F.col("l_partkey").cast("string"), 12, "0")
-    rest = items.join(o.select("k"), "k", "left_semi").select("k", F.concat(seg, part).alias("seg"), F.concat(seg, key, part, F.lit(" r"), seg).alias("value"))
-    return feeds.ordered_text(first.unionByName(rest), F.col("value"), ["k", "seg"], "segments", "k")
+    key = lambda c: F.lpad(F.col(c).cast("string"), 12, "0")
+    first = F.struct(F.lit("1").alias("seg"), F.concat(F.lit("1"), key("o_orderkey"), F.lpad(F.expr(feeds.cents("o_totalprice")), 13, "0"), "o_orderstatus", F.lit("1")).alias("line"))
+    seg, part = (F.col("l_linenumber") + 1).cast("string"), key("l_partkey")
+    rest = F.struct(F.concat(seg, part).alias("seg"), F.concat(seg, key("l_orderkey"), part, F.lit(" r"), seg).alias("line"))
+    rows = feeds.order_and_item_rows(spark, sf, first, rest).select(F.col("order_key").alias("k"), "is_order", "value.seg", "value.line")
+    known = F.max("is_order").over(Window.partitionBy("k"))
+    return feeds.ordered_text(rows, F.col("line"), ["k", "seg"], "segments", "k", having=known)
 
 
 def account_lines(spark, sf):

@@ -287,6 +287,13 @@ def test_items_are_shuffled_once_for_a_feed(spark, tmp_path, conf):
     assert len(seen) == 1 and "Join" not in seen[0] and seen[0].count("Exchange") == 1
 
 
+def test_segments_hold_the_lines_of_known_orders(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    sf = _feed_tables(spark, tmp_path)
+    got = spark.read.text(feed_queries.write_segments(spark, sf)).selectExpr("substring(value, 1, 1) s", "try_cast(substring(value, 2, 12) as int) k")
+    assert rows(got.where("k is not null")) == sorted([("1", 1), ("1", 2), ("1", 2), ("1", 5000), ("2", 1), ("3", 1), ("2", 2), ("2", 5000)], key=lambda r: (r[0], str(r[1])))
+
+
 def test_lines_are_numbered_and_joined_to_headers_without_a_shuffle(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"{i}.txt").write_text("".join(f"{i}.{j}\n" for j in range(50)))
