@@ -469,9 +469,11 @@ def route_with_headers(spark, sf):
     kind = F.substring("value", 3, 1)
     lines = feeds.order_lines(spark, sf).select(kind.alias("kind"), F.floor(F.col("order_key") / feeds.ORDERS_PER_FILE).alias("chunk"), F.lit(1).alias("record_in_chunk"), "order_key", "value")
     header = F.concat(F.lit("BOF      ORDERS RECORD "), F.col("kind"))
-    body = sinks.bounded_lines(lines, F.col("value"), ["order_key"], header, None, keys=["kind"])
+    # Counted once, for headers and trailers.
+    counts = written(lines.groupBy("kind", "chunk", "record_in_chunk").agg(F.count(F.lit(1)).alias("n")), "chunks")
+    body = sinks.bounded_lines(lines, F.col("value"), ["order_key"], header, None, keys=["kind"], counted=counts)
     trailer = F.concat(F.lit("EOF      "), F.lpad(F.col("n").cast("string"), 10, "0"))
-    ends = lines.groupBy("kind", "chunk").agg(F.count(F.lit(1)).alias("n")).select("kind", "chunk", F.lit(2).alias("place"), F.lit(None).cast(body.schema["at"].dataType).alias("at"), trailer.alias("value"))
+    ends = counts.select("kind", "chunk", F.lit(2).alias("place"), F.lit(None).cast(body.schema["at"].dataType).alias("at"), trailer.alias("value"))
     path = scratch_path(spark, "routed-files")
     sinks.write_bounded(body.unionByName(ends), path, keys=["kind"])
     back = with_line_order(read_lines(spark, path))
