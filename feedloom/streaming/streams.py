@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from feedloom.operators.ranking import newest_per_group
 from feedloom.operators.state import SEEN, fold_changes, soft_delete, upsert
+from feedloom.session import written
 from feedloom.sources.lake import NumberedFolders, TableVersions
 from feedloom.types import ACTION, CONTENT_HASH, INTEGRATION_ID, NO_KEY
 
@@ -100,7 +101,8 @@ class ChangeStream:
     def _state(self, upto: int | None = None, newest: int | None = None) -> DataFrame:
         version, pending = self._pending(upto, newest)
         table = self.snapshots.read(version)
-        return upsert(table, fold_changes(self.log.read(pending), target=table)) if pending else table
+        # Written, since the upsert reads its changes three times and the log is folded by several windows.
+        return upsert(table, written(fold_changes(self.log.read(pending), target=table), "folded")) if pending else table
 
     def compact(self, upto: int) -> None:
         """Write snapshot ``upto + 1`` unless it is there."""
