@@ -86,7 +86,10 @@ def upsert(
         changes.where((F.col(action) == "INSERT") & (_key_text(F.col(key)) != NO_KEY))
         .withColumns({"__key": _key_text(F.col(key)), "__hash": _key_text(F.col(content)), _FORCE: forced})
     )
-    source = newest_per_group(source, ["__key"], [F.col(order).desc(), F.col("__hash").desc()])
+    # By all that the changes are joined by later, so that they are shuffled once for the newest and for the join.
+    source = _with_part(source.where(F.col("__key").isNotNull()))
+    by = ["__key"] if keys_are_clean else ["__key", "__part"]
+    source = newest_per_group(source, by, [F.col(order).desc(), F.col("__hash").desc()])
     seen = SEEN in target.columns
     if seen:
         source = source.drop(SEEN).withColumn(SEEN, F.col(_LAST if _LAST in changes.columns else order))
@@ -97,7 +100,7 @@ def upsert(
         plain = isinstance(kinds[name], T.StringType) and name not in AUDIT_COLUMNS and name != content
         return F.coalesce(c, F.lit("")) if plain else c
 
-    t, s = target.alias("t"), _with_part(source).alias("s")
+    t, s = target.alias("t"), source.alias("s")
     own_key = (lambda c: c) if keys_are_clean else _key_text
     same_key = own_key(F.col(f"t.{key}")) == F.col("s.__key")
     if not keys_are_clean:
@@ -113,8 +116,9 @@ def upsert(
         return F.when(take, incoming(name)).otherwise(F.col(f"t.{name}"))
 
     kept = t.join(s, same_key, "left").select(*[value(c).alias(c) for c in target.columns])
-    known = target.select(own_key(F.col(key)).alias("__key")).where(F.col("__key") != NO_KEY).join(source.select("__key"), "__key", "left_semi")
-    new = source.join(known, "__key", "left_anti").alias("s").select(*[incoming(c).alias(c) for c in target.columns])
+    keys = _with_part(target.select(own_key(F.col(key)).alias("__key")).where(F.col("__key") != NO_KEY)).select(*by)
+    known = keys.join(source.select(*by), by, "left_semi")
+    new = source.join(known, by, "left_anti").alias("s").select(*[incoming(c).alias(c) for c in target.columns])
     return kept.unionByName(new)
 
 

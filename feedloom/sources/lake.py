@@ -8,6 +8,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedloom.operators.columns import rename_all
+from feedloom.session import COMPRESSION
 from feedloom.types import PARTITION_COLUMN
 
 # Fixed value: rows per output file.
@@ -113,7 +114,7 @@ class NumberedFolders:
         return sorted(n for n in found if fs.exists(hadoop(f"{self.folder(n)}/_SUCCESS")))
 
     def write(self, df: DataFrame, number: int, partition_by: Sequence[str] = ()) -> None:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.folder(number))
+        df.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*partition_by).parquet(self.folder(number))
 
     def remove(self, numbers: Sequence[int]) -> None:
         """Delete folders that nothing reads any more. The mark goes first, so a folder that is half deleted is not read."""

@@ -315,3 +315,11 @@ def test_steps_are_replayed_in_order_by_many_tasks(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "s")).select("id", "step")) == rows(df)
     streams.replay_files(df.where("false"), str(tmp_path / "none"), "step")
     assert (tmp_path / "none" / "_SUCCESS").exists()
+
+
+def test_changes_are_shuffled_once_before_they_meet_the_target(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    target, changes = order_target(spark, SF), order_changes(spark, SF)
+    text = state.upsert(target, changes)._jdf.queryExecution().executedPlan().toString()
+    # For the newest of each key: the kept rows, the known keys and the new rows. The target: its rows and its keys.
+    assert text.count(" Exchange ") == 5
