@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedloom.llm.components import components
 from feedloom.llm.word_hashes import WordHasher, grams
-from feedloom.session import written
+from feedloom.session import released, written
 
 SHINGLE = 5
 PERCENT = 75
@@ -433,9 +433,10 @@ def _unions(members: DataFrame) -> DataFrame:
 
 def _judged(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_shingles`` and ``root``, equal for all rows of a component; null without shingles."""
-    with _sent(docs.sparkSession, token_frequencies(docs, size)) as order:
-        signed = written(signatures(docs, order, size, percent), "signatures")
-    roots = set_links(docs, signed, size, percent)
+    with released(docs.sparkSession):
+        with _sent(docs.sparkSession, token_frequencies(docs, size)) as order:
+            signed = written(signatures(docs, order, size, percent), "signatures")
+        roots = set_links(docs, signed, size, percent)
     rows = signed.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "node").join(roots, "node", "left")
     return rows.withColumn("root", F.coalesce("root", "node")).drop("node")
 

@@ -6,7 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,10 +70,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Shuffles of the statements made within go when these end, else they stay until the driver collects its garbage.
+
+    A frame made within that is collected again outside computes its shuffles again.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The frame as a table in the shared folder: computed once, read by every later use, safe from lost executors."""
+    """The frame as a table in the shared folder: computed once, read by every later use, safe from lost executors.
+
+    What it shuffled is not needed then and goes.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", COMPRESSION).parquet(path)
+    with released(df.sparkSession):
+        df.write.option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
