@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedloom.llm.components import components
 from feedloom.llm.word_hashes import WordHasher, grams
-from feedloom.session import released, written
+from feedloom.session import released, tidy, written
 
 SHINGLE = 5
 PERCENT = 75
@@ -95,6 +95,11 @@ def token_frequencies(docs: DataFrame, size: int = SHINGLE, cells: int = CELLS)
     return total
 
 
+def _graded(counts: np.ndarray) -> np.ndarray:
+    """Frequencies in steps of an eighth of a power of two, a byte each: as good an order, at a quarter of the size."""
+    return np.minimum(np.rint(8 * np.log2(counts + np.float32(1), dtype=np.float32)), 255).astype(np.uint8)
+
+
 def _frequency(cells: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return cells[(tokens >> np.uint64(64 - len(cells).bit_length() + 1)).astype(np.int64)]
 
@@ -102,9 +107,9 @@ def _frequency(cells: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame, order: Broadcast, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per document: ``n``, ``node`` (equal sets share it; null for the empty set), ``prefix`` and ``bits``.
 
-    Tokens are ordered by the frequency of their cell, rare first. Two sets that are similar enough share a token
+    Tokens are ordered by the frequency of their cell, rare first, then by value. Two sets that are similar enough share a token
     among the first n - ceil(n * percent / 100) + 1 of each: their prefix. ``bits`` is the set's row of the matrix.
-    ``order`` holds :func:`token_frequencies`.
+    ``order`` holds :func:`token_frequencies`, graded or not.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,6 +341,7 @@ def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent:
     document of the smaller group is held against the rows of the matrix of the other one, and only members of rows
     within the bound are compared one by one. Documents that are known to be in one component are not compared.
     """
+    spark = docs.sparkSession
     some = signed.where(F.col("node").isNotNull())
     copied = some.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.min("doc_id").alias("smallest")).where("m > 1").drop("m")
     copied = written(copied, "copied")
@@ -346,6 +352,7 @@ def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent:
     shared = written(shared, "shared")
     with _bit_filter(shared, "token") as asked:
         held = written(_held(sets, asked).join(shared, "token"), "shared-tokens")
+    tidy(spark)
 
     pivots = held.groupBy("token").agg(F.min("node").alias("pivot"))
     stars = held.join(pivots, "token").where("node != pivot")
@@ -358,16 +365,20 @@ def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent:
     chosen = chosen.join(chosen.select(F.col("b").alias("a")), "a", "left_anti").withColumn("hub", F.lit(True))
     stars = stars.select("a", "b").join(chosen, ["a", "b"], "left").withColumn("hub", F.coalesce("hub", F.lit(False)))
     stars = written(stars, "hubs")
+    tidy(spark)
     rows = _rows_of(sets, _nodes_of(stars))
     near = _bounded(stars, rows, F.when(F.col("hub"), NEAR).otherwise(percent))
     near = written(near.join(stars, ["a", "b"]), "pairs")
     compared = written(_compared(_with_sets(near, docs, copied, size), percent), "compared")
     links = compared.where("linked").select("a", "b")
+    tidy(spark)
     roots = written(components(links), "roots")
+    tidy(spark)
     members = written(_members(compared, roots), "members")
     centred = written(_centred(members, percent), "centred")
     sure = centred.where((F.col("score") + F.col("top") >= 0) & (F.col("node") != F.col("best"))).select(F.col("node").alias("a"), F.col("best").alias("b"))
 
+    tidy(spark)
     # Groups: members in rows of at most GROUP; a set without a hub is a group of its own.
     sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("only"), F.max("root").alias("high"))
     grouped = members.select("node", "hub", "root").join(sizes, "hub").withColumn("only", F.when(F.col("only") == F.col("high"), F.col("only"))).drop("high")
@@ -388,6 +399,7 @@ def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent:
     asked = asked.withColumns({"low": F.greatest("low", _need(F.col("n_a"), percent)), "high": F.least("high", F.floor(F.col("n_a") * 100 / percent))})
     common = F.least(*[_common(F.col("n_a"), F.col(c), percent) for c in ("low", "high")]) - F.when(F.col("low") < F.col("high"), 1).otherwise(0)
     asked = written(asked.where((F.col("low") <= F.col("high")) & (F.col("c") >= common)).select("a", "root_a", "hub", "part"), "asked")
+    tidy(spark)
     met = placed.join(asked.select("hub", "part").distinct(), ["hub", "part"], "left_semi")
     nodes = written(met.select("node").union(asked.select(F.col("a").alias("node"))).distinct(), "needed")
     rows = _rows_of(sets, nodes)
@@ -399,7 +411,10 @@ def set_links(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent:
     pairs = opened.select("a", F.col("b").alias("group")).join(inside, "group").join(asked.select("a", "root_a").distinct(), "a")
     across = _bounded(pairs.where("root_a != root").select("a", "b").distinct(), rows, percent)
     within = _inside(centred, percent)
-    more = written(_linked(written(across.union(within).distinct(), "pairs"), docs, copied, size, percent), "links")
+    more = written(across.union(within).distinct(), "pairs")
+    tidy(spark)
+    more = written(_linked(more, docs, copied, size, percent), "links")
+    tidy(spark)
     return written(components(links.union(sure).union(more)), "roots")
 
 
@@ -434,7 +449,7 @@ def _unions(members: DataFrame) -> DataFrame:
 def _judged(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_shingles`` and ``root``, equal for all rows of a component; null without shingles."""
     with released(docs.sparkSession):
-        with _sent(docs.sparkSession, token_frequencies(docs, size)) as order:
+        with _sent(docs.sparkSession, _graded(token_frequencies(docs, size))) as order:
             signed = written(signatures(docs, order, size, percent), "signatures")
         roots = set_links(docs, signed, size, percent)
     rows = signed.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "node").join(roots, "node", "left")

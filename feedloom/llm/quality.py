@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from feedloom.llm.text import carry, words_of
-from feedloom.session import written
+from feedloom.session import tidy, written
 
 SYMBOLS = r"[^#*$%&|<>]+"
 MIN_WORDS = 50
@@ -252,6 +252,7 @@ def fit(points: DataFrame, steps: int = STEPS) -> DataFrame:
             best = W.partitionBy("grp").orderBy("logdet", "start")
             new = new.withColumn("rank", F.row_number().over(best)).where("rank = 1").drop("rank").withColumn("start", F.lit("best"))
         new = written(new, "estimates")
+        tidy(points.sparkSession)
         if step > 1:
             old = est.select("grp", F.col("logdet").alias("was"))
             moved = new.join(old, "grp").agg(F.max(F.abs(F.col("logdet") - F.col("was")))).first()[0]

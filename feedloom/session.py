@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -87,6 +88,15 @@ def released(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Collect the driver's garbage: plans of finished statements, and what Spark keeps on the driver as long as they are there.
+
+    Broadcast tables and map outputs are among it; left alone, the heap grows to its limit before they go.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame as a table in the shared folder: computed once, read by every later use, safe from lost executors.
 
