@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from feedloom.llm.token_ids import PieceEncoder, read_vocabulary
+from feedloom.llm.token_ids import encoder_of, send_vocabulary
 
 BLOCK = 4096
 
@@ -21,10 +21,10 @@ def length_counts(docs: DataFrame, vocabulary: str, text: str = "text", end: int
     length ``end``, repeated rows count each, no rows give no rows, other columns are not read. The vocabulary's file
     is read on the driver.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+    sent = send_vocabulary(docs.sparkSession, vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, lengths = PieceEncoder(sent.value), Counter()
+        encoder, lengths = encoder_of(sent), Counter()
         for batch in batches:
             lengths.update((np.diff(encoder.encode(batch.column(0))[1]) + end).tolist())
         yield pa.RecordBatch.from_pydict({"n_tokens": pa.array(lengths.keys(), pa.int64()), "n_docs": pa.array(lengths.values(), pa.int64())})

@@ -11,7 +11,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from feedloom.llm.token_ids import PieceEncoder, read_vocabulary
+from feedloom.llm.token_ids import encoder_of, send_vocabulary
 from feedloom.session import scratch_path, written
 
 LENGTH = 2048
@@ -142,14 +142,14 @@ def write_token_files(
     The vocabulary's file is read on the driver.
     """
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
+    sent = send_vocabulary(spark, vocabulary)
     folder = folder or scratch_path(spark, "token-files")
     schema = "part int, path string, n_docs long, n_tokens long, n_sequences long"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
         task, out, sink, end = TaskContext.get(), None, None, np.array([end_id], np.uint32)
-        encoder = PieceEncoder(sent.value)
+        encoder = encoder_of(sent)
         width = pa.uint16() if max(end_id, encoder.size - 1) < 1 << 16 else pa.uint32()
         path = f"{task.partitionId():06d}-{task.taskAttemptId()}.arrow"
         for batch in batches:

@@ -8,6 +8,8 @@ import os
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
+from pyspark.sql import SparkSession
 
 MEMO_BYTES = 96_000_000
 
@@ -32,6 +34,23 @@ def read_vocabulary(path: str) -> str:
         return file.read()
 
 
+def send_vocabulary(spark: SparkSession, path: str) -> Broadcast:
+    """A vocabulary's text for the tasks, which get their encoder of it from ``encoder_of``."""
+    return spark.sparkContext.broadcast({"vocabulary": read_vocabulary(path)})
+
+
+def encoder_of(sent: Broadcast) -> PieceEncoder:
+    """The encoder of a vocabulary sent: one for all tasks that a Python worker runs, kept with its copy of the value.
+
+    The memory that an encoder takes does not all come back when it goes, so one a task adds up. Spark drops the copy
+    when the worker goes on to tasks that do not read it.
+    """
+    held = sent.value
+    if "encoder" not in held:
+        held["encoder"] = PieceEncoder(held["vocabulary"])
+    return held["encoder"]
+
+
 def cut_in_pieces(vocabulary: str) -> bool:
     """Whether a vocabulary (the text of its file) has the splitting rules that texts are cut by here."""
     rules = json.loads(vocabulary)
@@ -68,9 +87,8 @@ class PieceEncoder:
         self.known: dict[str, bytes] = {}
         if not self.in_pieces:
             return
-        # For pieces that are lower-case letters already: the same model behind white space alone.
-        self.model = Tokenizer.from_str(vocabulary)
-        self.model.normalizer = None
+        # For pieces that are lower-case letters already: the same model, in memory once, behind white space alone.
+        self.model = Tokenizer(self.whole.model)
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), byte_level])
         self.closes = np.zeros(self.size, bool)

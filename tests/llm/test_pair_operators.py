@@ -1,6 +1,7 @@
 """Near duplicates, decontamination, urls, WARC, token files and the pipeline on small inputs."""
 
 import json
+import os
 import random
 import time
 import zlib
@@ -390,6 +391,32 @@ def test_vocabulary_travels_as_a_value(make, vocabulary, tmp_path):
     assert sorted(tuple(r) for r in counts.collect()) == [(1, 1), (3, 1)]
 
 
+@pytest.mark.parametrize("operator", ["token_files", "token_counts"])
+def test_one_encoder_a_worker(make, vocabulary, conf, tmp_path, monkeypatch, operator):
+    """Tasks that a Python worker runs one after the other share its encoder; one a task left memory that did not come back."""
+    from feedloom.llm import token_counts, token_ids
+
+    made = tmp_path / "made"
+
+    class Counted(PieceEncoder):
+        def __init__(self, *args):
+            super().__init__(*args)
+            with made.open("a") as file:
+                file.write(f"{os.getpid()}\n")
+
+    for module in (token_ids, token_files, token_counts):
+        monkeypatch.setattr(module, "PieceEncoder", Counted, raising=False)
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "32")
+    docs = make([(i, f"w{i} {i}") for i in range(400)])
+    if operator == "token_files":
+        assert token_files.write_token_files(docs, vocabulary).count() > 16
+    else:
+        assert token_counts.length_counts(docs.repartition(32, "doc_id"), vocabulary).agg(F.sum("n_docs")).first()[0] == 400
+    workers = made.read_text().split()
+    assert len(workers) == len(set(workers))
+
+
 @pytest.mark.parametrize("length", [4, 2048])
 def test_token_files_read_back(make, vocabulary, length):
     from tokenizers import Tokenizer
